@@ -1,0 +1 @@
+"""Empty: every job here is a batch full refresh, there is no streaming feature to offer."""
