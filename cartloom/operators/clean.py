@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame
 
+from cartloom.functions.missing import all_present
 from cartloom.schemas import CRITICAL_IDS
 
 
 def clean(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: df.dropna(subset=CRITICAL_IDS[name]) for name, df in sources.items()}
+    """Keep rows with all their ids. Plain null tests, so that Parquet scans apply them."""
+    return {name: df.filter(all_present(CRITICAL_IDS[name])) for name, df in sources.items()}

@@ -61,28 +61,43 @@ def _times(names: list[str], factor: str) -> list[Column]:
     return [(F.coalesce(F.col(c), F.lit(0)) * F.col(factor)).alias(c) for c in names]
 
 
-def _narrow(clean: Frames, **columns) -> Frames:
-    """Only the columns a summary needs, so nothing else is shuffled."""
-    return {name: clean[name].select(*wanted) for name, wanted in columns.items()}
+def order_facts(
+    clean: Frames, skew: SkewProfile, keys: list[str] = CUSTOMER_KEYS
+) -> DataFrame:
+    """One row per order and group keys: order_id, keys, rows, sums.
 
-
-def order_facts(clean: Frames, skew: SkewProfile) -> DataFrame:
-    """One row per order and customer row: order_id, customer keys, rows, sums."""
+    The keys are columns of the order's customer; fewer keys make narrower shuffles.
+    """
     by_order = skew.hot("order_id", "orders")
-    narrow = _narrow(clean, orders=["order_id", "customer_id"], customers=CUSTOMER_KEYS)
+    home = [k for k in keys if k != "customer_id"]
+    narrow = {
+        "orders": clean["orders"].select("order_id", "customer_id"),
+        "customers": clean["customers"].select("customer_id", *home),
+    }
     totals = {
         "items": item_totals(clean["order_items"]),
         "payments": payment_totals(clean["payments"]),
     }
     joined = left_join(order_customer(narrow, skew, by_order), totals, by_order)
-    weighted = joined.withColumns({"items": _at_least_one("items"), "payments": _at_least_one("payments")})
-    return weighted.select(
+    weighted = joined.withColumns({c: _at_least_one(c) for c in ("items", "payments")})
+    rows = weighted.select(
         "order_id",
-        *CUSTOMER_KEYS,
+        *keys,
         (F.col("items") * F.col("payments")).alias("rows"),
         *_times(measures("payment"), "items"),
         *_times(measures("price", "freight"), "payments"),
     )
+    return one_per_order(rows, keys)
+
+
+def one_per_order(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add up repeats of an order and keys; local where rows are partitioned by order."""
+    names = ["rows", *measures(*PAYMENT_AMOUNTS, *ITEM_AMOUNTS)]
+    return rows.groupBy("order_id", *keys).agg(*sums(names))
+
+
+def sums(names: list[str]) -> list[Column]:
+    return [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
 
 
 def product_facts(clean: Frames, skew: SkewProfile) -> DataFrame:
@@ -91,12 +106,9 @@ def product_facts(clean: Frames, skew: SkewProfile) -> DataFrame:
     An item counts once per payment of its order, and again for every repeat of the
     order or of its customer.
     """
-    narrow = _narrow(clean, orders=["order_id", "customer_id"], customers=["customer_id"])
     payments = clean["payments"].groupBy("order_id").agg(F.count("*").alias("payments"))
     weights = (
-        order_customer(narrow, skew)
-        .groupBy("order_id")
-        .agg(F.count("*").alias("copies"))
+        _order_copies(clean, skew)
         .join(payments, "order_id", "left")
         .select("order_id", (F.col("copies") * _at_least_one("payments")).alias("rows"))
     )
@@ -112,6 +124,23 @@ def product_facts(clean: Frames, skew: SkewProfile) -> DataFrame:
     )
 
 
+def _order_copies(clean: Frames, skew: SkewProfile) -> DataFrame:
+    """How often each order id stands in the table of orders with their customers.
+
+    Customers matter only where one is listed twice, so orders meet those few, if
+    there are any, instead of being shuffled to all customers.
+    """
+    orders = clean["orders"].select("order_id", "customer_id")
+    repeated = skew.repeated("customer_id", "customers")
+    if repeated is None:
+        return orders.groupBy("order_id").agg(F.count("*").alias("copies"))
+    return (
+        orders.join(repeated, "customer_id", "left")
+        .groupBy("order_id")
+        .agg(F.sum(F.coalesce(F.col("copies"), F.lit(1))).alias("copies"))
+    )
+
+
 def _present(name: str) -> Column:
     return F.when(F.col(f"{name}_cents").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
 
@@ -120,7 +149,34 @@ def facts_of_master(master: DataFrame) -> DataFrame:
     """The same columns for every row of a built master table, each counting once."""
     amounts = ITEM_AMOUNTS | PAYMENT_AMOUNTS
     rows = master.select(
-        "order_id", "product_id", *CUSTOMER_KEYS, F.lit(1).cast("long").alias("rows"),
+        "order_id",
+        "product_id",
+        *CUSTOMER_KEYS,
+        F.lit(1).cast("long").alias("rows"),
         *_cents(master, amounts),
     )
     return rows.withColumns({f"{name}_n": _present(name) for name in amounts})
+
+
+def buyers(clean: Frames) -> DataFrame:
+    """Distinct customers with an order, per state: customer_state, total_customers.
+
+    Both sides shrink to distinct ids before they are shuffled, so neither a customer
+    with very many orders nor one listed very often weighs on a task.
+    """
+    homes = clean["customers"].filter(F.col("customer_state").isNotNull())
+    return (
+        homes.select("customer_id", "customer_state")
+        .distinct()
+        .join(clean["orders"].select("customer_id").distinct(), "customer_id", "left_semi")
+        .groupBy("customer_state")
+        .agg(F.count("*").alias("total_customers"))
+    )
+
+
+def buyers_of_master(master: DataFrame) -> DataFrame:
+    return (
+        master.filter(F.col("customer_state").isNotNull())
+        .groupBy("customer_state")
+        .agg(F.count_distinct("customer_id").alias("total_customers"))
+    )

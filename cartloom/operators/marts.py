@@ -3,6 +3,7 @@
 Rows with a missing group key form no group. Distinct orders are counted by
 grouping on order and key first: where the input is already partitioned by order
 that step needs no shuffle, and the second one ships one row per group and task.
+No summary shuffles one row per order for a distinct count.
 """
 
 from pyspark.sql import DataFrame
@@ -11,35 +12,28 @@ from pyspark.sql import functions as F
 from cartloom.functions.amounts import exact_ratio, mean_money, money
 from cartloom.functions.dates import strict_timestamp, whole_days
 from cartloom.functions.missing import all_present
-from cartloom.operators.facts import CUSTOMER_KEYS, measures
+from cartloom.operators.facts import CUSTOMER_KEYS, measures, sums
 from cartloom.operators.joins import Frames, order_customer
 from cartloom.operators.skew import SkewProfile
 from cartloom.schemas import DELIVERY_SUMMARY, PRODUCT_SUMMARY, SALES_SUMMARY, STATE_SUMMARY
 
 
-def _sums(names: list[str]):
-    return [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
+def _mean(name: str):
+    return mean_money(F.col(f"{name}_cents"), F.col(f"{name}_n"))
 
 
-def _by_order_then(facts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """Sums and number of distinct orders per key."""
+def _per_key(facts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """Sums and number of distinct orders per key, of facts with one row per order and key."""
     return (
         facts.filter(all_present(keys))
-        .groupBy("order_id", *keys)
-        .agg(*_sums(names))
         .groupBy(*keys)
-        .agg(F.count("*").alias("total_orders"), *_sums(names))
+        .agg(F.count("*").alias("total_orders"), *sums(names))
     )
 
 
-def _mean(name: str):
-    return mean_money(F.col(f"{name}_cents"), F.col(f"{name}_n"))
-
-
 def sales_summary(facts: DataFrame) -> DataFrame:
-    """Per customer; averages over nothing are 0."""
-    names = ["rows", *measures("payment", "price", "freight")]
-    groups = _by_order_then(facts, CUSTOMER_KEYS, names)
+    """Per customer; averages over nothing are 0. Facts are per order and customer keys."""
+    groups = _per_key(facts, CUSTOMER_KEYS, ["rows", *measures("payment", "price", "freight")])
 
     def mean_or_zero(name):
         return F.coalesce(_mean(name), F.lit(0).cast("decimal(18,2)"))
@@ -56,8 +50,10 @@ def sales_summary(facts: DataFrame) -> DataFrame:
 
 
 def product_summary(facts: DataFrame) -> DataFrame:
-    """Per product."""
-    groups = _by_order_then(facts, ["product_id"], ["rows", *measures("price", "freight")])
+    """Per product. Facts are per item, so they are added up per order first."""
+    keys, names = ["product_id"], ["rows", *measures("price", "freight")]
+    per_order = facts.filter(all_present(keys)).groupBy("order_id", *keys).agg(*sums(names))
+    groups = _per_key(per_order, keys, names)
     return groups.select(
         "product_id",
         "total_orders",
@@ -69,18 +65,10 @@ def product_summary(facts: DataFrame) -> DataFrame:
     ).select(PRODUCT_SUMMARY.names)
 
 
-def state_summary(facts: DataFrame) -> DataFrame:
-    """Per state. Two distinct counts, which Catalyst combines before the shuffle."""
-    groups = (
-        facts.filter(all_present(["customer_state"]))
-        .groupBy("customer_state")
-        .agg(
-            F.count_distinct("customer_id").alias("total_customers"),
-            F.count_distinct("order_id").alias("total_orders"),
-            *_sums(["rows", *measures("payment")]),
-        )
-    )
-    return groups.select(
+def state_summary(facts: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Per state. Facts are per order and state; `buyers` counts customers per state."""
+    groups = _per_key(facts, ["customer_state"], ["rows", *measures("payment")])
+    return groups.join(buyers, "customer_state").select(
         "customer_state",
         "total_customers",
         "total_orders",

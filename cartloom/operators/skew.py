@@ -39,7 +39,10 @@ class HotKeys:
 
 
 class SkewProfile:
-    """Counts rows of the sources and finds hot keys of the cleaned frames, each at most once."""
+    """Finds hot and repeated keys of cleaned frames, each at most once.
+
+    `sources` are the frames before cleaning; their row counts bound the cleaned ones.
+    """
 
     def __init__(
         self,
@@ -52,6 +55,7 @@ class SkewProfile:
         self.split_rows = split_rows
         self._rows: dict[str, int] = {}
         self._hot: dict[tuple, HotKeys] = {}
+        self._repeated: dict[tuple, DataFrame | None] = {}
 
     def rows(self, *tables: str) -> dict[str, int]:
         """Row counts; from file footers where the source is Parquet."""
@@ -69,6 +73,14 @@ class SkewProfile:
             self._hot[(key, *tables)] = self._search(key, tables)
         return self._hot[(key, *tables)]
 
+    def repeated(self, key: str, table: str) -> DataFrame | None:
+        """Keys with several rows and how many (key, copies), or None if there are none."""
+        if (key, table) not in self._repeated:
+            counts = self.clean[table].groupBy(key).agg(F.count("*").alias("copies"))
+            found = stage(counts.filter(F.col("copies") > 1), f"repeated-{key}")
+            self._repeated[key, table] = None if found.isEmpty() else found
+        return self._repeated[key, table]
+
     def _search(self, key, tables) -> HotKeys:
         rows = {t: n for t, n in self.rows(*tables).items() if n > self.split_rows}
         if not rows:

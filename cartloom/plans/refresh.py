@@ -33,16 +33,16 @@ class Refresh:
 
 def summaries(frames: Frames, skew: SkewProfile) -> dict[str, DataFrame]:
     """The four summary tables of cleaned sources, lazily."""
-    orders = contributions.order_facts(frames, skew)
-    return _summaries(orders, frames, skew)
+    return _summaries(contributions.order_facts(frames, skew), frames, skew)
 
 
 def _summaries(order_facts, frames, skew):
+    state_facts = contributions.one_per_order(order_facts, ["customer_state"])
     return {
         "sales_summary": marts.sales_summary(order_facts),
         "delivery_summary": marts.delivery_summary(frames, skew),
         "product_summary": marts.product_summary(contributions.product_facts(frames, skew)),
-        "state_summary": marts.state_summary(order_facts),
+        "state_summary": marts.state_summary(state_facts, contributions.buyers(frames)),
     }
 
 
@@ -68,7 +68,7 @@ def refresh(
 
     tables = _write_master(spark, load_master(master_table(frames, skew)), out_dir)
 
-    # Three summaries read the order contributions; they are computed and written once.
+    # Two summaries read the order contributions; they are computed and written once.
     facts = stage(contributions.order_facts(frames, skew), "order-facts")
     for name, summary in _summaries(facts, frames, skew).items():
         numbered = number_rows(summary, SUMMARY_KEYS[name])

@@ -37,6 +37,10 @@ class Shop:
     def order_facts(self) -> DataFrame:
         return facts.order_facts(self.frames, self.skew)
 
+    def state_summary(self) -> DataFrame:
+        order_facts = facts.order_facts(self.frames, self.skew, ["customer_state"])
+        return marts.state_summary(order_facts, facts.buyers(self.frames))
+
     def product_facts(self) -> DataFrame:
         return facts.product_facts(self.frames, self.skew)
 
@@ -147,13 +151,14 @@ def product_summary(spark, sf_dir):
 
 @query
 def state_summary(spark, sf_dir):
-    return marts.state_summary(shop(spark, sf_dir).order_facts())
+    return shop(spark, sf_dir).state_summary()
 
 
 @query
 def fanout_preagg(spark, sf_dir):
     """Per state, the fan-out computed from per-order totals without building it."""
-    return _fanout(shop(spark, sf_dir).order_facts())
+    s = shop(spark, sf_dir)
+    return _fanout(facts.order_facts(s.frames, s.skew, ["customer_state"]))
 
 
 @query
@@ -179,7 +184,9 @@ def _fanout(order_facts):
 @query
 def state_summary_of_master(spark, sf_dir):
     """The state summary taken from the built master table."""
-    return marts.state_summary(facts.facts_of_master(shop(spark, sf_dir).master()))
+    master = shop(spark, sf_dir).master()
+    per_order = facts.one_per_order(facts.facts_of_master(master), ["customer_state"])
+    return marts.state_summary(per_order, facts.buyers_of_master(master))
 
 
 @query
@@ -332,15 +339,15 @@ def sql_master_count(spark, sf_dir):
 
 @query
 def sql_state_head(spark, sf_dir):
-    catalog.register({"state_summary": marts.state_summary(shop(spark, sf_dir).order_facts())})
+    catalog.register({"state_summary": shop(spark, sf_dir).state_summary()})
     return catalog.state_head(spark)
 
 
 @query
 def sql_city_collated(spark, sf_dir):
     """Orders and spending of one city, matched without regard to case and accents."""
-    payments = shop(spark, sf_dir)
-    city = payments.master().filter(same_text(F.col("customer_city"), "nàtion_7-Machinery "))
+    master = shop(spark, sf_dir).master()
+    city = master.filter(same_text(F.col("customer_city"), "nàtion_7-Machinery "))
     value = cents(F.col("payment_value"), city.schema["payment_value"].dataType)
     return city.groupBy("customer_city").agg(
         F.count("*").alias("master_rows"), money(F.sum(value)).alias("payment_total")
