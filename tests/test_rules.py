@@ -1,0 +1,336 @@
+"""Hand-made rows for the rules that the generated tables do not reach."""
+
+from datetime import datetime
+from decimal import Decimal as D
+
+import pytest
+from shops import dicts, prepared, sources
+
+from cartloom.functions.amounts import cents, exact_ratio, mean_money, money
+from cartloom.functions.dates import strict_timestamp, whole_days
+from cartloom.functions.missing import column_or, normalise_missing
+from cartloom.functions.text import json_records, same_text
+from cartloom.operators import facts, joins, load, marts, stats
+from cartloom.operators.clean import clean
+from cartloom.schemas import CONTRACTS, MASTER, NA_TOKENS
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+
+def state_summary(clean_frames, skew):
+    order_facts = facts.order_facts(clean_frames, skew, ["customer_state"])
+    return marts.state_summary(order_facts, facts.buyers(clean_frames))
+
+
+def test_fan_out_multiplies_items_by_payments(spark):
+    frames = sources(
+        spark,
+        customers=[("c1", "SP", "town")],
+        orders=[(f"o{i}", "c1") for i in range(4)],
+        order_items=[("o0", "p1", "10", "1"), ("o0", "p2", "20", "2"), ("o2", "p1", "5", "1")],
+        payments=[("o0", "card", "25"), ("o0", "voucher", "5"), ("o1", "card", "7")],
+    )
+    kept, skew = prepared(frames)
+    rows = joins.master_table(kept, skew).groupBy("order_id").count()
+    assert dict(rows.collect()) == {"o0": 4, "o1": 1, "o2": 1, "o3": 1}
+
+    sales = marts.sales_summary(facts.order_facts(kept, skew)).first()
+    assert sales.total_spent == D("67.00")  # 2 x (25 + 5) + 7
+    assert (sales.total_orders, sales.total_items) == (4, 7)
+    assert sales.avg_order_value == D("13.40")  # 67 over 5 present values
+    assert sales.avg_price == D("13.00")  # (2 x 30 + 5) over 5
+
+    products = dicts(marts.product_summary(facts.product_facts(kept, skew)), "product_id")
+    assert products["p1"]["total_revenue"] == D("25.00")  # 10 per payment, 5 without one
+    assert products["p1"]["total_items_sold"] == 3
+    assert products["p1"]["total_orders"] == 2
+    assert products["p2"]["avg_freight"] == D("2.00")
+
+
+def test_rows_without_critical_ids_are_dropped(spark):
+    frames = sources(
+        spark,
+        customers=[("c1",), (None, "SP")],
+        orders=[("o1", "c1"), (None, "c1"), ("o2", None)],
+        order_items=[("o1",), (None, "p1")],
+        payments=[("o1",), (None, "card")],
+    )
+    assert {name: df.count() for name, df in clean(frames).items()} == {
+        "customers": 1,
+        "orders": 1,
+        "order_items": 1,
+        "payments": 1,
+    }
+
+
+def test_missing_group_keys_form_no_group(spark):
+    frames = sources(
+        spark,
+        customers=[("c1", "SP", "a"), ("c2", None, "b"), ("c3", "RJ", None)],
+        orders=[("o1", "c1"), ("o2", "c2"), ("o3", "c3"), ("o4", "unknown")],
+        order_items=[(f"o{i}", "p1" if i < 3 else None, "1", "1") for i in range(1, 5)],
+        payments=[(f"o{i}", "card", "10") for i in range(1, 5)],
+    )
+    kept, skew = prepared(frames)
+    sales = marts.sales_summary(facts.order_facts(kept, skew))
+    assert [r.customer_id for r in sales.collect()] == ["c1"]
+    assert set(dicts(state_summary(kept, skew), "customer_state")) == {"SP", "RJ"}
+    products = dicts(marts.product_summary(facts.product_facts(kept, skew)), "product_id")
+    assert products["p1"]["total_orders"] == 2 and len(products) == 1
+    assert joins.master_table(kept, skew).count() == 4
+
+
+def test_sums_and_means_over_nothing(spark):
+    frames = sources(
+        spark,
+        customers=[("c1", "SP", "a")],
+        orders=[("o1", "c1")],
+        order_items=[("o1", "p1", None, None)],
+    )
+    kept, skew = prepared(frames)
+    sales = marts.sales_summary(facts.order_facts(kept, skew)).first()
+    assert (sales.total_spent, sales.avg_order_value, sales.avg_price) == (0, 0, 0)
+    state = state_summary(kept, skew).first()
+    assert (state.total_revenue, state.avg_order_value, state.total_items) == (0, None, 1)
+    product = marts.product_summary(facts.product_facts(kept, skew)).first()
+    assert (product.total_revenue, product.avg_price) == (0, None)
+
+
+def test_repeated_customers_and_orders_multiply(spark):
+    frames = sources(
+        spark,
+        customers=[("c1", "SP", "a"), ("c1", "SP", "a"), ("c1", "RJ", "b")],
+        orders=[("o1", "c1"), ("o1", "c1")],
+        order_items=[("o1", "p1", "2", "1")],
+        payments=[("o1", "card", "3")],
+    )
+    kept, skew = prepared(frames)
+    assert joins.master_table(kept, skew).count() == 6
+    states = dicts(state_summary(kept, skew), "customer_state")
+    assert states["SP"]["total_revenue"] == D("12.00") and states["SP"]["total_orders"] == 1
+    assert states["RJ"]["total_items"] == 2 and states["RJ"]["total_customers"] == 1
+    product = marts.product_summary(facts.product_facts(kept, skew)).first()
+    assert (product.total_items_sold, product.total_revenue) == (6, D("12.00"))
+
+
+DAYS = [
+    ("2018-01-01 10:00:00", "2018-01-02 09:00:00", 0),
+    ("2018-01-01 10:00:00", "2018-01-02 10:00:00", 1),
+    ("2018-01-01 23:00:00", "2018-01-02 01:00:00", 0),
+    ("2018-01-02 10:00:00", "2018-01-02 09:00:00", -1),
+    ("2018-01-02 10:00:00", "2018-01-01 10:00:00", -1),
+    ("2018-01-02 10:00:00", "2018-01-01 09:59:59", -2),
+    ("2018-11-03 00:00:00", "2018-11-04 00:00:00", 1),  # clocks change in Sao Paulo
+    ("2018-02-17 12:00:00", "2018-02-18 12:00:00", 1),
+    ("2018-01-01 10:00:00", "2018-01-03", None),
+    ("2018-01-01 10:00:00", "yesterday", None),
+    ("2018-01-01 10:00:00", "2018-02-30 10:00:00", None),
+    ("2018-01-01 10:00:00", None, None),
+    (None, "2018-01-01 10:00:00", None),
+]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_whole_days_round_down_in_any_zone(spark, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(DAYS, "p string, d string, want int")
+        moment = {c: strict_timestamp(F.col(c), StringType()) for c in "pd"}
+        got = df.select("want", whole_days(moment["p"], moment["d"]).alias("got")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_day_fractions_count_to_the_microsecond(spark):
+    day = datetime(2018, 1, 2, 10)
+    df = spark.createDataFrame(
+        [(day, day.replace(day=3, microsecond=1), 1), (day.replace(microsecond=1), day, -1)],
+        "p timestamp_ntz, d timestamp_ntz, want int",
+    )
+    for row in df.select("want", whole_days(F.col("p"), F.col("d")).alias("got")).collect():
+        assert row.got == row.want
+
+
+def test_delivery_summary_of_thin_states(spark):
+    at = "2018-01-01 00:00:00"
+    frames = sources(
+        spark,
+        customers=[("one", "A"), ("none", "B"), ("many", "C"), ("nowhere", None)],
+        orders=[
+            ("o1", "one", "delivered", at, "2018-01-05 12:00:00"),
+            ("o2", "none", "shipped", at, None),
+            ("o3", "many", "delivered", at, "2018-01-02 00:00:00"),
+            ("o4", "many", "delivered", at, "2018-01-04 00:00:00"),
+            ("o5", "many", "delivered", at, "2018-01-09 00:00:00"),
+            ("o6", "many", "delivered", at, "2018-01-10 00:00:00"),
+            ("o7", "many", "lost", at, "unknown"),
+            ("o8", "nowhere", "delivered", at, at),
+        ],
+    )
+    rows = dicts(marts.delivery_summary(*prepared(frames)), "customer_state")
+    assert set(rows) == {"A", "B", "C"}
+    one, none, many = rows["A"], rows["B"], rows["C"]
+    assert (one["avg_delivery_days"], one["std_delivery_days"]) == (D("4.00"), None)
+    assert one["delivery_rate"] == D("100.00")
+    assert (none["total_orders"], none["delivered_orders"], none["delivery_rate"]) == (1, 0, 0)
+    assert none["median_delivery_days"] is None and none["fastest_delivery"] is None
+    assert (many["total_orders"], many["delivered_orders"]) == (5, 4)
+    assert many["delivery_rate"] == D("80.00")
+    assert many["avg_delivery_days"] == D("5.25")
+    assert many["median_delivery_days"] == D("5.50")
+    assert (many["fastest_delivery"], many["slowest_delivery"]) == (1, 9)
+    assert many["std_delivery_days"] == D("3.86")  # sqrt(44.75 / 3)
+
+
+def test_na_texts_become_null_untrimmed(spark):
+    texts = [*NA_TOKENS, " NA", "na", "0", "Null"]
+    df = spark.createDataFrame([(t, 1) for t in texts], "text string, n int")
+    got = [r.text for r in normalise_missing(df).collect()]
+    assert got == [None] * len(NA_TOKENS) + [" NA", "na", "0", "Null"]
+
+
+def test_load_defaults_and_rejects(spark):
+    long_id = "x" * 60
+    frames = sources(
+        spark,
+        customers=[("c1", "SP", "town", "01234")],
+        orders=[
+            ("good", "c1", "new", "2018-01-01 10:00:00", None),
+            ("empty", "c1", "new", "2018-01-01", None),
+            (long_id, "c1", "new", "2018-01-01 10:00:00", None),
+            ("late", "c1", "new", "2018-01-01 10:00:00", "tomorrow"),
+            ("dear", "c1", "new", None, None),
+            ("endless", "c1", "new", None, None),
+        ],
+        order_items=[
+            ("good", "p1", "x", "1.005"),
+            ("dear", "p1", "12345678901", "1"),
+            ("endless", "p1", "1", "inf"),
+        ],
+        payments=[("good", "card", "1e2")],
+    )
+    kept, skew = prepared(frames)
+    master = joins.master_table(kept, skew)
+    loaded = load.load_master(master)
+    good = dicts(load.accepted(loaded), "order_id")
+    assert set(good) == {"good", "empty"}
+    assert good["good"]["price"] == 0 and good["good"]["freight_value"] == D("1.01")
+    assert good["good"]["payment_value"] == D("100.00")
+    assert good["good"]["customer_zip_code_prefix"] == "01234"
+    assert good["empty"]["price"] == 0 and good["empty"]["payment_type"] is None
+    assert good["empty"]["order_purchase_timestamp"] == datetime(2018, 1, 1)
+    bad = dicts(load.rejected(loaded), "order_id")
+    assert {k: r["reject_reason"] for k, r in bad.items()} == {
+        long_id: "order_id: longer than 50",
+        "late": "order_delivered_customer_date: not a timestamp",
+        "dear": "price: out of range",
+        "endless": "freight_value: out of range",
+    }
+    assert bad["late"]["order_delivered_customer_date"] == "tomorrow"
+    assert load.accepted(loaded).columns == MASTER.names
+    assert len(good) + len(bad) == master.count()
+
+
+def test_load_tolerates_missing_columns(spark):
+    master = spark.createDataFrame([("o1", "c1")], "order_id string, customer_id string")
+    row = load.accepted(load.load_master(master)).first()
+    assert row.order_id == "o1" and row.price == 0 and row.product_id is None
+    assert column_or(master, "price", 5, "int") is not None
+
+
+def test_extra_columns_ride_along(spark):
+    frames = sources(spark, customers=[("c1",)], orders=[("o1", "c1")])
+    frames["order_items"] = spark.createDataFrame(
+        [("o1", "seller", "a")], "order_id string, seller_id string, note string"
+    )
+    frames["payments"] = spark.createDataFrame([("o1", "b")], "order_id string, note string")
+    row = joins.master_table(*prepared(frames)).first()
+    assert (row.seller_id, row.note_x, row.note_y) == ("seller", "a", "b")
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("1.005", 101),
+        ("-1.005", -101),
+        (" 12 ", 1200),
+        ("1e3", 100000),
+        ("1.5f", None),
+        ("0x10", None),
+        ("12,5", None),
+        (None, None),
+        ("99999999999.99", 9999999999999),
+    ],
+)
+def test_cents_of_texts(spark, text, want):
+    df = spark.createDataFrame([(text,)], "v string")
+    assert df.select(cents(F.col("v"), StringType()).alias("c")).first().c == want
+
+
+def test_money_rounds_half_up_once(spark):
+    df = spark.createDataFrame([(1, 8, 0), (5, 2, 3), (7, 2, 0)], "c long, n long, z long")
+    rows = df.select(
+        mean_money(F.col("c"), F.col("n")).alias("m"),
+        mean_money(F.col("c"), F.lit(0)).alias("none"),
+        money(F.col("c")).alias("t"),
+        exact_ratio(F.col("c"), F.col("n"), "decimal(5,2)").alias("r"),
+    ).collect()
+    assert [r.m for r in rows] == [D("0.00"), D("0.03"), D("0.04")]
+    assert [r.r for r in rows] == [D("0.13"), D("2.50"), D("3.50")]
+    assert all(r.none is None for r in rows) and rows[1].t == D("0.05")
+
+
+def test_summaries_follow_their_contracts(spark):
+    frames = sources(
+        spark,
+        customers=[("c1", "SP", "a")],
+        orders=[("o1", "c1", "s", "2018-01-01 00:00:00", "2018-01-02 00:00:00")],
+        order_items=[("o1", "p1", "1", "1")],
+        payments=[("o1", "card", "1")],
+    )
+    from cartloom.plans.refresh import summaries
+
+    for name, df in summaries(*prepared(frames)).items():
+        assert df.columns == CONTRACTS[name].names
+        for field in CONTRACTS[name].fields:
+            want = field.dataType.simpleString()
+            assert df.schema[field.name].dataType.simpleString() == (
+                "string" if want.startswith("varchar") else want
+            )
+
+
+def test_value_counts_leave_missing_out_and_break_ties_by_value(spark):
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("c",)], "v string")
+    assert [tuple(r) for r in stats.value_counts(df, "v").collect()] == [
+        ("c", 2),
+        ("a", 1),
+        ("b", 1),
+    ]
+
+
+def test_statistics_skip_empty_sources_and_absent_columns(spark):
+    frames = sources(spark, orders=[("o1", "c1", "new")])
+    frames["customers"] = spark.createDataFrame([("c1",)], "customer_id string")
+    rows = dicts(stats.summary(frames), "metric", "key")
+    assert set(rows) == {
+        ("total_customers", None),
+        ("total_orders", None),
+        ("total_order_items", None),
+        ("total_payments", None),
+        ("order_status_breakdown", "new"),
+    }
+    assert rows["total_payments", None]["value"] == 0
+
+
+def test_city_names_match_without_case_and_accents(spark):
+    df = spark.createDataFrame([("São Paulo",), ("sao paulo ",), ("Santos",)], "city string")
+    assert df.filter(same_text(F.col("city"), "SAO PAULO")).count() == 2
+
+
+def test_json_keeps_nulls_and_plain_times(spark):
+    df = spark.createDataFrame(
+        [("a", None, datetime(2018, 1, 1, 10))], "x string, y string, t timestamp_ntz"
+    )
+    assert json_records(df).first().record == '{"x":"a","y":null,"t":"2018-01-01 10:00:00"}'
