@@ -68,6 +68,7 @@ def order_facts(
 
     The keys are columns of the order's customer; fewer keys make narrower shuffles.
     """
+    skew.rows("customers", "orders")
     by_order = skew.hot("order_id", "orders")
     home = [k for k in keys if k != "customer_id"]
     narrow = {

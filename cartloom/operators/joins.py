@@ -26,6 +26,7 @@ def order_customer(
 
 
 def order_item_join(clean: Frames, skew: SkewProfile) -> DataFrame:
+    skew.rows("customers", "orders", "order_items")
     by_order = skew.hot("order_id", "orders", "order_items")
     base = order_customer(clean, skew, by_order)
     return left_join(base, {"order_items": clean["order_items"]}, by_order)
@@ -33,6 +34,7 @@ def order_item_join(clean: Frames, skew: SkewProfile) -> DataFrame:
 
 def master_table(clean: Frames, skew: SkewProfile) -> DataFrame:
     """The wide table. Items and payments join in one stage, each shuffled once."""
+    skew.rows("customers", "orders", "order_items", "payments")
     by_order = skew.hot("order_id", "orders", "order_items", "payments")
     base = order_customer(clean, skew, by_order)
     sides = {name: clean[name] for name in ("order_items", "payments")}

@@ -51,7 +51,7 @@ def page(df: DataFrame, keys: list[str], limit: int = DEFAULT_LIMIT, offset: int
     order = keys + [c for c in df.columns if c not in keys]
     if offset + limit <= TOP_ROWS:
         return df.orderBy(*order).offset(offset).limit(limit)
-    numbered = number_rows(df, order, "_row")
+    numbered = number_rows(df, order, "_row", copies=True)
     wanted = numbered.filter(F.col("_row").between(offset + 1, offset + limit))
     return wanted.orderBy("_row").drop("_row")
 

@@ -8,14 +8,21 @@ from cartloom.plans.staging import stage
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition above, position below
 
 
-def number_rows(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
+def number_rows(
+    df: DataFrame, keys: list[str], name: str = "id", copies: bool = False
+) -> DataFrame:
     """Add 1, 2, 3, ... in ascending key order.
 
     Rows are range-partitioned and sorted within partitions; a row's number is its
     position plus the rows of all earlier partitions. The sorted rows are written
     first, because range bounds are sampled and may differ if computed twice.
+
+    Say `copies` where keys repeat: the position in the input then breaks ties, so
+    that many rows of one key spread over partitions. Such input must come from files.
     """
     columns = df.columns
+    if copies:
+        df, keys = df.withColumn("_tie", F.monotonically_increasing_id()), [*keys, "_tie"]
     rows = stage(
         df.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from cartloom.plans.staging import stage
 
 SPLIT_ROWS = 1_000_000  # rows of one key that one task takes in stride
-HOT_KEY_LIMIT = 100_000  # bound on the broadcast list: one short id and a few ints per row
+HOT_KEY_LIMIT = 100_000  # rows of the broadcast lists: an id and a few ints each
+ID_LENGTH = 100  # longest id on those lists; master rows with longer ones are rejects anyway
+BUCKETS_PER_SHARE = 16  # buckets per possible hot key, so that few buckets are suspect
 
 
 @dataclass(frozen=True)
@@ -58,7 +60,7 @@ class SkewProfile:
         self._repeated: dict[tuple, DataFrame | None] = {}
 
     def rows(self, *tables: str) -> dict[str, int]:
-        """Row counts; from file footers where the source is Parquet."""
+        """Row counts, all in one job; from file footers where the source is Parquet."""
         unknown = [t for t in tables if t not in self._rows]
         if unknown:
             counts = [
@@ -77,8 +79,9 @@ class SkewProfile:
         """Keys with several rows and how many (key, copies), or None if there are none."""
         if (key, table) not in self._repeated:
             counts = self.clean[table].groupBy(key).agg(F.count("*").alias("copies"))
-            found = stage(counts.filter(F.col("copies") > 1), f"repeated-{key}")
-            self._repeated[key, table] = None if found.isEmpty() else found
+            most = counts.agg(F.max("copies")).first()[0] or 0
+            found = counts.filter(F.col("copies") > 1)
+            self._repeated[key, table] = stage(found, f"repeated-{key}") if most > 1 else None
         return self._repeated[key, table]
 
     def _search(self, key, tables) -> HotKeys:
@@ -87,20 +90,34 @@ class SkewProfile:
             return HotKeys(key)
         # At most total / threshold keys can exceed the threshold: the list is bounded.
         threshold = max(self.split_rows, sum(rows.values()) // HOT_KEY_LIMIT)
-        keys = [self.clean[t].select(F.col(key), F.lit(t).alias("t")) for t in rows]
-        counts = (
-            reduce(DataFrame.unionAll, keys)
-            .groupBy(key)
-            .agg(*[F.count_if(F.col("t") == t).alias(t) for t in rows])
+        keys = reduce(
+            DataFrame.unionAll,
+            [self.clean[t].select(F.col(key), F.lit(t).alias("t")) for t in rows],
+        )
+        counts = [F.count_if(F.col("t") == t).alias(t) for t in rows]
+        crowded = F.greatest(*[F.col(t) for t in rows], F.lit(0)) > threshold
+
+        # Count rows per bucket of keys first. That shuffles a few numbers per task, and
+        # only keys of a bucket above the threshold have to be counted one by one.
+        buckets = BUCKETS_PER_SHARE * -(-sum(rows.values()) // threshold)
+        bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
+        suspects = stage(
+            keys.groupBy(bucket).agg(*counts).filter(crowded).select("bucket"), f"buckets-{key}"
         )
-        fans = counts.filter(F.greatest(*[F.col(t) for t in rows], F.lit(0)) > threshold).select(
-            key,
-            *[
-                F.greatest(F.ceil(F.col(t) / threshold), F.lit(1)).cast("int").alias(f"fan_{t}")
-                for t in rows
-            ],
+        if suspects.isEmpty():
+            return HotKeys(key)
+        hot = (
+            keys.withColumn("bucket", bucket)
+            .join(F.broadcast(suspects), "bucket", "left_semi")
+            .groupBy(key)
+            .agg(*counts)
+            .filter(crowded & (F.length(key) <= ID_LENGTH))
         )
-        fans = stage(fans, f"hot-{key}")
+        fan = [
+            F.greatest(F.ceil(F.col(t) / threshold), F.lit(1)).cast("int").alias(f"fan_{t}")
+            for t in rows
+        ]
+        fans = stage(hot.select(key, *fan), f"hot-{key}")
         return HotKeys(key, tuple(rows), None if fans.isEmpty() else fans)
 
 

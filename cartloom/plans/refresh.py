@@ -1,6 +1,7 @@
 """The full refresh: read, clean, join, load, summarise, report."""
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,16 +11,18 @@ from cartloom.operators import facts as contributions
 from cartloom.operators import marts
 from cartloom.operators.clean import clean
 from cartloom.operators.joins import Frames, master_table
-from cartloom.operators.load import REASON, SOURCE_ROW, load_master, rejected
+from cartloom.operators.load import REASON, load_master, rejected
 from cartloom.operators.rowids import number_rows
 from cartloom.operators.skew import SPLIT_ROWS, SkewProfile
 from cartloom.operators.stats import row_counts
 from cartloom.plans import catalog
-from cartloom.plans.sink import save_folder, stamped
+from cartloom.plans.sink import save_folder, stamped, unsorted_partitions
 from cartloom.plans.staging import stage
 from cartloom.schemas import MASTER, SOURCES, SUMMARY_KEYS
 from cartloom.sources.files import DEFAULT_FILES, read_sources
 
+LOAD_STATUS = ("loaded", "rejected")
+
 
 @dataclass(frozen=True)
 class Refresh:
@@ -33,13 +36,9 @@ class Refresh:
 
 def summaries(frames: Frames, skew: SkewProfile) -> dict[str, DataFrame]:
     """The four summary tables of cleaned sources, lazily."""
-    return _summaries(contributions.order_facts(frames, skew), frames, skew)
-
-
-def _summaries(order_facts, frames, skew):
-    state_facts = contributions.one_per_order(order_facts, ["customer_state"])
+    state_facts = contributions.order_facts(frames, skew, ["customer_state"])
     return {
-        "sales_summary": marts.sales_summary(order_facts),
+        "sales_summary": marts.sales_summary(contributions.order_facts(frames, skew)),
         "delivery_summary": marts.delivery_summary(frames, skew),
         "product_summary": marts.product_summary(contributions.product_facts(frames, skew)),
         "state_summary": marts.state_summary(state_facts, contributions.buyers(frames)),
@@ -61,48 +60,65 @@ def run(
 def refresh(
     spark: SparkSession, sources: Frames, out_dir: str, split_rows: int = SPLIT_ROWS
 ) -> Refresh:
-    """Replace all tables below out_dir. Running it again gives the same tables."""
+    """Replace all tables below out_dir. Running it again gives the same tables.
+
+    The five writes do not wait for each other: plans are made here, actions run in
+    threads, and executors that one table leaves idle work on the next.
+    """
     started = time.monotonic()
     frames = clean(sources)
     skew = SkewProfile(sources, frames, split_rows)
+    read = skew.rows(*SOURCES)
 
-    tables = _write_master(spark, load_master(master_table(frames, skew)), out_dir)
+    loaded = load_master(master_table(frames, skew))
+    order_facts = contributions.order_facts(frames, skew)
+    delivery = marts.delivery_summary(frames, skew)
+    product = marts.product_summary(contributions.product_facts(frames, skew))
 
-    # Two summaries read the order contributions; they are computed and written once.
-    facts = stage(contributions.order_facts(frames, skew), "order-facts")
-    for name, summary in _summaries(facts, frames, skew).items():
-        numbered = number_rows(summary, SUMMARY_KEYS[name])
-        save_folder(stamped(numbered, "updated_at"), f"{out_dir}/{name}")
-        tables[name] = spark.read.parquet(f"{out_dir}/{name}")
+    with unsorted_partitions(spark, len(LOAD_STATUS)), ThreadPoolExecutor() as pool:
+
+        def start(name, summary):
+            return name, pool.submit(_write_summary, summary, name, out_dir)
+
+        master = pool.submit(_write_master, loaded, out_dir)
+        writes = [start("delivery_summary", delivery), start("product_summary", product)]
+        # Two summaries read the order contributions; they are computed and written once.
+        facts = stage(order_facts, "order-facts")
+        state_facts = contributions.one_per_order(facts, ["customer_state"])
+        state = marts.state_summary(state_facts, contributions.buyers(frames))
+        writes += [start("sales_summary", marts.sales_summary(facts)), start("state_summary", state)]
+        tables = master.result() | {name: write.result() for name, write in writes}
 
     catalog.register(tables)
-    rows = _report(spark, skew, tables)
+    rows = _report(spark, read, tables)
     return Refresh("success", time.monotonic() - started, rows, tables)
 
 
-def _write_master(spark, loaded, out_dir) -> dict[str, DataFrame]:
+def _write_summary(summary, name, out_dir) -> DataFrame:
+    numbered = number_rows(summary, SUMMARY_KEYS[name])
+    return save_folder(stamped(numbered, "updated_at"), f"{out_dir}/{name}")
+
+
+def _write_master(loaded, out_dir) -> dict[str, DataFrame]:
     """One pass over the join writes good rows and rejects side by side."""
-    path = f"{out_dir}/order_master"
-    status = F.when(F.col(REASON).isNull(), "loaded").otherwise("rejected")
-    numbered = loaded.select((F.monotonically_increasing_id() + 1).alias("id"), "*")
-    save_folder(
-        stamped(numbered, "created_at").withColumn("load_status", status), path, ["load_status"]
+    good, bad = LOAD_STATUS
+    rows = loaded.select(
+        (F.monotonically_increasing_id() + 1).alias("id"),
+        "*",
+        F.when(F.col(REASON).isNull(), good).otherwise(bad).alias("load_status"),
     )
-    written = spark.read.schema(
-        numbered.schema.add("created_at", "timestamp").add("load_status", "string")
-    ).parquet(path)
-    good = written.filter(F.col("load_status") == "loaded")
-    bad = written.filter(F.col("load_status") == "rejected")
+    written = save_folder(stamped(rows, "created_at"), f"{out_dir}/order_master", "load_status")
+    kept = written.filter(F.col("load_status") == good)
+    rejects = written.filter(F.col("load_status") == bad)
     return {
-        "order_master": good.select("id", *MASTER.names, "created_at"),
-        "order_master_rejects": rejected(bad.select(*MASTER.names, REASON, SOURCE_ROW)),
+        "order_master": kept.select("id", *MASTER.names, "created_at"),
+        "order_master_rejects": rejected(rejects),
     }
 
 
-def _report(spark, skew, tables) -> DataFrame:
+def _report(spark, read, tables) -> DataFrame:
     """Rows read and written. Output counts come from file footers."""
     written = {r["table"]: r["rows"] for r in row_counts(tables).collect()}
-    read = skew.rows(*SOURCES)
     merged = written["order_master"] + written["order_master_rejects"]
     rows = {**read, "merged": merged, **written}
     return spark.createDataFrame(list(rows.items()), "table string, rows long")

@@ -1,6 +1,8 @@
 """Full-refresh outputs: Parquet folders, catalogue tables, or an external database."""
 
-from pyspark.sql import DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 INSERT_BATCH = 1000  # rows per insert statement of the database sink
@@ -10,9 +12,25 @@ def stamped(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.current_timestamp())
 
 
-def save_folder(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Replace a Parquet folder."""
-    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
+def save_folder(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Replace a Parquet folder; the written rows are returned."""
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def unsorted_partitions(spark: SparkSession, folders: int):
+    """Let tasks keep a file open per partition folder instead of sorting their rows by it."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name, "0")
+    spark.conf.set(name, max(folders, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def save_table(df: DataFrame, name: str) -> None:

@@ -17,9 +17,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _staged_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/cartloom/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the frame and read it back: lineage is cut and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/cartloom/{name}-{uuid.uuid4().hex}"
+    path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application staged. Frames built on it cannot be read afterwards."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_staged_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

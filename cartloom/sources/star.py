@@ -19,6 +19,16 @@ from cartloom.functions.dates import timestamp_text
 
 _AMOUNT = "decimal(12,2)"
 
+# Columns used, declared so that no job has to read them off the files.
+_TABLES = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey long, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double",
+}
+
 
 def _id(column: str) -> Column:
     return F.col(column).cast("string")
@@ -30,7 +40,7 @@ def _unless(missing: Column, value: Column) -> Column:
 
 def typed_sources(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     def table(name):
-        return spark.read.parquet(f"{directory}/{name}.parquet")
+        return spark.read.schema(_TABLES[name]).parquet(f"{directory}/{name}.parquet")
 
     balance, total = F.col("c_acctbal"), F.col("o_totalprice")
     discount, tax = F.col("l_discount"), F.col("l_tax")

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
+from cartloom.__main__ import main
 from cartloom.plans import catalog, sink
 from cartloom.plans.refresh import run
 from cartloom.plans.staging import shared_folder, stage
@@ -123,3 +124,16 @@ def test_catalogue_table_is_replaced(spark):
     sink.save_table(spark.range(2), "probe_table")
     assert spark.table("probe_table").count() == 2
     spark.sql("DROP TABLE probe_table")
+
+
+def test_command_line_reads_parquet_and_cleans_up(spark, in_dir, tmp_path, capsys):
+    for name, df in read_sources(spark, str(in_dir)).items():
+        df.write.parquet(str(tmp_path / "pq" / name))
+    files = [f"{name}={name}" for name in ("customers", "orders", "order_items", "payments")]
+    staged = stage(spark.range(1).toDF("n"), "probe")
+    main([str(tmp_path / "pq"), str(tmp_path / "out"), "--format", "parquet", "--files", *files])
+    printed = capsys.readouterr().out
+    assert printed.startswith("success") and "order_master_rejects|2" in printed
+    assert spark.read.parquet(str(tmp_path / "out" / "state_summary")).count() == 2
+    with pytest.raises(Exception):
+        staged.collect()
