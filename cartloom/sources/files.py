@@ -38,22 +38,24 @@ def read_sources(
     empty_when_missing: bool = False,
     multiline: bool = False,
 ) -> dict[str, DataFrame]:
-    """The four sources by name, with NA texts turned into NULL.
+    """The four sources by name; NA texts of delimited files are turned into NULL.
 
+    Parquet has NULLs of its own and is left as it is, so filters reach its scans.
     With `empty_when_missing`, one absent file makes all four frames empty.
     """
     try:
         frames = {}
         for name in SOURCES:
             path = f"{directory.rstrip('/')}/{files[name]}"
-            frames[name] = (
-                read_csv(spark, path, multiline) if fmt == "csv" else spark.read.parquet(path)
-            )
+            if fmt == "csv":
+                frames[name] = normalise_missing(read_csv(spark, path, multiline))
+            else:
+                frames[name] = spark.read.parquet(path)
     except AnalysisException as error:
         if not empty_when_missing or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_sources(spark)
-    return {name: normalise_missing(df) for name, df in frames.items()}
+    return frames
 
 
 def empty_sources(spark: SparkSession) -> dict[str, DataFrame]:
