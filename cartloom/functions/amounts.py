@@ -6,32 +6,31 @@ fixed-width long buffers; a decimal sum would need a 22-digit buffer per group.
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, StringType
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, StringType
 
 # Fixed value: the texts that read as a number.
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
 
-def as_number(value: Column, dtype: DataType) -> Column:
-    """The value as a number, NULL where it is missing or does not read as one."""
-    if isinstance(dtype, StringType):
-        return F.when(value.rlike(NUMBER), value.try_cast("double"))
-    return value
-
-
-def amount_or(value: Column, dtype: DataType, default: float, contract: DecimalType) -> Column:
-    """Parse with a default for missing or unreadable input; NULL only where out of range."""
-    number = as_number(value, dtype)
-    return F.coalesce(number, F.lit(default).cast(_number_type(dtype))).try_cast(contract)
+def fit_amount(value: Column, dtype: DataType, contract: DecimalType) -> tuple[Column, Column]:
+    """The amount, 0 where missing or unreadable, and whether it is beyond the contract.
 
-
-def _number_type(dtype: DataType):
-    return "double" if isinstance(dtype, StringType) else dtype
+    Only a value that does not cast is looked at again, to tell unreadable from too large.
+    """
+    fitted = value.try_cast(contract)
+    if isinstance(dtype, StringType):
+        readable = value.rlike(NUMBER)
+    elif isinstance(dtype, (DoubleType, FloatType)):
+        readable = value.isNotNull() & ~F.isnan(value)
+    else:
+        readable = value.isNotNull()
+    beyond = fitted.isNull() & F.coalesce(readable, F.lit(False))
+    return F.when(~beyond, F.coalesce(fitted, F.lit(0).cast(contract))), beyond
 
 
-def cents(value: Column, dtype: DataType) -> Column:
+def cents(value: Column) -> Column:
     """Whole cents as a bigint, NULL for missing or unreadable input."""
-    return (as_number(value, dtype).try_cast("decimal(18,2)") * 100).cast("long")
+    return (value.try_cast("decimal(18,2)") * 100).cast("long")
 
 
 def money(total_cents: Column) -> Column:

@@ -21,11 +21,8 @@ ITEM_AMOUNTS = {"price": "price", "freight": "freight_value"}
 PAYMENT_AMOUNTS = {"payment": "payment_value"}
 
 
-def _cents(df: DataFrame, amounts: dict[str, str]) -> list[Column]:
-    return [
-        cents(F.col(column), df.schema[column].dataType).alias(f"{name}_cents")
-        for name, column in amounts.items()
-    ]
+def _cents(amounts: dict[str, str]) -> list[Column]:
+    return [cents(F.col(column)).alias(f"{name}_cents") for name, column in amounts.items()]
 
 
 def measures(*amounts: str) -> list[str]:
@@ -34,15 +31,12 @@ def measures(*amounts: str) -> list[str]:
 
 def _totals(df: DataFrame, keys: list[str], amounts: dict[str, str], count: str) -> DataFrame:
     """Row count, cent sum and present values per key; combined before the shuffle."""
-    sums = []
+    parts = []
     for name in amounts:
-        sums.append(F.sum(f"{name}_cents").alias(f"{name}_cents"))
-        sums.append(F.count(f"{name}_cents").alias(f"{name}_n"))
-    return (
-        df.select(*keys, *_cents(df, amounts))
-        .groupBy(*keys)
-        .agg(F.count("*").alias(count), *sums)
-    )
+        parts.append(F.sum(f"{name}_cents").alias(f"{name}_cents"))
+        parts.append(F.count(f"{name}_cents").alias(f"{name}_n"))
+    rows = df.select(*keys, *_cents(amounts))
+    return rows.groupBy(*keys).agg(F.count("*").alias(count), *parts)
 
 
 def item_totals(order_items: DataFrame) -> DataFrame:
@@ -116,7 +110,7 @@ def product_facts(clean: Frames, skew: SkewProfile) -> DataFrame:
     by_order = skew.hot("order_id", "order_items")
     # Only the key test precedes the dealing of hot rows; file order is unchanged by it.
     items = clean["order_items"].filter(F.col("product_id").isNotNull())
-    items = items.select("order_id", "product_id", *_cents(items, ITEM_AMOUNTS))
+    items = items.select("order_id", "product_id", *_cents(ITEM_AMOUNTS))
     items = spread(items, "order_items", by_order)
     joined = left_join(items, {"weights": weights}, by_order).filter(F.col("rows").isNotNull())
     present = {f"{name}_n": _present(name) for name in ITEM_AMOUNTS}
@@ -154,7 +148,7 @@ def facts_of_master(master: DataFrame) -> DataFrame:
         "product_id",
         *CUSTOMER_KEYS,
         F.lit(1).cast("long").alias("rows"),
-        *_cents(master, amounts),
+        *_cents(amounts),
     )
     return rows.withColumns({f"{name}_n": _present(name) for name in amounts})
 

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, StructField, VarcharType
 
-from cartloom.functions.amounts import amount_or
+from cartloom.functions.amounts import fit_amount
 from cartloom.functions.dates import loose_timestamp
 from cartloom.functions.missing import column_or
 from cartloom.schemas import MASTER
@@ -21,8 +21,7 @@ def _fit(df: DataFrame, field: StructField) -> tuple[Column, Column, str]:
         text, limit = raw.cast("string"), field.dataType.length
         return text, F.length(text) > limit, f"longer than {limit}"
     if isinstance(field.dataType, DecimalType):
-        amount = amount_or(raw, dtype, 0.0, field.dataType)
-        return amount, amount.isNull(), "out of range"
+        return *fit_amount(raw, dtype, field.dataType), "out of range"
     moment = loose_timestamp(raw, dtype)
     return moment, raw.isNotNull() & moment.isNull(), "not a timestamp"
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cartloom.operators.rowids import number_rows
 
 DEFAULT_LIMIT = 100
-TOP_ROWS = 10_000  # pages ending up to here are taken by per-task top-k heaps
+TOP_ROWS = 1_000  # pages ending up to here are taken by per-task top-k heaps
 
 
 class SourceUnavailable(LookupError):

@@ -22,7 +22,7 @@ from cartloom.plans.staging import stage
 SPLIT_ROWS = 1_000_000  # rows of one key that one task takes in stride
 HOT_KEY_LIMIT = 100_000  # rows of the broadcast lists: an id and a few ints each
 ID_LENGTH = 100  # longest id on those lists; master rows with longer ones are rejects anyway
-BUCKETS_PER_SHARE = 16  # buckets per possible hot key, so that few buckets are suspect
+BUCKETS_PER_SHARE = 4  # buckets per possible hot key, so that few buckets are suspect
 
 
 @dataclass(frozen=True)
@@ -60,13 +60,12 @@ class SkewProfile:
         self._repeated: dict[tuple, DataFrame | None] = {}
 
     def rows(self, *tables: str) -> dict[str, int]:
-        """Row counts, all in one job; from file footers where the source is Parquet."""
+        """Row counts, all in one job; no column is read where the source is Parquet."""
         unknown = [t for t in tables if t not in self._rows]
         if unknown:
-            counts = [
-                self.sources[t].agg(F.lit(t).alias("t"), F.count("*").alias("n")) for t in unknown
-            ]
-            self._rows.update((r.t, r.n) for r in reduce(DataFrame.unionAll, counts).collect())
+            marks = [self.sources[t].select(F.lit(t).alias("t")) for t in unknown]
+            counts = reduce(DataFrame.unionAll, marks).groupBy("t").count().collect()
+            self._rows |= dict.fromkeys(unknown, 0) | {r["t"]: r["count"] for r in counts}
         return {t: self._rows[t] for t in tables}
 
     def hot(self, key: str, *tables: str) -> HotKeys:

@@ -50,7 +50,7 @@ def revenue(payments: DataFrame) -> DataFrame:
 
 
 def _revenue(payments: DataFrame) -> DataFrame:
-    value = cents(F.col("payment_value"), payments.schema["payment_value"].dataType)
+    value = cents(F.col("payment_value"))
     total, present = F.sum(value), F.count(value)
     return payments.agg(
         F.count("*").alias("payments"),

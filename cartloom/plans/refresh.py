@@ -17,8 +17,8 @@ from cartloom.operators.skew import SPLIT_ROWS, SkewProfile
 from cartloom.operators.stats import row_counts
 from cartloom.plans import catalog
 from cartloom.plans.sink import save_folder, stamped, unsorted_partitions
-from cartloom.plans.staging import stage
-from cartloom.schemas import MASTER, SOURCES, SUMMARY_KEYS
+from cartloom.plans.staging import stage, stage_all
+from cartloom.schemas import MASTER, SOURCE_COLUMNS, SOURCES, SUMMARY_KEYS
 from cartloom.sources.files import DEFAULT_FILES, read_sources
 
 LOAD_STATUS = ("loaded", "rejected")
@@ -53,10 +53,17 @@ def run(
     fmt: str = "csv",
     split_rows: int = SPLIT_ROWS,
 ) -> Refresh:
+    """Refresh from files. Delimited text is parsed once and kept as columns for the run."""
     sources = read_sources(spark, in_dir, files, fmt)
+    if fmt == "csv":
+        sources = stage_all({name: _known(df, name) for name, df in sources.items()})
     return refresh(spark, sources, out_dir, split_rows)
 
 
+def _known(df: DataFrame, name: str) -> DataFrame:
+    return df.select([c for c in SOURCE_COLUMNS[name] if c in df.columns])
+
+
 def refresh(
     spark: SparkSession, sources: Frames, out_dir: str, split_rows: int = SPLIT_ROWS
 ) -> Refresh:

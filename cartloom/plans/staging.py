@@ -2,19 +2,25 @@
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="cartloom-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only in local mode where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="cartloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if spark.sparkContext.master.startswith("local"):
+        return _local_folder()
+    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
 def _staged_folder(spark: SparkSession) -> str:
@@ -29,6 +35,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage several frames side by side."""
+    with ThreadPoolExecutor() as pool:
+        staged = {name: pool.submit(stage, df, name) for name, df in frames.items()}
+        return {name: written.result() for name, written in staged.items()}
+
+
 def release(spark: SparkSession) -> None:
     """Delete what this application staged. Frames built on it cannot be read afterwards."""
     jvm = spark.sparkContext._jvm

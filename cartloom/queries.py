@@ -348,7 +348,7 @@ def sql_city_collated(spark, sf_dir):
     """Orders and spending of one city, matched without regard to case and accents."""
     master = shop(spark, sf_dir).master()
     city = master.filter(same_text(F.col("customer_city"), "nàtion_7-Machinery "))
-    value = cents(F.col("payment_value"), city.schema["payment_value"].dataType)
+    value = cents(F.col("payment_value"))
     return city.groupBy("customer_city").agg(
         F.count("*").alias("master_rows"), money(F.sum(value)).alias("payment_total")
     )

@@ -137,3 +137,18 @@ def test_command_line_reads_parquet_and_cleans_up(spark, in_dir, tmp_path, capsy
     assert spark.read.parquet(str(tmp_path / "out" / "state_summary")).count() == 2
     with pytest.raises(Exception):
         staged.collect()
+
+
+class Session:
+    """Just enough of a session to ask for its shared folder."""
+
+    def __init__(self, master, folder=None):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: folder)})
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    assert shared_folder(Session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_folder(Session("local[2]")) == shared_folder(Session("local[4]"))
+    with pytest.raises(ValueError):
+        shared_folder(Session("yarn"))

@@ -266,7 +266,7 @@ def test_extra_columns_ride_along(spark):
 )
 def test_cents_of_texts(spark, text, want):
     df = spark.createDataFrame([(text,)], "v string")
-    assert df.select(cents(F.col("v"), StringType()).alias("c")).first().c == want
+    assert df.select(cents(F.col("v")).alias("c")).first().c == want
 
 
 def test_money_rounds_half_up_once(spark):
@@ -334,3 +334,13 @@ def test_json_keeps_nulls_and_plain_times(spark):
         [("a", None, datetime(2018, 1, 1, 10))], "x string, y string, t timestamp_ntz"
     )
     assert json_records(df).first().record == '{"x":"a","y":null,"t":"2018-01-01 10:00:00"}'
+
+
+def test_double_amounts_load_like_texts(spark):
+    df = spark.createDataFrame(
+        [("a", 1.005), ("b", float("nan")), ("c", None), ("d", 1e12), ("e", float("inf"))],
+        "order_id string, price double",
+    )
+    loaded = dicts(load.load_master(df), "order_id")
+    assert [loaded[k]["price"] for k in "abcde"] == [D("1.01"), 0, 0, None, None]
+    assert {k for k in "abcde" if loaded[k]["reject_reason"]} == {"d", "e"}
