@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.functions.amounts import cents
+from cartloom.functions.missing import all_present
 from cartloom.operators.joins import Frames, order_customer
 from cartloom.operators.skew import SkewProfile, left_join, spread
 
@@ -55,25 +56,25 @@ def _times(names: list[str], factor: str) -> list[Column]:
     return [(F.coalesce(F.col(c), F.lit(0)) * F.col(factor)).alias(c) for c in names]
 
 
-def order_facts(
-    clean: Frames, skew: SkewProfile, keys: list[str] = CUSTOMER_KEYS
-) -> DataFrame:
+def order_facts(clean: Frames, skew: SkewProfile, keys: list[str]) -> DataFrame:
     """One row per order and group keys: order_id, keys, rows, sums.
 
-    The keys are columns of the order's customer; fewer keys make narrower shuffles.
+    The keys are columns of the order's customer. By customer_id alone no customer is
+    looked up, and repeats of a customer do not count yet.
     """
-    skew.rows("customers", "orders")
     by_order = skew.hot("order_id", "orders")
+    orders = clean["orders"].select("order_id", "customer_id")
     home = [k for k in keys if k != "customer_id"]
-    narrow = {
-        "orders": clean["orders"].select("order_id", "customer_id"),
-        "customers": clean["customers"].select("customer_id", *home),
-    }
+    if home:
+        customers = clean["customers"].select("customer_id", *home)
+        base = order_customer({"orders": orders, "customers": customers}, skew, by_order)
+    else:
+        base = spread(orders, "orders", by_order)
     totals = {
         "items": item_totals(clean["order_items"]),
         "payments": payment_totals(clean["payments"]),
     }
-    joined = left_join(order_customer(narrow, skew, by_order), totals, by_order)
+    joined = left_join(base, totals, by_order)
     weighted = joined.withColumns({c: _at_least_one(c) for c in ("items", "payments")})
     rows = weighted.select(
         "order_id",
@@ -91,6 +92,46 @@ def one_per_order(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy("order_id", *keys).agg(*sums(names))
 
 
+def state_facts(customer_facts: DataFrame, clean: Frames, skew: SkewProfile) -> DataFrame:
+    """Order facts per state from those per customer."""
+    customers = clean["customers"].select("customer_id", "customer_state")
+    located = order_customer({"orders": customer_facts, "customers": customers}, skew)
+    return one_per_order(located, ["customer_state"])
+
+
+def totals_per_key(
+    facts: DataFrame, keys: list[str], names: tuple[str, ...] = ("payment", "price", "freight")
+) -> DataFrame:
+    """Sums and number of orders per key, of facts with one row per order and keys.
+
+    Rows with a missing key form no group.
+    """
+    return (
+        facts.filter(all_present(keys))
+        .groupBy(*keys)
+        .agg(F.count("*").alias("total_orders"), *sums(["rows", *measures(*names)]))
+    )
+
+
+def customer_totals(customer_facts: DataFrame, clean: Frames) -> DataFrame:
+    """Totals per customer, state and city from order facts per customer_id.
+
+    Orders are summed per customer before customers join, so a customer with very many
+    orders, or one listed very often, is a single row by then.
+    """
+    totals = totals_per_key(customer_facts, ["customer_id"])
+    homes = (
+        clean["customers"]
+        .filter(all_present(CUSTOMER_KEYS))
+        .groupBy(*CUSTOMER_KEYS)
+        .agg(F.count("*").alias("copies"))
+    )
+    names = ["rows", *measures(*PAYMENT_AMOUNTS, *ITEM_AMOUNTS)]
+    return homes.join(totals, "customer_id").select(
+        *CUSTOMER_KEYS, "total_orders", *_times(names, "copies")
+    )
+
+
 def sums(names: list[str]) -> list[Column]:
     return [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
 

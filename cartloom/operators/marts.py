@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cartloom.functions.amounts import exact_ratio, mean_money, money
 from cartloom.functions.dates import strict_timestamp, whole_days
 from cartloom.functions.missing import all_present
-from cartloom.operators.facts import CUSTOMER_KEYS, measures, sums
+from cartloom.operators.facts import CUSTOMER_KEYS, measures, sums, totals_per_key
 from cartloom.operators.joins import Frames, order_customer
 from cartloom.operators.skew import SkewProfile
 from cartloom.schemas import DELIVERY_SUMMARY, PRODUCT_SUMMARY, SALES_SUMMARY, STATE_SUMMARY
@@ -22,23 +22,13 @@ def _mean(name: str):
     return mean_money(F.col(f"{name}_cents"), F.col(f"{name}_n"))
 
 
-def _per_key(facts: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
-    """Sums and number of distinct orders per key, of facts with one row per order and key."""
-    return (
-        facts.filter(all_present(keys))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("total_orders"), *sums(names))
-    )
-
-
-def sales_summary(facts: DataFrame) -> DataFrame:
-    """Per customer; averages over nothing are 0. Facts are per order and customer keys."""
-    groups = _per_key(facts, CUSTOMER_KEYS, ["rows", *measures("payment", "price", "freight")])
+def sales_summary(totals: DataFrame) -> DataFrame:
+    """Per customer, from totals per customer keys; averages over nothing are 0."""
 
     def mean_or_zero(name):
         return F.coalesce(_mean(name), F.lit(0).cast("decimal(18,2)"))
 
-    return groups.select(
+    return totals.select(
         *CUSTOMER_KEYS,
         money(F.col("payment_cents")).alias("total_spent"),
         "total_orders",
@@ -51,9 +41,10 @@ def sales_summary(facts: DataFrame) -> DataFrame:
 
 def product_summary(facts: DataFrame) -> DataFrame:
     """Per product. Facts are per item, so they are added up per order first."""
-    keys, names = ["product_id"], ["rows", *measures("price", "freight")]
-    per_order = facts.filter(all_present(keys)).groupBy("order_id", *keys).agg(*sums(names))
-    groups = _per_key(per_order, keys, names)
+    names = ("price", "freight")
+    items = facts.filter(all_present(["product_id"]))
+    per_order = items.groupBy("order_id", "product_id").agg(*sums(["rows", *measures(*names)]))
+    groups = totals_per_key(per_order, ["product_id"], names)
     return groups.select(
         "product_id",
         "total_orders",
@@ -67,7 +58,7 @@ def product_summary(facts: DataFrame) -> DataFrame:
 
 def state_summary(facts: DataFrame, buyers: DataFrame) -> DataFrame:
     """Per state. Facts are per order and state; `buyers` counts customers per state."""
-    groups = _per_key(facts, ["customer_state"], ["rows", *measures("payment")])
+    groups = totals_per_key(facts, ["customer_state"], ("payment",))
     return groups.join(buyers, "customer_state").select(
         "customer_state",
         "total_customers",

@@ -373,6 +373,7 @@ ORACLE_SQL = {
     "product_summary": _with(MASTER, _PRODUCT),
     "state_summary": _with(MASTER, _STATE),
     "state_summary_of_master": _with(MASTER, _STATE),
+    "sales_summary_of_master": _with(MASTER, _SALES),
     "fanout_preagg": _with(MASTER, _FANOUT),
     "fanout_rows": _with(MASTER, _FANOUT),
     "summary_row_ids": _with(

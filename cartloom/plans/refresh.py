@@ -36,9 +36,12 @@ class Refresh:
 
 def summaries(frames: Frames, skew: SkewProfile) -> dict[str, DataFrame]:
     """The four summary tables of cleaned sources, lazily."""
+    customer_facts = contributions.order_facts(frames, skew, ["customer_id"])
     state_facts = contributions.order_facts(frames, skew, ["customer_state"])
     return {
-        "sales_summary": marts.sales_summary(contributions.order_facts(frames, skew)),
+        "sales_summary": marts.sales_summary(
+            contributions.customer_totals(customer_facts, frames)
+        ),
         "delivery_summary": marts.delivery_summary(frames, skew),
         "product_summary": marts.product_summary(contributions.product_facts(frames, skew)),
         "state_summary": marts.state_summary(state_facts, contributions.buyers(frames)),
@@ -78,7 +81,7 @@ def refresh(
     read = skew.rows(*SOURCES)
 
     loaded = load_master(master_table(frames, skew))
-    order_facts = contributions.order_facts(frames, skew)
+    customer_facts = contributions.order_facts(frames, skew, ["customer_id"])
     delivery = marts.delivery_summary(frames, skew)
     product = marts.product_summary(contributions.product_facts(frames, skew))
 
@@ -90,10 +93,11 @@ def refresh(
         master = pool.submit(_write_master, loaded, out_dir)
         writes = [start("delivery_summary", delivery), start("product_summary", product)]
         # Two summaries read the order contributions; they are computed and written once.
-        facts = stage(order_facts, "order-facts")
-        state_facts = contributions.one_per_order(facts, ["customer_state"])
+        facts = stage(customer_facts, "order-facts")
+        sales = marts.sales_summary(contributions.customer_totals(facts, frames))
+        state_facts = contributions.state_facts(facts, frames, skew)
         state = marts.state_summary(state_facts, contributions.buyers(frames))
-        writes += [start("sales_summary", marts.sales_summary(facts)), start("state_summary", state)]
+        writes += [start("sales_summary", sales), start("state_summary", state)]
         tables = master.result() | {name: write.result() for name, write in writes}
 
     catalog.register(tables)

@@ -34,12 +34,11 @@ class Shop:
     def master(self) -> DataFrame:
         return joins.master_table(self.frames, self.skew)
 
-    def order_facts(self) -> DataFrame:
-        return facts.order_facts(self.frames, self.skew)
+    def order_facts(self, *keys) -> DataFrame:
+        return facts.order_facts(self.frames, self.skew, list(keys))
 
     def state_summary(self) -> DataFrame:
-        order_facts = facts.order_facts(self.frames, self.skew, ["customer_state"])
-        return marts.state_summary(order_facts, facts.buyers(self.frames))
+        return marts.state_summary(self.order_facts("customer_state"), facts.buyers(self.frames))
 
     def product_facts(self) -> DataFrame:
         return facts.product_facts(self.frames, self.skew)
@@ -135,7 +134,16 @@ def delivery_days(spark, sf_dir):
 
 @query
 def sales_summary(spark, sf_dir):
-    return marts.sales_summary(shop(spark, sf_dir).order_facts())
+    s = shop(spark, sf_dir)
+    return marts.sales_summary(facts.customer_totals(s.order_facts("customer_id"), s.frames))
+
+
+@query
+def sales_summary_of_master(spark, sf_dir):
+    """The sales summary taken from the built master table."""
+    rows = facts.facts_of_master(shop(spark, sf_dir).master())
+    per_order = facts.one_per_order(rows, facts.CUSTOMER_KEYS)
+    return marts.sales_summary(facts.totals_per_key(per_order, facts.CUSTOMER_KEYS))
 
 
 @query
@@ -157,8 +165,7 @@ def state_summary(spark, sf_dir):
 @query
 def fanout_preagg(spark, sf_dir):
     """Per state, the fan-out computed from per-order totals without building it."""
-    s = shop(spark, sf_dir)
-    return _fanout(facts.order_facts(s.frames, s.skew, ["customer_state"]))
+    return _fanout(shop(spark, sf_dir).order_facts("customer_state"))
 
 
 @query
@@ -222,30 +229,21 @@ def null_key_groups(spark, sf_dir):
     """Master rows that enter each summary, and those a missing group key keeps out."""
     s = shop(spark, sf_dir)
 
-    def split(name, rows, keys):
-        present = all_present(keys)
-        return rows.agg(
-            F.lit(name).alias("summary"),
-            F.coalesce(F.sum(F.when(present, F.col("rows"))), F.lit(0)).alias("kept_rows"),
-            F.coalesce(F.sum(F.when(~present, F.col("rows"))), F.lit(0)).alias("dropped_rows"),
-        )
+    def rows_with(keys):
+        return F.coalesce(F.sum(F.when(all_present(keys), F.col("rows"))), F.lit(0))
 
-    master = facts.facts_of_master(s.master()).select(*facts.CUSTOMER_KEYS, "product_id", "rows")
-    by_key = master.groupBy(
-        *[F.col(c).isNull().alias(f"no_{c}") for c in [*facts.CUSTOMER_KEYS, "product_id"]]
-    ).agg(F.sum("rows").alias("rows"))
-    flags = by_key.select(
-        "rows",
-        *[
-            F.when(~F.col(f"no_{c}"), F.lit(1)).alias(c)
-            for c in [*facts.CUSTOMER_KEYS, "product_id"]
-        ],
+    by_product = s.product_facts().agg(rows_with(["product_id"]))
+    kept = s.order_facts(*facts.CUSTOMER_KEYS).agg(
+        F.sum("rows").alias("all_rows"),
+        rows_with(SUMMARY_KEYS["sales_summary"]).alias("sales_summary"),
+        rows_with(SUMMARY_KEYS["state_summary"]).alias("state_summary"),
+    )
+    summaries_of_rows = ["sales_summary", "state_summary", "product_summary"]
+    return (
+        kept.withColumn("product_summary", by_product.scalar())
+        .unpivot(["all_rows"], summaries_of_rows, "summary", "kept_rows")
+        .select("summary", "kept_rows", (F.col("all_rows") - F.col("kept_rows")).alias("dropped_rows"))
     )
-    parts = [
-        split(name, flags, SUMMARY_KEYS[name])
-        for name in ("sales_summary", "product_summary", "state_summary")
-    ]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
 @query

@@ -22,6 +22,11 @@ def state_summary(clean_frames, skew):
     return marts.state_summary(order_facts, facts.buyers(clean_frames))
 
 
+def sales_summary(clean_frames, skew):
+    order_facts = facts.order_facts(clean_frames, skew, ["customer_id"])
+    return marts.sales_summary(facts.customer_totals(order_facts, clean_frames))
+
+
 def test_fan_out_multiplies_items_by_payments(spark):
     frames = sources(
         spark,
@@ -34,7 +39,7 @@ def test_fan_out_multiplies_items_by_payments(spark):
     rows = joins.master_table(kept, skew).groupBy("order_id").count()
     assert dict(rows.collect()) == {"o0": 4, "o1": 1, "o2": 1, "o3": 1}
 
-    sales = marts.sales_summary(facts.order_facts(kept, skew)).first()
+    sales = sales_summary(kept, skew).first()
     assert sales.total_spent == D("67.00")  # 2 x (25 + 5) + 7
     assert (sales.total_orders, sales.total_items) == (4, 7)
     assert sales.avg_order_value == D("13.40")  # 67 over 5 present values
@@ -72,7 +77,7 @@ def test_missing_group_keys_form_no_group(spark):
         payments=[(f"o{i}", "card", "10") for i in range(1, 5)],
     )
     kept, skew = prepared(frames)
-    sales = marts.sales_summary(facts.order_facts(kept, skew))
+    sales = sales_summary(kept, skew)
     assert [r.customer_id for r in sales.collect()] == ["c1"]
     assert set(dicts(state_summary(kept, skew), "customer_state")) == {"SP", "RJ"}
     products = dicts(marts.product_summary(facts.product_facts(kept, skew)), "product_id")
@@ -88,7 +93,7 @@ def test_sums_and_means_over_nothing(spark):
         order_items=[("o1", "p1", None, None)],
     )
     kept, skew = prepared(frames)
-    sales = marts.sales_summary(facts.order_facts(kept, skew)).first()
+    sales = sales_summary(kept, skew).first()
     assert (sales.total_spent, sales.avg_order_value, sales.avg_price) == (0, 0, 0)
     state = state_summary(kept, skew).first()
     assert (state.total_revenue, state.avg_order_value, state.total_items) == (0, None, 1)
@@ -106,6 +111,9 @@ def test_repeated_customers_and_orders_multiply(spark):
     )
     kept, skew = prepared(frames)
     assert joins.master_table(kept, skew).count() == 6
+    sales = dicts(sales_summary(kept, skew), "customer_state")
+    assert sales["SP"]["total_spent"] == D("12.00") and sales["RJ"]["total_items"] == 2
+    assert sales["SP"]["total_orders"] == 1 and sales["SP"]["avg_order_value"] == D("3.00")
     states = dicts(state_summary(kept, skew), "customer_state")
     assert states["SP"]["total_revenue"] == D("12.00") and states["SP"]["total_orders"] == 1
     assert states["RJ"]["total_items"] == 2 and states["RJ"]["total_customers"] == 1

@@ -66,20 +66,21 @@ def test_split_joins_equal_plain_joins(spark, hot):
 
     master = joins.master_table(clean, plain)
     by_row = facts.facts_of_master(master)
+    per_order = facts.one_per_order(by_row, facts.CUSTOMER_KEYS)
+    sales = multiset(marts.sales_summary(facts.totals_per_key(per_order, facts.CUSTOMER_KEYS)))
+    per_order = facts.one_per_order(by_row, ["customer_state"])
+    states = multiset(marts.state_summary(per_order, facts.buyers_of_master(master)))
+    products = multiset(marts.product_summary(by_row))
     for skew in (plain, split):
-        order_facts = facts.order_facts(clean, skew)
-        assert multiset(marts.sales_summary(order_facts)) == multiset(
-            marts.sales_summary(facts.one_per_order(by_row, facts.CUSTOMER_KEYS))
-        )
-        state_facts = facts.order_facts(clean, skew, ["customer_state"])
-        assert multiset(marts.state_summary(state_facts, facts.buyers(clean))) == multiset(
-            marts.state_summary(
-                facts.one_per_order(by_row, ["customer_state"]), facts.buyers_of_master(master)
-            )
-        )
-        assert multiset(
-            marts.product_summary(facts.product_facts(clean, skew))
-        ) == multiset(marts.product_summary(by_row))
+        customer_facts = facts.order_facts(clean, skew, ["customer_id"])
+        totals = facts.customer_totals(customer_facts, clean)
+        assert multiset(marts.sales_summary(totals)) == sales
+        for state_facts in (
+            facts.order_facts(clean, skew, ["customer_state"]),
+            facts.state_facts(customer_facts, clean, skew),
+        ):
+            assert multiset(marts.state_summary(state_facts, facts.buyers(clean))) == states
+        assert multiset(marts.product_summary(facts.product_facts(clean, skew))) == products
 
 
 def test_rows_of_a_hot_key_are_dealt_evenly(spark):
