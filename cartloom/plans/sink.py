@@ -14,7 +14,7 @@ def stamped(df: DataFrame, column: str) -> DataFrame:
 
 def save_folder(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Replace a Parquet folder; the written rows are returned."""
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)

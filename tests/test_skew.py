@@ -7,7 +7,7 @@ import pytest
 from shops import prepared, sources
 
 from cartloom.operators import facts, joins, marts
-from cartloom.operators.skew import SkewProfile
+from cartloom.operators.skew import SkewProfile, spread
 
 
 def shop_rows(seed, hot):
@@ -92,14 +92,25 @@ def test_rows_of_a_hot_key_are_dealt_evenly(spark):
     clean, skew = prepared(frames, split_rows=10)
     hot = skew.hot("order_id", "orders", "order_items")
     assert [tuple(r) for r in hot.fans.collect()] == [("o1", 10)]
-    from cartloom.operators.skew import spread
-
     cells = spread(clean["order_items"], "order_items", hot).groupBy("order_id", *hot.salts())
     sizes = {(r[0], r[1]): r[2] for r in cells.count().collect()}
     assert sizes.pop(("o2", 0)) == 1
     assert len(sizes) == 10 and sum(sizes.values()) == 100 and max(sizes.values()) <= 20
 
 
+def test_rows_from_files_are_dealt_alike_every_time(spark, tmp_path):
+    frames = sources(
+        spark, orders=[("o1", "c1")] * 3, order_items=[("o1", f"p{i}", "1", "1") for i in range(90)]
+    )
+    path = str(tmp_path / "items")
+    frames["order_items"].repartition(4).write.parquet(path)
+    frames["order_items"] = spark.read.parquet(path)
+    clean, skew = prepared(frames, split_rows=10)
+    hot = skew.hot("order_id", "orders", "order_items")
+    dealt = [multiset(spread(clean["order_items"], "order_items", hot)) for _ in range(2)]
+    assert dealt[0] == dealt[1] and sum(dealt[0].values()) == 90
+
+
 def test_small_tables_are_not_searched(spark):
     frames = sources(spark, orders=[("o1", "c1")] * 5)
     clean, _ = prepared(frames)
