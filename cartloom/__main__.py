@@ -1,4 +1,4 @@
-"""Command line: python -m cartloom IN_DIR OUT_DIR [--format csv|parquet] [--files name=path ...]."""
+"""Command line: python -m cartloom IN_DIR OUT_DIR [--format FORMAT] [--files NAME=PATH ...]."""
 
 import argparse
 

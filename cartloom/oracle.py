@@ -184,8 +184,8 @@ def _loaded_columns():
 
 def _mean(column):
     """Exact mean of non-negative amounts in cents, rounded half up."""
-    total = f"CAST(sum({column}) * 100 AS HUGEINT)"
-    return f"CAST(((2 * {total} + count({column})) // (2 * count({column}))) * 0.01 AS DECIMAL(18,2))"
+    total, n = f"CAST(sum({column}) * 100 AS HUGEINT)", f"count({column})"
+    return f"CAST(((2 * {total} + {n}) // (2 * {n})) * 0.01 AS DECIMAL(18,2))"
 
 
 def _total(column):

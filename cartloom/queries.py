@@ -239,10 +239,11 @@ def null_key_groups(spark, sf_dir):
         rows_with(SUMMARY_KEYS["state_summary"]).alias("state_summary"),
     )
     summaries_of_rows = ["sales_summary", "state_summary", "product_summary"]
+    dropped = F.col("all_rows") - F.col("kept_rows")
     return (
         kept.withColumn("product_summary", by_product.scalar())
         .unpivot(["all_rows"], summaries_of_rows, "summary", "kept_rows")
-        .select("summary", "kept_rows", (F.col("all_rows") - F.col("kept_rows")).alias("dropped_rows"))
+        .select("summary", "kept_rows", dropped.alias("dropped_rows"))
     )
 
 

@@ -8,7 +8,7 @@ from cartloom.plans import catalog, sink
 from cartloom.plans.refresh import run
 from cartloom.plans.staging import shared_folder, stage
 from cartloom.schemas import CONTRACTS
-from cartloom.sources.files import read_sources
+from cartloom.sources.files import read_csv, read_sources
 
 FILES = {
     "shop_customers_dataset.csv": [
@@ -19,7 +19,8 @@ FILES = {
         "c3,,None,SP",
     ],
     "shop_orders_dataset.csv": [
-        "order_id,customer_id,order_status,order_purchase_timestamp,order_delivered_customer_date,approved",
+        "order_id,customer_id,order_status,order_purchase_timestamp,"
+        "order_delivered_customer_date,approved",
         "o1,c1,delivered,2018-01-01 10:00:00,2018-01-04 09:00:00,yes",
         "o2,c2,delivered,2018-01-01 10:00:00,,no",
         "o3,c9,lost,2018-01-01 10:00:00,never,no",
@@ -152,3 +153,18 @@ def test_a_cluster_must_name_its_shared_folder():
     assert shared_folder(Session("local[2]")) == shared_folder(Session("local[4]"))
     with pytest.raises(ValueError):
         shared_folder(Session("yarn"))
+
+
+def test_quoted_line_breaks_need_multiline(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n2,plain\n')
+    rows = read_csv(spark, str(tmp_path / "x.csv"), multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("1", "two\nlines"), ("2", "plain")]
+
+
+def test_a_file_with_only_a_header_is_an_empty_source(spark, in_dir, tmp_path):
+    header = FILES["shop_order_payments_dataset.csv"][0]
+    (in_dir / "shop_order_payments_dataset.csv").write_text(header + "\n")
+    result = run(spark, str(in_dir), str(tmp_path / "out"))
+    rows = dict(result.rows.collect())
+    assert rows["payments"] == 0 and rows["merged"] == 4
+    assert {r.total_revenue for r in result.tables["state_summary"].collect()} == {0}
