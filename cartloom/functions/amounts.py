@@ -13,7 +13,7 @@ NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][
 
 
 def fit_amount(value: Column, dtype: DataType, contract: DecimalType) -> tuple[Column, Column]:
-    """The amount, 0 where missing or unreadable, and whether it is beyond the contract.
+    """The amount, NULL where missing or unreadable, and whether it is beyond the contract.
 
     Only a value that does not cast is looked at again, to tell unreadable from too large.
     """
@@ -24,8 +24,7 @@ def fit_amount(value: Column, dtype: DataType, contract: DecimalType) -> tuple[C
         readable = value.isNotNull() & ~F.isnan(value)
     else:
         readable = value.isNotNull()
-    beyond = fitted.isNull() & F.coalesce(readable, F.lit(False))
-    return F.when(~beyond, F.coalesce(fitted, F.lit(0).cast(contract))), beyond
+    return fitted, fitted.isNull() & F.coalesce(readable, F.lit(False))
 
 
 def cents(value: Column) -> Column:

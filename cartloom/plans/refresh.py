@@ -11,7 +11,7 @@ from cartloom.operators import facts as contributions
 from cartloom.operators import marts
 from cartloom.operators.clean import clean
 from cartloom.operators.joins import Frames, master_table
-from cartloom.operators.load import REASON, load_master, rejected
+from cartloom.operators.load import REASON, fit_sources, load_master, rejected
 from cartloom.operators.rowids import number_rows
 from cartloom.operators.skew import SPLIT_ROWS, SkewProfile
 from cartloom.operators.stats import row_counts
@@ -80,7 +80,7 @@ def refresh(
     skew = SkewProfile(sources, frames, split_rows)
     read = skew.rows(*SOURCES)
 
-    loaded = load_master(master_table(frames, skew))
+    loaded = load_master(master_table(fit_sources(frames), skew))
     customer_facts = contributions.order_facts(frames, skew, ["customer_id"])
     delivery = marts.delivery_summary(frames, skew)
     product = marts.product_summary(contributions.product_facts(frames, skew))

@@ -34,6 +34,10 @@ class Shop:
     def master(self) -> DataFrame:
         return joins.master_table(self.frames, self.skew)
 
+    def loaded(self) -> DataFrame:
+        fitted = load.fit_sources(self.frames)
+        return load.load_master(joins.master_table(fitted, self.skew))
+
     def order_facts(self, *keys) -> DataFrame:
         return facts.order_facts(self.frames, self.skew, list(keys))
 
@@ -115,12 +119,12 @@ def master_table(spark, sf_dir):
 
 @query
 def load_master(spark, sf_dir):
-    return load.accepted(load.load_master(text_shop(spark, sf_dir).master()))
+    return load.accepted(text_shop(spark, sf_dir).loaded())
 
 
 @query
 def master_rejects(spark, sf_dir):
-    return load.rejected(load.load_master(text_shop(spark, sf_dir).master()))
+    return load.rejected(text_shop(spark, sf_dir).loaded())
 
 
 @query
@@ -209,7 +213,7 @@ def summary_row_ids(spark, sf_dir):
 def run_row_counts(spark, sf_dir):
     """Rows read, merged, loaded, rejected and summarised by a full run."""
     s = text_shop(spark, sf_dir)
-    loaded = load.load_master(s.master())
+    loaded = s.loaded()
     counts = stats.row_counts({**s.sources, **summaries(s.frames, s.skew)})
     outcome = loaded.agg(
         F.count("*").alias("merged"),
@@ -331,7 +335,7 @@ def top_states(spark, sf_dir):
 
 @query
 def sql_master_count(spark, sf_dir):
-    loaded = load.load_master(shop(spark, sf_dir).master())
+    loaded = shop(spark, sf_dir).loaded()
     catalog.register({"order_master": load.accepted(loaded)})
     return catalog.master_count(spark)
 

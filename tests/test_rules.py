@@ -211,17 +211,26 @@ def test_load_defaults_and_rejects(spark):
             ("late", "c1", "new", "2018-01-01 10:00:00", "tomorrow"),
             ("dear", "c1", "new", None, None),
             ("endless", "c1", "new", None, None),
+            ("both", "c1", "new", None, "never"),
         ],
         order_items=[
             ("good", "p1", "x", "1.005"),
             ("dear", "p1", "12345678901", "1"),
             ("endless", "p1", "1", "inf"),
+            ("both", "p1", "x", "99999999999"),
         ],
         payments=[("good", "card", "1e2")],
     )
     kept, skew = prepared(frames)
     master = joins.master_table(kept, skew)
-    loaded = load.load_master(master)
+    loaded = load.load_master(joins.master_table(load.fit_sources(kept), skew))
+    after_join = load.load_master(master)
+    assert sorted(map(str, loaded.drop("source_row").collect())) == sorted(
+        map(str, after_join.drop("source_row").collect())
+    )
+    assert sorted(map(str, load.rejected(loaded).collect())) == sorted(
+        map(str, load.rejected(after_join).collect())
+    )
     good = dicts(load.accepted(loaded), "order_id")
     assert set(good) == {"good", "empty"}
     assert good["good"]["price"] == 0 and good["good"]["freight_value"] == D("1.01")
@@ -235,7 +244,9 @@ def test_load_defaults_and_rejects(spark):
         "late": "order_delivered_customer_date: not a timestamp",
         "dear": "price: out of range",
         "endless": "freight_value: out of range",
+        "both": "order_delivered_customer_date: not a timestamp",
     }
+    assert (bad["both"]["price"], bad["both"]["freight_value"]) == ("x", "99999999999")
     assert bad["late"]["order_delivered_customer_date"] == "tomorrow"
     assert load.accepted(loaded).columns == MASTER.names
     assert len(good) + len(bad) == master.count()
@@ -349,6 +360,8 @@ def test_double_amounts_load_like_texts(spark):
         [("a", 1.005), ("b", float("nan")), ("c", None), ("d", 1e12), ("e", float("inf"))],
         "order_id string, price double",
     )
-    loaded = dicts(load.load_master(df), "order_id")
-    assert [loaded[k]["price"] for k in "abcde"] == [D("1.01"), 0, 0, None, None]
-    assert {k for k in "abcde" if loaded[k]["reject_reason"]} == {"d", "e"}
+    loaded = load.load_master(df)
+    good = dicts(load.accepted(loaded), "order_id")
+    assert {k: r["price"] for k, r in good.items()} == {"a": D("1.01"), "b": 0, "c": 0}
+    bad = dicts(load.rejected(loaded), "order_id")
+    assert {k: r["price"] for k, r in bad.items()} == {"d": "1.0E12", "e": "Infinity"}
