@@ -7,12 +7,13 @@ the tables, writes all five outputs and the rejects, and counts them.
 
 import json
 import os
-import tempfile
 import time
+import uuid
 
 from pyspark.sql import SparkSession
 
 from cartloom.plans.refresh import refresh
+from cartloom.plans.staging import release, shared_folder
 from cartloom.queries import QUERIES
 from cartloom.sources.star import typed_sources
 
@@ -38,7 +39,6 @@ HEADLINE = [
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    scratch = tempfile.mkdtemp(prefix="cartloom-bench-")
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.ui.enabled", "false")
@@ -46,17 +46,17 @@ def main():
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", scratch)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    out_dir = f"{shared_folder(spark)}/cartloom-bench-{uuid.uuid4().hex}"
 
     def drain(name):
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
     jobs = {name: lambda name=name: drain(name) for name in HEADLINE}
     jobs["full_refresh"] = lambda: refresh(
-        spark, typed_sources(spark, sf_dir), f"{scratch}/out"
+        spark, typed_sources(spark, sf_dir), out_dir
     ).rows.collect()
 
     runs = ({}, {})
@@ -65,6 +65,7 @@ def main():
             started = time.perf_counter()
             job()
             seconds[name] = round(time.perf_counter() - started, 3)
+    release(spark)
     spark.stop()
     first, second = runs
     print(

@@ -24,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def _staged_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/cartloom/{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/cartloom/{spark.conf.get('spark.app.id')}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
