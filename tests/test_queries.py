@@ -4,6 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from cartloom.operators.skew import SkewProfile
 
 SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 SQL = entry_points.oracle_sql()
@@ -29,3 +30,24 @@ def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.columns[0] == "customer_state"
     assert df.count() == 25
+
+
+JOINING = [
+    "order_customer",
+    "order_item_join",
+    "master_table",
+    "load_master",
+    "master_rejects",
+    "sales_summary",
+    "delivery_summary",
+    "product_summary",
+    "state_summary",
+    "null_key_groups",
+]
+
+
+@pytest.mark.parametrize("name", JOINING)
+def test_query_matches_sql_with_most_keys_split(spark, connections, monkeypatch, name):
+    monkeypatch.setattr(SkewProfile.__init__, "__defaults__", (3,))
+    got = compare.spark_rows(entry_points.queries()[name](spark, SMALL))
+    assert got == compare.duck_rows(connections[SMALL], SQL[name])
