@@ -11,7 +11,7 @@ sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8, 4]")  # failed tasks are tried again
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
