@@ -1,36 +1,40 @@
 """Written intermediate tables in the folder the cluster shares between executors."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="cartloom-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only in local mode where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder, from spark.checkpoint.dir or setCheckpointDir.
+
+    Where neither is set, a local session, whose one process is all there is, gets a
+    folder of its own that goes when Python ends; a cluster must name one.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder:
         return folder
-    if spark.sparkContext.master.startswith("local"):
-        return _local_folder()
-    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    if not context.master.startswith("local[") and context.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    own = tempfile.mkdtemp(prefix="cartloom-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
+    return context.getCheckpointDir()
 
 
-def _staged_folder(spark: SparkSession) -> str:
+def staged_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/cartloom/{spark.conf.get('spark.app.id')}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write the frame and read it back: lineage is cut and a lost executor costs nothing."""
     spark = df.sparkSession
-    path = f"{_staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{staged_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -45,5 +49,5 @@ def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def release(spark: SparkSession) -> None:
     """Delete what this application staged. Frames built on it cannot be read afterwards."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_staged_folder(spark))
+    path = jvm.org.apache.hadoop.fs.Path(staged_folder(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -143,16 +143,26 @@ def test_command_line_reads_parquet_and_cleans_up(spark, in_dir, tmp_path, capsy
 class Session:
     """Just enough of a session to ask for its shared folder."""
 
-    def __init__(self, master, folder=None):
-        self.sparkContext = type("Context", (), {"master": master})
+    def __init__(self, master, folder=None, own=None):
+        self.sparkContext = self
+        self.master, self.own = master, own
         self.conf = type("Conf", (), {"get": staticmethod(lambda name, default: folder)})
 
+    def getCheckpointDir(self):
+        return self.own
+
+    def setCheckpointDir(self, folder):
+        self.own = folder
+
 
 def test_a_cluster_must_name_its_shared_folder():
     assert shared_folder(Session("yarn", "hdfs:///shared")) == "hdfs:///shared"
-    assert shared_folder(Session("local[2]")) == shared_folder(Session("local[4]"))
-    with pytest.raises(ValueError):
-        shared_folder(Session("yarn"))
+    assert shared_folder(Session("yarn", own="hdfs:///set")) == "hdfs:///set"
+    local = Session("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.own
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            shared_folder(Session(master))
 
 
 def test_quoted_line_breaks_need_multiline(spark, tmp_path):
