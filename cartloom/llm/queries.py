@@ -1,15 +1,23 @@
 """The operators as queries over the tables of a directory, and SQL where it can say them."""
 
 from cartloom.llm.chat import OP2_SQL, op2_chat_formatting
+from cartloom.llm.mixing import op3_mixing_sources
+from cartloom.llm.packing import op5_best_fit_packing
 from cartloom.llm.quality import OP6_SQL, op6_quality_rules
+from cartloom.llm.sharding import op10_sharding
 from cartloom.llm.simhash import op9_simhash_near_dedup
+from cartloom.llm.token_files import op7_token_id_files
 
 QUERIES = {
     f.__name__: f
     for f in (
         op2_chat_formatting,
+        op3_mixing_sources,
+        op5_best_fit_packing,
         op6_quality_rules,
+        op7_token_id_files,
         op9_simhash_near_dedup,
+        op10_sharding,
     )
 }
 
