@@ -1,6 +1,7 @@
 """The operators as queries over the tables of a directory, and SQL where it can say them."""
 
 from cartloom.llm.chat import OP2_SQL, op2_chat_formatting
+from cartloom.llm.metric_join import OP4_SQL, op4_embedding_near_dedup
 from cartloom.llm.mixing import op3_mixing_sources
 from cartloom.llm.packing import op5_best_fit_packing
 from cartloom.llm.quality import OP6_SQL, op6_quality_rules
@@ -13,6 +14,7 @@ QUERIES = {
     for f in (
         op2_chat_formatting,
         op3_mixing_sources,
+        op4_embedding_near_dedup,
         op5_best_fit_packing,
         op6_quality_rules,
         op7_token_id_files,
@@ -21,4 +23,8 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {"op2_chat_formatting": OP2_SQL, "op6_quality_rules": OP6_SQL}
+ORACLE_SQL = {
+    "op2_chat_formatting": OP2_SQL,
+    "op4_embedding_near_dedup": OP4_SQL,
+    "op6_quality_rules": OP6_SQL,
+}
