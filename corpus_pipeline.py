@@ -9,13 +9,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from cartloom.llm.common import table
+from cartloom.llm.mixing import mix_documents
+from cartloom.llm.packing import pack_documents
 from cartloom.llm.quality import keep_good
 from cartloom.llm.simhash import keep_one
+from cartloom.llm.toxicity import keep_civil
 from cartloom.plans.staging import staged_folder
 
 STAGES = [
+    ("toxicity", keep_civil),
     ("quality rules", keep_good),
     ("simhash near-dedup", keep_one),
+    ("mixing sources to target weights", mix_documents),
+    ("best-fit packing", pack_documents),
 ]
 
 #: The first stage is a trained model and the last a heuristic packing: no SQL says them.
