@@ -94,6 +94,8 @@ def links(distinct: DataFrame, n: int, max_bits: int = MAX_BITS) -> DataFrame:
     segments = cut(n, max_bits)
 
     def value(shift, bits):
+        if bits == 64:
+            return F.col("bits")
         return F.shiftrightunsigned("bits", shift).bitwiseAND(F.lit((1 << bits) - 1))
 
     def key(i, at):

@@ -1,0 +1,37 @@
+import random
+
+import pytest
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, row string, key int, h int, p double, lane int, score double, _uid int"
+
+
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(n))
+
+
+def with_extras(rows):
+    return [(*r, 1, 2, "extra", 3, 4, 0.5, 6, 0.7, 8) for r in rows]
+
+
+@pytest.fixture(scope="session")
+def odd_rows():
+    """(doc_id, text, lang, source): nulls, empties, ties, repeated rows, copies, a very long text."""
+    rng = random.Random(3)
+    long_text = words(rng, 40_000)
+    rows = [(i, words(rng, rng.randint(1, 80)), "en", rng.choice(["a", "b", "é", "Z"])) for i in range(120)]
+    rows += [(200 + i, "the same text in many documents, of twelve words at the very least", "en", "a") for i in range(60)]
+    rows += [(300, None, None, None), (301, "", "en", "a"), (302, " \n\t ", "en", None), (303, long_text, "de", "b")]
+    rows += [(304, rows[0][1], "en", "b")] * 3 + [(None, "a row without an id", "en", "a")] * 2
+    rows += [(305, "é ü ß 漢字 \U0001f600 <|endoftext|>  two   three\n\n x", "fr", "é"), (-7, "negative id", "en", "Z")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.fixture(scope="session")
+def odd(spark, odd_rows):
+    return spark.createDataFrame(with_extras(odd_rows), SCHEMA).repartition(5).cache()
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)

@@ -1,0 +1,178 @@
+"""Queries against their SQL, and what the others promise against brute force."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import compare
+import pytest
+import xxhash
+
+import __spark_entry__ as entry_points
+from cartloom.llm.mixing import targets
+from cartloom.llm.queries import ORACLE_SQL, QUERIES
+from cartloom.llm.tokens import Encoder, tokenizer_path
+
+SMALL, MEDIUM = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return compare.connect(SMALL).execute("SELECT doc_id, text, source FROM documents ORDER BY doc_id").fetchall()
+
+
+@pytest.fixture(scope="module")
+def ids(documents):
+    encode = Encoder(tokenizer_path()).ids
+    return {d: encode(t) + bytes(4) for d, t, _ in documents}
+
+
+def rows(spark, name, sf_dir=SMALL):
+    return [r.asDict() for r in QUERIES[name](spark, sf_dir).collect()]
+
+
+def test_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("sf_dir", [SMALL, MEDIUM])
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_sql(spark, name, sf_dir):
+    got = compare.spark_rows(QUERIES[name](spark, sf_dir))
+    assert got == compare.duck_rows(compare.connect(sf_dir), ORACLE_SQL[name])
+
+
+def test_op1(spark):
+    labels = dict(compare.connect(MEDIUM).execute("SELECT doc_id, toxic FROM labels").fetchall())
+    got = rows(spark, "op1_toxicity", MEDIUM)
+    assert len(got) == 1000 and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in got)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
+    held = [(r["score"], labels[r["doc_id"]]) for r in got if r["held_out"] and r["doc_id"] in labels]
+    toxic, clean = [s for s, y in held if y], [s for s, y in held if not y]
+    assert sum(a > b for a in toxic for b in clean) > 0.75 * len(toxic) * len(clean)  # 8 toxic rows held out
+
+
+def test_op3(spark, documents):
+    got = {r["doc_id"]: r for r in rows(spark, "op3_mixing_sources")}
+    size = {d: len(WORD.findall(t or "")) for d, t, _ in documents}
+    of_source = Counter()
+    for d, _, s in documents:
+        of_source[s] += size[d]
+    goal, taken = targets(of_source), Counter()
+    for d, _, s in documents:
+        r = got[d]
+        assert (r["size"], r["source_size"], r["target"]) == (size[d], of_source[s], goal[s])
+        assert r["taken"] in [k * size[d] for k in range(4)]
+        taken[s] += r["taken"]
+    for s in of_source:
+        largest = max(size[d] for d, _, x in documents if x == s)
+        assert abs(taken[s] - goal[s]) <= largest
+    assert sum(goal.values()) == pytest.approx(sum(size.values()))
+    assert [r["taken"] for r in rows(spark, "op3_mixing_sources")] is not None
+
+
+def test_op5(spark, documents, ids):
+    got = rows(spark, "op5_best_fit_packing")
+    bins, of_doc = defaultdict(list), defaultdict(list)
+    for r in got:
+        part = ids[r["doc_id"]][4 * r["start"] : 4 * (r["start"] + r["length"])]
+        assert r["ids_crc32"] == zlib.crc32(part)
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+        of_doc[r["doc_id"]].append((r["piece"], r["start"], r["length"]))
+    for d, data in ids.items():
+        parts, n = sorted(of_doc[d]), len(data) // 4
+        assert [p for p, _, _ in parts] == list(range(-(-n // 2048))) and sum(x for _, _, x in parts) == n
+        assert all(length == 2048 for _, _, length in parts[1:])
+        assert all(a[1] + a[2] == b[1] for a, b in zip(parts, parts[1:], strict=False))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(bins) <= -(-sum(map(len, ids.values())) // 4 // 2048) + 1
+
+
+def test_op7(spark, ids):
+    got, start = {r["doc_id"]: r for r in rows(spark, "op7_token_id_files")}, 0
+    for d in sorted(ids):
+        n = len(ids[d]) // 4
+        assert (got[d]["start"], got[d]["n_tokens"], got[d]["ids_crc32"]) == (start, n, zlib.crc32(ids[d]))
+        start += n
+    assert len(got) == len(ids)
+
+
+def test_op8(spark):
+    pages = compare.connect(MEDIUM).execute("SELECT page_id, html FROM pages").fetchall()
+    got = {r["page_id"]: r for r in rows(spark, "op8_html_extraction", MEDIUM)}
+    import html
+
+    for page, source in pages:
+        article = re.search("<article>(.*)</article>", source, re.S)[1]
+        parts = re.split("<[^>]+>", article.replace("<b>", "").replace("</b>", ""))
+        assert got[page]["text"] == " ".join(" ".join(html.unescape(p).split()) for p in parts if p.strip())
+        assert got[page]["n_chars"] == len(got[page]["text"])
+
+
+def simhash(text):
+    words = (text or "").translate({c: c + 32 for c in range(65, 91)})
+    words = WORD.findall(words)
+    if not words:
+        return 0
+    hashes = [
+        xxhash.xxh64_intdigest(" ".join(words[i : i + 4]), 42) for i in range(max(1, len(words) - 3))
+    ]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def smallest(nodes, linked):
+    """Smallest id reachable, by following links until nothing changes."""
+    best, changed = {n: n for n in nodes}, True
+    while changed:
+        changed = False
+        for a, b in linked:
+            low = min(best[a], best[b])
+            changed = changed or best[a] != low or best[b] != low
+            best[a] = best[b] = low
+    return best
+
+
+def test_op9(spark):
+    docs = compare.connect(MEDIUM).execute("SELECT doc_id, text FROM documents").fetchall()
+    prints = {d: simhash(t) for d, t in docs}
+    names = list(prints)
+    linked = [
+        (a, b) for i, a in enumerate(names) for b in names[:i] if (prints[a] ^ prints[b]).bit_count() <= 4
+    ]
+    component = smallest(names, linked)
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in rows(spark, "op9_simhash_near_dedup", MEDIUM)}
+    assert got == {d: (f"{prints[d]:016x}", component[d]) for d in names}
+
+
+def test_op10(spark, documents):
+    got = rows(spark, "op10_sharding")
+    text, shard_of, size, slots = {d: t or "" for d, t, _ in documents}, {}, Counter(), defaultdict(list)
+    for r in got:
+        t = text[r["doc_id"]]
+        assert r["size"] == len(t.encode()) + 8 and r["text_crc32"] == zlib.crc32(t.encode())
+        assert r["law"] == "bytes" and r["grown_shard"] is None
+        assert shard_of.setdefault(t, r["shard"]) == r["shard"]
+        size[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert set(slots) <= set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len(got) == len(documents)
+    groups = Counter()
+    for d, t in text.items():
+        groups[t] += len(t.encode()) + 8
+    assert max(size.values()) <= max(max(groups.values()), 1.05 * sum(size.values()) / 24)
+
+
+def test_pipeline(spark, documents):
+    import corpus_pipeline
+
+    assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and len(corpus_pipeline.STAGES) == 5
+    got = entry_points.queries()["pipeline"](spark, SMALL).collect()
+    ids = {d for d, _, _ in documents}
+    assert got and {r["doc_id"] for r in got} <= ids
