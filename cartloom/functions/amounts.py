@@ -1,13 +1,16 @@
-"""Money: parsing, whole-cent sums and exact averages.
+"""Money: parsing, exact sums in cents and averages rounded once.
 
-Sums run over whole cents held in a bigint, which keeps the hash aggregates on
-fixed-width long buffers; a decimal sum would need a 22-digit buffer per group.
+Sums over amounts of whole cents run in a bigint, which keeps the hash aggregates on
+fixed-width long buffers. Texts and finer amounts are summed as wide decimals.
 """
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, DoubleType, FloatType, StringType
 
+CENT_DIGITS = 8  # digits after the point of a cent that sums keep
+EXACT = f"decimal(38,{CENT_DIGITS})"
+
 # Fixed value: the texts that read as a number.
 NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)\s*$"
 
@@ -27,19 +30,34 @@ def fit_amount(value: Column, dtype: DataType, contract: DecimalType) -> tuple[C
     return fitted, fitted.isNull() & F.coalesce(readable, F.lit(False))
 
 
-def cents(value: Column) -> Column:
-    """Whole cents as a bigint, NULL for missing or unreadable input."""
-    return (value.try_cast("decimal(18,2)") * 100).cast("long")
+def cents(value: Column, dtype: DataType) -> Column:
+    """The exact amount in cents, for sums; NULL for missing or unreadable input.
+
+    A decimal of at most two digits after the point gives a bigint. Any other input keeps
+    CENT_DIGITS digits of a cent, so that sums of finer amounts are rounded only once, at
+    the end. A readable amount beyond that is an error, never a missing value.
+    """
+    if isinstance(dtype, DecimalType) and dtype.scale <= 2 and dtype.precision <= 16:
+        return (value.cast("decimal(18,2)") * 100).cast("long")
+    fitted, beyond = fit_amount(value, dtype, DecimalType(38, CENT_DIGITS + 2))
+    message = F.concat(F.lit("amount too large to sum: "), value.cast("string"))
+    loud = F.when(beyond, F.raise_error(message).cast(EXACT)).otherwise(fitted)
+    return (loud * 100).cast(EXACT)
 
 
 def money(total_cents: Column) -> Column:
-    """Whole cents back to DECIMAL(18,2)."""
-    return (total_cents.cast("decimal(20,0)") / 100).cast("decimal(18,2)")
+    """Cents to DECIMAL(28,2), rounded half up."""
+    return (total_cents.cast(EXACT) / 100).cast("decimal(28,2)")
 
 
 def mean_money(total_cents: Column, count: Column) -> Column:
     """Average of an exact cent sum, rounded half up once; NULL when nothing was counted."""
-    return exact_ratio(total_cents, count * 100, "decimal(18,2)")
+    return mean_amount(total_cents, count, "decimal(28,2)")
+
+
+def mean_amount(total_cents: Column, count: Column, result: str) -> Column:
+    hundreds = (count * 100).cast("decimal(20,0)")
+    return F.try_divide(total_cents.cast("decimal(30,6)"), hundreds).cast(result)
 
 
 def exact_ratio(numerator: Column, denominator: Column, result: str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cartloom.functions.amounts import cents
 from cartloom.functions.missing import all_present
-from cartloom.operators.joins import Frames, order_customer
+from cartloom.operators.joins import Frames
 from cartloom.operators.skew import SkewProfile, left_join, spread
 
 CUSTOMER_KEYS = ["customer_id", "customer_state", "customer_city"]
@@ -22,8 +22,11 @@ ITEM_AMOUNTS = {"price": "price", "freight": "freight_value"}
 PAYMENT_AMOUNTS = {"payment": "payment_value"}
 
 
-def _cents(amounts: dict[str, str]) -> list[Column]:
-    return [cents(F.col(column)).alias(f"{name}_cents") for name, column in amounts.items()]
+def _cents(df: DataFrame, amounts: dict[str, str]) -> list[Column]:
+    return [
+        cents(F.col(column), df.schema[column].dataType).alias(f"{name}_cents")
+        for name, column in amounts.items()
+    ]
 
 
 def measures(*amounts: str) -> list[str]:
@@ -36,7 +39,7 @@ def _totals(df: DataFrame, keys: list[str], amounts: dict[str, str], count: str)
     for name in amounts:
         parts.append(F.sum(f"{name}_cents").alias(f"{name}_cents"))
         parts.append(F.count(f"{name}_cents").alias(f"{name}_n"))
-    rows = df.select(*keys, *_cents(amounts))
+    rows = df.select(*keys, *_cents(df, amounts))
     return rows.groupBy(*keys).agg(F.count("*").alias(count), *parts)
 
 
@@ -52,8 +55,24 @@ def _at_least_one(count: str) -> Column:
     return F.greatest(F.coalesce(F.col(count), F.lit(0)), F.lit(1))
 
 
-def _times(names: list[str], factor: str) -> list[Column]:
-    return [(F.coalesce(F.col(c), F.lit(0)) * F.col(factor)).alias(c) for c in names]
+def _times(names: list[str], factor: Column) -> list[Column]:
+    return [(F.coalesce(F.col(c), F.lit(0)) * factor).alias(c) for c in names]
+
+
+def homes(clean: Frames, keys: list[str]) -> DataFrame:
+    """Customers as distinct (customer_id, keys) with how often each is listed: copies."""
+    return clean["customers"].groupBy("customer_id", *keys).agg(F.count("*").alias("copies"))
+
+
+def at_home(rows: DataFrame, clean: Frames, keys: list[str]) -> DataFrame:
+    """Rows with customer_id beside the home of their customer, once per distinct home.
+
+    A customer listed often weighs by copies instead of repeating the rows; a customer
+    with very many rows is on the outer side, which adaptive execution splits. Rows of an
+    unknown customer stay, with one copy.
+    """
+    joined = rows.join(homes(clean, keys), "customer_id", "left")
+    return joined.withColumn("copies", F.coalesce("copies", F.lit(1)))
 
 
 def order_facts(clean: Frames, skew: SkewProfile, keys: list[str]) -> DataFrame:
@@ -64,12 +83,9 @@ def order_facts(clean: Frames, skew: SkewProfile, keys: list[str]) -> DataFrame:
     """
     by_order = skew.hot("order_id", "orders")
     orders = clean["orders"].select("order_id", "customer_id")
+    base = spread(orders, "orders", by_order)
     home = [k for k in keys if k != "customer_id"]
-    if home:
-        customers = clean["customers"].select("customer_id", *home)
-        base = order_customer({"orders": orders, "customers": customers}, skew, by_order)
-    else:
-        base = spread(orders, "orders", by_order)
+    base = at_home(base, clean, home) if home else base.withColumn("copies", F.lit(1).cast("long"))
     totals = {
         "items": item_totals(clean["order_items"]),
         "payments": payment_totals(clean["payments"]),
@@ -79,9 +95,9 @@ def order_facts(clean: Frames, skew: SkewProfile, keys: list[str]) -> DataFrame:
     rows = weighted.select(
         "order_id",
         *keys,
-        (F.col("items") * F.col("payments")).alias("rows"),
-        *_times(measures("payment"), "items"),
-        *_times(measures("price", "freight"), "payments"),
+        (F.col("items") * F.col("payments") * F.col("copies")).alias("rows"),
+        *_times(measures("payment"), F.col("items") * F.col("copies")),
+        *_times(measures("price", "freight"), F.col("payments") * F.col("copies")),
     )
     return one_per_order(rows, keys)
 
@@ -92,11 +108,12 @@ def one_per_order(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy("order_id", *keys).agg(*sums(names))
 
 
-def state_facts(customer_facts: DataFrame, clean: Frames, skew: SkewProfile) -> DataFrame:
+def state_facts(customer_facts: DataFrame, clean: Frames) -> DataFrame:
     """Order facts per state from those per customer."""
-    customers = clean["customers"].select("customer_id", "customer_state")
-    located = order_customer({"orders": customer_facts, "customers": customers}, skew)
-    return one_per_order(located, ["customer_state"])
+    located = at_home(customer_facts, clean, ["customer_state"])
+    names = ["rows", *measures(*PAYMENT_AMOUNTS, *ITEM_AMOUNTS)]
+    rows = located.select("order_id", "customer_state", *_times(names, F.col("copies")))
+    return one_per_order(rows, ["customer_state"])
 
 
 def totals_per_key(
@@ -120,15 +137,10 @@ def customer_totals(customer_facts: DataFrame, clean: Frames) -> DataFrame:
     orders, or one listed very often, is a single row by then.
     """
     totals = totals_per_key(customer_facts, ["customer_id"])
-    homes = (
-        clean["customers"]
-        .filter(all_present(CUSTOMER_KEYS))
-        .groupBy(*CUSTOMER_KEYS)
-        .agg(F.count("*").alias("copies"))
-    )
+    home = homes(clean, CUSTOMER_KEYS[1:]).filter(all_present(CUSTOMER_KEYS))
     names = ["rows", *measures(*PAYMENT_AMOUNTS, *ITEM_AMOUNTS)]
-    return homes.join(totals, "customer_id").select(
-        *CUSTOMER_KEYS, "total_orders", *_times(names, "copies")
+    return home.join(totals, "customer_id").select(
+        *CUSTOMER_KEYS, "total_orders", *_times(names, F.col("copies"))
     )
 
 
@@ -151,12 +163,12 @@ def product_facts(clean: Frames, skew: SkewProfile) -> DataFrame:
     by_order = skew.hot("order_id", "order_items")
     # Only the key test precedes the dealing of hot rows; file order is unchanged by it.
     items = clean["order_items"].filter(F.col("product_id").isNotNull())
-    items = items.select("order_id", "product_id", *_cents(ITEM_AMOUNTS))
+    items = items.select("order_id", "product_id", *_cents(items, ITEM_AMOUNTS))
     items = spread(items, "order_items", by_order)
-    joined = left_join(items, {"weights": weights}, by_order).filter(F.col("rows").isNotNull())
+    joined = left_join(items, {"weights": weights}, by_order, "inner")
     present = {f"{name}_n": _present(name) for name in ITEM_AMOUNTS}
     return joined.withColumns(present).select(
-        "order_id", "product_id", "rows", *_times(measures(*ITEM_AMOUNTS), "rows")
+        "order_id", "product_id", "rows", *_times(measures(*ITEM_AMOUNTS), F.col("rows"))
     )
 
 
@@ -189,7 +201,7 @@ def facts_of_master(master: DataFrame) -> DataFrame:
         "product_id",
         *CUSTOMER_KEYS,
         F.lit(1).cast("long").alias("rows"),
-        *_cents(amounts),
+        *_cents(master, amounts),
     )
     return rows.withColumns({f"{name}_n": _present(name) for name in amounts})
 
@@ -210,6 +222,21 @@ def buyers(clean: Frames) -> DataFrame:
     )
 
 
+def groups(clean: Frames) -> dict[str, DataFrame]:
+    """The distinct keys of each summary: what its rows are, without what they sum."""
+    orders = clean["orders"].select("order_id", "customer_id")
+    customers = clean["customers"].join(orders.select("customer_id").distinct(), "customer_id", "left_semi")
+    states = customers.filter(all_present(["customer_state"])).select("customer_state").distinct()
+    sold = clean["order_items"].filter(all_present(["product_id"])).select("order_id", "product_id")
+    known = sold.distinct().join(orders.select("order_id").distinct(), "order_id", "left_semi")
+    return {
+        "sales_summary": customers.filter(all_present(CUSTOMER_KEYS)).select(*CUSTOMER_KEYS).distinct(),
+        "delivery_summary": states,
+        "product_summary": known.select("product_id").distinct(),
+        "state_summary": states,
+    }
+
+
 def buyers_of_master(master: DataFrame) -> DataFrame:
     return (
         master.filter(F.col("customer_state").isNotNull())

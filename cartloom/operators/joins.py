@@ -16,12 +16,10 @@ def order_customer(
 ) -> DataFrame:
     """Orders with their customer; orders of an unknown customer stay.
 
-    A customer with very many orders sits on the outer side of a two-way join,
-    which adaptive execution splits; repeated customer rows are split here. Orders
-    are dealt for a later join on `by_order` while still in file order.
+    Orders are dealt for a later join on `by_order` too while still in file order.
     """
-    by_customer = skew.hot("customer_id", "customers")
-    orders = spread(spread(clean["orders"], "orders", by_order), None, by_customer)
+    by_customer = skew.hot("customer_id", "orders", "customers")
+    orders = spread(spread(clean["orders"], "orders", by_order), "orders", by_customer)
     return left_join(orders, {"customers": clean["customers"]}, by_customer)
 
 

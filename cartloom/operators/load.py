@@ -7,7 +7,7 @@ instead of texts. Fitting a joined frame gives the same rows.
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DecimalType, StructField, VarcharType
+from pyspark.sql.types import DataType, DecimalType, StructField, StructType, VarcharType
 
 from cartloom.functions.amounts import fit_amount
 from cartloom.functions.dates import loose_timestamp
@@ -88,6 +88,21 @@ def _loaded(master: DataFrame, field: StructField) -> Column:
     return column_or(master, field.name, default, dtype).cast(dtype)
 
 
+def fit_summary(summary: DataFrame, contract: StructType) -> DataFrame:
+    """A summary's columns as the contract types them, and why a row does not fit, if so."""
+    values, misfits = [], []
+    for field in contract.fields:
+        raw = F.col(field.name)
+        if isinstance(field.dataType, VarcharType):
+            values.append(raw)
+            misfit, why = F.length(raw) > field.dataType.length, f"longer than {field.dataType.length}"
+        else:
+            values.append(raw.try_cast(field.dataType).alias(field.name))
+            misfit, why = raw.isNotNull() & values[-1].isNull(), "out of range"
+        misfits.append(F.when(misfit, f"{field.name}: {why}"))
+    return summary.select(*values, F.coalesce(*misfits).alias(REASON))
+
+
 def accepted(loaded: DataFrame) -> DataFrame:
     return loaded.filter(F.col(REASON).isNull()).select(MASTER.names)
 

@@ -8,11 +8,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from cartloom.operators.rowids import number_rows
+from pyspark.sql.types import StructField, StructType
 
 DEFAULT_LIMIT = 100
-TOP_ROWS = 1_000  # pages ending up to here are taken by per-task top-k heaps
 
 
 class SourceUnavailable(LookupError):
@@ -38,27 +36,50 @@ class Listing:
 
     def answer(self) -> dict:
         """The answer as a dict; `data` stays a DataFrame, however many rows it has."""
-        if self.none_found is not None and self.rows.isEmpty():
-            return {"message": self.none_found, "data": self.rows}
         total = self.count().first()[0]
+        if self.none_found is not None and not total:
+            return {"message": self.none_found, "data": self.rows}
         return {**self.echo, self.count_name: total, "data": self.rows}
 
 
 def page(df: DataFrame, keys: list[str], limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
-    """Rows offset+1 to offset+limit in key order."""
+    """Rows offset+1 to offset+limit in key order.
+
+    Rows before the page are skipped by ranges: rows are counted per range of all columns,
+    and only the ranges that the page touches are sorted. What is kept to sort is the page
+    and at most one range before it, at any depth.
+    """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
     order = keys + [c for c in df.columns if c not in keys]
-    if offset + limit <= TOP_ROWS:
-        return df.orderBy(*order).offset(offset).limit(limit)
-    numbered = number_rows(df, order, "_row", copies=True)
-    wanted = numbered.filter(F.col("_row").between(offset + 1, offset + limit))
-    return wanted.orderBy("_row").drop("_row")
+    if not offset or not limit:
+        return df.orderBy(*order).limit(limit)
+    whole = F.struct(*order)
+    ranges = (
+        df.repartitionByRange(*order)
+        .groupBy(F.spark_partition_id())
+        .agg(F.count("*").alias("n"), F.min(whole).alias("low"), F.max(whole).alias("high"))
+    )
+    before, first, last, skipped = 0, None, None, 0
+    for r in sorted(ranges.collect(), key=lambda r: r[0]):
+        if before < offset + limit and before + r["n"] > offset:
+            if first is None:
+                first, skipped = r["low"], before
+            last = r["high"]
+        before += r["n"]
+    if first is None:
+        return df.limit(0)
+    row = df.select(*order).schema
+    bounds = StructType([StructField("low", row), StructField("high", row)])
+    edges = df.sparkSession.createDataFrame([(first, last)], bounds)
+    low, high = (edges.select(e).scalar() for e in ("low", "high"))
+    touched = df.filter(whole.between(low, high))
+    return touched.orderBy(*order).offset(offset - skipped).limit(limit)
 
 
 def _available(df: DataFrame, name: str) -> DataFrame:
     if df.isEmpty():
-        raise SourceUnavailable(f"{name} data not available")
+        raise SourceUnavailable(f"{name}: the source has no rows")
     return df
 
 
@@ -83,7 +104,7 @@ def customers_by_state(customers: DataFrame, state: str) -> Listing:
         found,
         {"state": state.upper()},
         "count",
-        none_found=f"No customers found in state: {state}",
+        none_found=f"no customer lives in state {state}",
     )
 
 
@@ -116,7 +137,7 @@ def customer_orders(orders: DataFrame, customer_id: str) -> Listing:
         found,
         {"customer_id": customer_id},
         "order_count",
-        none_found=f"No orders found for customer: {customer_id}",
+        none_found=f"customer {customer_id} has no orders",
     )
 
 

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from cartloom.functions.amounts import exact_ratio, mean_money, money
 from cartloom.functions.dates import strict_timestamp, whole_days
 from cartloom.functions.missing import all_present
-from cartloom.operators.facts import CUSTOMER_KEYS, measures, sums, totals_per_key
-from cartloom.operators.joins import Frames, order_customer
-from cartloom.operators.skew import SkewProfile
+from cartloom.operators.facts import CUSTOMER_KEYS, at_home, measures, sums, totals_per_key
+from cartloom.operators.joins import Frames
 from cartloom.schemas import DELIVERY_SUMMARY, PRODUCT_SUMMARY, SALES_SUMMARY, STATE_SUMMARY
 
 
@@ -26,7 +25,7 @@ def sales_summary(totals: DataFrame) -> DataFrame:
     """Per customer, from totals per customer keys; averages over nothing are 0."""
 
     def mean_or_zero(name):
-        return F.coalesce(_mean(name), F.lit(0).cast("decimal(18,2)"))
+        return F.coalesce(_mean(name), F.lit(0).cast("decimal(28,2)"))
 
     return totals.select(
         *CUSTOMER_KEYS,
@@ -79,19 +78,18 @@ def with_delivery_days(orders: DataFrame) -> DataFrame:
     return orders.withColumn("delivery_days", days)
 
 
-def delivery_summary(clean: Frames, skew: SkewProfile) -> DataFrame:
+def delivery_summary(clean: Frames) -> DataFrame:
     """Per state, one row per order (no fan-out).
 
     Orders are first counted per state and day, so every statistic, the exact median
     included, is taken over a histogram with one row per distinct day.
     """
     orders = with_delivery_days(clean["orders"]).select("customer_id", "delivery_days")
-    customers = clean["customers"].select("customer_id", "customer_state")
     histogram = (
-        order_customer({"orders": orders, "customers": customers}, skew)
+        at_home(orders, clean, ["customer_state"])
         .filter(all_present(["customer_state"]))
         .groupBy("customer_state", F.col("delivery_days").alias("d"))
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("copies").alias("n"))
     )
     d, n = F.col("d"), F.col("n")
     groups = histogram.groupBy("customer_state").agg(

@@ -8,6 +8,11 @@ from cartloom.plans.staging import stage
 _POSITION_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition above, position below
 
 
+def number_few(df: DataFrame, keys: list[str], name: str = "id") -> DataFrame:
+    """Add 1, 2, 3, ... in ascending key order, in one task: for a row per state."""
+    return df.select(F.row_number().over(Window.orderBy(*keys)).cast("long").alias(name), "*")
+
+
 def number_rows(
     df: DataFrame, keys: list[str], name: str = "id", copies: bool = False
 ) -> DataFrame:

@@ -1,28 +1,27 @@
 """Left joins that hold when one key carries a large share of a table's rows.
 
-Spark splits a skewed partition at run time only on the outer side of a left join,
-and only where that costs no further shuffle. A hot key on the inner side, or in a
-chain of joins on one key, stays in one task. Here such keys are found first and
-their rows laid out on a grid: a table's own rows of a hot key are dealt over n
-cells, the other tables repeat theirs in each of them, and all join on key and cell.
-Each pair of rows still meets in exactly one cell.
-
-A key below SPLIT_ROWS rows is left alone, so tables that small need no search and
-join plainly.
+What a key costs a task is the product of its rows in the joined tables. Spark splits a
+skewed partition at run time only on the outer side of a left join, and only where that
+costs no further shuffle. A hot key on the inner side, or in a chain of joins on one key,
+stays in one task, however many rows it makes. Here such keys are found first and their
+rows laid out on a grid: a table's own rows of a hot key are dealt over n cells, the other
+tables repeat theirs in each of them, and all join on key and cell. Each pair of rows
+still meets in exactly one cell.
+
+A key is hot if it makes more than CELL_ROWS joined rows; its cells then make about that
+many each. One rule holds for every size of table and key and any length of id.
 """
 
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.plans.staging import stage
 
-SPLIT_ROWS = 1_000_000  # rows of one key that one task takes in stride
-HOT_KEY_LIMIT = 100_000  # rows of the broadcast lists: an id and a few ints each
-ID_LENGTH = 100  # longest id on those lists; master rows with longer ones are rejects anyway
-BUCKETS_PER_SHARE = 4  # buckets per possible hot key, so that few buckets are suspect
+CELL_ROWS = 4_000_000  # joined rows of one key that one task takes in stride
+BUCKET_ROWS = 64  # rows of the largest table per bucket of the search
 
 
 @dataclass(frozen=True)
@@ -40,6 +39,26 @@ class HotKeys:
         return [self.salt(t) for t in self.tables] if self.fans is not None else []
 
 
+def joined_rows(tables) -> Column:
+    """Rows a key makes, from its row counts in columns named like the tables."""
+    counts = [F.greatest(F.col(t), F.lit(1)).cast("double") for t in tables]
+    return reduce(lambda a, b: a * b, counts)
+
+
+def cell_side(tables, cell_rows: int) -> Column:
+    """The most rows a cell holds of each table, so that it makes some cell_rows.
+
+    Tables with few rows leave more of the cell to the others, so the smallest count goes
+    first: each takes at most an equal share, as a factor, of what is left.
+    """
+    counts = F.array_sort(F.array(*[F.greatest(F.col(t), F.lit(1)).cast("double") for t in tables]))
+    left: Column = F.lit(float(cell_rows))
+    for i in range(len(tables) - 1):
+        share = F.pow(left, F.lit(1 / (len(tables) - i)))
+        left = left / F.least(F.get(counts, i), share)
+    return F.greatest(left, F.lit(1.0))
+
+
 class SkewProfile:
     """Finds hot and repeated keys of cleaned frames, each at most once.
 
@@ -50,11 +69,11 @@ class SkewProfile:
         self,
         sources: dict[str, DataFrame],
         clean: dict[str, DataFrame],
-        split_rows: int = SPLIT_ROWS,
+        cell_rows: int = CELL_ROWS,
     ):
         self.sources = sources
         self.clean = clean
-        self.split_rows = split_rows
+        self.cell_rows = cell_rows
         self._rows: dict[str, int] = {}
         self._hot: dict[tuple, HotKeys] = {}
         self._repeated: dict[tuple, DataFrame | None] = {}
@@ -69,7 +88,7 @@ class SkewProfile:
         return {t: self._rows[t] for t in tables}
 
     def hot(self, key: str, *tables: str) -> HotKeys:
-        """Keys with more rows in one of the tables than a task should take."""
+        """Keys that make more rows, joining the tables, than a task should."""
         if (key, *tables) not in self._hot:
             self._hot[(key, *tables)] = self._search(key, tables)
         return self._hot[(key, *tables)]
@@ -78,61 +97,59 @@ class SkewProfile:
         """Keys with several rows and how many (key, copies), or None if there are none."""
         if (key, table) not in self._repeated:
             counts = self.clean[table].groupBy(key).agg(F.count("*").alias("copies"))
-            most = counts.agg(F.max("copies")).first()[0] or 0
-            found = counts.filter(F.col("copies") > 1)
-            self._repeated[key, table] = stage(found, f"repeated-{key}") if most > 1 else None
+            found = stage(counts.filter(F.col("copies") > 1), f"repeated-{key}")
+            self._repeated[key, table] = None if found.isEmpty() else found
         return self._repeated[key, table]
 
     def _search(self, key, tables) -> HotKeys:
-        rows = {t: n for t, n in self.rows(*tables).items() if n > self.split_rows}
-        if not rows:
+        rows = self.rows(*tables)
+        most = reduce(lambda a, b: a * b, [max(n, 1) for n in rows.values()])
+        if most <= self.cell_rows:  # all rows of all tables together make no more
             return HotKeys(key)
-        # At most total / threshold keys can exceed the threshold: the list is bounded.
-        threshold = max(self.split_rows, sum(rows.values()) // HOT_KEY_LIMIT)
         keys = reduce(
             DataFrame.unionAll,
-            [self.clean[t].select(F.col(key), F.lit(t).alias("t")) for t in rows],
+            [self.clean[t].select(F.col(key), F.lit(t).alias("t")) for t in tables],
         )
-        counts = [F.count_if(F.col("t") == t).alias(t) for t in rows]
-        crowded = F.greatest(*[F.col(t) for t in rows], F.lit(0)) > threshold
+        counts = [F.count_if(F.col("t") == t).alias(t) for t in tables]
+        crowded = joined_rows(tables) > self.cell_rows
 
-        # Count rows per bucket of keys first. That shuffles a few numbers per task, and
-        # only keys of a bucket above the threshold have to be counted one by one.
-        buckets = BUCKETS_PER_SHARE * -(-sum(rows.values()) // threshold)
+        # A bucket of keys makes no fewer rows than a key in it. Counting by bucket shuffles
+        # a few numbers, and only keys of crowded buckets have to be counted one by one.
+        buckets = -(-max(rows.values()) // BUCKET_ROWS)
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
         suspects = stage(
             keys.groupBy(bucket).agg(*counts).filter(crowded).select("bucket"), f"buckets-{key}"
         )
         if suspects.isEmpty():
             return HotKeys(key)
-        hot = (
+        per_key = (
             keys.withColumn("bucket", bucket)
-            .join(F.broadcast(suspects), "bucket", "left_semi")
+            .join(suspects, "bucket", "left_semi")
             .groupBy(key)
             .agg(*counts)
-            .filter(crowded & (F.length(key) <= ID_LENGTH))
+            .filter(crowded)
         )
-        fan = [
-            F.greatest(F.ceil(F.col(t) / threshold), F.lit(1)).cast("int").alias(f"fan_{t}")
-            for t in rows
-        ]
-        fans = stage(hot.select(key, *fan), f"hot-{key}")
-        return HotKeys(key, tuple(rows), None if fans.isEmpty() else fans)
+        side = cell_side(tables, self.cell_rows)
+        fan = [F.greatest(F.ceil(F.col(t) / side), F.lit(1)).cast("int").alias(f"fan_{t}") for t in tables]
+        fans = stage(per_key.select(key, *fan), f"hot-{key}")
+        return HotKeys(key, tuple(tables), None if fans.isEmpty() else fans)
 
 
 def spread(df: DataFrame, table: str | None, hot: HotKeys) -> DataFrame:
     """Add the cell columns: deal the table's own hot rows, repeat them along other axes.
 
-    Rows are dealt by position, so copies of one row part too. Apply this to rows
-    that come straight from files, whose order is the same when a task is rerun.
+    Rows are dealt by a hash of their position, so copies of one row part too, however
+    files are laid out. Apply this to rows that come straight from files, whose order is
+    the same when a task is rerun.
     """
     if hot.fans is None:
         return df
     kept = df.columns
-    out = df.join(F.broadcast(hot.fans), hot.key, "left")
+    placed = df.withColumn("_place", F.xxhash64(F.monotonically_increasing_id()))
+    out = placed.join(hot.fans, hot.key, "left")
     fan = {t: F.coalesce(F.col(f"fan_{t}"), F.lit(1)) for t in hot.tables}
     if table in fan:
-        cell = F.pmod(F.monotonically_increasing_id(), fan[table].cast("long"))
+        cell = F.pmod(F.col("_place"), fan[table].cast("long"))
         out = out.withColumn(hot.salt(table), cell.cast("int"))
     for t in hot.tables:
         if t != table:
@@ -145,32 +162,34 @@ def _split(hot: HotKeys, table: str) -> str:
     return f"{hot.salt(table)}_split"
 
 
-def left_join(base: DataFrame, sides: dict[str, DataFrame], hot: HotKeys) -> DataFrame:
-    """base left join each side on hot.key. The base must have been spread with `hot`."""
+def left_join(
+    base: DataFrame, sides: dict[str, DataFrame], hot: HotKeys, how: str = "left"
+) -> DataFrame:
+    """base joined to each side on hot.key. The base must have been spread with `hot`."""
     if hot.fans is None:
         for side in sides.values():
-            base = merge_left(base, side, [hot.key])
+            base = merge(base, side, [hot.key], how)
         return base
     on = [hot.key, *hot.salts()]
     for table, side in sides.items():
         side = spread(side, table, hot)
         side = side.drop(*[_split(hot, t) for t in hot.tables])
         if table not in hot.tables:
-            base = merge_left(base, side, on)
+            base = merge(base, side, on, how)
             continue
         # A hot key has rows in this table, so a cell that met none is only a repeat.
         hit = f"{hot.salt(table)}_hit"
-        base = merge_left(base, side.withColumn(hit, F.lit(True)), on)
+        base = merge(base, side.withColumn(hit, F.lit(True)), on, how)
         base = base.filter(~F.col(_split(hot, table)) | F.col(hit)).drop(hit)
     return base.drop(*hot.salts(), *[_split(hot, t) for t in hot.tables])
 
 
-def merge_left(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join on shared columns; other columns named alike get _x and _y."""
+def merge(left: DataFrame, right: DataFrame, on: list[str], how: str = "left") -> DataFrame:
+    """Join on shared columns; other columns named alike get _x and _y."""
     shared = (set(left.columns) & set(right.columns)) - set(on)
     if shared:
         left = left.withColumnsRenamed({c: f"{c}_x" for c in shared})
         right = right.withColumnsRenamed({c: f"{c}_y" for c in shared})
-    return left.join(right, on, "left")
+    return left.join(right, on, how)
 
 

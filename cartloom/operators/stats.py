@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.functions.amounts import cents, exact_ratio, money
+from cartloom.functions.amounts import cents, mean_amount, money
 from cartloom.schemas import SOURCES
 
 TOP_STATES = 10
@@ -50,12 +50,12 @@ def revenue(payments: DataFrame) -> DataFrame:
 
 
 def _revenue(payments: DataFrame) -> DataFrame:
-    value = cents(F.col("payment_value"))
+    value = cents(F.col("payment_value"), payments.schema["payment_value"].dataType)
     total, present = F.sum(value), F.count(value)
     return payments.agg(
         F.count("*").alias("payments"),
         money(F.coalesce(total, F.lit(0))).alias("total_revenue"),
-        exact_ratio(total, present * 100, "decimal(22,6)").alias("average_payment"),
+        mean_amount(total, present, "decimal(28,6)").alias("average_payment"),
     )
 
 

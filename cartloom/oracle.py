@@ -10,9 +10,9 @@ customers AS (
   SELECT CASE WHEN c_acctbal < -900 THEN NULL ELSE CAST(c_custkey AS VARCHAR) END AS customer_id,
          CASE WHEN c_acctbal BETWEEN -900 AND -850 THEN NULL ELSE n_name END AS customer_state,
          CASE WHEN c_acctbal BETWEEN -849 AND -800 THEN NULL
-              ELSE concat(n_name, '-', c_mktsegment) END AS customer_city,
-         lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS customer_zip_code_prefix
-  FROM customer JOIN nation ON c_nationkey = n_nationkey
+              ELSE n_name || '-' || c_mktsegment END AS customer_city,
+         lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(5, length(CAST(c_custkey AS VARCHAR))) AS INTEGER), '0') AS customer_zip_code_prefix
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 ),
 shop_orders AS (
   SELECT CASE WHEN o_totalprice < 1500 THEN NULL ELSE CAST(o_orderkey AS VARCHAR) END AS order_id,
@@ -185,11 +185,11 @@ def _loaded_columns():
 def _mean(column):
     """Exact mean of non-negative amounts in cents, rounded half up."""
     total, n = f"CAST(sum({column}) * 100 AS HUGEINT)", f"count({column})"
-    return f"CAST(((2 * {total} + {n}) // (2 * {n})) * 0.01 AS DECIMAL(18,2))"
+    return f"CAST(((2 * {total} + {n}) // (2 * {n})) * 0.01 AS DECIMAL(28,2))"
 
 
 def _total(column):
-    return f"CAST(coalesce(sum({column}), 0) AS DECIMAL(18,2))"
+    return f"CAST(coalesce(sum({column}), 0) AS DECIMAL(28,2))"
 
 
 _DAYS = (
@@ -244,8 +244,8 @@ WHERE customer_state IS NOT NULL GROUP BY customer_state
 
 _FANOUT = """
 SELECT customer_state, count(*) AS master_rows, count(payment_value) AS payments,
-       CAST(sum(payment_value) AS DECIMAL(18,2)) AS payment_total, count(price) AS prices,
-       CAST(sum(price) AS DECIMAL(18,2)) AS price_total
+       CAST(sum(payment_value) AS DECIMAL(28,2)) AS payment_total, count(price) AS prices,
+       CAST(sum(price) AS DECIMAL(28,2)) AS price_total
 FROM merged WHERE customer_state IS NOT NULL GROUP BY customer_state
 """
 
@@ -306,7 +306,7 @@ _PAYMENTS_ORDER = ["order_id", "payment_type", "payment_value"]
 
 _AVERAGE_PAYMENT = (
     "CAST(((2 * CAST(sum(payment_value) * 100 AS HUGEINT) * 10000 + count(payment_value))"
-    " // (2 * count(payment_value))) * 0.000001 AS DECIMAL(22,6))"
+    " // (2 * count(payment_value))) * 0.000001 AS DECIMAL(28,6))"
 )
 
 _STATUS_COUNTS = """
@@ -333,6 +333,9 @@ def _with(ctes, body):
 ORACLE_SQL = {
     "scan_counts": _with(TYPED, _counts(**_SOURCE_NAMES)),
     "na_normalise": _with(TEXT, "SELECT * FROM t_customers"),
+    "na_normalise_orders": _with(TEXT, "SELECT * FROM t_orders"),
+    "na_normalise_order_items": _with(TEXT, "SELECT * FROM t_items"),
+    "na_normalise_payments": _with(TEXT, "SELECT * FROM t_payments"),
     "clean_counts": _with(
         TYPED,
         " UNION ALL ".join(
@@ -454,6 +457,13 @@ ORACLE_SQL = {
             for name, source in _SOURCE_NAMES.items()
         ),
     ),
+    "revenue_of_fine_amounts": _with(
+        TYPED,
+        """SELECT CAST(sum(v) AS DECIMAL(28,2)) AS total_revenue,
+        CAST(CAST(sum(v) AS DECIMAL(38,12)) / count(v) AS DECIMAL(28,6)) AS average_payment
+        FROM (SELECT CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(6,4))
+          AS v FROM lineitem)""",
+    ),
     "stats_revenue": _with(
         TYPED,
         f"SELECT {_total('payment_value')} AS total_revenue, {_AVERAGE_PAYMENT} AS average_payment "
@@ -461,12 +471,14 @@ ORACLE_SQL = {
     ),
     "order_status_breakdown": _with(TYPED, _STATUS_COUNTS),
     "top_states": _with(TYPED, _STATE_COUNTS),
-    "sql_master_count": _with(MASTER, "SELECT count(*) AS n FROM merged"),
+    "sql_master_count": _with(
+        TEXT_MASTER, f"SELECT count(*) AS n FROM merged WHERE {_reason()} IS NULL"
+    ),
     "sql_state_head": _with(MASTER, f"SELECT * FROM ({_STATE}) ORDER BY customer_state LIMIT 5"),
     "sql_city_collated": _with(
         MASTER,
         """SELECT customer_city, count(*) AS master_rows,
-        CAST(sum(payment_value) AS DECIMAL(18,2)) AS payment_total FROM merged
+        CAST(sum(payment_value) AS DECIMAL(28,2)) AS payment_total FROM merged
         WHERE rtrim(strip_accents(lower(customer_city)))
               = rtrim(strip_accents(lower('nàtion_7-Machinery ')))
         GROUP BY customer_city""",

@@ -12,9 +12,9 @@ def show_tables(spark: SparkSession) -> DataFrame:
     return spark.sql("SHOW TABLES")
 
 
-def master_count(spark: SparkSession) -> DataFrame:
-    return spark.sql("SELECT COUNT(*) AS n FROM order_master")
+def master_count(spark: SparkSession, table: str = "order_master") -> DataFrame:
+    return spark.sql(f"SELECT COUNT(*) AS n FROM {table}")
 
 
-def state_head(spark: SparkSession) -> DataFrame:
-    return spark.sql("SELECT * FROM state_summary ORDER BY customer_state LIMIT 5")
+def state_head(spark: SparkSession, table: str = "state_summary") -> DataFrame:
+    return spark.sql(f"SELECT * FROM {table} ORDER BY customer_state LIMIT 5")

@@ -2,7 +2,7 @@
 
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +11,14 @@ from cartloom.operators import facts as contributions
 from cartloom.operators import marts
 from cartloom.operators.clean import clean
 from cartloom.operators.joins import Frames, master_table
-from cartloom.operators.load import REASON, fit_sources, load_master, rejected
-from cartloom.operators.rowids import number_rows
-from cartloom.operators.skew import SPLIT_ROWS, SkewProfile
+from cartloom.operators.load import REASON, fit_sources, fit_summary, load_master, rejected
+from cartloom.operators.rowids import number_few, number_rows
+from cartloom.operators.skew import CELL_ROWS, SkewProfile
 from cartloom.operators.stats import row_counts
 from cartloom.plans import catalog
-from cartloom.plans.sink import save_folder, stamped, unsorted_partitions
+from cartloom.plans.sink import Database, save_folder, save_jdbc, save_table, stamped, unsorted_partitions
 from cartloom.plans.staging import stage, stage_all
-from cartloom.schemas import MASTER, SOURCE_COLUMNS, SOURCES, SUMMARY_KEYS
+from cartloom.schemas import CONTRACTS, MASTER, SOURCE_COLUMNS, SOURCES, SUMMARY_KEYS
 from cartloom.sources.files import DEFAULT_FILES, read_sources
 
 LOAD_STATUS = ("loaded", "rejected")
@@ -42,7 +42,7 @@ def summaries(frames: Frames, skew: SkewProfile) -> dict[str, DataFrame]:
         "sales_summary": marts.sales_summary(
             contributions.customer_totals(customer_facts, frames)
         ),
-        "delivery_summary": marts.delivery_summary(frames, skew),
+        "delivery_summary": marts.delivery_summary(frames),
         "product_summary": marts.product_summary(contributions.product_facts(frames, skew)),
         "state_summary": marts.state_summary(state_facts, contributions.buyers(frames)),
     }
@@ -54,13 +54,29 @@ def run(
     out_dir: str,
     files: dict[str, str] = DEFAULT_FILES,
     fmt: str = "csv",
-    split_rows: int = SPLIT_ROWS,
+    cell_rows: int = CELL_ROWS,
+    multiline: bool = False,
+    catalogue: str | None = None,
+    database: Database | None = None,
 ) -> Refresh:
-    """Refresh from files. Delimited text is parsed once and kept as columns for the run."""
-    sources = read_sources(spark, in_dir, files, fmt)
+    """Refresh from files. Delimited text is parsed once and kept as columns for the run.
+
+    `catalogue` names a schema of the session's catalogue, and `database` a database,
+    where the tables are replaced too.
+    """
+    started = time.monotonic()
+    sources = read_sources(spark, in_dir, files, fmt, multiline=multiline)
     if fmt == "csv":
         sources = stage_all({name: _known(df, name) for name, df in sources.items()})
-    return refresh(spark, sources, out_dir, split_rows)
+    done = refresh(spark, sources, out_dir, cell_rows)
+    if catalogue:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {catalogue}")
+        for name, df in done.tables.items():
+            save_table(df, f"{catalogue}.{name}")
+    if database:
+        for name, df in done.tables.items():
+            save_jdbc(df, database, name)
+    return replace(done, duration_seconds=time.monotonic() - started)
 
 
 def _known(df: DataFrame, name: str) -> DataFrame:
@@ -68,7 +84,7 @@ def _known(df: DataFrame, name: str) -> DataFrame:
 
 
 def refresh(
-    spark: SparkSession, sources: Frames, out_dir: str, split_rows: int = SPLIT_ROWS
+    spark: SparkSession, sources: Frames, out_dir: str, cell_rows: int = CELL_ROWS
 ) -> Refresh:
     """Replace all tables below out_dir. Running it again gives the same tables.
 
@@ -77,12 +93,12 @@ def refresh(
     """
     started = time.monotonic()
     frames = clean(sources)
-    skew = SkewProfile(sources, frames, split_rows)
+    skew = SkewProfile(sources, frames, cell_rows)
     read = skew.rows(*SOURCES)
 
     loaded = load_master(master_table(fit_sources(frames), skew))
     customer_facts = contributions.order_facts(frames, skew, ["customer_id"])
-    delivery = marts.delivery_summary(frames, skew)
+    delivery = marts.delivery_summary(frames)
     product = marts.product_summary(contributions.product_facts(frames, skew))
 
     with unsorted_partitions(spark, len(LOAD_STATUS)), ThreadPoolExecutor() as pool:
@@ -95,29 +111,40 @@ def refresh(
         # Two summaries read the order contributions; they are computed and written once.
         facts = stage(customer_facts, "order-facts")
         sales = marts.sales_summary(contributions.customer_totals(facts, frames))
-        state_facts = contributions.state_facts(facts, frames, skew)
+        state_facts = contributions.state_facts(facts, frames)
         state = marts.state_summary(state_facts, contributions.buyers(frames))
         writes += [start("sales_summary", sales), start("state_summary", state)]
-        tables = master.result() | {name: write.result() for name, write in writes}
+        tables = master.result()
+        for name, write in writes:
+            good, bad = write.result()
+            tables |= {name: good, f"{name}_rejects": bad}
 
     catalog.register(tables)
     rows = _report(spark, read, tables)
     return Refresh("success", time.monotonic() - started, rows, tables)
 
 
-def _write_summary(summary, name, out_dir) -> DataFrame:
-    numbered = number_rows(summary, SUMMARY_KEYS[name])
-    return save_folder(stamped(numbered, "updated_at"), f"{out_dir}/{name}")
+def _write_summary(summary, name, out_dir) -> tuple[DataFrame, DataFrame]:
+    """Rows by the contract, numbered from 1, and the rows that do not fit it."""
+    contract, keys = CONTRACTS[name], SUMMARY_KEYS[name]
+    rows = _with_status(fit_summary(summary, contract))
+    number = number_few if keys == ["customer_state"] else number_rows
+    numbered = number(rows, ["load_status", *keys])  # loaded ones first
+    written = save_folder(stamped(numbered, "updated_at"), f"{out_dir}/{name}", "load_status")
+    good, bad = (written.filter(F.col("load_status") == s) for s in LOAD_STATUS)
+    return good.select("id", *contract.names, "updated_at"), bad.select(REASON, *contract.names)
+
+
+def _with_status(rows: DataFrame) -> DataFrame:
+    good, bad = LOAD_STATUS
+    status = F.when(F.col(REASON).isNull(), good).otherwise(bad)
+    return rows.withColumn("load_status", status)
 
 
 def _write_master(loaded, out_dir) -> dict[str, DataFrame]:
     """One pass over the join writes good rows and rejects side by side."""
     good, bad = LOAD_STATUS
-    rows = loaded.select(
-        (F.monotonically_increasing_id() + 1).alias("id"),
-        "*",
-        F.when(F.col(REASON).isNull(), good).otherwise(bad).alias("load_status"),
-    )
+    rows = _with_status(loaded.select((F.monotonically_increasing_id() + 1).alias("id"), "*"))
     written = save_folder(stamped(rows, "created_at"), f"{out_dir}/order_master", "load_status")
     kept = written.filter(F.col("load_status") == good)
     rejects = written.filter(F.col("load_status") == bad)
@@ -128,8 +155,10 @@ def _write_master(loaded, out_dir) -> dict[str, DataFrame]:
 
 
 def _report(spark, read, tables) -> DataFrame:
-    """Rows read and written. Output counts come from file footers."""
+    """Rows read and written; summaries' rejects where there are any."""
     written = {r["table"]: r["rows"] for r in row_counts(tables).collect()}
     merged = written["order_master"] + written["order_master_rejects"]
+    few = {f"{name}_rejects" for name in SUMMARY_KEYS}
+    written = {name: n for name, n in written.items() if n or name not in few}
     rows = {**read, "merged": merged, **written}
     return spark.createDataFrame(list(rows.items()), "table string, rows long")

@@ -1,6 +1,7 @@
 """Full-refresh outputs: Parquet folders, catalogue tables, or an external database."""
 
 from contextlib import contextmanager
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,11 @@ def save_folder(df: DataFrame, path: str, partition_by: str | None = None) -> Da
 
 @contextmanager
 def unsorted_partitions(spark: SparkSession, folders: int):
-    """Let tasks keep a file open per partition folder instead of sorting their rows by it."""
+    """Let tasks keep a file open per partition folder instead of sorting their rows by it.
+
+    Spark has this as a session setting only, so other writes of the session meanwhile
+    see it too; it changes how they are written, not what.
+    """
     name = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(name, "0")
     spark.conf.set(name, max(folders, int(before)))
@@ -38,8 +43,16 @@ def save_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def save_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
-    """Replace a database table; driver and credentials come from the caller."""
-    df.write.option("batchsize", INSERT_BATCH).jdbc(
-        url, table, mode="overwrite", properties=properties
-    )
+@dataclass(frozen=True)
+class Database:
+    """Where tables are replaced over JDBC; driver and credentials are properties."""
+
+    url: str
+    properties: dict[str, str] = field(default_factory=dict)
+    connections: int = 16  # tasks that insert at a time
+
+
+def save_jdbc(df: DataFrame, database: Database, table: str) -> None:
+    """Replace a database table, inserting INSERT_BATCH rows a statement."""
+    writer = df.write.option("batchsize", INSERT_BATCH).option("numPartitions", database.connections)
+    writer.jdbc(database.url, table, mode="overwrite", properties=database.properties)

@@ -11,7 +11,6 @@ from cartloom.operators.clean import clean
 from cartloom.operators.rowids import number_rows
 from cartloom.operators.skew import SkewProfile
 from cartloom.plans import catalog
-from cartloom.plans.refresh import summaries
 from cartloom.schemas import CRITICAL_IDS, SUMMARY_KEYS
 from cartloom.sources.star import text_sources, typed_sources
 
@@ -71,6 +70,21 @@ def na_normalise(spark, sf_dir):
     return text_shop(spark, sf_dir).sources["customers"]
 
 
+@query
+def na_normalise_orders(spark, sf_dir):
+    return text_shop(spark, sf_dir).sources["orders"]
+
+
+@query
+def na_normalise_order_items(spark, sf_dir):
+    return text_shop(spark, sf_dir).sources["order_items"]
+
+
+@query
+def na_normalise_payments(spark, sf_dir):
+    return text_shop(spark, sf_dir).sources["payments"]
+
+
 @query
 def clean_counts(spark, sf_dir):
     """Rows read and rows kept per source, in one scan of each."""
@@ -153,7 +167,7 @@ def sales_summary_of_master(spark, sf_dir):
 @query
 def delivery_summary(spark, sf_dir):
     s = shop(spark, sf_dir)
-    return marts.delivery_summary(s.frames, s.skew)
+    return marts.delivery_summary(s.frames)
 
 
 @query
@@ -211,10 +225,13 @@ def summary_row_ids(spark, sf_dir):
 
 @query
 def run_row_counts(spark, sf_dir):
-    """Rows read, merged, loaded, rejected and summarised by a full run."""
+    """Rows read, merged, loaded, rejected and summarised by a full run.
+
+    A summary has a row per group, so its keys are counted, not its sums taken.
+    """
     s = text_shop(spark, sf_dir)
     loaded = s.loaded()
-    counts = stats.row_counts({**s.sources, **summaries(s.frames, s.skew)})
+    counts = stats.row_counts({**s.sources, **facts.groups(s.frames)})
     outcome = loaded.agg(
         F.count("*").alias("merged"),
         F.count_if(F.col(load.REASON).isNull()).alias("order_master"),
@@ -320,6 +337,15 @@ def stats_revenue(spark, sf_dir):
     return stats.revenue(shop(spark, sf_dir).sources["payments"])
 
 
+@query
+def revenue_of_fine_amounts(spark, sf_dir):
+    """Payments read as texts of six decimals: summed as they are, rounded once."""
+    price, discount = F.col("l_extendedprice"), F.col("l_discount")
+    amount = price.cast("decimal(12,2)") * discount.cast("decimal(6,4)")
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return stats.revenue(lines.select(amount.cast("string").alias("payment_value")))
+
+
 @query
 def order_status_breakdown(spark, sf_dir):
     return stats.order_status_breakdown(shop(spark, sf_dir).sources["orders"])
@@ -335,15 +361,15 @@ def top_states(spark, sf_dir):
 
 @query
 def sql_master_count(spark, sf_dir):
-    loaded = shop(spark, sf_dir).loaded()
-    catalog.register({"order_master": load.accepted(loaded)})
-    return catalog.master_count(spark)
+    loaded = text_shop(spark, sf_dir).loaded()
+    catalog.register({"query_order_master": load.accepted(loaded)})
+    return catalog.master_count(spark, "query_order_master")
 
 
 @query
 def sql_state_head(spark, sf_dir):
-    catalog.register({"state_summary": shop(spark, sf_dir).state_summary()})
-    return catalog.state_head(spark)
+    catalog.register({"query_state_summary": shop(spark, sf_dir).state_summary()})
+    return catalog.state_head(spark, "query_state_summary")
 
 
 @query
@@ -351,7 +377,7 @@ def sql_city_collated(spark, sf_dir):
     """Orders and spending of one city, matched without regard to case and accents."""
     master = shop(spark, sf_dir).master()
     city = master.filter(same_text(F.col("customer_city"), "nàtion_7-Machinery "))
-    value = cents(F.col("payment_value"))
+    value = cents(F.col("payment_value"), city.schema["payment_value"].dataType)
     return city.groupBy("customer_city").agg(
         F.count("*").alias("master_rows"), money(F.sum(value)).alias("payment_total")
     )

@@ -68,7 +68,7 @@ def _contract(**columns):
 
 
 _AMOUNT = DecimalType(12, 2)
-_MONEY = DecimalType(18, 2)  # sums over repeated payments outgrow DECIMAL(10,2)
+_MONEY = DecimalType(28, 2)  # sums over repeated payments outgrow DECIMAL(10,2)
 _DAYS = DecimalType(10, 2)
 
 # Output columns in table order, with their declared widths.

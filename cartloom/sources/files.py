@@ -2,10 +2,14 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cartloom.functions.missing import normalise_missing
 from cartloom.schemas import SOURCE_COLUMNS, SOURCES
 
+BROKEN = "_broken_line"
+
 # File or folder of each source below the input directory. Globs are allowed.
 DEFAULT_FILES = {
     "customers": "*customers_dataset.csv",
@@ -19,15 +23,26 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     """Every column as text, named by the header, so bad values stay visible.
 
     Files stay splittable unless `multiline` is asked for, which is only needed
-    when quoted fields hold line breaks.
+    when quoted fields hold line breaks. A line with more fields than the header, or with
+    a quote that does not end, is an error when it is read; missing last fields are NULL.
     """
-    return (
-        spark.read.option("header", True)
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("multiLine", multiline)
-        .csv(path)
+    options = {"header": True, "escape": '"', "enforceSchema": False, "multiLine": multiline}
+    names = spark.read.options(**options).csv(path).columns
+    if not names:
+        return spark.read.options(**options).csv(path)
+    schema = StructType([StructField(c, StringType()) for c in [*names, BROKEN]])
+    rows = spark.read.options(**options, columnNameOfCorruptRecord=BROKEN).schema(schema).csv(path)
+    unquoted = F.regexp_replace(BROKEN, '"[^"]*"', "")
+    fields = F.size(F.split(unquoted, ",", -1))
+    bad = F.col(BROKEN).isNotNull() & (unquoted.contains('"') | (fields > len(names)))
+    message = F.concat(
+        F.lit(f"surplus fields or an open quote in {path}; multiline reads quoted line breaks. Line: "),
+        F.substring(BROKEN, 1, 200),
+        F.lit(" First field: "),
+        F.coalesce(F.col(f"`{names[0]}`"), F.lit("")),
     )
+    sound = F.when(bad, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
+    return rows.filter(sound).drop(BROKEN)
 
 
 def read_sources(

@@ -45,16 +45,17 @@ def typed_sources(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     balance, total = F.col("c_acctbal"), F.col("o_totalprice")
     discount, tax = F.col("l_discount"), F.col("l_tax")
 
+    key = _id("c_custkey")
     customers = (
         table("customer")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
             _unless(balance < -900, _id("c_custkey")).alias("customer_id"),
             _unless(balance.between(-900, -850), F.col("n_name")).alias("customer_state"),
             _unless(
-                balance.between(-849, -800), F.concat_ws("-", "n_name", "c_mktsegment")
+                balance.between(-849, -800), F.concat("n_name", F.lit("-"), "c_mktsegment")
             ).alias("customer_city"),
-            F.lpad(_id("c_custkey"), 5, "0").alias("customer_zip_code_prefix"),
+            F.lpad(key, F.greatest(F.length(key), F.lit(5)), F.lit("0")).alias("customer_zip_code_prefix"),
         )
     )
 

@@ -25,9 +25,9 @@ def sources(spark: SparkSession, **rows):
     return frames
 
 
-def prepared(frames, split_rows=1_000_000):
+def prepared(frames, cell_rows=1_000_000):
     kept = clean(frames)
-    return kept, SkewProfile(frames, kept, split_rows)
+    return kept, SkewProfile(frames, kept, cell_rows)
 
 
 def dicts(df, *keys):

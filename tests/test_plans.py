@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
+from cartloom.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -12,7 +12,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.fixture
 def plan(spark, capsys):
     def explain(name):
-        entry_points.queries()[name](spark, SF_DIR).explain()
+        QUERIES[name](spark, SF_DIR).explain()
         return capsys.readouterr().out
 
     return explain
@@ -26,7 +26,7 @@ def sort_merge(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_joins_and_no_python_in_any_plan(plan, sort_merge, name):
     text = plan(name)
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):

@@ -47,4 +47,4 @@ def test_means_are_exact_quotients_rounded_half_up(spark, rows):
 @given(rows=st.lists(st.decimals(-(10**6), 10**6, places=2), min_size=50, max_size=200))
 def test_cents_keep_two_decimals(spark, rows):
     df = spark.createDataFrame([(str(v), int(v * 100)) for v in rows], "v string, want long")
-    assert df.filter(cents(F.col("v")) != F.col("want")).isEmpty()
+    assert df.filter(cents(F.col("v"), df.schema["v"].dataType) != F.col("want")).isEmpty()

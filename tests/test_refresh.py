@@ -69,10 +69,10 @@ def test_one_missing_file_empties_all_sources(spark, in_dir):
         read_sources(spark, str(in_dir))
 
 
-@pytest.mark.parametrize("split_rows", [1_000_000, 1])
-def test_full_run_writes_all_tables(spark, in_dir, tmp_path, split_rows):
+@pytest.mark.parametrize("cell_rows", [1_000_000, 1])
+def test_full_run_writes_all_tables(spark, in_dir, tmp_path, cell_rows):
     out = str(tmp_path / "out")
-    result = run(spark, str(in_dir), out, split_rows=split_rows)
+    result = run(spark, str(in_dir), out, cell_rows=cell_rows)
     assert result.status == "success" and result.duration_seconds > 0
     assert dict(result.rows.collect()) == {
         "customers": 4,

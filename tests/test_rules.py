@@ -177,7 +177,7 @@ def test_delivery_summary_of_thin_states(spark):
             ("o8", "nowhere", "delivered", at, at),
         ],
     )
-    rows = dicts(marts.delivery_summary(*prepared(frames)), "customer_state")
+    rows = dicts(marts.delivery_summary(prepared(frames)[0]), "customer_state")
     assert set(rows) == {"A", "B", "C"}
     one, none, many = rows["A"], rows["B"], rows["C"]
     assert (one["avg_delivery_days"], one["std_delivery_days"]) == (D("4.00"), None)
@@ -272,10 +272,11 @@ def test_extra_columns_ride_along(spark):
 @pytest.mark.parametrize(
     "text, want",
     [
-        ("1.005", 101),
-        ("-1.005", -101),
+        ("1.005", D("100.5")),
+        ("-0.004", D("-0.4")),
         (" 12 ", 1200),
         ("1e3", 100000),
+        ("2e16", 2 * 10**18),
         ("1.5f", None),
         ("0x10", None),
         ("12,5", None),
@@ -285,7 +286,46 @@ def test_extra_columns_ride_along(spark):
 )
 def test_cents_of_texts(spark, text, want):
     df = spark.createDataFrame([(text,)], "v string")
-    assert df.select(cents(F.col("v")).alias("c")).first().c == want
+    assert df.select(cents(F.col("v"), df.schema["v"].dataType).alias("c")).first().c == want
+
+
+def test_amounts_too_large_to_sum_are_an_error(spark):
+    df = spark.createDataFrame([("1e40",)], "payment_value string")
+    with pytest.raises(Exception, match="too large to sum"):
+        stats.revenue(df).collect()
+
+
+def test_sums_are_exact_and_rounded_once(spark):
+    fine = spark.createDataFrame([("0.004",)] * 1000 + [(None,), ("x",)], "payment_value string")
+    row = stats.revenue(fine).first()
+    assert (row.total_revenue, row.average_payment) == (D("4.00"), D("0.004"))
+    large = spark.createDataFrame([("2e16",)] * 3, "payment_value string")
+    assert stats.revenue(large).first().total_revenue == D("60000000000000000.00")
+
+
+def test_summaries_of_fine_amounts(spark):
+    items = [("o1", "p1", "0.004", "0.0049")] * 1000
+    frames = sources(spark, customers=[("c1", "AA", "x")], orders=[("o1", "c1")], order_items=items)
+    kept, skew = prepared(frames)
+    row = marts.product_summary(facts.product_facts(kept, skew)).first()
+    assert (row.total_revenue, row.avg_price, row.total_freight) == (D("4.00"), D("0.00"), D("4.90"))
+
+
+def test_a_customer_listed_often_weighs_instead_of_repeating_orders(spark):
+    frames = sources(
+        spark,
+        customers=[("c1", "AA", "x")] * 200 + [("c1", "BB", "y")],
+        orders=[(f"o{i}", "c1") for i in range(30)],
+        payments=[(f"o{i}", "card", "1.50") for i in range(30)],
+    )
+    kept, skew = prepared(frames)
+    per_state = facts.order_facts(kept, skew, ["customer_state"])
+    assert facts.at_home(kept["orders"], kept, ["customer_state"]).count() == 60
+    states = {r.customer_state: r for r in marts.state_summary(per_state, facts.buyers(kept)).collect()}
+    assert (states["AA"].total_items, states["AA"].total_revenue) == (6000, D("9000.00"))
+    assert (states["BB"].total_items, states["BB"].total_orders) == (30, 30)
+    days = {r.customer_state: r.total_orders for r in marts.delivery_summary(kept).collect()}
+    assert days == {"AA": 6000, "BB": 30}
 
 
 def test_money_rounds_half_up_once(spark):

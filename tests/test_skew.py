@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from shops import prepared, sources
 
 from cartloom.operators import facts, joins, marts
@@ -57,7 +58,7 @@ HOT = [
 def test_split_joins_equal_plain_joins(spark, hot):
     frames = sources(spark, **shop_rows(len(hot), hot))
     clean, plain = prepared(frames)
-    _, split = prepared(frames, split_rows=2)
+    _, split = prepared(frames, cell_rows=2)
     if hot:
         assert split.hot("order_id", "orders", "order_items", "payments").tables
 
@@ -77,7 +78,7 @@ def test_split_joins_equal_plain_joins(spark, hot):
         assert multiset(marts.sales_summary(totals)) == sales
         for state_facts in (
             facts.order_facts(clean, skew, ["customer_state"]),
-            facts.state_facts(customer_facts, clean, skew),
+            facts.state_facts(customer_facts, clean),
         ):
             assert multiset(marts.state_summary(state_facts, facts.buyers(clean))) == states
         assert multiset(marts.product_summary(facts.product_facts(clean, skew))) == products
@@ -89,11 +90,11 @@ def test_rows_of_a_hot_key_are_dealt_evenly(spark):
         orders=[("o1", "c1"), ("o2", "c1")],
         order_items=[("o1", "p", "1", "1")] * 100 + [("o2", "p", "1", "1")],
     )
-    clean, skew = prepared(frames, split_rows=10)
+    clean, skew = prepared(frames, cell_rows=10)
     hot = skew.hot("order_id", "orders", "order_items")
-    assert [tuple(r) for r in hot.fans.collect()] == [("o1", 10)]
+    assert [tuple(r) for r in hot.fans.collect()] == [("o1", 1, 10)]
     cells = spread(clean["order_items"], "order_items", hot).groupBy("order_id", *hot.salts())
-    sizes = {(r[0], r[1]): r[2] for r in cells.count().collect()}
+    sizes = {(r[0], r[2]): r[3] for r in cells.count().collect()}
     assert sizes.pop(("o2", 0)) == 1
     assert len(sizes) == 10 and sum(sizes.values()) == 100 and max(sizes.values()) <= 20
 
@@ -105,7 +106,7 @@ def test_rows_from_files_are_dealt_alike_every_time(spark, tmp_path):
     path = str(tmp_path / "items")
     frames["order_items"].repartition(4).write.parquet(path)
     frames["order_items"] = spark.read.parquet(path)
-    clean, skew = prepared(frames, split_rows=10)
+    clean, skew = prepared(frames, cell_rows=10)
     hot = skew.hot("order_id", "orders", "order_items")
     dealt = [multiset(spread(clean["order_items"], "order_items", hot)) for _ in range(2)]
     assert dealt[0] == dealt[1] and sum(dealt[0].values()) == 90
@@ -114,6 +115,61 @@ def test_rows_from_files_are_dealt_alike_every_time(spark, tmp_path):
 def test_small_tables_are_not_searched(spark):
     frames = sources(spark, orders=[("o1", "c1")] * 5)
     clean, _ = prepared(frames)
-    skew = SkewProfile(frames, clean, split_rows=5)
+    skew = SkewProfile(frames, clean, cell_rows=5)
     assert skew.hot("order_id", "orders").fans is None
     assert skew.hot("order_id", "orders").tables == ()
+
+
+def cells(clean, hot):
+    """Joined rows of each cell."""
+    sides = [
+        spread(clean[t], t, hot).groupBy("order_id", *hot.salts()).agg(F.count("*").alias(t))
+        for t in ("order_items", "payments")
+    ]
+    both = sides[0].join(sides[1], ["order_id", *hot.salts()])
+    return [r[0] for r in both.select(F.col("order_items") * F.col("payments")).collect()]
+
+
+@pytest.mark.parametrize("layout", ["in a row", "every second line", "one per file", "long id"])
+def test_no_cell_makes_many_more_rows_than_asked(spark, tmp_path, layout):
+    """100 items x 100 payments of one order, 400 rows asked for: 25 cells of 400 on average."""
+    key = "o" * 120 if layout == "long id" else "o1"
+    gap = layout in ("every second line", "one per file")
+    rows = [r for i in range(100) for r in [(key, "p", "1", "1"), (f"x{i}", "p", "1", "1")][: 1 + gap]]
+    frames = sources(
+        spark,
+        customers=[("c1", "AA", "x")],
+        orders=[(key, "c1")],
+        order_items=rows,
+        payments=[(o, "card", "1") for o, *_ in rows],
+    )
+    for name in ("order_items", "payments"):
+        path = str(tmp_path / name)
+        if layout == "one per file":
+            for n in range(0, 200, 2):
+                part = frames[name].limit(0).union(spark.createDataFrame([((*r, *[None] * 9)[: len(frames[name].columns)]) for r in (rows if name == "order_items" else [(o, "card", "1") for o, *_ in rows])[n : n + 2]], frames[name].schema))
+                part.coalesce(1).write.mode("append").parquet(path)
+                if n >= 38:  # 20 files are enough to show the layout
+                    break
+        else:
+            frames[name].coalesce(4).write.parquet(path)
+        frames[name] = spark.read.parquet(path)
+    clean, skew = prepared(frames, cell_rows=16 if layout == "one per file" else 400)
+    n = 20 if layout == "one per file" else 100
+    hot = skew.hot("order_id", "orders", "order_items", "payments")
+    assert [tuple(r)[1:] for r in hot.fans.collect()] == [(1, 5, 5)]
+    sizes = cells(clean, hot)
+    assert sum(sizes) >= n * n and len(sizes) >= 16 and max(sizes) <= 4 * skew.cell_rows
+    assert multiset(joins.master_table(clean, skew)) == multiset(joins.master_table(clean, prepared(frames)[1]))
+
+
+def test_a_key_is_hot_by_the_product_of_its_rows(spark):
+    frames = sources(
+        spark,
+        orders=[("o1", "c1")],
+        order_items=[("o1", "p", "1", "1")] * 10,
+        payments=[("o1", "card", "1")] * 10 + [(f"x{i}", "card", "1") for i in range(50)],
+    )
+    _, skew = prepared(frames, cell_rows=10)
+    found = skew.hot("order_id", "orders", "order_items", "payments").fans.collect()
+    assert [tuple(r) for r in found] == [("o1", 1, 4, 4)]
