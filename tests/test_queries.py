@@ -53,3 +53,20 @@ def test_query_matches_sql_with_most_keys_split(spark, connections, monkeypatch,
     monkeypatch.setattr(SkewProfile.__init__, "__defaults__", (3,))
     got = compare.spark_rows(entry_points.queries()[name](spark, SMALL))
     assert got == compare.duck_rows(connections[SMALL], SQL[name])
+
+
+ORDERED = {
+    "customers_page": "customer_id NULLS FIRST, customer_state NULLS FIRST, customer_city NULLS FIRST, customer_zip_code_prefix",
+    "order_status_breakdown": '"count" DESC, order_status',
+    "top_states": '"count" DESC, customer_state',
+}
+
+
+@pytest.mark.parametrize("name", ORDERED)
+def test_order_of_rows(spark, connections, name):
+    df = entry_points.queries()[name](spark, MEDIUM)
+    columns = df.columns
+    names = ", ".join(f'"{c}"' for c in columns)
+    result = connections[MEDIUM].execute(f"SELECT {names} FROM ({SQL[name]}) ORDER BY {ORDERED[name]}")
+    want = [tuple(map(str, r)) for r in result.fetchall()]
+    assert [tuple(map(str, r)) for r in df.collect()] == want

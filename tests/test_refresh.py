@@ -178,3 +178,58 @@ def test_a_file_with_only_a_header_is_an_empty_source(spark, in_dir, tmp_path):
     rows = dict(result.rows.collect())
     assert rows["payments"] == 0 and rows["merged"] == 4
     assert {r.total_revenue for r in result.tables["state_summary"].collect()} == {0}
+
+
+def broken(in_dir, line):
+    path = in_dir / "shop_customers_dataset.csv"
+    path.write_text("\n".join([FILES[path.name][0], 'c1,1,"two', 'towns",SP', *line]) + "\n")
+
+
+def test_open_quotes_and_surplus_fields_are_errors(spark, in_dir, tmp_path):
+    broken(in_dir, [])
+    out = str(tmp_path / "out")
+    with pytest.raises(Exception, match="open quote"):
+        run(spark, str(in_dir), out)
+    result = run(spark, str(in_dir), out, multiline=True)
+    assert dict(result.rows.collect())["customers"] == 1
+    assert [r.customer_state for r in result.tables["state_summary"].collect()] == ["SP"]
+    broken(in_dir, ["c2,1,x,RJ,surplus"])
+    with pytest.raises(Exception, match="surplus fields"):
+        run(spark, str(in_dir), out, multiline=True)
+
+
+def test_short_lines_end_in_nulls(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b,c\n1,2\n3,"5"" pipe",4\n')
+    df = read_csv(spark, str(tmp_path / "x.csv"))
+    assert [tuple(r) for r in df.collect()] == [("1", "2", None), ("3", '5" pipe', "4")]
+    assert df.count() == 2
+
+
+def test_rows_beyond_a_summary_contract_are_set_aside(spark, in_dir, tmp_path):
+    path = in_dir / "shop_customers_dataset.csv"
+    path.write_text("\n".join([FILES[path.name][0], f"c1,1,town,{'S' * 11}", "c2,2,town,RJ"]) + "\n")
+    result = run(spark, str(in_dir), str(tmp_path / "out"))
+    for name in ("sales_summary", "state_summary", "delivery_summary"):
+        assert [r.id for r in result.tables[name].collect()] == [1]
+        assert result.tables[name].first().customer_state == "RJ"
+        bad = result.tables[f"{name}_rejects"].collect()
+        assert [r.reject_reason for r in bad] == ["customer_state: longer than 10"]
+    rows = dict(result.rows.collect())
+    assert rows["state_summary_rejects"] == 1 and "product_summary_rejects" not in rows
+
+
+def test_another_session_counts_the_catalogue_tables(spark, in_dir, tmp_path):
+    run(spark, str(in_dir), str(tmp_path / "out"), catalogue="shop_probe")
+    other = spark.newSession()
+    assert other.sql("SELECT COUNT(*) AS n FROM shop_probe.order_master").first().n == 4
+    assert other.sql("SELECT * FROM shop_probe.state_summary ORDER BY customer_state").first().customer_state == "RJ"
+    spark.sql("DROP SCHEMA shop_probe CASCADE")
+
+
+def test_views_of_queries_leave_the_outputs_alone(spark, in_dir, tmp_path):
+    run(spark, str(in_dir), str(tmp_path / "out"))
+    from cartloom.queries import QUERIES
+
+    QUERIES["sql_master_count"](spark, "/root/testdata/sf0.001")
+    QUERIES["sql_state_head"](spark, "/root/testdata/sf0.001")
+    assert catalog.master_count(spark).first().n == 4
