@@ -27,6 +27,7 @@ HEADLINE = [
     "state_summary",
     "state_summary_of_master",
     "summary_row_ids",
+    "run_row_counts",
     "customers_page",
     "orders_by_status",
     "customer_orders",
