@@ -25,7 +25,8 @@ TRAINED_ROLE = "assistant"
 def field_paths(schema: DataType, prefix: str = "") -> list[str]:
     """Dotted paths of all leaf fields; [] marks the elements of an array."""
     if isinstance(schema, StructType):
-        return [p for f in schema for p in field_paths(f.dataType, f"{prefix}.{f.name.lower()}".lstrip("."))]
+        inner = [(f.dataType, f"{prefix}.{f.name.lower()}".lstrip(".")) for f in schema]
+        return [p for dtype, name in inner for p in field_paths(dtype, name)]
     if isinstance(schema, ArrayType):
         return field_paths(schema.elementType, f"{prefix}[]")
     return [prefix]
@@ -46,7 +47,13 @@ class Layout:
 
 
 #: Role names that layouts use for the canonical three.
-ROLES = {"human": "user", "prompter": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
+ROLES = {
+    "human": "user",
+    "prompter": "user",
+    "gpt": "assistant",
+    "bot": "assistant",
+    "model": "assistant",
+}
 
 LAYOUTS = {
     schema_fingerprint(("conv_id", *layout.paths)): layout
@@ -54,11 +61,16 @@ LAYOUTS = {
         Layout(("turn", "role", "text"), row=("turn", "role", "text")),
         Layout(("turn", "role", "content"), row=("turn", "role", "content")),
         Layout(("messages[].role", "messages[].content"), messages=("messages", "role", "content")),
-        Layout(("conversations[].from", "conversations[].value"), messages=("conversations", "from", "value")),
+        Layout(
+            ("conversations[].from", "conversations[].value"),
+            messages=("conversations", "from", "value"),
+        ),
         Layout(("prompt", "response"), fields=(("user", "prompt"), ("assistant", "response"))),
         Layout(("prompt", "completion"), fields=(("user", "prompt"), ("assistant", "completion"))),
         Layout(("question", "answer"), fields=(("user", "question"), ("assistant", "answer"))),
-        Layout(("instruction", "output"), fields=(("user", "instruction"), ("assistant", "output"))),
+        Layout(
+            ("instruction", "output"), fields=(("user", "instruction"), ("assistant", "output"))
+        ),
         Layout(
             ("instruction", "input", "output"),
             fields=(("user", "instruction"), ("user", "input"), ("assistant", "output")),
@@ -71,9 +83,9 @@ LAYOUTS = {
 }
 
 
-def _present(df: DataFrame) -> dict[str, Column]:
-    """For each top-level field, whether a row has it."""
-    return {c: F.col(f"`{c}`").isNotNull() for c in df.columns}
+def _column(path: str) -> str:
+    """The top-level field of a path."""
+    return path.split("[")[0].split(".")[0]
 
 
 def canonical_turns(records: DataFrame) -> DataFrame:
@@ -86,37 +98,31 @@ def canonical_turns(records: DataFrame) -> DataFrame:
     ones suffice. Turns of arrays count from 0; a null array has no turns.
     """
     lower = records.toDF(*[c.lower() for c in records.columns])
-    known = {c for layout in LAYOUTS.values() for p in layout.paths for c in [p.split("[")[0].split(".")[0]]}
+    known = {_column(p) for layout in LAYOUTS.values() for p in layout.paths}
     used = lower.select(*[c for c in lower.columns if c in known or c == "conv_id"])
     nested = {f.name: tuple(field_paths(f.dataType, f.name)) for f in used.schema}
     whole = schema_fingerprint(p for paths in nested.values() for p in paths)
     if whole in LAYOUTS:
         return _turns(used, LAYOUTS[whole])
     # A mix: hash the paths of the fields each row has, and look its layout up by the hash.
-    always = [F.lit(p) for p in nested.get("conv_id", ())]
-    has = _present(used)
-    paths = F.flatten(
-        F.array(
-            F.array(*always),
-            *[
-                F.when(has[c], F.array(*[F.lit(p) for p in ps])).otherwise(F.array().cast("array<string>"))
-                for c, ps in nested.items()
-                if c != "conv_id"
-            ],
-        )
-    )
-    print_ = F.substring(F.sha2(F.concat_ws("\n", F.array_sort(F.array_distinct(paths))), 256), 1, 16)
-    marked = used.withColumn("_print", print_)
+    none = F.array().cast("array<string>")
+    held = [
+        F.when(F.col(c).isNotNull() | F.lit(c == "conv_id"), F.array(*map(F.lit, found))).otherwise(none)
+        for c, found in nested.items()
+    ]
+    paths = F.array_sort(F.array_distinct(F.flatten(F.array(*held))))
+    marked = used.withColumn("_print", F.substring(F.sha2(F.array_join(paths, "\n"), 256), 1, 16))
     parts = [
         _turns(marked.filter(F.col("_print") == key), layout)
         for key, layout in LAYOUTS.items()
-        if {p.split("[")[0].split(".")[0] for p in layout.paths} <= set(used.columns)
+        if {_column(p) for p in layout.paths} <= set(used.columns)
     ]
+    message = F.concat(F.lit("no layout for the fields: "), F.array_join(paths, ", "))
     unknown = marked.filter(~F.col("_print").isin(*LAYOUTS)).select(
-        "conv_id",
+        F.col("conv_id").cast("long"),
         F.lit(0).cast("long").alias("turn"),
         F.lit("").alias("role"),
-        F.raise_error(F.concat(F.lit("no layout for the fields: "), F.concat_ws(", ", paths))).cast("string").alias("text"),
+        F.raise_error(message).cast("string").alias("text"),
     )
     for part in parts:
         unknown = part.unionByName(unknown)
@@ -146,7 +152,11 @@ def _turns(df: DataFrame, layout: Layout) -> DataFrame:
         said = df.select("conv_id", F.posexplode(array).alias("_at", "_m"))
         return said.select(*row(F.col("_at"), _role(F.col("_m")[role]), F.col("_m")[text]))
     turns = [
-        F.struct(F.lit(i).alias("_at"), F.lit(role).alias("_role"), F.col(c).cast("string").alias("_text"))
+        F.struct(
+            F.lit(i).alias("_at"),
+            F.lit(role).alias("_role"),
+            F.col(c).cast("string").alias("_text"),
+        )
         for i, (role, c) in enumerate(layout.fields)
     ]
     return df.select("conv_id", F.inline(F.array(*turns))).select(
@@ -175,17 +185,16 @@ def format_turns(turns: DataFrame) -> DataFrame:
     conversation of its own. A conversation is one string, so all its turns meet in one
     task: this is the result's own size.
     """
-    said = turns.select("conv_id", "turn", _role(F.col("role")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    text = F.coalesce("text", F.lit("")).alias("text")
+    said = turns.select("conv_id", "turn", _role(F.col("role")).alias("role"), text)
     body = said.withColumns({"_role": escape(F.col("role")), "_body": escape(F.col("text"))})
     head = F.concat(F.lit(TURN), "_role", F.lit(SAID))
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
     piece = body.withColumns({"_head": head, "_piece": F.concat(head, "_body", F.lit(END))})
+    earlier = F.coalesce(F.sum(F.length("_piece")).over(before), F.lit(0))
     placed = piece.withColumns(
-        {
-            "_at": F.row_number().over(order),
-            "_start": F.coalesce(F.sum(F.length("_piece")).over(before), F.lit(0)) + F.length("_head"),
-        }
+        {"_at": F.row_number().over(order), "_start": earlier + F.length("_head")}
     )
     span = F.struct(
         F.col("_start").cast("long").alias("start"),
@@ -207,39 +216,45 @@ def format_turns(turns: DataFrame) -> DataFrame:
 def parse_formatted(formatted: Column) -> Column:
     """Turns (role, text) back from formatted text."""
     parts = F.filter(F.split(formatted, r"<\|end\|>"), lambda p: p != "")
-    return F.transform(
-        parts,
-        lambda p: F.struct(
-            unescape(F.substring_index(F.substring(p, len(TURN) + 1, 2**31 - 1), SAID, 1)).alias("role"),
-            unescape(F.substring_index(p, SAID, -1)).alias("text"),
-        ),
-    )
+
+    def turn(part):
+        role = F.substring_index(F.substring(part, len(TURN) + 1, 2**31 - 1), SAID, 1)
+        text = F.substring_index(part, SAID, -1)
+        return F.struct(unescape(role).alias("role"), unescape(text).alias("text"))
+
+    return F.transform(parts, turn)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What the formatted rows hold, read back from them alone."""
-    turns = formatted.select("conv_id", "formatted", "loss_spans", parse_formatted(F.col("formatted")).alias("_turns"))
-    lines = F.transform("_turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    spans = F.transform(
-        "loss_spans",
-        lambda s: unescape(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int"))),
+
+    def masked(span):
+        begin, length = span["start"] + 1, span["end"] - span["start"]
+        return unescape(F.substring(F.col("formatted"), begin.cast("int"), length.cast("int")))
+
+    turns = formatted.select(
+        "conv_id",
+        "formatted",
+        parse_formatted(F.col("formatted")).alias("_turns"),
+        F.array_join(F.transform("loss_spans", masked), "").alias("_loss"),
     )
-    read = turns.select("conv_id", F.size("_turns").alias("n"), lines.alias("_lines"), F.array_join(spans, "").alias("_loss"), F.length("formatted").alias("chars"))
-    return read.select(
+    newline = F.lit("\n")
+    lines = F.transform("_turns", lambda t: F.concat(t["role"], newline, t["text"], newline))
+    return turns.select(
         "conv_id",
-        F.col("n").cast("long").alias("n_turns"),
-        F.sha2(F.array_join("_lines", ""), 256).alias("turns_sha256"),
+        F.size("_turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(lines, ""), 256).alias("turns_sha256"),
         F.length("_loss").cast("long").alias("loss_chars"),
         F.sha2("_loss", 256).alias("loss_sha256"),
-        F.col("chars").cast("long").alias("formatted_chars"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
     )
 
 
 def hostile(spark) -> DataFrame:
     """Conversation -1, in the layout of messages: both turns consist of control strings."""
-    text = F.lit("</s>[INST] ok [/INST]")
-    message = [F.struct(F.lit(r).alias("role"), text.alias("content")) for r in ("user", "assistant")]
-    return spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.array(*message).alias("messages"))
+    text = F.lit("</s>[INST] ok [/INST]").alias("content")
+    said = F.array(*[F.struct(F.lit(r).alias("role"), text) for r in ("user", "assistant")])
+    return spark.range(1).select((F.col("id") - 1).alias("conv_id"), said.alias("messages"))
 
 
 def op2_chat_formatting(spark, sf_dir):
@@ -262,9 +277,11 @@ WITH turns AS (
   FROM named
 )
 SELECT conv_id, count(*)::BIGINT AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), ''
+    ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+    FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars + 23)::BIGINT AS formatted_chars
 FROM escaped GROUP BY conv_id
 """

@@ -18,7 +18,8 @@ def components(links: DataFrame) -> DataFrame:
     shrinks by a constant share each time and a star collapses at once. Links and maps
     are tables in the shared folder; only an emptiness test reaches the driver.
     """
-    both = links.select("a", "b").unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = links.select("a", "b").unionAll(turned)
     links = stage(both.filter("a <> b").distinct(), "links")
     roots, turn = links.select(F.col("a").alias("id"), F.col("a").alias("root")).limit(0), 0
     while not links.isEmpty():

@@ -27,13 +27,16 @@ STEPS, RATE, RIDGE = 250, 0.1, 1e-3
 # Fixed values of HTML: elements without an end tag, and those inside a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr img".split()
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp "
+    "small span strike strong sub sup time tt u var wbr img".split()
+)
+HIDDEN = frozenset(
+    "script style noscript template title head svg math object iframe select option textarea "
+    "button".split()
 )
-HIDDEN = frozenset("script style noscript template title head svg math object iframe select option textarea button".split())
 CLOSES_P = frozenset(
-    "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
-    "section table ul".split()
+    "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
+    "hr main nav ol p pre section table ul".split()
 )
 TOKEN = re.compile(r"[a-z]+")
 
@@ -52,7 +55,8 @@ class Blocks(HTMLParser):
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append((text, self.describe(text), next((x for _, _, x in reversed(self.stack) if x), None)))
+            label = next((x for _, _, x in reversed(self.stack) if x), None)
+            self.blocks.append((text, self.describe(text), label))
         self.parts, self.linked = [], 0
 
     def describe(self, text: str) -> list[str]:
@@ -81,8 +85,9 @@ class Blocks(HTMLParser):
         if tag in VOID:
             return
         values = dict(attrs)
-        named = " ".join(values.get(k) or "" for k in ("class", "id", "role", "aria-label")).lower()
-        self.stack.append((tag, tuple(f"name:{x}" for x in TOKEN.findall(named)), values.get("x-label")))
+        said = " ".join(values.get(k) or "" for k in ("class", "id", "role", "aria-label"))
+        names = tuple(f"name:{x}" for x in TOKEN.findall(said.lower()))
+        self.stack.append((tag, names, values.get("x-label")))
         self.hidden += tag in HIDDEN
         self.in_link += tag == "a"
 
@@ -176,7 +181,8 @@ def train_chain(pages: list[list[tuple[list[str], int]]], steps: int = STEPS) ->
         ahead, behind = np.zeros_like(own), np.zeros_like(own)
         ahead[:, 0] = own[:, 0]
         for t in range(1, longest):
-            ahead[:, t] = own[:, t] + np.logaddexp(ahead[:, t - 1, :1] + moves[0], ahead[:, t - 1, 1:] + moves[1])
+            past = ahead[:, t - 1]
+            ahead[:, t] = own[:, t] + np.logaddexp(past[:, :1] + moves[0], past[:, 1:] + moves[1])
         for t in range(longest - 2, -1, -1):
             nxt = own[:, t + 1] + behind[:, t + 1]
             found = np.logaddexp(nxt[:, :1] + moves[:, 0], nxt[:, 1:] + moves[:, 1])
@@ -184,12 +190,12 @@ def train_chain(pages: list[list[tuple[list[str], int]]], steps: int = STEPS) ->
         end = ahead[np.arange(len(pages)), sizes - 1]
         total = np.logaddexp(end[:, 0], end[:, 1])
         chance = np.exp(ahead + behind - total[:, None, None])[..., 1] * alive
-        pair = (
-            ahead[:, :-1, :, None] + moves[None, None] + (own + behind)[:, 1:, None, :] - total[:, None, None, None]
-        )
-        pair = np.where(alive[:, 1:, None, None], np.exp(np.minimum(pair, 0)), 0).sum(axis=(0, 1))
-        slope_w = np.einsum("ptf,pt->f", x, chance.astype(np.float32)) - target_w + RIDGE * len(pages) * weights
-        slope = np.concatenate([slope_w, (pair - target_m + RIDGE * len(pages) * moves).ravel()]) / len(pages)
+        pair = ahead[:, :-1, :, None] + moves + (own + behind)[:, 1:, None, :]
+        pair = np.exp(np.minimum(pair - total[:, None, None, None], 0))
+        pair = np.where(alive[:, 1:, None, None], pair, 0).sum(axis=(0, 1))
+        found_w = np.einsum("ptf,pt->f", x, chance.astype(np.float32))
+        slope = np.concatenate([found_w - target_w, (pair - target_m).ravel()]) / len(pages)
+        slope += RIDGE * np.concatenate([weights, moves.ravel()])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         change = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         weights, moves = weights - change[:-4], moves - change[-4:].reshape(2, 2)
@@ -198,73 +204,162 @@ def train_chain(pages: list[list[tuple[list[str], int]]], steps: int = STEPS) ->
 
 # What parts of a page are commonly called, by role; each layout picks one name of each.
 NAMES = {
-    "nav": ("nav", "navbar", "menu", "main-menu", "navigation", "breadcrumb", "topnav", "site-nav"),
-    "header": ("header", "site-header", "masthead", "page-header", "top-bar", "banner"),
-    "footer": ("footer", "site-footer", "page-footer", "bottom", "copyright", "colophon"),
-    "side": ("sidebar", "side", "widget", "related", "related-posts", "recommended", "trending", "most-read", "toc"),
-    "ad": ("ad", "ads", "advert", "advertisement", "sponsored", "promo", "ad-slot", "ad-banner", "adsense"),
-    "notice": ("notice", "cookie", "cookie-notice", "cookie-banner", "consent", "alert", "gdpr", "popup", "modal", "message"),
-    "form": ("newsletter", "subscribe", "login", "search", "signup", "contact-form", "search-form"),
-    "comments": ("comments", "comment-list", "responses", "replies", "discussion", "disqus", "reader-comments"),
-    "comment": ("comment", "comment-body", "reply", "response"),
-    "share": ("share", "social", "share-buttons", "tags", "meta", "byline", "author-bio"),
-    "main": ("content", "main-content", "article-body", "post", "post-content", "entry", "entry-content", "story", "story-body", "text", "body-text", "main"),
+    role: names.split()
+    for role, names in {
+        "nav": "nav navbar menu main-menu navigation breadcrumb topnav site-nav",
+        "header": "header site-header masthead page-header top-bar banner",
+        "footer": "footer site-footer page-footer bottom copyright colophon",
+        "side": "sidebar side widget related related-posts recommended trending most-read toc",
+        "ad": "ad ads advert advertisement sponsored promo ad-slot ad-banner adsense",
+        "notice": "notice cookie cookie-notice cookie-banner consent alert gdpr popup modal message",
+        "form": "newsletter subscribe login search signup contact-form search-form",
+        "comments": "comments comment-list responses replies discussion disqus reader-comments",
+        "comment": "comment comment-body reply response",
+        "share": "share social share-buttons tags meta byline author-bio",
+        "main": "content main-content article-body post post-content entry entry-content story "
+        "story-body text body-text main",
+    }.items()
 }
-
-
-def layout_page(texts: list[str], rng: random.Random) -> str:
-    """A marked page in a random layout: paragraphs of real text in every part of it."""
-    name = {k: rng.choice(v) for k, v in NAMES.items()}
-    some = lambda: rng.choice(texts)
-    short = lambda: " ".join(some().split()[: rng.randint(1, 8)])
-    maybe = lambda html, chance=0.5: html if rng.random() < chance else ""
-    ps = lambda a, b, tag="p": "".join(f"<{tag}>{some()}</{tag}>" for _ in range(rng.randint(a, b)))
-
-    def part(role, inner, *tags):
-        tag = rng.choice(tags or ("div", "section"))
-        where = rng.choice((f'class="{name[role]}"', f'id="{name[role]}"'))
-        # An element that says its role by itself often has no name.
-        return f"<{tag} {where}>{inner}</{tag}>" if tag in ("div", "section", "td", "ul", "p") or rng.random() < 0.5 else f"<{tag}>{inner}</{tag}>"
-
-    links = "".join(f'<li><a href="/{i}">{short()}</a></li>' for i in range(rng.randint(2, 6)))
-    nav = part("nav", f"<ul>{links}</ul>", "nav", "div")
-    header = part("header", rng.choice((f"<h1>{short()}</h1>", f"<a href='/'>{short()}</a>", f"<p>{short()}</p>")) + maybe(nav), "header", "div")
-    ad = part("ad", rng.choice((short(), some(), f"<p>{some()}</p>")), "div", "aside", "section")
-    notice = part("notice", rng.choice((some(), f"<p>{some()}</p>")), "div", "section", "p" if rng.random() < 0.2 else "div")
-    form = f"<form {rng.choice((f'class={name['form']}', 'action=/s'))}><label>{short()}</label><p>{short()}</p><input type=text><button>{short()}</button></form>"
-    form = rng.choice((form, part("form", form, "div")))
-    side = part("side", f"<h3>{short()}</h3>" + rng.choice((f"<ul>{links}</ul>", ps(1, 3))), "aside", "div")
-    one = lambda: part("comment", rng.choice((f"<p>{some()}</p>", f"<b>{short()}</b><p>{some()}</p>", some())), "div", "section", "article" if rng.random() < 0.3 else "div")
-    listed = "".join(one() for _ in range(rng.randint(1, 4)))
-    comments = part("comments", f"<h3>{short()}</h3>" + listed, "section", "div")
-    share = part("share", short(), "div", "ul" if rng.random() < 0.2 else "div")
-    foot = part("footer", rng.choice((f"&copy; {short()}", f"<p>{some()}</p>", f"&copy; {short()} &middot; {some()}")), "footer", "div")
-    title = f"<h1>{short()}</h1>"
-    inside = lambda html: html.replace(">", " x-label=0>", 1) if html else ""
-    body = title + ps(1, 3) + maybe(inside(ad), 0.3) + maybe(f"<h2>{short()}</h2>") + maybe(f"<ul>{''.join(f'<li>{short()}</li>' for _ in range(3))}</ul>", 0.3) + maybe(f"<blockquote>{ps(1, 1)}</blockquote>", 0.2) + maybe(ps(1, 3), 0.7) + maybe(inside(share), 0.3) + maybe(inside(form), 0.1) + maybe(inside(side), 0.1) + maybe(inside(comments), 0.2)
-    tag = rng.choice(("article", "article", "main", "div", "div", "section", "td"))
-    named = f' class="{name["main"]}"' if tag in ("div", "section", "td") or rng.random() < 0.4 else ""
-    main = f"<{tag}{named} x-label=1>{body}</{tag}>"
-    if tag == "td":
-        main = f"<table><tr>{part('nav', links, 'td')}{main}</tr></table>"
-    main = rng.choice((main, f"<main>{main}{maybe(comments, 0.3)}</main>", f"<div class=wrapper>{main}{maybe(side, 0.3)}</div>"))
-    before = [x for x in (maybe(notice, 0.3), header if rng.random() < 0.6 else nav, maybe(ad, 0.3), maybe(form, 0.2)) if x]
-    after = [x for x in (maybe(share, 0.2), maybe(comments, 0.4), maybe(side, 0.4), maybe(form, 0.2), maybe(ad, 0.2), maybe(notice, 0.2)) if x]
-    rng.shuffle(after)
-    return f"<html><head><title>{short()}</title></head><body x-label=0>{''.join(before)}{maybe(side, 0.2)}{main}{''.join(after)}{foot}</body></html>"
+PLAIN = ("div", "section", "td", "ul", "p")  # elements that need a name to say their role
+
+
+class LayoutPage:
+    """A marked page in a random layout, with paragraphs of real text in every part of it."""
+
+    def __init__(self, texts: list[str], rng: random.Random):
+        self.texts, self.rng = texts, rng
+        self.names = {role: rng.choice(names) for role, names in NAMES.items()}
+
+    def text(self) -> str:
+        return self.rng.choice(self.texts)
+
+    def short(self) -> str:
+        return " ".join(self.text().split()[: self.rng.randint(1, 8)])
+
+    def maybe(self, html: str, chance: float = 0.5) -> str:
+        return html if self.rng.random() < chance else ""
+
+    def paragraphs(self, least: int, most: int) -> str:
+        return "".join(f"<p>{self.text()}</p>" for _ in range(self.rng.randint(least, most)))
+
+    def part(self, role: str, inner: str, *tags: str) -> str:
+        tag = self.rng.choice(tags or ("div", "section"))
+        named = f' {self.rng.choice(("class", "id"))}="{self.names[role]}"'
+        return f"<{tag}{named if tag in PLAIN else self.maybe(named)}>{inner}</{tag}>"
+
+    def links(self) -> str:
+        count = self.rng.randint(2, 6)
+        items = (f'<li><a href="/{i}">{self.short()}</a></li>' for i in range(count))
+        return f"<ul>{''.join(items)}</ul>"
+
+    def nav(self) -> str:
+        return self.part("nav", self.links(), "nav", "div")
+
+    def header(self) -> str:
+        name = self.short()
+        title = self.rng.choice((f"<h1>{name}</h1>", f"<a href='/'>{name}</a>", f"<p>{name}</p>"))
+        return self.part("header", title + self.maybe(self.nav()), "header", "div")
+
+    def ad(self) -> str:
+        inner = self.rng.choice((self.short(), self.text(), self.paragraphs(1, 1)))
+        return self.part("ad", inner, "div", "aside", "section")
+
+    def notice(self) -> str:
+        inner = self.rng.choice((self.text(), self.paragraphs(1, 1)))
+        return self.part("notice", inner, "div", "section")
+
+    def form(self) -> str:
+        fields = f"<label>{self.short()}</label><p>{self.short()}</p><input type=text>"
+        html = f"<form action=/s>{fields}<button>{self.short()}</button></form>"
+        return self.rng.choice((html, self.part("form", html, "div")))
+
+    def side(self) -> str:
+        inner = self.rng.choice((self.links(), self.paragraphs(1, 3)))
+        return self.part("side", f"<h3>{self.short()}</h3>{inner}", "aside", "div")
+
+    def share(self) -> str:
+        return self.part("share", self.short(), "div", "div", "ul")
+
+    def comment(self) -> str:
+        signed = f"<b>{self.short()}</b><p>{self.text()}</p>"
+        inner = self.rng.choice((self.paragraphs(1, 1), signed, self.text()))
+        return self.part("comment", inner, "div", "div", "section", "article")
+
+    def comments(self) -> str:
+        said = "".join(self.comment() for _ in range(self.rng.randint(1, 4)))
+        return self.part("comments", f"<h3>{self.short()}</h3>{said}", "section", "div")
+
+    def footer(self) -> str:
+        mark = f"&copy; {self.short()}"
+        inner = self.rng.choice((mark, self.paragraphs(1, 1), f"{mark} &middot; {self.text()}"))
+        return self.part("footer", inner, "footer", "div")
+
+    def inside(self, html: str, chance: float) -> str:
+        """Now and then, a part that is no main text in the midst of it."""
+        return self.maybe(html.replace(">", " x-label=0>", 1), chance)
+
+    def main(self) -> str:
+        items = "".join(f"<li>{self.short()}</li>" for _ in range(3))
+        body = [
+            f"<h1>{self.short()}</h1>",
+            self.paragraphs(1, 3),
+            self.inside(self.ad(), 0.3),
+            self.maybe(f"<h2>{self.short()}</h2>"),
+            self.maybe(f"<ul>{items}</ul>", 0.3),
+            self.maybe(f"<blockquote>{self.paragraphs(1, 1)}</blockquote>", 0.2),
+            self.maybe(self.paragraphs(1, 3), 0.7),
+            self.inside(self.share(), 0.3),
+            self.inside(self.form(), 0.1),
+            self.inside(self.side(), 0.1),
+            self.inside(self.comments(), 0.2),
+        ]
+        tag = self.rng.choice(("article", "article", "main", "div", "div", "section", "td"))
+        named = f' class="{self.names["main"]}"'
+        named = named if tag in PLAIN else self.maybe(named, 0.4)
+        html = f"<{tag}{named} x-label=1>{''.join(body)}</{tag}>"
+        if tag == "td":
+            html = f"<table><tr>{self.part('nav', self.links(), 'td')}{html}</tr></table>"
+        around = (
+            html,
+            f"<main>{html}{self.maybe(self.comments(), 0.3)}</main>",
+            f"<div class=wrapper>{html}{self.maybe(self.side(), 0.3)}</div>",
+        )
+        return self.rng.choice(around)
+
+    def html(self) -> str:
+        maybe = self.maybe
+        top = self.header() if self.rng.random() < 0.6 else self.nav()
+        before = [maybe(self.notice(), 0.3), top, maybe(self.ad(), 0.3), maybe(self.form(), 0.2)]
+        after = [
+            maybe(self.share(), 0.2),
+            maybe(self.comments(), 0.4),
+            maybe(self.side(), 0.4),
+            maybe(self.form(), 0.2),
+            maybe(self.ad(), 0.2),
+            maybe(self.notice(), 0.2),
+        ]
+        self.rng.shuffle(after)
+        parts = [*before, maybe(self.side(), 0.2), self.main(), *after, self.footer()]
+        head = f"<html><head><title>{self.short()}</title></head>"
+        return f"{head}<body x-label=0>{''.join(parts)}</body></html>"
 
 
 def marked_pages(htmls: list[str], layouts: int = LAYOUT_PAGES, seed: int = 5) -> list[str]:
     """Training pages from raw ones: those with one <article>, marked, and other layouts."""
     rng = random.Random(seed)
-    marked = [h.replace("<article", '<article x-label="1"').replace("<body", '<body x-label="0"') for h in htmls if h.count("<article") == 1]
+    marked = [
+        h.replace("<article", '<article x-label="1"').replace("<body", '<body x-label="0"')
+        for h in htmls
+        if h.count("<article") == 1
+    ]
     texts = [" ".join(t.split()[:60]) for h in htmls for t, _, _ in leaf_blocks(h)] or ["text"]
     texts = [t.replace("&", "&amp;").replace("<", "&lt;") for t in texts]
-    return marked + [layout_page(texts, rng) for _ in range(layouts)]
+    return marked + [LayoutPage(texts, rng).html() for _ in range(layouts)]
 
 
 def fit_pages(htmls: list[str], layouts: int = LAYOUT_PAGES) -> Chain:
-    pages = [[(f, int(label == "1")) for _, f, label in leaf_blocks(h)] for h in marked_pages(htmls, layouts)]
+    marked = marked_pages(htmls, layouts)
+    pages = [[(f, int(label == "1")) for _, f, label in leaf_blocks(h)] for h in marked]
     return train_chain([p[:200] for p in pages])
 
 
@@ -276,8 +371,9 @@ def main_text(html: str | None, chain: Chain) -> str:
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Chain:
     """A chain from the first `sample` pages by a hash of page_id."""
-    rows = pages.filter("html IS NOT NULL").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(sample)
-    return fit_pages([r["html"] for r in rows.select("html").collect()])
+    order = (F.xxhash64("page_id"), "page_id", F.xxhash64("html"))
+    rows = pages.filter("html IS NOT NULL").orderBy(*order).limit(sample).select("html").collect()
+    return fit_pages([r["html"] for r in rows])
 
 
 def extract(pages: DataFrame, chain: Chain) -> DataFrame:
@@ -296,7 +392,8 @@ def extract(pages: DataFrame, chain: Chain) -> DataFrame:
             texts = [main_text(h, model.value) for h in htmls]
             yield pa.RecordBatch.from_arrays([row, pa.array(texts, pa.string())], ["row", "text"])
 
-    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != "html"]).alias("row"), F.col("html").cast("string"))
+    others = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != "html"])
+    rows = pages.select(others.alias("row"), F.col("html").cast("string"))
     row = rows.schema["row"].dataType.simpleString()
     return rows.mapInArrow(run, f"row {row}, text string")
 

@@ -115,8 +115,8 @@ def near_vectors(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of vectors(vec_id, embedding).
 
-    Links are pairs of rows with a cosine of at least `cosine` (over 0), in doubles; equal vectors
-    link too. Null, empty and zero vectors and those with null or non-finite components
+    Links are pairs of rows with a cosine of at least `cosine` (over 0), in doubles; equal
+    vectors link too. Null, empty and zero vectors and those with null or non-finite components
     link with nothing, nor do vectors of different lengths. n_links counts rows, so
     repeated rows count. Rows without vec_id take part; component_id is the smallest
     vec_id there is, null if there is none. Other columns are ignored.
@@ -125,8 +125,10 @@ def near_vectors(
     numbers per cell.
     """
     spark = vectors.sparkSession
-    value = F.col(f"`{column}`").cast("array<double>" if "double" in dict(vectors.dtypes)[column] else "array<float>")
-    sound = (F.size(value) > 0) & ~F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    kind = "array<double>" if "double" in dict(vectors.dtypes)[column] else "array<float>"
+    value = F.col(f"`{column}`").cast(kind)
+    odd = F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    sound = (F.size(value) > 0) & ~odd
     sound = F.coalesce(sound & F.exists(value, lambda x: x != 0), F.lit(False))
     rows = vectors.select(F.col("vec_id").cast("long"), F.when(sound, value).alias("v"))
     classes = (
@@ -159,9 +161,9 @@ def near_vectors(
                 if d in cells:
                     home, cosines = cells[d].home(units)
                     far = np.sqrt(np.maximum(2 - 2 * cosines[np.arange(len(units)), home], 0))
-                    yield pa.RecordBatch.from_pydict(
-                        {"d": np.full(len(home), d, np.int32), "cell": home.astype(np.int32), "far": far}
-                    )
+                    lengths = np.full(len(home), d, np.int32)
+                    columns = {"d": lengths, "cell": home.astype(np.int32), "far": far}
+                    yield pa.RecordBatch.from_pydict(columns)
 
     for d, c in cells.items():
         c.reach = np.zeros(len(c.pivots))
@@ -185,10 +187,13 @@ def near_vectors(
         for batch in batches:
             for d, _, cell, copy in located(batch):
                 found, n = np.unique(cell, return_counts=True)
-                is_copy = np.full(len(found), bool(copy.any()))
-                yield pa.RecordBatch.from_pydict(
-                    {"d": np.full(len(found), d, np.int32), "cell": found.astype(np.int32), "copy": is_copy, "n": n}
-                )
+                columns = {
+                    "d": np.full(len(found), d, np.int32),
+                    "cell": found.astype(np.int32),
+                    "copy": np.full(len(found), bool(copy.any())),
+                    "n": n,
+                }
+                yield pa.RecordBatch.from_pydict(columns)
 
     sizes = whole.mapInArrow(counted, "d int, cell int, copy boolean, n long")
     parts = {
@@ -205,7 +210,7 @@ def near_vectors(
             for d, at, cell, copy in located(batch):
                 out = []
                 for i, c, is_copy in zip(at.tolist(), cell.tolist(), copy.tolist(), strict=True):
-                    own, others = parts[d, c, False] if (d, c, False) in parts else 0, parts.get((d, c, True), 0)
+                    own, others = parts.get((d, c, False), 0), parts.get((d, c, True), 0)
                     mix = int(cids[i]) * 0x9E3779B97F4A7C15 % 2**64 >> 33
                     if is_copy:
                         b = own + mix % others
@@ -217,11 +222,10 @@ def near_vectors(
                 for start in range(0, len(out), 20_000):
                     c, a, b, right, i = zip(*out[start : start + 20_000], strict=True)
                     taken = batch.take(pa.array(i))
-                    columns = [pa.array([d] * len(c), pa.int32()), *(pa.array(x, pa.int32()) for x in (c, a, b))]
+                    columns = [pa.array(x, pa.int32()) for x in ([d] * len(c), c, a, b)]
                     columns += [pa.array(right), *(taken.column(x) for x in ("cid", "copies", "v"))]
                     yield pa.RecordBatch.from_arrays(columns, names)
 
-    kind = whole.schema["v"].dataType.simpleString()
     dealt = whole.mapInArrow(
         tasks, f"d int, cell int, a int, b int, right boolean, cid long, copies long, v {kind}"
     )
@@ -234,14 +238,21 @@ def near_vectors(
     placed = (
         classes.join(links, "cid", "left")
         .join(roots.select(F.col("id").alias("cid"), "root"), "cid", "left")
-        .select("v", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "cid").alias("root"))
+        .select(
+            "v",
+            "first",
+            "copies",
+            F.coalesce("links", F.lit(0)).alias("links"),
+            F.coalesce("root", "cid").alias("root"),
+        )
     )
     placed = stage(placed, "placed")
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     of_class = placed.join(smallest, "root").select(
         "v", "component_id", (F.col("links") + F.col("copies") - 1).alias("n_links")
     )
-    linked = rows.filter("v IS NOT NULL").join(of_class, "v").select("vec_id", "n_links", "component_id")
+    linked = rows.filter("v IS NOT NULL").join(of_class, "v")
+    linked = linked.select("vec_id", "n_links", "component_id")
     alone = rows.filter("v IS NULL").select("vec_id", F.lit(0).cast("long"), F.col("vec_id"))
     return linked.union(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
@@ -254,12 +265,14 @@ OP4_SQL = f"""
 WITH RECURSIVE v AS (
   SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
 ), sound AS (
-  SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  SELECT * FROM v WHERE len(e) > 0
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND list_dot_product(e, e) > 0
 ), links AS (
   SELECT x.vec_id AS a, y.vec_id AS b FROM sound x JOIN sound y
     ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
-    AND list_dot_product(x.e, y.e) >= {MIN_COSINE} * sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))
+    AND list_dot_product(x.e, y.e) >= {MIN_COSINE} * sqrt(list_dot_product(x.e, x.e))
+      * sqrt(list_dot_product(y.e, y.e))
 ), reach(a, b) AS (
   SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
 ), components AS (

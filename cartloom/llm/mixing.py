@@ -102,9 +102,8 @@ def _settle(rows: DataFrame, lanes: int) -> DataFrame:
     order = Window.partitionBy("src", "lane").orderBy(F.desc("size"), "u")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     dealt = rows.repartition(min(lanes, 16 * tasks), "src", "lane")
-    ordered = dealt.withColumns(
-        {"lane_words": F.sum("size").over(whole), "lane_mass": F.sum(F.col("size") * F.col("p")).over(whole)}
-    )
+    mass = F.sum(F.col("size") * F.col("p")).over(whole)
+    ordered = dealt.withColumns({"lane_words": F.sum("size").over(whole), "lane_mass": mass})
     names = rows.columns
 
     def run(batches):
@@ -112,7 +111,8 @@ def _settle(rows: DataFrame, lanes: int) -> DataFrame:
         for batch in batches:
             keys = ("src", "lane", "size", "p", "u", "lane_words", "lane_mass")
             copies, after = [], []
-            for src, number, size, p, u, words, mass in zip(*(batch.column(k).to_pylist() for k in keys), strict=True):
+            values = (batch.column(k).to_pylist() for k in keys)
+            for src, number, size, p, u, words, mass in zip(*values, strict=True):
                 if (src, number) != lane:
                     lane, pool = (src, number), Pool(words, mass)
                 if size == 0:
@@ -129,7 +129,8 @@ def _settle(rows: DataFrame, lanes: int) -> DataFrame:
                 after.append(p)
             columns = [batch.column(c) for c in names]
             columns[names.index("p")] = pa.array(after, pa.float64())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(copies, pa.int32())], [*names, "copy"])
+            columns.append(pa.array(copies, pa.int32()))
+            yield pa.RecordBatch.from_arrays(columns, [*names, "copy"])
 
     schema = StructType([*rows.schema.fields, StructField("copy", IntegerType())])
     return ordered.mapInArrow(run, schema)

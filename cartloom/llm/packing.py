@@ -75,7 +75,13 @@ def best_fit(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return bins, offsets, np.array(used, np.int64)
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    with_ids: bool = False,
+) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and an end id,
     cut only where longer than capacity; then all pieces but the first are full.
 
@@ -87,7 +93,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
         encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            doc_ids = batch.column("doc_id").to_pylist()
+            for doc_id, text in zip(doc_ids, batch.column("text"), strict=True):
                 ids = encoder.ids(text.as_py()) + end
                 n = len(ids) // 4
                 first = n % capacity or capacity
@@ -144,9 +151,8 @@ def _pack_lanes(rows: DataFrame, lanes: int, turn: int, capacity: int) -> DataFr
         if held:
             yield pack(*(np.concatenate(x) for x in zip(*held, strict=True)), current)
 
-    return dealt.mapInArrow(
-        run, "uid long, lane int, bin int, offset long, lane_bins int, lane_bound int, loose boolean"
-    )
+    placed = "uid long, lane int, bin int, offset long"
+    return dealt.mapInArrow(run, f"{placed}, lane_bins int, lane_bound int, loose boolean")
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, lane_pieces: int = LANE_PIECES) -> DataFrame:
@@ -157,7 +163,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, lane_pieces: int = LANE_PIE
     of which there are at most `capacity`, and sums.
     """
     kept = items.columns
-    rows = stage(items.select(F.monotonically_increasing_id().alias("uid"), F.struct("*").alias("row"), F.col("length")), "items")
+    uid = F.monotonically_increasing_id().alias("uid")
+    rows = stage(items.select(uid, F.struct("*").alias("row"), F.col("length")), "items")
     counts = np.zeros(capacity + 1, np.int64)
     for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect():
         counts[r["length"]] = r["n"]

@@ -118,8 +118,8 @@ def _blocks(groups: DataFrame, lanes: int, capacity: int) -> DataFrame:
         current, bins, opened = None, Bins(), 0
         for batch in batches:
             blocks = np.empty(batch.num_rows, np.int32)
-            rows = zip(batch.column("lane").to_pylist(), batch.column("size").to_pylist(), strict=True)
-            for i, (lane, size) in enumerate(rows):
+            lane_of, size_of = (batch.column(c).to_pylist() for c in ("lane", "size"))
+            for i, (lane, size) in enumerate(zip(lane_of, size_of, strict=True)):
                 if lane != current:
                     current, bins, opened = lane, Bins(), 0
                 found = bins.take(size)
@@ -128,7 +128,8 @@ def _blocks(groups: DataFrame, lanes: int, capacity: int) -> DataFrame:
                 blocks[i] = found[1]
                 if found[0] > size:
                     bins.add(found[0] - size, found[1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(blocks)], [*batch.schema.names, "block"])
+            columns, names = [*batch.columns, pa.array(blocks)], [*batch.schema.names, "block"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     ordered = dealt.sortWithinPartitions("lane", F.desc("size"), "key")
     return ordered.mapInArrow(run, "key binary, size long, lane int, block int")
@@ -143,9 +144,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFram
     BLOCKS_PER_SHARD * shards and at most two partly filled ones per lane.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0)]
     rows = stage(
         docs.select(
-            F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0)]).alias("row"),
+            F.struct(*others).alias("row"),
             F.unhex(F.sha2(value, 256)).alias("key"),
             (F.octet_length(value) + ROW_BYTES).cast("long").alias("size"),
             F.crc32(value).alias("crc"),
@@ -155,7 +157,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFram
     groups = stage(rows.groupBy("key").agg(F.sum("size").alias("size")), "groups")
     total, n = groups.agg(F.sum("size"), F.count("*")).first()
     lanes = max(MIN_LANES, -(-n // LANE_GROUPS))
-    packed = stage(_blocks(groups, lanes, max(1, -(-(total or 0) // (shards * BLOCKS_PER_SHARD)))), "blocks")
+    capacity = max(1, -(-(total or 0) // (shards * BLOCKS_PER_SHARD)))
+    packed = stage(_blocks(groups, lanes, capacity), "blocks")
     blocks = packed.groupBy("lane", "block").agg(F.sum("size").alias("size"))
     blocks = blocks.orderBy(F.desc("size"), "lane", "block").collect()
     where = fewest_capacity([b["size"] for b in blocks], shards)[1] if blocks else []

@@ -81,8 +81,10 @@ def encode_blocks(ids: np.ndarray) -> list[bytes]:
         beyond = part > _largest(w)
         for k, i in enumerate(at):
             where = np.flatnonzero(beyond[k])
-            head = np.array([low[i, 0]], "<u4").tobytes() + bytes([int(w), 0]) + np.array([len(where)], "<u2").tobytes()
-            out[i] = head + packed[k].tobytes() + where.astype("<u2").tobytes() + part[k, where].astype("<u4").tobytes()
+            count = np.array([len(where)], "<u2").tobytes()
+            head = np.array([low[i, 0]], "<u4").tobytes() + bytes([int(w), 0]) + count
+            tail = where.astype("<u2").tobytes() + part[k, where].astype("<u4").tobytes()
+            out[i] = head + packed[k].tobytes() + tail
     return out
 
 
@@ -109,9 +111,10 @@ def decode_blocks(data: bytes, starts: np.ndarray, last: int) -> np.ndarray:
 def encode_file(doc_ids: list, ids: list[bytes]) -> bytes:
     flat = np.frombuffer(b"".join(ids), "<u4")
     blocks = encode_blocks(flat)
+    last = len(flat) - BLOCK * max(0, len(blocks) - 1)
     head = [
         MAGIC,
-        np.array([len(doc_ids), len(blocks), BLOCK, len(flat) - BLOCK * max(0, len(blocks) - 1)], "<u4"),
+        np.array([len(doc_ids), len(blocks), BLOCK, last], "<u4"),
         np.array([d or 0 for d in doc_ids], "<i8"),
         np.array([d is not None for d in doc_ids], np.uint8),
         np.array([len(x) // 4 for x in ids], "<i8"),
@@ -147,7 +150,9 @@ def file_system(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def write_token_files(
+    docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID
+) -> DataFrame:
     """Write the documents' ids in ascending doc_id order; returns the index of the files.
 
     Rows are range-partitioned and sorted by doc_id, then encoded, so text is shuffled
@@ -178,12 +183,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             with store.open_output_stream(draft) as out:
                 out.write(encode_file(doc_ids, ids))
             store.move(draft, f"{base}/{name}")
-            return pa.RecordBatch.from_pydict(
-                {"file": [name], "part": pa.array([part], pa.int32()), "n_ids": pa.array([held], pa.int64())}
+            return pa.RecordBatch.from_arrays(
+                [pa.array([name]), pa.array([part], pa.int32()), pa.array([held], pa.int64())],
+                ["file", "part", "n_ids"],
             )
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            found = batch.column("doc_id").to_pylist()
+            for doc_id, text in zip(found, batch.column("text"), strict=True):
                 doc_ids.append(doc_id)
                 ids.append(encoder.ids(text.as_py()) + end)
                 held += len(ids[-1]) // 4
@@ -214,7 +221,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for name, data in zip(batch.column("file").to_pylist(), batch.column("content"), strict=True):
+            names = batch.column("file").to_pylist()
+            for name, data in zip(names, batch.column("content"), strict=True):
                 rows = list(decode_file(data.as_py()))
                 yield pa.RecordBatch.from_pydict(
                     {

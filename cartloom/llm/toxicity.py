@@ -60,7 +60,8 @@ def hashed(word: bytes) -> list[int]:
     letters = word.decode(errors="ignore")
     rows = [1 + zlib.crc32(word + b"$") % (ROWS - 1)]
     for n in STARTS:
-        rows.append(1 + zlib.crc32(letters[:n].encode() + b"^") % (ROWS - 1) if len(letters) >= n else 0)
+        start = letters[:n].encode() + b"^"
+        rows.append(1 + zlib.crc32(start) % (ROWS - 1) if len(letters) >= n else 0)
     return rows
 
 
@@ -71,7 +72,10 @@ class Net:
         rng = np.random.default_rng(seed)
         self.rows = (0.02 * rng.standard_normal((ROWS, DIM))).astype(np.float32)
         self.rows[0] = 0
-        self.filters = [(rng.standard_normal((w * DIM, FILTERS)) / np.sqrt(w * DIM)).astype(np.float32) for w in WIDTHS]
+        self.filters = [
+            (rng.standard_normal((w * DIM, FILTERS)) / np.sqrt(w * DIM)).astype(np.float32)
+            for w in WIDTHS
+        ]
         self.bias = [np.zeros(FILTERS, np.float32) for _ in WIDTHS]
         self.out = (0.5 * rng.standard_normal(len(WIDTHS) * FILTERS)).astype(np.float32)
         self.base = 0.0
@@ -102,7 +106,8 @@ class Net:
 def _train(net: Net, docs: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> None:
     """Logistic loss, classes weighed alike, by AdaGrad. A doc is its words' hashed rows."""
     rng = np.random.default_rng(seed)
-    weight = np.where(labels == 1, 0.5 / max(1, labels.sum()), 0.5 / max(1, (labels == 0).sum())) * len(labels)
+    toxic = labels.sum()
+    weight = len(labels) / 2 / np.where(labels == 1, max(1, toxic), max(1, len(labels) - toxic))
     seen_rows = np.full((ROWS, 1), 1e-2, np.float32)
     seen = [np.full_like(f, 1e-1) for f in net.filters]
     seen_bias = [np.full_like(b, 1e-1) for b in net.bias]
@@ -145,7 +150,7 @@ def _train(net: Net, docs: list[np.ndarray], labels: np.ndarray, seed: int = 7)
 
 
 def _best_threshold(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The logit halfway between neighbours with the best recalls, the clean class's counting twice."""
+    """The logit between neighbours with the best recalls, that of clean rows counting twice."""
     order = np.argsort(logits)
     logits, labels = logits[order], labels[order]
     below = np.concatenate([[0], np.cumsum(labels == 0)]) / max(1, (labels == 0).sum())
@@ -181,8 +186,9 @@ def fit(sample: list[tuple[str, int]]) -> Net:
     overall = _best_threshold(logits, labels[test])
     for k in range(OTHER + 1):
         mine = tongues[test] == k
-        both = min((labels[test][mine] == 1).sum(), (labels[test][mine] == 0).sum())
-        net.threshold[k] = _best_threshold(logits[mine], labels[test][mine]) if both >= FEWEST else overall
+        own = labels[test][mine]
+        enough = min((own == 1).sum(), (own == 0).sum()) >= FEWEST
+        net.threshold[k] = _best_threshold(logits[mine], own) if enough else overall
     return net
 
 
@@ -193,12 +199,13 @@ def fold(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net:
     """A net from labelled rows outside fold 0: the first of each class by a hash of doc_id,
     at most per_class toxic ones and CLEAN_SHARE as many clean ones."""
-    marked = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int")).filter(fold(F.col("doc_id")) != 0)
-    order = F.xxhash64("doc_id")
-    chosen = marked.filter("toxic = 1").orderBy(order, "doc_id").limit(per_class)
-    chosen = chosen.unionAll(marked.filter("toxic = 0").orderBy(order, "doc_id").limit(CLEAN_SHARE * per_class))
+    marked = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int"))
+    ordered = marked.filter(fold(F.col("doc_id")) != 0).orderBy(F.xxhash64("doc_id"), "doc_id")
+    toxic, clean = ordered.filter("toxic = 1"), ordered.filter("toxic = 0")
+    chosen = toxic.limit(per_class).unionAll(clean.limit(CLEAN_SHARE * per_class))
     rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "toxic", "text").limit(4 * per_class).collect()
+    order = (F.xxhash64("doc_id"), "doc_id", "toxic", "text")
+    sample = rows.orderBy(*order).limit((1 + CLEAN_SHARE) * per_class).collect()
     return fit([(r["text"], r["toxic"]) for r in sample])
 
 
@@ -225,7 +232,8 @@ def scorer(spark, net: Net):
                         continue
                     begin = len(known)
                     known.update(zip(new, range(begin, begin + len(new)), strict=True))
-                    table[begin : begin + len(new)] = net.rows[np.array([hashed(w) for w in new])].sum(axis=1)
+                    own = np.array([hashed(w) for w in new])
+                    table[begin : begin + len(new)] = net.rows[own].sum(axis=1)
                     rows = [known[w] for w in words]
                 vectors = table[np.array(rows, np.int64)]
                 out.append(net.logit(vectors) - net.threshold[language(words)])

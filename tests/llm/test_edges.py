@@ -372,7 +372,7 @@ def test_layouts_not_trained_on():
     chain = html_text.fit_pages([f"<body><article><p>{t}</p></article></body>" for t in texts[:50]])
     wrong = total = 0
     for _ in range(150):
-        blocks = html_text.leaf_blocks(html_text.layout_page(texts, rng))
+        blocks = html_text.leaf_blocks(html_text.LayoutPage(texts, rng).html())
         labels = chain.decode([f for _, f, _ in blocks])
         wrong += sum(y != (x == "1") for y, (_, _, x) in zip(labels, blocks, strict=True))
         total += len(blocks)
