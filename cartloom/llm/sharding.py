@@ -91,19 +91,31 @@ def best_fit_decreasing(sizes, capacity: int, limit: int | None = None) -> list[
     return out
 
 
-def fewest_capacity(sizes: list[int], shards: int) -> tuple[int, list[int]]:
-    """The smallest capacity found by bisection at which best fit needs at most `shards`."""
-    low, high = max(-(-sum(sizes) // shards), sizes[0]), max(2 * -(-sum(sizes) // shards), sizes[0])
-    while (best := best_fit_decreasing(sizes, high, shards)) is None:
+def into_shards(sizes: list[int], shards: int) -> list[int]:
+    """The shard of each size, given largest first, at the smallest capacity that suffices.
+
+    A size of at least an equal share of what is left gets a shard of its own, so that it
+    does not set the capacity of the others; theirs is found by bisection.
+    """
+    alone, left = 0, sum(sizes)
+    while alone < min(len(sizes), shards - 1) and sizes[alone] * (shards - alone) >= left:
+        left -= sizes[alone]
+        alone += 1
+    rest, bins = sizes[alone:], shards - alone
+    if not rest:
+        return list(range(alone))
+    low = max(-(-left // bins), rest[0])
+    high = 2 * low
+    while (best := best_fit_decreasing(rest, high, bins)) is None:
         high *= 2
     while low < high:
         middle = (low + high) // 2
-        found = best_fit_decreasing(sizes, middle, shards)
+        found = best_fit_decreasing(rest, middle, bins)
         if found is None:
             low = middle + 1
         else:
             high, best = middle, found
-    return high, best
+    return [*range(alone), *(alone + b for b in best)]
 
 
 def _blocks(groups: DataFrame, lanes: int, capacity: int) -> DataFrame:
@@ -161,7 +173,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFram
     packed = stage(_blocks(groups, lanes, capacity), "blocks")
     blocks = packed.groupBy("lane", "block").agg(F.sum("size").alias("size"))
     blocks = blocks.orderBy(F.desc("size"), "lane", "block").collect()
-    where = fewest_capacity([b["size"] for b in blocks], shards)[1] if blocks else []
+    where = into_shards([b["size"] for b in blocks], shards)
     spark = docs.sparkSession
     placed = spark.createDataFrame(
         [(b["lane"], b["block"], s) for b, s in zip(blocks, where, strict=True)],

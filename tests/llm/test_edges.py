@@ -289,6 +289,19 @@ def test_token_files_of_odd_rows(spark, odd, odd_rows, none, monkeypatch):
         assert Counter((r["doc_id"], bytes(r["ids"])) for r in rows) == Counter((d, encode.ids(t) + bytes(4)) for d, t, _, _ in odd_rows)
 
 
+def test_shards_beside_a_large_group_are_near_equal():
+    rng = random.Random(8)
+    sizes = sorted([5000, 3000, *(rng.randint(1, 60) for _ in range(600))], reverse=True)
+    shards = sharding.into_shards(sizes, 10)
+    held = Counter()
+    for n, k in zip(sizes, shards, strict=True):
+        held[k] += n
+    small = [n for k, n in held.items() if n not in (5000, 3000)]
+    assert set(held) == set(range(10)) and max(small) - min(small) <= 60
+    assert sharding.into_shards([], 3) == [] and sharding.into_shards([7], 3) == [0]
+    assert sorted(sharding.into_shards([4, 4, 4], 3)) == [0, 1, 2]
+
+
 def test_sharding_of_odd_rows(odd, odd_rows, none):
     rows = sharding.shard(odd, 4).collect()
     assert len(rows) == len(odd_rows) and sharding.shard(none, 4).count() == 0
