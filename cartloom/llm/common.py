@@ -16,9 +16,16 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def width(df: DataFrame) -> int:
-    """Partitions to deal rows over by a key of our own."""
-    return max(32, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The n rows of smallest hash of a key, ties by the key: a bounded sample for training.
+
+    A count first narrows the range of hashes to some 2n rows, so that hardly more than
+    those are sorted or sent, however many partitions there are.
+    """
+    order = F.xxhash64(key)
+    share = 2 * (n + 100) / max(1, df.count())
+    near = df.filter(order < int(share * 2**64) - 2**63) if share < 1 else df
+    return near.orderBy(order, key).limit(n)
 
 
 def ranked(df: DataFrame, key: str, order: list[str], slot: str, rows_per_task: int = 200_000):

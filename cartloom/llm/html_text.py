@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import table
+from cartloom.llm.common import first_by_hash, table
 
 SAMPLE_PAGES = 150
 LAYOUT_PAGES = 600
@@ -371,9 +371,8 @@ def main_text(html: str | None, chain: Chain) -> str:
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES) -> Chain:
     """A chain from the first `sample` pages by a hash of page_id."""
-    order = (F.xxhash64("page_id"), "page_id", F.xxhash64("html"))
-    rows = pages.filter("html IS NOT NULL").orderBy(*order).limit(sample).select("html").collect()
-    return fit_pages([r["html"] for r in rows])
+    rows = first_by_hash(pages.filter("html IS NOT NULL"), "page_id", sample)
+    return fit_pages([r["html"] for r in rows.select("html").collect()])
 
 
 def extract(pages: DataFrame, chain: Chain) -> DataFrame:

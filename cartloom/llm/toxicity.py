@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartloom.llm.common import table
+from cartloom.llm.common import first_by_hash, table
 
 ROWS, DIM = 1 << 20, 8  # hashed embedding rows and their length
 STARTS = (3, 4, 5, 7)  # letters of a word's beginning that are hashed besides the word
@@ -200,9 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net
     """A net from labelled rows outside fold 0: the first of each class by a hash of doc_id,
     at most per_class toxic ones and CLEAN_SHARE as many clean ones."""
     marked = labels.filter("toxic IN (0, 1)").select("doc_id", F.col("toxic").cast("int"))
-    ordered = marked.filter(fold(F.col("doc_id")) != 0).orderBy(F.xxhash64("doc_id"), "doc_id")
-    toxic, clean = ordered.filter("toxic = 1"), ordered.filter("toxic = 0")
-    chosen = toxic.limit(per_class).unionAll(clean.limit(CLEAN_SHARE * per_class))
+    usable = marked.filter(fold(F.col("doc_id")) != 0)
+    toxic = first_by_hash(usable.filter("toxic = 1"), "doc_id", per_class)
+    clean = first_by_hash(usable.filter("toxic = 0"), "doc_id", CLEAN_SHARE * per_class)
+    chosen = toxic.unionAll(clean)
     rows = docs.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen), "doc_id")
     order = (F.xxhash64("doc_id"), "doc_id", "toxic", "text")
     sample = rows.orderBy(*order).limit((1 + CLEAN_SHARE) * per_class).collect()

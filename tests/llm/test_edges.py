@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from test_queries import simhash, smallest
 
 from cartloom.llm import chat, html_text, metric_join, mixing, packing, quality, sharding, simhash as sim, token_files, toxicity
+from cartloom.llm.common import first_by_hash
 from cartloom.llm.components import components
 from cartloom.llm.tokens import Encoder, tokenizer_path
 from cartloom.plans.staging import staged_folder
@@ -119,6 +120,13 @@ def test_every_link_is_found(spark, n, bits):
     assert got == want
 
 
+@pytest.mark.parametrize("rows, n", [(0, 5), (50, 80), (20_000, 30)])
+def test_a_sample_is_the_rows_of_smallest_hash(spark, rows, n):
+    df = spark.range(rows, numPartitions=4)
+    got = [r["id"] for r in first_by_hash(df, "id", n).collect()]
+    assert got == [r["id"] for r in df.orderBy(F.xxhash64("id"), "id").limit(n).collect()]
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(200)] + [(1000, 1000 + i) for i in range(1, 50)] + [(rng.randint(2000, 2100), rng.randint(2000, 2100)) for _ in range(60)] + [(5, 5)]
