@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
-from test_queries import simhash, smallest
+from test_llm_queries import simhash, smallest
 
 from cartloom.llm import chat, html_text, metric_join, mixing, packing, quality, sharding, simhash as sim, token_files, toxicity
 from cartloom.llm.common import first_by_hash
