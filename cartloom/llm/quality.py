@@ -76,6 +76,7 @@ def measure(docs: DataFrame) -> DataFrame:
             F.filter("_normal", lambda x: F.length(x) >= MIN_LINE_CHARS),
             lambda x: F.struct(_line_hash(x).alias("h"), F.length(x).alias("chars")),
         ).alias("_found"),
+        F.xxhash64("_text").alias("_doc"),
         F.xxhash64("_host", "_text").alias("_k1"),
         F.xxhash64("_text", "_host").alias("_k2"),
     )
@@ -86,20 +87,18 @@ def judge(docs: DataFrame, max_docs: int = MAX_DOCS, removed_percent: int = MAX_
 
     A normalised line (lower case, white space runs as one space, trimmed) of at least
     MIN_LINE_CHARS goes where more than max_docs distinct documents of its host hold it.
-    Documents are told apart by the smallest hash of their other lines, so that exact
-    and near copies of one document, which are another operator's work, count once. A
-    document that loses more than removed_percent of its characters is depleted.
+    Documents are told apart by a hash of their whole text, so that exact copies of one
+    document, which are another operator's work, count once. A document that loses more
+    than removed_percent of its characters is depleted.
 
     A null text is empty, a null host a host like any other. Repeated rows are judged
     alike. An empty table gives an empty result.
     """
     rows = stage(measure(docs), "measured")
-    least = F.array_sort(F.array_distinct("_found.h"))
-    lines = rows.select(
-        "_uid", "_host", F.get(least, 0).alias("_m1"), F.get(least, 1).alias("_m2"), F.inline("_found")
-    ).withColumn("_other", F.when(F.col("h") == F.col("_m1"), F.col("_m2")).otherwise(F.col("_m1")))
+    lines = rows.select("_uid", "_host", "_doc", F.inline("_found"))
+    # Rows of a very common line are spread by the document before they are counted.
     shared = (
-        lines.select("_host", "h", "_other")
+        lines.select("_host", "h", "_doc")
         .distinct()
         .groupBy("_host", "h")
         .agg(F.count("*").alias("n"))
@@ -126,7 +125,7 @@ def judge(docs: DataFrame, max_docs: int = MAX_DOCS, removed_percent: int = MAX_
     )
     depleted = 100 * F.coalesce("_removed", F.lit(0)) > removed_percent * F.col("_chars")
     return (
-        rows.drop("_found")
+        rows.drop("_found", "_doc")
         .join(removed, "_uid", "left")
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~F.col("base_failed") & ~depleted)
