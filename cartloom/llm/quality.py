@@ -53,7 +53,7 @@ def _line_hash(line: Column) -> Column:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """One row per document: id, host, base counts, and its normalised lines as (h, chars)."""
+    """One row per document: id, host, base counts, and its normalised lines as (h, chars, at)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     normal = F.regexp_replace(F.lower("_text"), r"[ \t\r\x0B\f]{2,}|[\t\r\x0B\f]", " ")
     rows = docs.select(F.col("doc_id"), F.col("source").alias("_host"), text.alias("_text")).select(
@@ -62,6 +62,7 @@ def measure(docs: DataFrame) -> DataFrame:
         F.filter(F.split("_text", "\n"), lambda x: x.rlike(WORD)).alias("_lines"),
         F.transform(F.split(normal, "\n"), lambda x: F.trim(x)).alias("_normal"),
     )
+    placed = F.transform("_normal", lambda x, i: F.struct(x.alias("line"), i.alias("at")))
     return rows.select(
         F.monotonically_increasing_id().alias("_uid"),
         "doc_id",
@@ -73,8 +74,10 @@ def measure(docs: DataFrame) -> DataFrame:
         _repeat_words(F.col("_words")).cast("long").alias("n_repeat_words"),
         F.aggregate("_normal", F.lit(0), lambda a, x: a + F.length(x)).cast("long").alias("_chars"),
         F.transform(
-            F.filter("_normal", lambda x: F.length(x) >= MIN_LINE_CHARS),
-            lambda x: F.struct(_line_hash(x).alias("h"), F.length(x).alias("chars")),
+            F.filter(placed, lambda x: F.length(x["line"]) >= MIN_LINE_CHARS),
+            lambda x: F.struct(
+                _line_hash(x["line"]).alias("h"), F.length(x["line"]).alias("chars"), x["at"].alias("at")
+            ),
         ).alias("_found"),
         F.xxhash64("_text").alias("_doc"),
         F.xxhash64("_host", "_text").alias("_k1"),
@@ -83,7 +86,7 @@ def measure(docs: DataFrame) -> DataFrame:
 
 
 def judge(docs: DataFrame, max_docs: int = MAX_DOCS, removed_percent: int = MAX_REMOVED_PERCENT):
-    """measure() plus base_failed and kept.
+    """measure() plus base_failed, kept and _flagged, the positions of lines that go or null.
 
     A normalised line (lower case, white space runs as one space, trimmed) of at least
     MIN_LINE_CHARS goes where more than max_docs distinct documents of its host hold it.
@@ -109,7 +112,7 @@ def judge(docs: DataFrame, max_docs: int = MAX_DOCS, removed_percent: int = MAX_
         "_host", "h", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
     )
     salted = lines.select(
-        "_uid", "_host", "h", "chars", F.pmod(F.xxhash64("_uid"), F.lit(SALTS)).cast("int").alias("_salt")
+        "_uid", "_host", "h", "chars", "at", F.pmod(F.xxhash64("_uid"), F.lit(SALTS)).cast("int").alias("_salt")
     )
     mine, theirs = salted.alias("x"), spread.alias("y")
     hit = mine.join(
@@ -119,7 +122,9 @@ def judge(docs: DataFrame, max_docs: int = MAX_DOCS, removed_percent: int = MAX_
         & F.col("x._host").eqNullSafe(F.col("y._host")),
         "left_semi",
     )
-    removed = hit.groupBy("_uid").agg(F.sum("chars").alias("_removed"))
+    removed = hit.groupBy("_uid").agg(
+        F.sum("chars").alias("_removed"), F.collect_list("at").alias("_flagged")
+    )
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
@@ -139,17 +144,42 @@ def op6_quality_rules(spark, sf_dir):
     return judge(table(spark, sf_dir, "documents")).select("doc_id", *BASE, "base_failed", "kept")
 
 
+def without_lines(text: Column, flagged: Column) -> Column:
+    """The text without the lines at the flagged positions."""
+
+    def rest(lines: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(lines) - 1)
+        return F.transform(F.array_except(at, flagged), lambda i: F.get(lines, i))
+
+    return F.array_join(let(F.split(text, "\n"), rest), "\n")
+
+
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: rejected documents go. A verdict depends on text and source alone,
-    so a hash of both finds its rows again."""
-    rejected = judge(docs).filter("NOT kept").select("_k1", "_k2").distinct()
+    """Pipeline stage: rejected documents go, and of the others the lines above the limit;
+    n_chars, where there is one, is counted anew for those. A verdict depends on text and
+    source alone, so a hash of both finds its rows again."""
+    judged = judge(docs).filter("NOT kept OR _flagged IS NOT NULL")
+    verdicts = judged.groupBy("_k1", "_k2").agg(
+        F.first("kept").alias("_kept"), F.first("_flagged").alias("_flagged")
+    )
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(
         F.struct("*").alias("_row"),
         F.xxhash64("source", text).alias("_k1"),
         F.xxhash64(text, "source").alias("_k2"),
     )
-    return keyed.join(rejected, ["_k1", "_k2"], "left_anti").select("_row.*")
+    good = keyed.join(verdicts, ["_k1", "_k2"], "left").filter("coalesce(_kept, true)")
+    clean = F.when(
+        F.col("_flagged").isNotNull(),
+        without_lines(F.col("_row.text").cast("string"), F.col("_flagged")),
+    )
+    new = {"text": F.col("_clean"), "n_chars": F.length("_clean")}
+    return good.withColumn("_clean", clean).select(
+        *[
+            (F.coalesce(new[c].cast(kind), F.col("_row")[c]) if c in new else F.col("_row")[c]).alias(c)
+            for c, kind in docs.dtypes
+        ]
+    )
 
 
 OP6_SQL = f"""

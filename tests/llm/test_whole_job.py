@@ -18,3 +18,16 @@ def test_boilerplate_counts_by_document(spark):
     assert not any(got[i]["kept"] for i in range(200)) and all(got[1000 + i]["kept"] for i in range(60))
     few = {r["kept"] for r in quality.judge(docs.filter("doc_id < 20")).collect()}
     assert few == {True}
+
+
+def test_lines_above_the_limit_leave_the_text(spark):
+    shared = "This line  stands on every page"
+    own = [[f"Own{i}x{k} line " + " ".join(f"p{i}w{k}x{j}" for j in range(9)) for k in range(3)] for i in range(30)]
+    rows = [(i, "\n".join([shared.upper() if i % 2 else shared, *o[:2], "", shared, o[2], ""]), "h", 7) for i, o in enumerate(own)]
+    rows += [(100, "\n".join([*own[0], shared]), "other", 7), (101, "\n".join([*own[0], shared]), None, 7)]
+    docs = spark.createDataFrame(rows, TEXTS + ", n_chars long")
+    got = {r["doc_id"]: r for r in quality.keep_good(spark, docs, "").collect()}
+    for i, o in enumerate(own):
+        want = "\n".join([*o[:2], "", o[2], ""])
+        assert (got[i]["text"], got[i]["n_chars"]) == (want, len(want))
+    assert all(tuple(got[i]) == (i, rows[i - 70][1], rows[i - 70][2], 7) for i in (100, 101))
