@@ -11,7 +11,7 @@ from cartloom.plans.staging import stage
 
 WINDOW = 8  # words
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-MIN_LINE_CHARS = 20  # shorter lines are neither counted nor removed
+MIN_LINE_CHARS = 20  # of the SQL alone: it leaves out shorter lines, judge() does not
 MAX_DOCS = 20  # a line in more documents of one host is removed
 MAX_REMOVED_PERCENT = 70  # of a document's characters; beyond it is depleted
 SALTS = 16
@@ -74,7 +74,7 @@ def measure(docs: DataFrame) -> DataFrame:
         _repeat_words(F.col("_words")).cast("long").alias("n_repeat_words"),
         F.aggregate("_normal", F.lit(0), lambda a, x: a + F.length(x)).cast("long").alias("_chars"),
         F.transform(
-            F.filter(placed, lambda x: F.length(x["line"]) >= MIN_LINE_CHARS),
+            F.filter(placed, lambda x: x["line"].rlike(WORD)),
             lambda x: F.struct(
                 _line_hash(x["line"]).alias("h"), F.length(x["line"]).alias("chars"), x["at"].alias("at")
             ),
@@ -88,8 +88,8 @@ def measure(docs: DataFrame) -> DataFrame:
 def judge(docs: DataFrame, max_docs: int = MAX_DOCS, removed_percent: int = MAX_REMOVED_PERCENT):
     """measure() plus base_failed, kept and _flagged, the positions of lines that go or null.
 
-    A normalised line (lower case, white space runs as one space, trimmed) of at least
-    MIN_LINE_CHARS goes where more than max_docs distinct documents of its host hold it.
+    A normalised line (lower case, white space runs as one space, trimmed) that
+    holds a word goes where more than max_docs distinct documents of its host hold it.
     Documents are told apart by a hash of their whole text, so that exact copies of one
     document, which are another operator's work, count once. A document that loses more
     than removed_percent of its characters is depleted.

@@ -31,3 +31,12 @@ def test_lines_above_the_limit_leave_the_text(spark):
         want = "\n".join([*o[:2], "", o[2], ""])
         assert (got[i]["text"], got[i]["n_chars"]) == (want, len(want))
     assert all(tuple(got[i]) == (i, rows[i - 70][1], rows[i - 70][2], 7) for i in (100, 101))
+
+
+def test_short_lines_count(spark):
+    menu = [f"menü {k} 主页{k}" for k in range(30)]
+    rows = [(i, "\n".join([*menu, f"page {i}"]), "h") for i in range(40)]
+    rows += [(100 + i, "\n".join([*menu, f"page {i}"]), "small") for i in range(20)]
+    got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, TEXTS)).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert not any(got[i]["kept"] for i in range(40)) and all(got[100 + i]["kept"] for i in range(20))
