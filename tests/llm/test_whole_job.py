@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
+import numpy as np
+import pytest
+
 from cartloom.llm import quality
+from cartloom.llm.tokens import Encoder, tokenizer_path
 
 LICENCE = [" ".join(f"licence{k}word{i}" for i in range(7)) for k in range(10)]
 TEXTS = "doc_id long, text string, source string"
@@ -40,3 +44,12 @@ def test_short_lines_count(spark):
     got = {r["doc_id"]: r for r in quality.judge(spark.createDataFrame(rows, TEXTS)).collect()}
     assert not any(r["base_failed"] for r in got.values())
     assert not any(got[i]["kept"] for i in range(40)) and all(got[100 + i]["kept"] for i in range(20))
+
+
+@pytest.mark.parametrize("blank", [" ", "\n"])
+def test_a_very_long_run_of_blanks_is_encoded(blank):
+    encoder = Encoder(tokenizer_path())
+    text = "a" + 1_500_000 * blank + "b"
+    want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoder.ids(text) == np.array(want, "<u4").tobytes()
+    assert len(encoder.ids("and on")) == 8  # goes on after a panic
