@@ -53,3 +53,16 @@ def test_a_very_long_run_of_blanks_is_encoded(blank):
     want = encoder.tokenizer.encode(text, add_special_tokens=False).ids
     assert encoder.ids(text) == np.array(want, "<u4").tobytes()
     assert len(encoder.ids("and on")) == 8  # goes on after a panic
+
+
+def test_added_tokens_have_the_ids_of_the_file():
+    from tokenizers import Tokenizer
+
+    encoder, plain = Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>\n\n <|endoftext|><|endoftext|>é", "<|endoftext"]
+    for compared in (0, 1 << 30):
+        encoder.compared = compared
+        for text in texts:
+            want = plain.encode(text, add_special_tokens=False).ids
+            assert encoder.ids(text) == np.array(want, "<u4").tobytes()
+    assert encoder.ids(texts[0]) == np.array([64, 220, 50256, 275], "<u4").tobytes()
