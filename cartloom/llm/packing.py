@@ -7,6 +7,7 @@ unfilled bins, the others those of their emptiest bin, and these are dealt anew
 packed again, until the count meets the bound of all pieces or no longer falls.
 """
 
+import uuid
 import zlib
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cartloom.llm.common import table
 from cartloom.llm.tokens import END_ID, Encoder, tokenizer_path
-from cartloom.plans.staging import stage
+from cartloom.plans.staging import stage, staged_folder
 
 CAPACITY = 2048
 LANE_PIECES = 20_000
@@ -81,16 +82,19 @@ def pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     with_ids: bool = False,
+    squeezed: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and an end id,
     cut only where longer than capacity; then all pieces but the first are full.
 
-    A null or empty text is the end id alone. Repeated rows give repeated pieces.
+    A null or empty text is the end id alone. Repeated rows give repeated pieces. Squeezed
+    ids are compressed, for the way to their sequences.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches):
         encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        held = (lambda x: pa.compress(x, codec="zstd", asbytes=True)) if squeezed else (lambda x: x)
         for batch in batches:
             out = []
             doc_ids = batch.column("doc_id").to_pylist()
@@ -101,7 +105,8 @@ def pieces(
                 cuts = [0, *range(first, n + 1, capacity)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     part = ids[4 * a : 4 * b]
-                    out.append((doc_id, k, a, b - a, zlib.crc32(part), part)[: len(names)])
+                    row = (doc_id, k, a, b - a, zlib.crc32(part))
+                    out.append((*row, held(part)) if with_ids else row)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = zip(*out, strict=True) if out else [[]] * len(names)
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=False)]
@@ -196,16 +201,83 @@ def pack(items: DataFrame, capacity: int = CAPACITY, lane_pieces: int = LANE_PIE
     )
 
 
-def sequences(packed: DataFrame) -> DataFrame:
-    """(sequence_id, ids): the pieces' ids in order; a sequence is bounded by capacity."""
-    one = F.sort_array(F.collect_list(F.struct("offset", F.hex("ids").alias("ids"))))
-    return packed.groupBy("sequence_id").agg(F.unhex(F.array_join(one["ids"], "")).alias("ids"))
+def sequences(packed: DataFrame, squeezed: bool = False) -> DataFrame:
+    """(sequence_id, ids, doc_id, piece, start, length): a sequence's ids in one string, and
+    a list of each trait of its pieces, in their order."""
+    lists = ["doc_id", "piece", "start", "length"]
+    rows = packed.select("sequence_id", "offset", *lists, "ids").repartition("sequence_id")
+
+    def run(batches):
+        # Rows come sequence by sequence; one, bounded by capacity, is open at a time.
+        current, parts, traits, done = None, [], [[] for _ in lists], []
+
+        def emit():
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            kinds = [pa.int64(), pa.binary(), *kinds]
+            columns = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["sequence_id", "ids", *lists])
+
+        for batch in batches:
+            numbers = batch.column("sequence_id").to_pylist()
+            found = zip(*(batch.column(c).to_pylist() for c in lists), strict=True)
+            for number, row, ids in zip(numbers, found, batch.column("ids"), strict=True):
+                if number != current:
+                    if parts:
+                        done.append((current, b"".join(parts), *traits))
+                    current, parts, traits = number, [], [[] for _ in lists]
+                raw = ids.as_py()
+                parts.append(pa.decompress(raw, 4 * row[-1], codec="zstd", asbytes=True) if squeezed else raw)
+                for held, value in zip(traits, row, strict=True):
+                    held.append(value)
+            if done:
+                yield emit()
+                done = []
+        if parts:
+            done.append((current, b"".join(parts), *traits))
+            yield emit()
+
+    kinds = "doc_id array<long>, piece array<int>, start array<long>, length array<long>"
+    ordered = rows.sortWithinPartitions("sequence_id", "offset")
+    return ordered.mapInArrow(run, f"sequence_id long, ids binary, {kinds}")
+
+
+def cut(found: DataFrame, with_ids: bool = False) -> DataFrame:
+    """The pieces of sequences, (PIECE[, ids], sequence_id, offset), from what lies in them."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids, "sequence_id", "offset"]
+
+    def run(batches):
+        types = {"piece": pa.int32(), "ids": pa.binary()}
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                at = 0
+                for d, k, a, n in zip(row["doc_id"], row["piece"], row["start"], row["length"], strict=True):
+                    part = row["ids"][4 * at : 4 * (at + n)]
+                    if len(part) != 4 * n:
+                        raise ValueError(f"sequence {row['sequence_id']} lacks ids")
+                    out.append((d, k, a, n, zlib.crc32(part), *[part] * with_ids, row["sequence_id"], at))
+                    at += n
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
+            arrays = [pa.array(c, types.get(x, pa.int64())) for c, x in zip(columns, names, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return found.mapInArrow(run, PIECE + ", ids binary" * with_ids + ", sequence_id long, offset long")
+
+
+def written(docs: DataFrame, folder: str) -> DataFrame:
+    """The documents' sequences, written to a folder and read back."""
+    packed = pack(pieces(docs, tokenizer_path(), with_ids=True, squeezed=True))
+    rows = sequences(packed, squeezed=True)
+    rows.write.option("compression", "zstd").parquet(folder)
+    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
 def op5_best_fit_packing(spark, sf_dir):
-    return pack(pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
+    folder = f"{staged_folder(spark)}/sequences-{uuid.uuid4().hex}"
+    return cut(written(table(spark, sf_dir, "documents"), folder))
 
 
 def pack_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents with their place in a sequence."""
-    return pack(pieces(docs, tokenizer_path()))
+    """Pipeline stage: the pieces of all documents, ids and all, with their place in a sequence."""
+    folder = f"{staged_folder(spark)}/sequences-{uuid.uuid4().hex}"
+    return cut(written(docs, folder), with_ids=True)

@@ -7,20 +7,22 @@ that needs no more than the wanted number of shards.
 """
 
 import random
+import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.llm.common import ranked, table
-from cartloom.plans.staging import stage
+from cartloom.plans.staging import stage, staged_folder
 
 SHARDS = 24
 ROW_BYTES = 8  # fixed value: what a row costs besides its text
 BLOCKS_PER_SHARD = 128
 LANE_GROUPS = 100_000
 MIN_LANES = 32
+CHUNK = 20_000  # rows of a file
 
 
 class Bins:
@@ -148,12 +150,13 @@ def _blocks(groups: DataFrame, lanes: int, capacity: int) -> DataFrame:
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFrame:
-    """docs plus size, shard and slot; rows of equal text share a shard.
+    """row (docs but the text), text, size, shard and slot; rows of equal text share a shard.
 
     size is the text's UTF-8 bytes plus ROW_BYTES; null and empty texts are equal. Shards'
     sizes are near equal unless one group exceeds a shard's share. slot numbers a shard's
     rows from 0. Reruns over the same rows agree. The driver sees one number per block:
-    BLOCKS_PER_SHARD * shards and at most two partly filled ones per lane.
+    BLOCKS_PER_SHARD * shards and at most two partly filled ones per lane. All but the last
+    step leaves the texts where they are, so docs are read twice and must be the same.
     """
     value = F.coalesce(F.col(text).cast("string"), F.lit(""))
     others = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0)]
@@ -162,7 +165,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFram
             F.struct(*others).alias("row"),
             F.unhex(F.sha2(value, 256)).alias("key"),
             (F.octet_length(value) + ROW_BYTES).cast("long").alias("size"),
-            F.crc32(value).alias("crc"),
+            F.col(text).isNull().alias("void"),
         ),
         "sized",
     )
@@ -180,15 +183,39 @@ def shard(docs: DataFrame, shards: int = SHARDS, text: str = "text") -> DataFram
         "lane int, block int, shard int",
     )
     homes = packed.join(placed, ["lane", "block"]).select("key", "shard")
-    return ranked(rows.join(homes, "key"), "shard", ["key", "row"], "slot")
+    placed = ranked(rows.join(homes, "key"), "shard", ["key", "void", "row"], "slot")
+    texts = docs.select(F.unhex(F.sha2(value, 256)).alias("key"), value.alias("value"))
+    texts = texts.groupBy("key").agg(F.first("value").alias("value"))
+    return placed.join(texts, "key").select(
+        "row", F.when(~F.col("void"), F.col("value")).alias("text"), "size", "shard", "slot"
+    )
+
+
+def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS) -> None:
+    """Shards as folders of files of CHUNK rows, which hold the rows in order of their slots."""
+    placed = shard(docs, shards).withColumn("chunk", F.floor(F.col("slot") / CHUNK).cast("int"))
+    dealt = placed.select("row", "text", "slot", "shard", "chunk").repartition("shard", "chunk")
+    ordered = dealt.sortWithinPartitions("shard", "chunk", "slot").drop("slot")
+    ordered.write.option("compression", "zstd").partitionBy("shard", "chunk").parquet(folder)
+
+
+def read_shards(spark: SparkSession, folder: str, row: str) -> DataFrame:
+    """(row, text, shard, slot) of written shards; slots are the rows' places in the files."""
+    kinds = f"row {row}, text string, shard int, chunk int"
+    slot = F.col("chunk").cast("long") * CHUNK + F.col("_metadata.row_index")
+    files = spark.read.schema(kinds).parquet(folder)
+    return files.select("row", "text", "shard", slot.alias("slot"))
 
 
 def op10_sharding(spark, sf_dir):
-    rows = shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    folder = f"{staged_folder(spark)}/shards-{uuid.uuid4().hex}"
+    write_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), folder)
+    rows = read_shards(spark, folder, "struct<doc_id: bigint>")
+    value = F.coalesce("text", F.lit(""))
     return rows.select(
         F.col("row.doc_id").alias("doc_id"),
-        "size",
-        F.col("crc").alias("text_crc32"),
+        (F.octet_length(value) + ROW_BYTES).cast("long").alias("size"),
+        F.crc32(value).alias("text_crc32"),
         F.lit("bytes").alias("law"),
         "shard",
         "slot",

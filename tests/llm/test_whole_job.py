@@ -1,12 +1,15 @@
 """What the operators must not leave out."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 import numpy as np
 import pytest
 
-from cartloom.llm import quality
+from cartloom.llm import packing, quality, sharding
 from cartloom.llm.tokens import Encoder, tokenizer_path
+from cartloom.plans.staging import staged_folder
 
 LICENCE = [" ".join(f"licence{k}word{i}" for i in range(7)) for k in range(10)]
 TEXTS = "doc_id long, text string, source string"
@@ -66,3 +69,35 @@ def test_added_tokens_have_the_ids_of_the_file():
             want = plain.encode(text, add_special_tokens=False).ids
             assert encoder.ids(text) == np.array(want, "<u4").tobytes()
     assert encoder.ids(texts[0]) == np.array([64, 220, 50256, 275], "<u4").tobytes()
+
+
+def test_shards_hold_the_documents(spark, odd, odd_rows, none, monkeypatch):
+    monkeypatch.setattr(sharding, "CHUNK", 10)
+    folder = f"{staged_folder(spark)}/shards-of-odd-rows"
+    slim = odd.select("doc_id", "text")
+    sharding.write_shards(slim, folder, 4)
+    rows = sharding.read_shards(spark, folder, "struct<doc_id: bigint>").collect()
+    assert Counter((r["row"]["doc_id"], r["text"]) for r in rows) == Counter((d, t) for d, t, _, _ in odd_rows)
+    placed = Counter((r["row"]["doc_id"], r["text"], r["shard"], r["slot"]) for r in sharding.shard(slim, 4).collect())
+    assert placed == Counter((r["row"]["doc_id"], r["text"], r["shard"], r["slot"]) for r in rows)
+    sharding.write_shards(none, f"{folder}-none", 4)
+    assert sharding.read_shards(spark, f"{folder}-none", "struct<doc_id: bigint>").count() == 0
+
+
+def test_sequences_hold_the_ids(spark, odd, odd_rows, none):
+    folder = f"{staged_folder(spark)}/sequences-of-odd-rows"
+    found = packing.written(odd, folder)
+    whole = {r["sequence_id"]: bytes(r["ids"]) for r in found.collect()}
+    assert max(map(len, whole.values())) <= 4 * packing.CAPACITY
+    rows = packing.pack_documents(spark, odd, "").collect()
+    encode = Encoder(tokenizer_path()).ids
+    ids = {t: encode(t) + bytes(4) for _, t, _, _ in odd_rows}
+    assert sum(map(len, whole.values())) == sum(len(ids[t]) for _, t, _, _ in odd_rows)
+    parts = Counter((r["doc_id"], r["start"], bytes(r["ids"])) for r in rows)
+    want = Counter()
+    for d, t, _, _ in odd_rows:
+        n = len(ids[t]) // 4
+        cuts = [0, *range(n % 2048 or 2048, n + 1, 2048)]
+        want.update((d, a, ids[t][4 * a : 4 * b]) for a, b in zip(cuts, cuts[1:], strict=False))
+    assert parts == want
+    assert packing.written(none, f"{folder}-none").count() == 0
