@@ -38,14 +38,22 @@ CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
     "hr main nav ol p pre section table ul".split()
 )
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 TOKEN = re.compile(r"[a-z]+")
 
 
 class Blocks(HTMLParser):
-    """Leaf blocks of a page in order: (text, features, label or None)."""
+    """Leaf blocks of a page in order: (text, features, label or None).
 
-    def __init__(self):
+    `open_ended` are the numbers of hidden elements known to lack their end tag: they end
+    where a block begins, a head where anything but its own elements does. A page is read
+    once to find them, as `unclosed`, and again if there are any.
+    """
+
+    def __init__(self, open_ended=frozenset()):
         super().__init__(convert_charrefs=True)
+        self.open_ended, self.unclosed = open_ended, set()
+        self.started, self.numbers = 0, []  # elements so far; those on the stack
         self.stack: list[tuple[str, tuple[str, ...], str | None]] = []
         self.blocks: list[tuple[str, list[str], str | None]] = []
         self.parts: list[str] = []
@@ -78,6 +86,7 @@ class Blocks(HTMLParser):
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self.flush()
+        self._end_hidden(tag)
         if tag in CLOSES_P:
             self._close("p", CLOSES_P - {"p"})
         if tag == "li":
@@ -88,12 +97,15 @@ class Blocks(HTMLParser):
         said = " ".join(values.get(k) or "" for k in ("class", "id", "role", "aria-label"))
         names = tuple(f"name:{x}" for x in TOKEN.findall(said.lower()))
         self.stack.append((tag, names, values.get("x-label")))
+        self.numbers.append(self.started)
+        self.started += 1
         self.hidden += tag in HIDDEN
         self.in_link += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
         if tag not in INLINE:
             self.flush()
+        self._end_hidden(tag)
 
     def handle_endtag(self, tag):
         if tag not in INLINE:
@@ -105,15 +117,40 @@ class Blocks(HTMLParser):
         """Close the nearest open element of the name, and all in it, unless `stop` is nearer."""
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                for t, _, _ in self.stack[i:]:
-                    self.hidden -= t in HIDDEN
-                    self.in_link -= t == "a"
-                del self.stack[i:]
+                self._cut(i, i + 1)
                 return
             if self.stack[i][0] in stop:
                 return
 
+    def _cut(self, start, unclosed):
+        """End the elements from `start` on; hidden ones from `unclosed` on had no end tag."""
+        for t, _, _ in self.stack[start:]:
+            self.hidden -= t in HIDDEN
+            self.in_link -= t == "a"
+        for (t, _, _), number in zip(self.stack[unclosed:], self.numbers[unclosed:], strict=True):
+            if t in HIDDEN:
+                self.unclosed.add(number)
+        del self.stack[start:], self.numbers[start:]
+
+    def _end_hidden(self, tag):
+        """End the outermost hidden element if what begins here cannot be in it."""
+        if not self.hidden or not self.open_ended:
+            return
+        at = [i for i, (t, _, _) in enumerate(self.stack) if t in HIDDEN]
+        if not all(self.numbers[i] in self.open_ended for i in at):
+            return  # inside one that has its end tag
+        for i in at:
+            if tag not in IN_HEAD if self.stack[i][0] == "head" else tag in CLOSES_P or tag == "body":
+                return self._cut(i, i)
+
+    def close(self):
+        super().close()
+        self.flush()
+        self._cut(0, 0)
+
     def handle_data(self, data):
+        if self.stack and self.stack[-1][0] == "head" and data.strip():
+            self._end_hidden("")
         if not self.hidden:
             self.parts.append(data)
             self.linked += len(data) if self.in_link else 0
@@ -123,7 +160,10 @@ def leaf_blocks(html: str | None) -> list[tuple[str, list[str], str | None]]:
     parser = Blocks()
     parser.feed(html or "")
     parser.close()
-    parser.flush()
+    if parser.unclosed:
+        parser = Blocks(frozenset(parser.unclosed))
+        parser.feed(html or "")
+        parser.close()
     return parser.blocks
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import numpy as np
 import pytest
 
-from cartloom.llm import packing, quality, sharding
+from cartloom.llm import html_text, packing, quality, sharding
 from cartloom.llm.tokens import Encoder, tokenizer_path
 from cartloom.plans.staging import staged_folder
 
@@ -101,3 +101,20 @@ def test_sequences_hold_the_ids(spark, odd, odd_rows, none):
         want.update((d, a, ids[t][4 * a : 4 * b]) for a, b in zip(cuts, cuts[1:], strict=False))
     assert parts == want
     assert packing.written(none, f"{folder}-none").count() == 0
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<html><head><title>t</title><body><p>one<p>two</body></html>",
+        "<html><head><title>t</title><meta name=a><p>one</p><div>two</div>",
+        "<head><title>t</title></head><body><button>go<p>one</p><div>two</div></body>",
+        "<body><select><option>x<option>y<div>one</div><p>two</p></body>",
+        "<body><p>one</p><svg><title>x</title><p>no</p></svg><button>go</button><template><p>no</p></template><p>two</p>",
+        "<head><noscript><p>no</p></noscript><title>t</title><body><p>one</p><p>two</p>",
+        "<head><title>t</title>one<p>two",
+        "<body><button><div>no</div></button><p>one</p><button>go<p>two</p></body>",
+    ],
+)
+def test_hidden_elements_left_open_end(html):
+    assert [text for text, _, _ in html_text.leaf_blocks(html)] == ["one", "two"]
