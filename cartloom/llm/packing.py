@@ -76,6 +76,18 @@ def best_fit(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return bins, offsets, np.array(used, np.int64)
 
 
+def squeeze(ids: bytes) -> bytes:
+    """Ids of 32 bits compressed, in 16 bits where all fit; the first byte says which."""
+    values = np.frombuffer(ids, "<u4")
+    width = 2 if not len(values) or values.max() < 1 << 16 else 4
+    return bytes([width]) + pa.compress(values.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes, n: int) -> bytes:
+    raw = pa.decompress(data[1:], data[0] * n, codec="zstd", asbytes=True)
+    return np.frombuffer(raw, f"<u{data[0]}").astype("<u4").tobytes()
+
+
 def pieces(
     docs: DataFrame,
     tokenizer: str,
@@ -94,7 +106,7 @@ def pieces(
 
     def run(batches):
         encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        held = (lambda x: pa.compress(x, codec="zstd", asbytes=True)) if squeezed else (lambda x: x)
+        held = squeeze if squeezed else bytes
         for batch in batches:
             out = []
             doc_ids = batch.column("doc_id").to_pylist()
@@ -226,7 +238,7 @@ def sequences(packed: DataFrame, squeezed: bool = False) -> DataFrame:
                         done.append((current, b"".join(parts), *traits))
                     current, parts, traits = number, [], [[] for _ in lists]
                 raw = ids.as_py()
-                parts.append(pa.decompress(raw, 4 * row[-1], codec="zstd", asbytes=True) if squeezed else raw)
+                parts.append(unsqueeze(raw, row[-1]) if squeezed else raw)
                 for held, value in zip(traits, row, strict=True):
                     held.append(value)
             if done:

@@ -118,3 +118,9 @@ def test_sequences_hold_the_ids(spark, odd, odd_rows, none):
 )
 def test_hidden_elements_left_open_end(html):
     assert [text for text, _, _ in html_text.leaf_blocks(html)] == ["one", "two"]
+
+
+@pytest.mark.parametrize("ids", [[0], [1, 65_535, 7], [1, 65_536], [2**32 - 1] * 2048])
+def test_squeezed_ids_come_back(ids):
+    raw = np.array(ids, "<u4").tobytes()
+    assert packing.unsqueeze(packing.squeeze(raw), len(ids)) == raw
