@@ -4,10 +4,13 @@ from cartloom.llm.chat import OP2_SQL, op2_chat_formatting
 from cartloom.llm.html_text import op8_html_extraction
 from cartloom.llm.metric_join import OP4_SQL, op4_embedding_near_dedup
 from cartloom.llm.mixing import op3_mixing_sources
+from cartloom.llm.ngram_bloom import op13_lm_scoring
 from cartloom.llm.packing import op5_best_fit_packing
+from cartloom.llm.periodic import op12_periodic_runs
 from cartloom.llm.quality import OP6_SQL, op6_quality_rules
 from cartloom.llm.sharding import op10_sharding
 from cartloom.llm.simhash import op9_simhash_near_dedup
+from cartloom.llm.spelling import OP11_SQL, op11_spelling_variants
 from cartloom.llm.token_files import op7_token_id_files
 from cartloom.llm.toxicity import op1_toxicity
 
@@ -24,6 +27,9 @@ QUERIES = {
         op8_html_extraction,
         op9_simhash_near_dedup,
         op10_sharding,
+        op11_spelling_variants,
+        op12_periodic_runs,
+        op13_lm_scoring,
     )
 }
 
@@ -31,4 +37,5 @@ ORACLE_SQL = {
     "op2_chat_formatting": OP2_SQL,
     "op4_embedding_near_dedup": OP4_SQL,
     "op6_quality_rules": OP6_SQL,
+    "op11_spelling_variants": OP11_SQL,
 }

@@ -34,7 +34,7 @@ def rows(spark, name, sf_dir=SMALL):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("sf_dir", [SMALL, MEDIUM])
