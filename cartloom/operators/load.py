@@ -5,13 +5,14 @@ are then read once, not once per item and payment, and typed values are shuffled
 instead of texts. Fitting a joined frame gives the same rows.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StructField, StructType, VarcharType
 
 from cartloom.functions.amounts import fit_amount
 from cartloom.functions.dates import loose_timestamp
 from cartloom.functions.missing import column_or
+from cartloom.operators.skew import SkewProfile, left_join, spread
 from cartloom.schemas import MASTER
 
 REASON = "reject_reason"
@@ -115,3 +116,51 @@ def rejected(loaded: DataFrame) -> DataFrame:
     texts = ", ".join(f"{name} string" for name in MASTER.names)
     rows = loaded.filter(F.col(REASON).isNotNull())
     return rows.select(REASON, F.from_json(SOURCE_ROW, texts).alias("r")).select(REASON, "r.*")
+
+
+def reject_samples(rejects: DataFrame, per_reason: int = 5) -> DataFrame:
+    """Some rejects of each reason, those of smallest hash, with their rank from 1.
+
+    A reason may have any share of all rows: each task passes on per_reason rows of it at
+    most, and only those meet. Equal rows have equal hashes and fill places one by one.
+    """
+    texts = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in MASTER.names])
+    rows = rejects.withColumn("row_hash", F.md5(texts))
+    place = Window.partitionBy(REASON).orderBy("row_hash", *MASTER.names)
+    ranked = rows.withColumn("rank", F.row_number().over(place))
+    return ranked.filter(F.col("rank") <= per_reason)
+
+
+def _fitting(name: str) -> Column:
+    return F.col(f"_{name}{_MISFIT}").isNull()
+
+
+def _tally(df: DataFrame, name: str, key: str) -> DataFrame:
+    """Rows per key, and how many of them fit; combined before the shuffle."""
+    fit_rows = F.count_if(_fitting(name)).alias(f"{name}_fit")
+    return df.groupBy(key).agg(F.count("*").alias(f"{name}_rows"), fit_rows)
+
+
+def outcome_counts(fitted: dict[str, DataFrame], skew: SkewProfile) -> DataFrame:
+    """One row (merged, order_master, order_master_rejects): the rows load_master() makes of
+    the joined fitted sources, loads and rejects, without joining them row by row.
+
+    A joined row is loaded if all its parts fit. So an order makes the product of its
+    matches' counts, a missing side counting as one fitting row, and as many of these
+    load as the product of the fitting ones.
+    """
+    orders = fitted["orders"].select("order_id", "customer_id", _fitting("orders").alias("_fit"))
+    by_order = skew.hot("order_id", "orders")
+    base = spread(orders, "orders", by_order)
+    base = base.join(_tally(fitted["customers"], "customers", "customer_id"), "customer_id", "left")
+    sides = {name: _tally(fitted[name], name, "order_id") for name in ("order_items", "payments")}
+    joined = left_join(base, sides, by_order)
+    one = F.lit(1).cast("long")
+    rows, fit_rows = one, F.col("_fit").cast("long")
+    for name in ("customers", *sides):
+        rows = rows * F.coalesce(f"{name}_rows", one)
+        fit_rows = fit_rows * F.coalesce(f"{name}_fit", one)
+    merged, loaded = (F.coalesce(F.sum(x), F.lit(0)) for x in (rows, fit_rows))
+    return joined.agg(merged.alias("merged"), loaded.alias("order_master")).withColumn(
+        "order_master_rejects", F.col("merged") - F.col("order_master")
+    )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 DEFAULT_LIMIT = 100
+TOP_ROWS = 10_000  # rows of each task that may meet in one to be merged
 
 
 class SourceUnavailable(LookupError):
@@ -45,15 +46,17 @@ class Listing:
 def page(df: DataFrame, keys: list[str], limit: int = DEFAULT_LIMIT, offset: int = 0) -> DataFrame:
     """Rows offset+1 to offset+limit in key order.
 
-    Rows before the page are skipped by ranges: rows are counted per range of all columns,
-    and only the ranges that the page touches are sorted. What is kept to sort is the page
-    and at most one range before it, at any depth.
+    A page that ends within the first TOP_ROWS rows is cut from each task's first rows.
+    Deeper ones are found by ranges: rows are counted per range of all columns, and only
+    the ranges that the page touches are sorted. What is kept to sort is the page and at
+    most one range before it, at any depth. Tables that are paged often are best written
+    as plans.pages.PagedTable.
     """
     if limit < 0 or offset < 0:
         raise ValueError("limit and offset must not be negative")
     order = keys + [c for c in df.columns if c not in keys]
-    if not offset or not limit:
-        return df.orderBy(*order).limit(limit)
+    if not limit or offset + limit <= TOP_ROWS:
+        return df.orderBy(*order).offset(offset).limit(limit)
     whole = F.struct(*order)
     ranges = (
         df.repartitionByRange(*order)

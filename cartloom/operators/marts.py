@@ -58,7 +58,28 @@ def product_summary(facts: DataFrame) -> DataFrame:
 def state_summary(facts: DataFrame, buyers: DataFrame) -> DataFrame:
     """Per state. Facts are per order and state; `buyers` counts customers per state."""
     groups = totals_per_key(facts, ["customer_state"], ("payment",))
-    return groups.join(buyers, "customer_state").select(
+    return _state_columns(groups.join(buyers, "customer_state"))
+
+
+def state_summary_of_rows(rows: DataFrame) -> DataFrame:
+    """Per state, from the columns of facts_of_master(): one pass over a master table.
+
+    Rows are added up per state, order and customer first, which is local where they are
+    partitioned by order; both distinct counts are then taken of those groups.
+    """
+    names = ["rows", *measures("payment")]
+    known = rows.filter(F.col("customer_state").isNotNull())
+    groups = known.groupBy("order_id", "customer_id", "customer_state").agg(*sums(names))
+    totals = groups.groupBy("customer_state").agg(
+        F.count_distinct("customer_id").alias("total_customers"),
+        F.count_distinct("order_id").alias("total_orders"),
+        *sums(names),
+    )
+    return _state_columns(totals)
+
+
+def _state_columns(groups: DataFrame) -> DataFrame:
+    return groups.select(
         "customer_state",
         "total_customers",
         "total_orders",

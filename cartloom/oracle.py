@@ -362,6 +362,14 @@ ORACLE_SQL = {
         f"SELECT {_reason()} AS reject_reason, {', '.join(_LIMITS)} FROM merged "
         f"WHERE {_reason()} IS NOT NULL",
     ),
+    "reject_samples": _with(
+        TEXT_MASTER,
+        f"""SELECT *, row_number() OVER (PARTITION BY reject_reason ORDER BY row_hash,
+          {', '.join(f'{c} NULLS FIRST' for c in _LIMITS)}) AS rank FROM (
+          SELECT {_reason()} AS reject_reason, {', '.join(_LIMITS)},
+            md5(concat_ws('|', {', '.join(f"coalesce({c}, '')" for c in _LIMITS)})) AS row_hash
+          FROM merged WHERE {_reason()} IS NOT NULL) QUALIFY rank <= 5""",
+    ),
     "delivery_days": _with(
         TEXT_MASTER,
         f"""SELECT order_id, customer_id, {_DAYS} AS delivery_days FROM (
@@ -376,6 +384,8 @@ ORACLE_SQL = {
     "product_summary": _with(MASTER, _PRODUCT),
     "state_summary": _with(MASTER, _STATE),
     "state_summary_of_master": _with(MASTER, _STATE),
+    "committed_state_summary": _with(MASTER, _STATE),
+    "products_page": _with(MASTER, _page(f"({_PRODUCT})", ["product_id"], 40, 90)),
     "sales_summary_of_master": _with(MASTER, _SALES),
     "fanout_preagg": _with(MASTER, _FANOUT),
     "fanout_rows": _with(MASTER, _FANOUT),

@@ -4,7 +4,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cartloom.operators import facts as contributions
@@ -14,10 +14,10 @@ from cartloom.operators.joins import Frames, master_table
 from cartloom.operators.load import REASON, fit_sources, fit_summary, load_master, rejected
 from cartloom.operators.rowids import number_few, number_rows
 from cartloom.operators.skew import CELL_ROWS, SkewProfile
-from cartloom.operators.stats import row_counts
 from cartloom.plans import catalog
 from cartloom.plans.sink import Database, save_folder, save_jdbc, save_table, stamped, unsorted_partitions
 from cartloom.plans.staging import stage, stage_all
+from cartloom.plans.versions import Versions
 from cartloom.schemas import CONTRACTS, MASTER, SOURCE_COLUMNS, SOURCES, SUMMARY_KEYS
 from cartloom.sources.files import DEFAULT_FILES, read_sources
 
@@ -88,8 +88,10 @@ def refresh(
 ) -> Refresh:
     """Replace all tables below out_dir. Running it again gives the same tables.
 
-    The five writes do not wait for each other: plans are made here, actions run in
-    threads, and executors that one table leaves idle work on the next.
+    Readers, who go through Versions(spark, out_dir), see the tables of the last run until
+    all of this one are written, and still see them if it fails. The five writes do not
+    wait for each other: plans are made here, actions run in threads, and executors that
+    one table leaves idle work on the next.
     """
     started = time.monotonic()
     frames = clean(sources)
@@ -101,38 +103,54 @@ def refresh(
     delivery = marts.delivery_summary(frames)
     product = marts.product_summary(contributions.product_facts(frames, skew))
 
-    with unsorted_partitions(spark, len(LOAD_STATUS)), ThreadPoolExecutor() as pool:
-
-        def start(name, summary):
-            return name, pool.submit(_write_summary, summary, name, out_dir)
-
-        master = pool.submit(_write_master, loaded, out_dir)
-        writes = [start("delivery_summary", delivery), start("product_summary", product)]
-        # Two summaries read the order contributions; they are computed and written once.
-        facts = stage(customer_facts, "order-facts")
-        sales = marts.sales_summary(contributions.customer_totals(facts, frames))
-        state_facts = contributions.state_facts(facts, frames)
-        state = marts.state_summary(state_facts, contributions.buyers(frames))
-        writes += [start("sales_summary", sales), start("state_summary", state)]
-        tables = master.result()
-        for name, write in writes:
-            good, bad = write.result()
-            tables |= {name: good, f"{name}_rejects": bad}
+    versions = Versions(spark, out_dir)
+    with versions.replacing(tuple(CONTRACTS)) as path:
+        tables, written = {}, {}
+        with unsorted_partitions(spark, len(LOAD_STATUS)), ThreadPoolExecutor() as pool:
+
+            def start(name, summary):
+                return pool.submit(_write_summary, summary, name, path)
+
+            writes = [pool.submit(_write_master, loaded, path)]
+            writes += [start("delivery_summary", delivery), start("product_summary", product)]
+            # Two summaries read the order contributions; they are computed and written once.
+            facts = stage(customer_facts, "order-facts")
+            sales = marts.sales_summary(contributions.customer_totals(facts, frames))
+            state_facts = contributions.state_facts(facts, frames)
+            state = marts.state_summary(state_facts, contributions.buyers(frames))
+            writes += [start("sales_summary", sales), start("state_summary", state)]
+            for write in writes:
+                found, counts = write.result()
+                tables |= found
+                written |= counts
 
     catalog.register(tables)
-    rows = _report(spark, read, tables)
+    rows = _report(spark, read, written)
     return Refresh("success", time.monotonic() - started, rows, tables)
 
 
-def _write_summary(summary, name, out_dir) -> tuple[DataFrame, DataFrame]:
-    """Rows by the contract, numbered from 1, and the rows that do not fit it."""
+def _write_summary(summary, name, out_dir):
+    """Rows by the contract, numbered from 1, and the rows that do not fit it; their counts."""
     contract, keys = CONTRACTS[name], SUMMARY_KEYS[name]
     rows = _with_status(fit_summary(summary, contract))
     number = number_few if keys == ["customer_state"] else number_rows
     numbered = number(rows, ["load_status", *keys])  # loaded ones first
-    written = save_folder(stamped(numbered, "updated_at"), f"{out_dir}/{name}", "load_status")
+    rows, counts = _counted(stamped(numbered, "updated_at"), name)
+    written = save_folder(rows, f"{out_dir}/{name}", "load_status")
     good, bad = (written.filter(F.col("load_status") == s) for s in LOAD_STATUS)
-    return good.select("id", *contract.names, "updated_at"), bad.select(REASON, *contract.names)
+    tables = {
+        name: good.select("id", *contract.names, "updated_at"),
+        f"{name}_rejects": bad.select(REASON, *contract.names),
+    }
+    return tables, counts.get
+
+
+def _counted(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """Rows whose write also counts the loaded and the rejected ones, in the same pass."""
+    counts = Observation(f"{name}-rows")
+    seen = zip((name, f"{name}_rejects"), LOAD_STATUS, strict=True)
+    each = [F.count_if(F.col("load_status") == status).alias(table) for table, status in seen]
+    return rows.observe(counts, *each), counts
 
 
 def _with_status(rows: DataFrame) -> DataFrame:
@@ -141,24 +159,26 @@ def _with_status(rows: DataFrame) -> DataFrame:
     return rows.withColumn("load_status", status)
 
 
-def _write_master(loaded, out_dir) -> dict[str, DataFrame]:
-    """One pass over the join writes good rows and rejects side by side."""
+def _write_master(loaded, out_dir):
+    """One pass over the join writes good rows and rejects side by side, and counts them."""
     good, bad = LOAD_STATUS
     rows = _with_status(loaded.select((F.monotonically_increasing_id() + 1).alias("id"), "*"))
-    written = save_folder(stamped(rows, "created_at"), f"{out_dir}/order_master", "load_status")
+    rows, counts = _counted(stamped(rows, "created_at"), "order_master")
+    written = save_folder(rows, f"{out_dir}/order_master", "load_status")
     kept = written.filter(F.col("load_status") == good)
     rejects = written.filter(F.col("load_status") == bad)
-    return {
+    tables = {
         "order_master": kept.select("id", *MASTER.names, "created_at"),
         "order_master_rejects": rejected(rejects),
     }
+    return tables, counts.get
 
 
-def _report(spark, read, tables) -> DataFrame:
+def _report(spark, read, written) -> DataFrame:
     """Rows read and written; summaries' rejects where there are any."""
-    written = {r["table"]: r["rows"] for r in row_counts(tables).collect()}
     merged = written["order_master"] + written["order_master_rejects"]
     few = {f"{name}_rejects" for name in SUMMARY_KEYS}
-    written = {name: n for name, n in written.items() if n or name not in few}
-    rows = {**read, "merged": merged, **written}
+    order = ["order_master", "order_master_rejects", *(n for n in written if "master" not in n)]
+    shown = {name: written[name] for name in order if written[name] or name not in few}
+    rows = {**read, "merged": merged, **shown}
     return spark.createDataFrame(list(rows.items()), "table string, rows long")

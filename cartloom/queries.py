@@ -1,5 +1,7 @@
 """Every operator as a query over the star-schema tables of a directory."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,8 @@ from cartloom.operators import facts, joins, load, lookup, marts, stats
 from cartloom.operators.clean import clean
 from cartloom.operators.rowids import number_rows
 from cartloom.operators.skew import SkewProfile
-from cartloom.plans import catalog
+from cartloom.plans import catalog, pages, versions
+from cartloom.plans.staging import staged_folder
 from cartloom.schemas import CRITICAL_IDS, SUMMARY_KEYS
 from cartloom.sources.star import text_sources, typed_sources
 
@@ -141,6 +144,12 @@ def master_rejects(spark, sf_dir):
     return load.rejected(text_shop(spark, sf_dir).loaded())
 
 
+@query
+def reject_samples(spark, sf_dir):
+    """Five rejected rows of each reason."""
+    return load.reject_samples(load.rejected(text_shop(spark, sf_dir).loaded()))
+
+
 @query
 def delivery_days(spark, sf_dir):
     orders = text_shop(spark, sf_dir).frames["orders"]
@@ -208,10 +217,8 @@ def _fanout(order_facts):
 
 @query
 def state_summary_of_master(spark, sf_dir):
-    """The state summary taken from the built master table."""
-    master = shop(spark, sf_dir).master()
-    per_order = facts.one_per_order(facts.facts_of_master(master), ["customer_state"])
-    return marts.state_summary(per_order, facts.buyers_of_master(master))
+    """The state summary taken from the built master table, which is read once."""
+    return marts.state_summary_of_rows(facts.facts_of_master(shop(spark, sf_dir).master()))
 
 
 @query
@@ -230,18 +237,28 @@ def run_row_counts(spark, sf_dir):
     A summary has a row per group, so its keys are counted, not its sums taken.
     """
     s = text_shop(spark, sf_dir)
-    loaded = s.loaded()
     counts = stats.row_counts({**s.sources, **facts.groups(s.frames)})
-    outcome = loaded.agg(
-        F.count("*").alias("merged"),
-        F.count_if(F.col(load.REASON).isNull()).alias("order_master"),
-        F.count(load.REASON).alias("order_master_rejects"),
-    )
+    outcome = load.outcome_counts(load.fit_sources(s.frames), s.skew)
     return counts.unionAll(
         outcome.unpivot([], ["merged", "order_master", "order_master_rejects"], "table", "rows")
     )
 
 
+@query
+def committed_state_summary(spark, sf_dir):
+    """The state summary as a reader of committed tables finds it, past a run that failed."""
+    root = f"{staged_folder(spark)}/tables-{uuid.uuid4().hex}"
+    summary = shop(spark, sf_dir).state_summary()
+    versions.publish(spark, root, {"state_summary": summary})
+    current = versions.Versions(spark, root)
+    try:
+        with current.replacing(("state_summary", "sales_summary")) as path:
+            summary.limit(1).write.parquet(f"{path}/state_summary")  # and no sales summary
+    except LookupError:
+        pass
+    return current.read("state_summary")
+
+
 # Missing-value rules
 
 
@@ -288,6 +305,15 @@ def customers_page(spark, sf_dir):
     return lookup.list_customers(shop(spark, sf_dir).sources["customers"], 50, 200).with_count()
 
 
+@query
+def products_page(spark, sf_dir):
+    """A page from the middle of the product summary, written with an index of its files."""
+    summary = marts.product_summary(shop(spark, sf_dir).product_facts())
+    path = f"{staged_folder(spark)}/paged-{uuid.uuid4().hex}"
+    written = pages.PagedTable.write(summary, SUMMARY_KEYS["product_summary"], path)
+    return written.page(40, 90).withColumn("total", F.lit(written.count()))
+
+
 @query
 def customers_by_state(spark, sf_dir):
     sources = shop(spark, sf_dir).sources

@@ -7,6 +7,7 @@ from cartloom.__main__ import main
 from cartloom.plans import catalog, sink
 from cartloom.plans.refresh import run
 from cartloom.plans.staging import shared_folder, stage
+from cartloom.plans.versions import Versions
 from cartloom.schemas import CONTRACTS
 from cartloom.sources.files import read_csv, read_sources
 
@@ -135,7 +136,7 @@ def test_command_line_reads_parquet_and_cleans_up(spark, in_dir, tmp_path, capsy
     main([str(tmp_path / "pq"), str(tmp_path / "out"), "--format", "parquet", "--files", *files])
     printed = capsys.readouterr().out
     assert printed.startswith("success") and "order_master_rejects|2" in printed
-    assert spark.read.parquet(str(tmp_path / "out" / "state_summary")).count() == 2
+    assert Versions(spark, str(tmp_path / "out")).read("state_summary").count() == 2
     with pytest.raises(Exception):
         staged.collect()
 
