@@ -104,17 +104,26 @@ def _paths(words: DataFrame) -> DataFrame:
     return words.select("id", "word").mapInArrow(run, kinds)
 
 
+def _bit(code: str) -> Column:
+    """One of 63 bits for a code point, the lowest for 0: letters may share one."""
+    return F.expr(f"shiftleft(1L, cast({code} % 63 AS int))")
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (side, node, depth, label, child, ends) and the states in which words(id, word) start.
+    """Edges (side, node, depth, label, child, onward, ends) and the states in which
+    words(id, word) start.
 
     depth is that of node. ends is the word that ends at a child without children; a word
     that ends where others go on has an edge of its own, without a label and a child.
+    onward has a bit for each letter that follows the child, see _bit().
     """
     paths = stage(_paths(words), "paths")
-    nodes = paths.groupBy("side", "node").agg(F.min("next").alias("a"), F.max("next").alias("b"))
-    kept = nodes.filter("a <> b OR a = 0").select("side", "node", (F.col("b") == 0).alias("leaf"))
+    nodes = paths.groupBy("side", "node").agg(
+        F.min("next").alias("a"), F.max("next").alias("b"), F.bit_or(_bit("next")).alias("onward")
+    )
+    kept = nodes.filter("a <> b OR a = 0").select("side", "node", "onward", (F.col("b") == 0).alias("leaf"))
     steps = paths.join(kept, ["side", "node"]).select(
-        "id", "side", F.struct("depth", "node", "leaf", "tail").alias("step")
+        "id", "side", F.struct("depth", "node", "leaf", "onward", "tail").alias("step")
     )
     walks = steps.groupBy("id", "side").agg(F.sort_array(F.collect_list("step")).alias("walk"))
     walks = stage(
@@ -133,6 +142,7 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
             .otherwise(F.substring("tail", step["depth"] - low + 1, after["depth"] - step["depth"]))
             .alias("label"),
             after["node"].alias("child"),
+            after["onward"].alias("onward"),
             ends.alias("ends"),
         )
 
@@ -165,11 +175,11 @@ def _followed(states: DataFrame, edges: DataFrame) -> DataFrame:
         long_enough = F.length("rest") >= size + letters
         return pure & ~exact & long_enough & (F.levenshtein(begin, F.col("label"), 1) == 1)
 
-    def state(taken: Column, edits: Column) -> Column:
+    def state(holds: Column, taken: Column, edits: Column) -> Column:
         left = F.substring(rest, taken + 1, F.length("rest"))
         # A word ends here: with its one edit made, or with one letter left to omit.
         there = F.when((edits + F.length(left) == 1) & F.col("ends").isNotNull(), F.col("ends"))
-        return F.struct(
+        made = F.struct(
             (F.col("position") + taken).cast("int").alias("position"),
             F.col("child").alias("node"),
             (F.col("depth") + size).cast("int").alias("depth"),
@@ -177,18 +187,21 @@ def _followed(states: DataFrame, edges: DataFrame) -> DataFrame:
             left.alias("rest"),
             there.alias("found"),
         )
+        return F.when(holds, made)
 
     ways = F.array(
-        F.when(exact, state(size, F.col("edits"))),
-        F.when(one_edit(0), state(size, F.lit(1))),
-        F.when(one_edit(1), state(size + 1, F.lit(1))),
+        state(exact, size, F.col("edits")),
+        state(one_edit(0), size, F.lit(1)),
+        state(one_edit(1), size + 1, F.lit(1)),
     )
     met = states.join(edges.drop("depth"), ["side", "node"]).filter(exact | pure)
-    ways = F.filter(ways, lambda x: x.isNotNull())
-    out = met.select("word", "side", "child", "ends", F.explode(ways).alias("way"))
-    # From a child without children only those go on that have found its word, and stop.
-    alive = F.col("way.found").isNotNull() | (F.col("child").isNotNull() & F.col("ends").isNull())
-    return out.filter(alive).select("word", "side", "way.*")
+    out = met.select("word", "side", "child", "onward", "ends", F.inline(ways))
+    # From a child without children only those go on that have found its word, and stop;
+    # with its edit made, a state goes on where its next letter does.
+    follows = (F.col("edits") == 0) | (F.col("onward").bitwiseAND(_bit("ascii(rest)")) != 0)
+    alive = F.col("found").isNotNull() | (F.col("child").isNotNull() & F.col("ends").isNull() & follows)
+    kept = out.filter(F.col("position").isNotNull() & alive)
+    return kept.select("word", "side", "position", "node", "depth", "edits", "rest", "found")
 
 
 def neighbours(words: DataFrame) -> DataFrame:
