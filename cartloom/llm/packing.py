@@ -1,10 +1,11 @@
 """Best-fit packing of documents into sequences, with certified bin counts.
 
-Pieces are dealt over lanes of bounded size. Each lane is packed best-fit decreasing, and
-dual-feasible functions give a lower bound for its pieces; bins equal to the bound prove
-that no packing of the lane needs fewer. Lanes with a gap give up the pieces of all their
-unfilled bins, the others those of their emptiest bin, and these are dealt anew and
-packed again, until the count meets the bound of all pieces or no longer falls.
+Every task packs the pieces it reads, lane by lane, best-fit decreasing, so that the ids of
+most documents never leave the task that made them. Dual-feasible functions give a lower
+bound for a lane's pieces; bins equal to the bound prove that no packing of the lane needs
+fewer. Lanes with a gap give up the pieces of all their unfilled bins, the others those of
+their emptiest bin. These pieces alone are dealt anew over lanes by a hash and packed
+again, until the count meets the bound of these pieces, no longer falls, or ROUNDS are over.
 """
 
 import uuid
@@ -21,6 +22,7 @@ from cartloom.plans.staging import stage, staged_folder
 
 CAPACITY = 2048
 LANE_PIECES = 20_000
+FILL_TOKENS = 8 << 20  # ids that a task holds while it packs its first lane of them
 ROUNDS = 6
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -76,16 +78,17 @@ def best_fit(lengths, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return bins, offsets, np.array(used, np.int64)
 
 
-def squeeze(ids: bytes) -> bytes:
-    """Ids of 32 bits compressed, in 16 bits where all fit; the first byte says which."""
-    values = np.frombuffer(ids, "<u4")
-    width = 2 if not len(values) or values.max() < 1 << 16 else 4
-    return bytes([width]) + pa.compress(values.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True)
+def _loose(used: np.ndarray, bound: int, capacity: int) -> np.ndarray:
+    """Which bins are given up: unfilled ones, of a certified lane the emptiest alone."""
+    loose = used < capacity
+    if len(used) == bound:
+        loose = loose & (np.arange(len(used)) == used.argmin())
+    return loose
 
 
-def unsqueeze(data: bytes, n: int) -> bytes:
-    raw = pa.decompress(data[1:], data[0] * n, codec="zstd", asbytes=True)
-    return np.frombuffer(raw, f"<u{data[0]}").astype("<u4").tobytes()
+def _cuts(n: int, capacity: int) -> list[int]:
+    """Where n ids are cut; all pieces but the first are full."""
+    return [0, *range(n % capacity or capacity, n + 1, capacity)]
 
 
 def pieces(
@@ -94,31 +97,26 @@ def pieces(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     with_ids: bool = False,
-    squeezed: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): each document's ids and an end id,
     cut only where longer than capacity; then all pieces but the first are full.
 
-    A null or empty text is the end id alone. Repeated rows give repeated pieces. Squeezed
-    ids are compressed, for the way to their sequences.
+    A null or empty text is the end id alone. Repeated rows give repeated pieces.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
 
     def run(batches):
         encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        held = squeeze if squeezed else bytes
         for batch in batches:
             out = []
             doc_ids = batch.column("doc_id").to_pylist()
             for doc_id, text in zip(doc_ids, batch.column("text"), strict=True):
                 ids = encoder.ids(text.as_py()) + end
-                n = len(ids) // 4
-                first = n % capacity or capacity
-                cuts = [0, *range(first, n + 1, capacity)]
+                cuts = _cuts(len(ids) // 4, capacity)
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     part = ids[4 * a : 4 * b]
                     row = (doc_id, k, a, b - a, zlib.crc32(part))
-                    out.append((*row, held(part)) if with_ids else row)
+                    out.append((*row, part) if with_ids else row)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             columns = zip(*out, strict=True) if out else [[]] * len(names)
             arrays = [pa.array(c, t) for c, t in zip(columns, kinds, strict=False)]
@@ -137,9 +135,7 @@ def _pack_lanes(rows: DataFrame, lanes: int, turn: int, capacity: int) -> DataFr
     def pack(uid, length, at):
         bins, offsets, used = best_fit(length.tolist(), capacity)
         bound = lower_bound(np.bincount(length, minlength=capacity + 1))
-        loose = used < capacity
-        if len(used) == bound:  # certified: only the emptiest bin can still be shared
-            loose = loose & (np.arange(len(used)) == used.argmin())
+        loose = _loose(used, bound, capacity)
         columns = {
             "uid": uid,
             "lane": np.full(len(uid), at, np.int32),
@@ -213,32 +209,90 @@ def pack(items: DataFrame, capacity: int = CAPACITY, lane_pieces: int = LANE_PIE
     )
 
 
-def sequences(packed: DataFrame, squeezed: bool = False) -> DataFrame:
-    """(sequence_id, ids, doc_id, piece, start, length): a sequence's ids in one string, and
-    a list of each trait of its pieces, in their order."""
-    lists = ["doc_id", "piece", "start", "length"]
-    rows = packed.select("sequence_id", "offset", *lists, "ids").repartition("sequence_id")
+LISTS = ["doc_id", "piece", "start", "length"]  # of a sequence's pieces, in their order
+SEQUENCE = "sequence_id long, ids binary, doc_id array<long>, piece array<int>, start array<long>, length array<long>"
+SEQUENCE_TYPES = [pa.int64(), pa.binary(), *(pa.list_(pa.int32() if c == "piece" else pa.int64()) for c in LISTS)]
+SEQUENCE_NAMES = ["sequence_id", "ids", *LISTS]
+
+
+def fill(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    end_id: int = END_ID,
+    fill_tokens: int = FILL_TOKENS,
+) -> DataFrame:
+    """(SEQUENCE, loose): all documents' pieces in sequences of the task that reads them.
+
+    A task holds a lane of fill_tokens ids and one document at most. Sequence numbers are
+    below 0 and follow from the partition, so a task that runs again makes the same ones.
+    """
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        encoder, end = Encoder(tokenizer), np.array([end_id], "<u4").tobytes()
+        number, held, size = -1 - (TaskContext.get().partitionId() << 33), [], 0
+
+        def lane():
+            nonlocal number
+            held.sort(key=lambda piece: -piece[3])  # ties in reading order
+            lengths = [piece[3] for piece in held]
+            bins, _, used = best_fit(lengths, capacity)
+            bound = lower_bound(np.bincount(lengths, minlength=capacity + 1))
+            inside: list[list] = [[] for _ in used]
+            for piece, at in zip(held, bins.tolist(), strict=True):
+                inside[at].append(piece)
+            held.clear()
+            loose = _loose(used, bound, capacity)
+            for a in range(0, len(inside), 256):
+                out = []
+                for found in inside[a : a + 256]:
+                    *traits, parts = zip(*found, strict=True)
+                    out.append((number, b"".join(parts), *map(list, traits)))
+                    number -= 1
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), SEQUENCE_TYPES, strict=True)]
+                columns.append(pa.array(loose[a : a + 256]))
+                yield pa.RecordBatch.from_arrays(columns, [*SEQUENCE_NAMES, "loose"])
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = encoder.ids(text.as_py()) + end
+                cuts = _cuts(len(ids) // 4, capacity)
+                for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+                    held.append((doc_id, k, a, b - a, ids[4 * a : 4 * b]))
+                size += len(ids) // 4
+                if size >= fill_tokens:
+                    yield from lane()
+                    size = 0
+        if held:
+            yield from lane()
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, f"{SEQUENCE}, loose boolean")
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """(SEQUENCE): a sequence's ids in one string, and a list of each trait of its pieces."""
+    rows = packed.select("sequence_id", "offset", *LISTS, "ids").repartition("sequence_id")
 
     def run(batches):
         # Rows come sequence by sequence; one, bounded by capacity, is open at a time.
-        current, parts, traits, done = None, [], [[] for _ in lists], []
+        current, parts, traits, done = None, [], [[] for _ in LISTS], []
 
         def emit():
-            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            kinds = [pa.int64(), pa.binary(), *kinds]
-            columns = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(columns, ["sequence_id", "ids", *lists])
+            columns = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), SEQUENCE_TYPES, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, SEQUENCE_NAMES)
 
         for batch in batches:
             numbers = batch.column("sequence_id").to_pylist()
-            found = zip(*(batch.column(c).to_pylist() for c in lists), strict=True)
+            found = zip(*(batch.column(c).to_pylist() for c in LISTS), strict=True)
             for number, row, ids in zip(numbers, found, batch.column("ids"), strict=True):
                 if number != current:
                     if parts:
                         done.append((current, b"".join(parts), *traits))
-                    current, parts, traits = number, [], [[] for _ in lists]
-                raw = ids.as_py()
-                parts.append(unsqueeze(raw, row[-1]) if squeezed else raw)
+                    current, parts, traits = number, [], [[] for _ in LISTS]
+                parts.append(ids.as_py())
                 for held, value in zip(traits, row, strict=True):
                     held.append(value)
             if done:
@@ -248,9 +302,7 @@ def sequences(packed: DataFrame, squeezed: bool = False) -> DataFrame:
             done.append((current, b"".join(parts), *traits))
             yield emit()
 
-    kinds = "doc_id array<long>, piece array<int>, start array<long>, length array<long>"
-    ordered = rows.sortWithinPartitions("sequence_id", "offset")
-    return ordered.mapInArrow(run, f"sequence_id long, ids binary, {kinds}")
+    return rows.sortWithinPartitions("sequence_id", "offset").mapInArrow(run, SEQUENCE)
 
 
 def cut(found: DataFrame, with_ids: bool = False) -> DataFrame:
@@ -276,20 +328,33 @@ def cut(found: DataFrame, with_ids: bool = False) -> DataFrame:
     return found.mapInArrow(run, PIECE + ", ids binary" * with_ids + ", sequence_id long, offset long")
 
 
-def written(docs: DataFrame, folder: str) -> DataFrame:
-    """The documents' sequences, written to a folder and read back."""
-    packed = pack(pieces(docs, tokenizer_path(), with_ids=True, squeezed=True))
-    rows = sequences(packed, squeezed=True)
-    rows.write.option("compression", "zstd").parquet(folder)
-    return docs.sparkSession.read.schema(rows.schema).parquet(folder)
+def written(docs: DataFrame, folder: str, capacity: int = CAPACITY, fill_tokens: int = FILL_TOKENS) -> DataFrame:
+    """The documents' sequences (SEQUENCE), written to a folder and read back.
+
+    A null or empty text is the end id alone; of a very long one every piece but the first
+    fills a sequence. Repeated rows are packed repeatedly, an empty table gives no
+    sequences, other columns are ignored, whatever their names. Ties of length are packed
+    in reading order, and by a hash of their number where they are dealt anew.
+    """
+    spark = docs.sparkSession
+    filled = fill(docs, tokenizer_path(), capacity, fill_tokens=fill_tokens)
+    filled.write.option("compression", "zstd").parquet(f"{folder}/filled")
+    found = spark.read.schema(filled.schema).parquet(f"{folder}/filled")
+    again = pack(cut(found.filter("loose"), with_ids=True).drop("sequence_id", "offset"), capacity)
+    rest = sequences(again)
+    rest.write.option("compression", "zstd").parquet(f"{folder}/rest")
+    rest = spark.read.schema(rest.schema).parquet(f"{folder}/rest")
+    return found.filter("NOT loose").drop("loose").unionByName(rest)
 
 
 def op5_best_fit_packing(spark, sf_dir):
+    """The pieces of all documents, taken from the written sequences; odd rows as written() says."""
     folder = f"{staged_folder(spark)}/sequences-{uuid.uuid4().hex}"
     return cut(written(table(spark, sf_dir, "documents"), folder))
 
 
 def pack_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents, ids and all, with their place in a sequence."""
+    """Pipeline stage: the pieces of all documents, ids and all, with their place in a
+    sequence; odd rows as written() says."""
     folder = f"{staged_folder(spark)}/sequences-{uuid.uuid4().hex}"
     return cut(written(docs, folder), with_ids=True)

@@ -120,7 +120,22 @@ def test_hidden_elements_left_open_end(html):
     assert [text for text, _, _ in html_text.leaf_blocks(html)] == ["one", "two"]
 
 
-@pytest.mark.parametrize("ids", [[0], [1, 65_535, 7], [1, 65_536], [2**32 - 1] * 2048])
-def test_squeezed_ids_come_back(ids):
-    raw = np.array(ids, "<u4").tobytes()
-    assert packing.unsqueeze(packing.squeeze(raw), len(ids)) == raw
+@pytest.mark.parametrize("fill_tokens", [1, 3000, 1 << 30])
+def test_sequences_of_lanes_of_any_size(spark, odd, odd_rows, fill_tokens):
+    folder = f"{staged_folder(spark)}/sequences-{fill_tokens}"
+    rows = packing.cut(packing.written(odd, folder, 300, fill_tokens), with_ids=True).collect()
+    encode = Encoder(tokenizer_path()).ids
+    want = Counter()
+    for d, t, _, _ in odd_rows:
+        ids = encode(t) + bytes(4)
+        cuts = packing._cuts(len(ids) // 4, 300)
+        want.update((d, k, ids[4 * a : 4 * b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)))
+    assert Counter((r["doc_id"], r["piece"], bytes(r["ids"])) for r in rows) == want
+    used = Counter()
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    assert max(used.values()) <= 300
+    whole = packing.best_fit(sorted((len(k[2]) // 4 for k in want.elements()), reverse=True), 300)[2]
+    assert len(used) <= 1.02 * len(whole) + 2
+    again = packing.cut(packing.written(odd, f"{folder}-again", 300, fill_tokens)).collect()
+    assert {(r["sequence_id"], r["offset"], r["ids_crc32"]) for r in again} == {(r["sequence_id"], r["offset"], r["ids_crc32"]) for r in rows}
