@@ -47,18 +47,22 @@ def fingerprint(text: str | None, shingle: int = SHINGLE_WORDS) -> int:
     return int(majority.view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, bits) of every row; a null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, others: dict | None = None) -> DataFrame:
+    """(doc_id, bits) of every row, and other columns (name to a long Column) where asked
+    for; a null text counts as empty."""
+    others = others or {}
+    names = ["doc_id", *others]
 
     def run(batches):
         for batch in batches:
             bits = [fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(bits, pa.int64())], ["doc_id", "bits"]
-            )
+            columns = [*(batch.column(c) for c in names), pa.array(bits, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "bits"])
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, bits long")
+    rows = docs.select(
+        F.col("doc_id").cast("long"), *[c.alias(n) for n, c in others.items()], F.col("text").cast("string")
+    )
+    return rows.mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "bits"]))
 
 
 def cut(n: int, max_bits: int) -> list[tuple[int, int, int]]:
@@ -124,18 +128,24 @@ def near_duplicates(
     component has no id at all its component_id is null. Repeated rows return repeated.
     Other columns are ignored, whatever their names.
     """
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
-    nodes = stage(prints.groupBy("bits").agg(F.min("doc_id").alias("first")), "distinct")
+    prints, placed = classes(docs, F.min("doc_id"), shingle, max_bits)
+    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    found = placed.join(smallest, "root").select("bits", "component_id")
+    return prints.join(found, "bits").select(
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def classes(docs, first, shingle=SHINGLE_WORDS, max_bits=MAX_BITS, others=None) -> tuple[DataFrame, DataFrame]:
+    """fingerprints(), and (bits, first, root): per fingerprint what `first` says of its
+    rows, and the fingerprint that stands for all it is linked to."""
+    prints = stage(fingerprints(docs, shingle, others), "fingerprints")
+    nodes = stage(prints.groupBy("bits").agg(first.alias("first")), "distinct")
     roots = components(links(nodes.select("bits"), nodes.count(), max_bits))
     placed = nodes.join(roots.withColumnRenamed("id", "bits"), "bits", "left").select(
         "bits", "first", F.coalesce("root", "bits").alias("root")
     )
-    placed = stage(placed, "placed")
-    smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = placed.join(smallest, "root").select("bits", "component_id")
-    return prints.join(classes, "bits").select(
-        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    return prints, stage(placed, "placed")
 
 
 def op9_simhash_near_dedup(spark, sf_dir):
@@ -143,10 +153,22 @@ def op9_simhash_near_dedup(spark, sf_dir):
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the document with the smallest doc_id of each group stays, once.
+    """Pipeline stage: of each group of near duplicates the document of smallest doc_id, once.
 
-    Rows without a doc_id cannot be told apart and stay as they are.
+    Where an id stands for several texts or rows, hashes of the text and of the whole row
+    break the tie, so every group keeps exactly one row and reruns keep the same. Rows
+    without a doc_id take part; one stays only where its group has no id at all. Null and
+    empty texts are one group. An empty table stays empty; columns of any name are kept.
     """
-    kept = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(stage(kept, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).unionAll(docs.filter("doc_id IS NULL"))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    hashes = {"_text_hash": F.xxhash64("text"), "_row_hash": F.xxhash64(*every)}
+    key = [F.col("doc_id").isNull().alias("nameless"), "doc_id", *hashes]
+    _, placed = classes(docs, F.min(F.struct(*key)), others=hashes)
+    kept = placed.groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    kept = stage(kept.select(F.col("doc_id").alias("_kept_id"), *hashes), "kept")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id"))
+    rows = docs.select(F.struct(*every).alias("_row"), F.col("doc_id"), *[c.alias(n) for n, c in hashes.items()])
+    chosen = rows.join(kept.withColumnsRenamed({n: f"{n}_kept" for n in hashes}), same & F.expr(
+        " AND ".join(f"{n} = {n}_kept" for n in hashes)
+    ), "left_semi")
+    return chosen.dropDuplicates(["doc_id", *hashes]).select("_row.*")
