@@ -11,7 +11,6 @@ from cartloom.plans.staging import stage
 
 WINDOW = 8  # words
 MIN_WORDS, MAX_REPEAT_PERCENT = 20, 30
-MIN_LINE_CHARS = 20  # of the SQL alone: it leaves out shorter lines, judge() does not
 MAX_DOCS = 20  # a line in more documents of one host is removed
 MAX_REMOVED_PERCENT = 70  # of a document's characters; beyond it is depleted
 SALTS = 16
@@ -204,19 +203,14 @@ WITH d AS (
   FROM raw_lines JOIN d USING (uid)
 ), chars AS (
   SELECT uid, sum(length(line)) AS chars FROM normal GROUP BY uid
-), hashed AS (
-  SELECT uid, source, length(line) AS chars, ('0x' || substr(md5(line), 1, 15))::BIGINT AS h
-  FROM normal WHERE length(line) >= {MIN_LINE_CHARS}
-), least AS (
-  SELECT uid, list_sort(list(DISTINCT h)) AS hs FROM hashed GROUP BY uid
+), lines AS (
+  SELECT uid, source, line FROM normal WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')
 ), shared AS (
-  SELECT source, h FROM (
-    SELECT DISTINCT source, h, CASE WHEN h = hs[1] THEN hs[2] ELSE hs[1] END AS other
-    FROM hashed JOIN least USING (uid)
-  ) GROUP BY source, h HAVING count(*) > {MAX_DOCS}
+  SELECT lines.source, line FROM lines JOIN d USING (uid)
+  GROUP BY lines.source, line HAVING count(DISTINCT md5(t)) > {MAX_DOCS}
 ), removed AS (
-  SELECT uid, sum(chars) AS n FROM hashed x
-  WHERE EXISTS (SELECT 1 FROM shared s WHERE s.h = x.h AND s.source IS NOT DISTINCT FROM x.source)
+  SELECT uid, sum(length(line)) AS n FROM lines x
+  WHERE EXISTS (SELECT 1 FROM shared s WHERE s.line = x.line AND s.source IS NOT DISTINCT FROM x.source)
   GROUP BY uid
 ), counted AS (
   SELECT w.uid, doc_id, len(words)::BIGINT AS n_words,
