@@ -88,45 +88,62 @@ def _column(path: str) -> str:
     return path.split("[")[0].split(".")[0]
 
 
+def _lowered(records: DataFrame) -> DataFrame:
+    """Columns by lower-case names; of names that differ in case alone the first that is
+    lower-case, or else the first, counts."""
+    names = [c.lower() for c in records.columns]
+    chosen = {}
+    for i, c in enumerate(records.columns):
+        if names[i] not in chosen or (c == names[i] and records.columns[chosen[names[i]]] != c):
+            chosen[names[i]] = i
+    unique = [c if chosen[c] == i else f"_other_{i}" for i, c in enumerate(names)]
+    return records.toDF(*unique).select(*[f"`{c}`" for c in chosen])
+
+
 def canonical_turns(records: DataFrame) -> DataFrame:
     """(conv_id, turn, role, text) of records whose fields may mix several layouts.
 
-    Each row's fingerprint is that of the top-level fields it has, with what is nested in
-    them; the table may hold the union of many layouts' columns. A table of one layout is
-    recognised by its whole schema, so its nulls are empty texts. Rows by no known layout
-    raise an error that names the paths. Columns of no layout are ignored where the known
-    ones suffice. Turns of arrays count from 0; a null array has no turns.
+    Layouts come into question whose paths the table's schema has; other columns, also
+    those that only other layouts know, are ignored. A table of one layout is recognised
+    by the fingerprint of its schema. In a mix, each row's fingerprint is that of the
+    fields it has filled; a row that matches no layout so, as a null leaves it, goes by
+    the one of which it fills most fields, then lacks fewest, then the first declared.
+    Null texts are empty, a null array has no turns, turns of arrays count from 0, null
+    ids are kept, repeated records repeat, an empty table has no turns. A table that has
+    no layout's paths is an error that names its fields.
     """
-    lower = records.toDF(*[c.lower() for c in records.columns])
-    known = {_column(p) for layout in LAYOUTS.values() for p in layout.paths}
-    used = lower.select(*[c for c in lower.columns if c in known or c == "conv_id"])
-    nested = {f.name: tuple(field_paths(f.dataType, f.name)) for f in used.schema}
-    whole = schema_fingerprint(p for paths in nested.values() for p in paths)
-    if whole in LAYOUTS:
-        return _turns(used, LAYOUTS[whole])
-    # A mix: hash the paths of the fields each row has, and look its layout up by the hash.
+    lower = _lowered(records)
+    every = {p for layout in LAYOUTS.values() for p in layout.paths}
+    nested = {f.name: [p for p in field_paths(f.dataType, f.name) if p in every] for f in lower.schema}
+    nested = {c: paths for c, paths in nested.items() if paths}
+    there = {p for paths in nested.values() for p in paths}
+    fitting = {key: layout for key, layout in LAYOUTS.items() if there.issuperset(layout.paths)}
+    if not fitting:
+        raise ValueError(f"no layout for the fields: {', '.join(sorted(lower.columns))}")
+    used = lower.select("conv_id", *nested)
+    whole = schema_fingerprint(["conv_id", *there])
+    if whole in fitting or len(fitting) == 1:
+        return _turns(used, fitting.get(whole) or next(iter(fitting.values())))
     none = F.array().cast("array<string>")
-    held = [
-        F.when(F.col(c).isNotNull() | F.lit(c == "conv_id"), F.array(*map(F.lit, found))).otherwise(none)
-        for c, found in nested.items()
-    ]
-    paths = F.array_sort(F.array_distinct(F.flatten(F.array(*held))))
-    marked = used.withColumn("_print", F.substring(F.sha2(F.array_join(paths, "\n"), 256), 1, 16))
-    parts = [
-        _turns(marked.filter(F.col("_print") == key), layout)
-        for key, layout in LAYOUTS.items()
-        if {_column(p) for p in layout.paths} <= set(used.columns)
-    ]
-    message = F.concat(F.lit("no layout for the fields: "), F.array_join(paths, ", "))
-    unknown = marked.filter(~F.col("_print").isin(*LAYOUTS)).select(
-        F.col("conv_id").cast("long"),
-        F.lit(0).cast("long").alias("turn"),
-        F.lit("").alias("role"),
-        F.raise_error(message).cast("string").alias("text"),
-    )
-    for part in parts:
-        unknown = part.unionByName(unknown)
-    return unknown
+    held = [F.when(F.col(c).isNotNull(), F.array(*map(F.lit, found))).otherwise(none) for c, found in nested.items()]
+    paths = F.array_sort(F.flatten(F.array(F.array(F.lit("conv_id")), *held)))
+    exact = F.substring(F.sha2(F.array_join(paths, "\n"), 256), 1, 16)
+
+    def nearness(rank: int, key: str, layout: Layout) -> Column:
+        columns = {_column(p) for p in layout.paths}
+        filled = sum((F.col(c).isNotNull().cast("int") for c in columns), F.lit(0))
+        return F.struct(
+            filled.alias("filled"), (filled - len(columns)).alias("lacking"), F.lit(-rank).alias("rank"), F.lit(key).alias("print")
+        )
+
+    nearest = F.greatest(*[nearness(rank, key, layout) for rank, (key, layout) in enumerate(fitting.items())])
+    chosen = F.when(exact.isin(*fitting), exact).otherwise(nearest["print"])
+    marked = used.withColumn("_print", chosen)
+    parts = [_turns(marked.filter(F.col("_print") == key), layout) for key, layout in fitting.items()]
+    turns = parts[0]
+    for part in parts[1:]:
+        turns = turns.unionByName(part)
+    return turns
 
 
 def _role(role: Column) -> Column:

@@ -417,8 +417,67 @@ def test_chat_layouts(spark):
     mixed = frames[1].unionByName(frames[3].withColumn("conv_id", F.lit(2).cast("long")), allowMissingColumns=True)
     got = chat.digests(chat.format_turns(chat.canonical_turns(mixed))).collect()
     assert len(got) == 2 and len({tuple(r)[1:] for r in got} | {tuple(rows[0][0])[1:]}) == 1
-    with pytest.raises(Exception, match="no layout"):
-        chat.canonical_turns(frames[3].withColumn("prompt", F.lit(None).cast("string")).withColumn("messages", F.lit(None).cast(said))).collect()
+    with pytest.raises(ValueError, match="no layout"):
+        chat.canonical_turns(frames[3].drop("prompt"))
+
+
+SAID = "array<struct<role:string,content:string>>"
+COLUMN_TYPES = {"turn": "int", "messages": SAID, "conversations": "array<struct<from:string,value:string>>"}
+VALUES = {"turn": 0, "role": "user", "messages": [("user", "m")], "conversations": [("human", "c")]}
+
+
+def layout_columns(layout):
+    return list(dict.fromkeys(chat._column(p) for p in layout.paths))
+
+
+def one_record(spark, columns, **values):
+    row = {c: VALUES.get(c, f"the {c}") for c in columns} | values
+    schema = ", ".join(f"{c} {COLUMN_TYPES.get(c, 'string')}" for c in columns)
+    return spark.createDataFrame([(1, *(row[c] for c in columns))], f"conv_id long, {schema}")
+
+
+@pytest.mark.parametrize("key", chat.LAYOUTS)
+def test_every_layout_beside_the_fields_of_every_other(spark, key):
+    """Fields of other layouts, filled or null, never stop a table; null ones change nothing."""
+    mine = layout_columns(chat.LAYOUTS[key])
+    want = chat.canonical_turns(one_record(spark, mine)).collect()
+    for other in chat.LAYOUTS.values():
+        extra = [c for c in layout_columns(other) if c not in mine]
+        if not extra:
+            continue
+        both = [*extra, *mine]
+        got = chat.canonical_turns(one_record(spark, both, **dict.fromkeys(extra)))
+        covers = {*both} == {*layout_columns(other)}  # then the table is one of that layout
+        found = [r for r in got.collect() if r["text"]] if covers else got.collect()
+        assert [r["text"] for r in found] == [r["text"] for r in want]
+        filled = chat.canonical_turns(one_record(spark, both))
+        assert filled.columns == ["conv_id", "turn", "role", "text"] and filled.count() >= 1
+
+
+def test_nulls_beside_fields_of_other_layouts(spark):
+    texts = lambda df: [r["text"] for r in chat.canonical_turns(df).orderBy("turn").collect()]
+    rows = ["turn", "role", "text"]
+    for extra in ("system", "content", "input", "prompt"):
+        for value in (None, "x"):
+            assert texts(one_record(spark, [*rows, extra], **{extra: value})) == ["the text"]
+    assert texts(one_record(spark, [*rows, "input"], input=None, text=None)) == [""]
+    union = ["messages", "prompt", "response"]
+    assert texts(one_record(spark, union, messages=None, response=None)) == ["the prompt", ""]
+    assert texts(one_record(spark, union, messages=None, prompt=None)) == ["", "the response"]
+    assert texts(one_record(spark, union, prompt=None, response=None)) == ["m"]
+    assert texts(one_record(spark, union, messages=None, prompt=None, response=None)) == []
+    assert chat.canonical_turns(one_record(spark, union).limit(0)).count() == 0
+
+
+def test_names_in_other_case_and_nested_extras(spark):
+    twice = spark.createDataFrame([(1, 0, "user", "no", "yes")], "conv_id long, turn int, role string, Text string, text string")
+    assert chat.canonical_turns(twice).first()["text"] == "yes"
+    upper = spark.createDataFrame([(1, "p", "r")], "Conv_ID long, PROMPT string, Response string")
+    assert [r["text"] for r in chat.canonical_turns(upper).collect()] == ["p", "r"]
+    wide = spark.createDataFrame([(1, [("user", "hello", 0.5)], "x")], "conv_id long, messages array<struct<role:string,content:string,weight:double>>, `a.b` string")
+    assert [tuple(r) for r in chat.canonical_turns(wide).collect()] == [(1, 0, "user", "hello")]
+    plain = spark.createDataFrame([(1, 0, "user", "t", "not an array")], "conv_id long, turn int, role string, text string, messages string")
+    assert chat.canonical_turns(plain).first()["text"] == "t"
 
 
 def test_chat_of_odd_rows(spark):
