@@ -29,6 +29,7 @@ HEADLINE = [
     "summary_row_ids",
     "run_row_counts",
     "customers_page",
+    "products_page",
     "orders_by_status",
     "customer_orders",
     "stats_summary",
