@@ -7,6 +7,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from cartloom.functions.missing import normalise_missing
 from cartloom.schemas import SOURCE_COLUMNS, SOURCES
+from cartloom.sources.quoted import read_quoted
 
 BROKEN = "_broken_line"
 
@@ -22,8 +23,8 @@ DEFAULT_FILES = {
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Every column as text, named by the header, so bad values stay visible.
 
-    Files stay splittable unless `multiline` is asked for, which is only needed
-    when quoted fields hold line breaks. A line with more fields than the header, or with
+    Files are split either way. `multiline` is needed where quoted fields hold line breaks,
+    and costs a count of the quotes and, for such files, a shuffle. A line with more fields than the header, or with
     a quote that does not end, is an error when it is read; missing last fields are NULL.
     """
     options = {"header": True, "escape": '"', "enforceSchema": False, "multiLine": multiline}
@@ -31,7 +32,10 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     if not names:
         return spark.read.options(**options).csv(path)
     schema = StructType([StructField(c, StringType()) for c in [*names, BROKEN]])
-    rows = spark.read.options(**options, columnNameOfCorruptRecord=BROKEN).schema(schema).csv(path)
+    if multiline:
+        rows = read_quoted(spark, path, names, BROKEN)
+    else:
+        rows = spark.read.options(**options, columnNameOfCorruptRecord=BROKEN).schema(schema).csv(path)
     unquoted = F.regexp_replace(BROKEN, '"[^"]*"', "")
     fields = F.size(F.split(unquoted, ",", -1))
     bad = F.col(BROKEN).isNotNull() & (unquoted.contains('"') | (fields > len(names)))

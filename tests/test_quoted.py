@@ -1,0 +1,85 @@
+"""Quoted line breaks in files that are read in many splits."""
+
+import csv
+import io
+import random
+
+import pytest
+
+from cartloom.sources.files import read_csv
+from cartloom.sources.quoted import records
+
+
+@pytest.fixture
+def tiny_splits(spark):
+    """Splits of a few bytes, so that records begin, go on and end in different tasks."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def written(path, rows, end="\n"):
+    out = io.StringIO()
+    csv.writer(out, lineterminator=end).writerows([("a", "b", "c"), *rows])
+    path.write_bytes(out.getvalue().encode())
+
+
+def values(df):
+    return sorted(tuple(x or "" for x in r) for r in df.collect())
+
+
+def random_rows(rng, n, breaks):
+    field = lambda: "".join(rng.choice(["x", "é", " ", ",", '"', *breaks]) for _ in range(rng.randint(0, 30)))
+    return [(f"k{i}", f"<{field()}>", f"<{field()}>") for i in range(n)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_records_across_splits(spark, tiny_splits, tmp_path, end):
+    rng = random.Random(4)
+    folder = tmp_path / "in"
+    folder.mkdir()
+    want = []
+    for name, breaks in (("one", ["\n", "\n\n"]), ("two", ["\r\n", "\n"]), ("plain", [])):
+        rows = random_rows(rng, 60, breaks)
+        want += rows
+        written(folder / f"{name}.csv", rows, end)
+    df = read_csv(spark, str(folder), multiline=True)
+    assert records(spark, str(folder)).rdd.getNumPartitions() > 1
+    assert values(df) == sorted(want)
+    assert df.count() == len(want) and df.columns == ["a", "b", "c"]
+
+
+def test_one_record_over_many_splits(spark, tiny_splits, tmp_path):
+    rows = [("1", "\n".join(f"line {i}" for i in range(300)), "z"), ("2", "", ""), ("3", '"\n"', "\n\n\n")]
+    written(tmp_path / "x.csv", rows)
+    assert values(read_csv(spark, str(tmp_path / "x.csv"), multiline=True)) == sorted(rows)
+
+
+def test_it_reads_what_one_task_reads(spark, tmp_path):
+    rows = random_rows(random.Random(9), 200, ["\n"])
+    written(tmp_path / "x.csv", rows)
+    whole = spark.read.options(header=True, escape='"', multiLine=True).csv(str(tmp_path / "x.csv"))
+    assert values(read_csv(spark, str(tmp_path / "x.csv"), multiline=True)) == values(whole)
+
+
+def test_blank_lines_headers_and_missing_fields(spark, tiny_splits, tmp_path):
+    (tmp_path / "x.csv").write_text('\n\na,"b\nb"\n\n1,"two\n\nlines"\n\n2\n3,\n')
+    df = read_csv(spark, str(tmp_path / "x.csv"), multiline=True)
+    assert df.columns == ["a", "b\nb"]
+    assert values(df) == [("1", "two\n\nlines"), ("2", ""), ("3", "")]
+    (tmp_path / "none.csv").write_text("a,b\n")
+    assert read_csv(spark, str(tmp_path / "none.csv"), multiline=True).count() == 0
+
+
+def test_an_open_quote_and_another_header_are_errors(spark, tiny_splits, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines\n2,plain\n')
+    with pytest.raises(Exception, match="open quote"):
+        read_csv(spark, str(tmp_path / "x.csv"), multiline=True).collect()
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text('a,b\n1,"x\ny"\n')
+    (folder / "b.csv").write_text('a,other\n1,"x\ny"\n')
+    with pytest.raises(Exception, match="header differs"):
+        read_csv(spark, str(folder), multiline=True).collect()
