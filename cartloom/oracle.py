@@ -357,6 +357,10 @@ ORACLE_SQL = {
     "load_master": _with(
         TEXT_MASTER, f"SELECT {_loaded_columns()} FROM merged WHERE {_reason()} IS NULL"
     ),
+    "master_of_order": _with(
+        TEXT_MASTER,
+        f"SELECT * FROM (SELECT {_loaded_columns()} FROM merged WHERE {_reason()} IS NULL) WHERE order_id = '7'",
+    ),
     "master_rejects": _with(
         TEXT_MASTER,
         f"SELECT {_reason()} AS reject_reason, {', '.join(_LIMITS)} FROM merged "

@@ -12,12 +12,13 @@ from cartloom.operators import facts, joins, load, lookup, marts, stats
 from cartloom.operators.clean import clean
 from cartloom.operators.rowids import number_rows
 from cartloom.operators.skew import SkewProfile
-from cartloom.plans import catalog, pages, versions
-from cartloom.plans.staging import staged_folder
+from cartloom.plans import catalog, pages, skipping, versions
+from cartloom.plans.staging import stage, staged_folder
 from cartloom.schemas import CRITICAL_IDS, SUMMARY_KEYS
 from cartloom.sources.star import text_sources, typed_sources
 
 QUERIES = {}
+LOOKUP_COLUMNS = ["order_id", "customer_id", "customer_state"]
 
 
 def query(function):
@@ -314,6 +315,15 @@ def products_page(spark, sf_dir):
     return written.page(40, 90).withColumn("total", F.lit(written.count()))
 
 
+@query
+def master_of_order(spark, sf_dir):
+    """The loaded rows of one order, looked up in a written master table."""
+    loaded = load.accepted(text_shop(spark, sf_dir).loaded())
+    path = f"{staged_folder(spark)}/skipping-{uuid.uuid4().hex}"
+    written = skipping.write_skipping(stage(loaded, "loaded"), LOOKUP_COLUMNS, path)
+    return written.filter(F.col("order_id") == "7")
+
+
 @query
 def customers_by_state(spark, sf_dir):
     sources = shop(spark, sf_dir).sources
