@@ -30,7 +30,22 @@ def _range_number(value: Column, bounds: list[int]) -> Column:
     """How many bounds are not above the value; 0 for null. A value that spans several
     ranges has all their bounds, so that numbers use all BITS."""
     cuts = F.array(*[F.lit(x).cast("long") for x in bounds])
-    return F.when(value.isNull(), 0).otherwise(F.size(F.filter(cuts, lambda x: x <= value)))
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(BITS))])
+
+    def search(v):  # the value is computed once
+        reached = lambda n, step: F.coalesce(F.get(cuts, n + step - 1) <= v, F.lit(False))
+        return F.aggregate(steps, F.lit(0), lambda n, step: F.when(reached(n, step), n + step).otherwise(n))
+
+    return F.element_at(F.transform(F.array(value), search), 1)
+
+
+def _spread(number: Column, i: int, columns: int) -> Column:
+    """The number's bits at every columns-th place from i on."""
+    out: Column = F.lit(0).cast("long")
+    for bit in range(BITS):
+        one = F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("long")
+        out = out.bitwiseOR(F.shiftleft(one, bit * columns + i))
+    return out
 
 
 def curve(df: DataFrame, columns: list[str]) -> Column:
@@ -42,11 +57,14 @@ def curve(df: DataFrame, columns: list[str]) -> Column:
     shares = [k / (1 << BITS) for k in range(1, 1 << BITS)]
     bounds = df.agg(*[F.percentile_approx(v, shares, 10_000) for v in values]).first()
     place: Column = F.lit(0).cast("long")
+
+    def spread(i):
+        return lambda n: _spread(n, i, len(columns))
+
     for i, (value, cuts) in enumerate(zip(values, bounds, strict=True)):
-        number = _range_number(value, cuts or [0])
-        for bit in range(BITS):
-            one = F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("long")
-            place = place.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
+        number = F.array(_range_number(value, list(cuts or [])))
+        parts = F.transform(number, spread(i))
+        place = place.bitwiseOR(F.element_at(parts, 1))
     return place
 
 
