@@ -1,24 +1,33 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 A source's target over its size is how many copies each of its documents should have on
-average: a whole part and a fraction, the document's copy probability. The largest open
-document is paired with the pool of all smaller ones, and words' worth of probability
-moves between the two, in a random direction, until one of them is integral: the
-document is taken or not, or the whole pool is. That keeps the source's words the same at
-every step and every document's expectation. What is open last is a small document, by
-which alone a source misses its target. (Pairs of single documents would settle the
-smaller one each time and leave the largest open.)
-
-Documents are dealt over lanes within their source. A lane settles all but one document;
-these residuals meet in fewer lanes, and so on, until one per source is left to chance.
+average: a whole part and a fraction, the document's copy probability. Two partners move
+words' worth of probability between them, in a random direction, until one of them is
+integral. That keeps the source's words the same at every step and every document's
+expectation.
+
+Documents are dealt over lanes within their source. In a lane the largest open document is
+paired with the pool of all smaller ones: it is taken or not, or some of the pool are. The
+pool's members move along one direction, back or forth, so each keeps its own expectation,
+whatever their probabilities. (Pairs of single documents would settle the smaller one each
+time and leave the largest open.) What a lane leaves open is a small document; these
+residuals meet in fewer lanes, and so on, until one per source is left to chance.
+
+Rows that are equal in every column are one class. Of its n rows at a probability of p,
+the whole part of np get a copy for certain, and its fraction is rounded like a residual.
 """
 
+import random
+from functools import reduce
+
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from cartloom.llm.common import WORD, table
+from cartloom.operators.rowids import number_rows
 from cartloom.plans.staging import stage
 
 WEIGHTS = (5, 2, 1)  # fixed values: by source in code point order, repeating
@@ -26,176 +35,199 @@ MAX_COPIES = 3  # fixed value
 LANE_ROWS = 2000
 FAN_IN = 1000  # lanes whose residuals meet in one lane of the next level
 SEED = 11
+CLOSE = 1e-12  # a probability this near to 0 or 1 is taken for it
+REPEATS = 100_000  # rows of one class that one task writes
 
 
-def targets(sizes: dict, weights=WEIGHTS, most: int = MAX_COPIES) -> dict:
-    """Target words per source: shares of all words by weight, at most `most` times the
-    source's size, the excess shared again by weight among the others. None comes last."""
-    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
-    out, left, open_ = {}, sum(sizes.values()), set(order)
-    while open_:
-        unit = left / sum(weight[s] for s in open_)
-        over = [s for s in order if s in open_ and weight[s] * unit > most * sizes[s]]
-        if not over:
-            return out | {s: weight[s] * unit for s in open_}
-        for s in over:
-            out[s] = float(most * sizes[s])
-            left -= most * sizes[s]
-            open_.discard(s)
-    return out
-
-
-class Pool:
-    """The open documents of a lane below the current one, as one partner of a pair.
-
-    Probabilities of its members have changed alike since the lane began: p is now
-    scale * p + shift. words is their size, mass the sum of size times probability.
-    """
+def source_plans(classes: DataFrame, weights, most: int, lane_rows: int) -> DataFrame:
+    """(src, source_size, target, whole, p, lanes): a row per source, none on the driver.
 
-    def __init__(self, words: int, mass: float):
-        self.words, self.mass, self.scale, self.shift = words, mass, 1.0, 0.0
-
-    def leave(self, size: int, p: float) -> float:
-        """Take a member out; its probability now."""
-        p = min(1.0, max(0.0, self.scale * p + self.shift))
-        self.words -= size
-        self.mass = min(float(self.words), max(0.0, self.mass - size * p))
-        return p
-
-    def give(self, mass: float) -> None:
-        left = 1 - mass / self.mass
-        self.scale, self.shift, self.mass = self.scale * left, self.shift * left, self.mass - mass
-
-    def take(self, mass: float) -> None:
-        left = 1 - mass / (self.words - self.mass)
-        self.scale, self.shift = self.scale * left, self.shift * left + 1 - left
-        self.mass += mass
-
-    def fix(self, value: int) -> None:
-        self.scale, self.shift, self.mass = 0.0, float(value), float(value * self.words)
-
-    def pair(self, size: int, p: float, u: float) -> tuple[int | None, float]:
-        """The document's copies, None while open, and its probability after one move.
-
-        The chance of either direction is the share of the other's way, so expectations
-        over u stay.
-        """
-        room = self.words - self.mass
-        up, down = min(size * (1 - p), self.mass), min(size * p, room)
-        if u * (up + down) < down:
-            if size * (1 - p) <= self.mass:
-                self.give(up)
-                return 1, 1.0
-            self.fix(0)
-            return None, p + up / size
-        if size * p <= room:
-            self.take(down)
-            return 0, 0.0
-        self.fix(1)
-        return None, p - down / size
-
-
-def _settle(rows: DataFrame, lanes: int) -> DataFrame:
-    """One level: rows(row, src, size, p, u, lane, ...) plus copy, null for a lane's residual."""
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = Window.partitionBy("src", "lane").orderBy(F.desc("size"), "u")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    dealt = rows.repartition(min(lanes, 16 * tasks), "src", "lane")
-    mass = F.sum(F.col("size") * F.col("p")).over(whole)
-    ordered = dealt.withColumns({"lane_words": F.sum("size").over(whole), "lane_mass": mass})
-    names = rows.columns
-
-    def run(batches):
-        lane, pool = None, None
-        for batch in batches:
-            keys = ("src", "lane", "size", "p", "u", "lane_words", "lane_mass")
-            copies, after = [], []
-            values = (batch.column(k).to_pylist() for k in keys)
-            for src, number, size, p, u, words, mass in zip(*values, strict=True):
-                if (src, number) != lane:
-                    lane, pool = (src, number), Pool(words, mass)
-                if size == 0:
-                    copy = int(u < p)
-                else:
-                    p = pool.leave(size, p)
-                    if p in (0.0, 1.0):
-                        copy = int(p)
-                    elif pool.words:
-                        copy, p = pool.pair(size, p, u)
-                    else:
-                        copy = None
-                copies.append(copy)
-                after.append(p)
-            columns = [batch.column(c) for c in names]
-            columns[names.index("p")] = pa.array(after, pa.float64())
-            columns.append(pa.array(copies, pa.int32()))
-            yield pa.RecordBatch.from_arrays(columns, [*names, "copy"])
+    A target is the source's share of all words by weight, at most `most` times its size;
+    the excess is shared again by weight until no share is above. Each round asks for
+    three sums over the sources.
+    """
+    words = F.sum(F.col("size") * F.col("n")).alias("source_size")
+    sums = classes.groupBy("src").agg(words, F.count("*").alias("rows"))
+    placed = number_rows(sums.withColumn("void", F.col("src").isNull()), ["void", "src"], "place")
+    turn = ((F.col("place") - 1) % len(weights) + 1).cast("int")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn)
+    most_words = F.col("source_size").cast("double") * most
+    sources = stage(placed.withColumns({"weight": weight, "limit": most_words}), "sources")
+    total, parts = sources.agg(F.sum("source_size"), F.sum("weight")).first()
+    unit, capped = (total or 0) / (parts or 1), 0
+    while True:
+        over = F.col("weight") * unit > F.col("limit")
+        limits, parts, n = sources.agg(
+            F.sum(F.when(over, F.col("limit"))), F.sum(F.when(~over, F.col("weight"))), F.count_if(over)
+        ).first()
+        if n == capped or not parts:
+            break
+        unit, capped = (total - limits) / parts, n
+    target = F.when(over, F.col("limit")).otherwise(F.col("weight") * unit)
+    mean = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    whole = F.least(F.floor("mean"), F.lit(most)).cast("int")
+    lanes = F.ceil(F.col("rows") / lane_rows)
+    return (
+        sources.withColumn("target", target)
+        .withColumn("mean", mean)
+        .select(
+            F.col("src").alias("_src"), "source_size", "target", whole.alias("whole"),
+            (F.col("mean") - whole).alias("p"), lanes.alias("lanes"),
+        )
+    )
 
-    schema = StructType([*rows.schema.fields, StructField("copy", IntegerType())])
-    return ordered.mapInArrow(run, schema)
 
+def settle(sizes: np.ndarray, p: np.ndarray, rng: random.Random) -> np.ndarray:
+    """Probabilities after pivotal moves, at most one of them still open; sizes descend.
 
-def mix(docs: DataFrame, weights=WEIGHTS, most: int = MAX_COPIES, lane_rows: int = LANE_ROWS):
-    """(row, size, source_size, target, copies) for every row of docs(doc_id, text, source).
+    A move takes words from the pool for the document or the other way. The chance of
+    either is the share of the other's way, and a member of the pool moves by the same
+    share of the words both ways, so all expectations stay, and so does sizes @ p. A move
+    ends where the document or a member is integral.
+    """
+    p = p.astype(float)
+    void = sizes == 0
+    p[void] = [rng.random() < x for x in p[void]]
+    for k in range(len(p)):
+        pool = k + 1 + np.flatnonzero((p[k + 1 :] > 0) & (p[k + 1 :] < 1))
+        while len(pool) and 0 < p[k] < 1:
+            open_, size = p[pool], sizes[k]
+            room = np.minimum(open_, 1 - open_)
+            way = room / (sizes[pool] @ room)
+            up = min(size * (1 - p[k]), (open_ / way).min())
+            down = min(size * p[k], ((1 - open_) / way).min())
+            moved = up if rng.random() * (up + down) < down else -down
+            changed = np.append(open_ - way * moved, p[k] + moved / size)
+            changed[changed < CLOSE] = 0.0
+            changed[changed > 1 - CLOSE] = 1.0
+            p[pool], p[k] = changed[:-1], changed[-1]
+            pool = pool[(changed[:-1] > 0) & (changed[:-1] < 1)]
+    return p
+
+
+def _settle(rows: DataFrame) -> DataFrame:
+    """One level: rows(h, g, src, lane, size, p, u) plus copy, null for a lane's residual.
+
+    A task holds one lane at a time, some `lane_rows` or FAN_IN rows of numbers.
+    """
+    schema = StructType([*rows.schema.fields, StructField("copy", IntegerType())])
 
-    size is the number of words, a null text having none; a null source is a source like
-    any other and comes last. copies is 0 to `most`, and size * copies summed over a
-    source is within one document of its target. Documents without words are copied by
-    chance alone. The same rows give the same copies, in whatever order they are read;
-    repeated rows are separate documents. row holds the columns of docs. The driver sees
-    one row per source.
+    def run(lane: pa.Table) -> pa.Table:
+        kinds = {"size": "descending", "u": "ascending", "h": "ascending", "g": "ascending"}
+        lane = lane.sort_by(list(kinds.items()))
+        sizes, p, u = (lane.column(c).to_numpy() for c in ("size", "p", "u"))
+        p = settle(sizes, p, random.Random(float(u[0])))
+        copies = pa.array([int(x) if x in (0.0, 1.0) else None for x in p], pa.int32())
+        lane = lane.set_column(lane.column_names.index("p"), "p", pa.array(p))
+        return lane.append_column("copy", copies)
+
+    return rows.groupBy("src", "lane").applyInArrow(run, schema)
+
+
+def _chance(*parts) -> Column:
+    """A number from 0 up to 1, by a hash of the parts."""
+    return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
+
+
+def _keys(docs: DataFrame) -> list[Column]:
+    """Two hashes of a whole row, which tell nulls apart from columns that are not there."""
+    parts = []
+    for name, kind in docs.dtypes:
+        value = F.col(f"`{name}`")
+        parts.append(F.to_json(F.struct(value)) if "map<" in kind or "variant" in kind else value)
+    parts.append(F.array(*[F.col(f"`{c}`").isNull() for c in docs.columns]))
+    return [F.xxhash64(F.lit(SEED + i), *parts).alias(name) for i, name in enumerate("hg")]
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Every row as often as its n says, with a number i from 0; n is at most REPEATS."""
+    return rows.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
+
+
+def mix(
+    docs: DataFrame,
+    weights=WEIGHTS,
+    most: int = MAX_COPIES,
+    lane_rows: int = LANE_ROWS,
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """(row, size, source_size, target, copies) for every row of docs(text, source, ...).
+
+    size is the number of words, a null or empty text having none; a null source is a
+    source like any other and comes last. copies is 0 to `most`, and size * copies summed
+    over a source is within one document of its target; a document's expected copies are
+    its target over its size. Documents without words are copied by chance alone. The same
+    rows give the same copies, in whatever order they are read; repeated rows share theirs,
+    one more or less each. An empty table gives none. row holds the columns of docs, or
+    those of `keep`, and may be named like the other results. docs are read twice and must be the
+    same; a text longer than a row may be is Spark's limit, not one of this operator.
+
+    Only a row's hashes, size and source go through the lanes. Texts, where row holds any,
+    are shuffled once, to meet their copies.
     """
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.select(
-        F.struct("*").alias("row"),
-        F.col("source").cast("string").alias("src"),
-        size.alias("size"),
-        F.xxhash64(F.lit(SEED), "doc_id", "text", "source").alias("h"),
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    src = F.col("source").cast("string").alias("src")
+    kept = F.struct(*[F.col(f"`{c}`") for c in (keep or docs.columns)]).alias("row")
+    marks = _keys(docs)
+    classes = docs.select(src, size, *marks).groupBy("src", "size", "h", "g")
+    classes = stage(classes.agg(F.count("*").alias("n")), "classes")
+    plans = stage(source_plans(classes, weights, most, lane_rows), "plans")
+    share = F.col("n") * F.col("p")
+    rows = classes.join(plans, F.col("src").eqNullSafe(F.col("_src"))).select(
+        "h", "g", "src", "n", "size", "source_size", "target", "lanes",
+        (F.col("n") * F.col("whole") + F.floor(share)).alias("certain"),
+        (share - F.floor(share)).alias("p"),
     )
-    sums = sized.groupBy("src").agg(F.sum("size").alias("size"), F.count("*").alias("n")).collect()
-    goal = targets({r["src"]: r["size"] for r in sums}, weights, most)
-    lanes = {r["src"]: -(-r["n"] // lane_rows) for r in sums}
-    plan = []
-    for r in sums:
-        mean = goal[r["src"]] / r["size"] if r["size"] else 0.0
-        whole = min(int(mean), most)
-        plan.append((r["src"], r["size"], goal[r["src"]], whole, mean - whole, lanes[r["src"]]))
-    columns = "_src string, source_size long, target double, whole int, p double, lanes int"
-    plans = F.broadcast(docs.sparkSession.createDataFrame(plan, columns))  # a row per source
-    rows = sized.join(plans, F.col("src").eqNullSafe(F.col("_src"))).select(
-        "row", "src", "size", "source_size", "target", "whole", "p",
-        (F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53))).alias("u"),
-        F.pmod(F.xxhash64("h"), F.col("lanes")).cast("int").alias("lane"),
+    todo = rows.select(
+        "h", "g", "src", F.pmod(F.xxhash64("h"), F.col("lanes")).alias("lane"), "size", "p",
+        _chance(F.lit(SEED), "h", "g").alias("u"),
     )
-    level, todo, settled = 0, rows, []
+    most_lanes = plans.agg(F.max("lanes")).first()[0] or 1
+    level, settled = 0, []
     while True:
-        count = sum(max(1, -(-n // FAN_IN**level)) for n in lanes.values())
-        out = stage(_settle(todo, max(1, count)), f"mixed-{level}")
-        settled.append(out.filter("copy IS NOT NULL"))
-        left = out.filter("copy IS NULL").drop("copy")
-        if all(n <= FAN_IN**level for n in lanes.values()):
-            last = F.xxhash64(F.lit(SEED), "u")
-            chance = F.shiftrightunsigned(last, 11) / F.lit(float(1 << 53)) < F.col("p")
-            settled.append(left.withColumn("copy", chance.cast("int")))
+        out = stage(_settle(todo), f"mixed-{level}")
+        settled.append(out.filter("copy IS NOT NULL").select("h", "g", "copy"))
+        left = out.filter("copy IS NULL")
+        if most_lanes <= FAN_IN**level:
+            last = (_chance(F.lit(SEED), "u") < F.col("p")).cast("int").alias("copy")
+            settled.append(left.select("h", "g", last))
             break
-        fresh = F.shiftrightunsigned(F.xxhash64(F.lit(level), "u"), 11) / F.lit(float(1 << 53))
-        todo = left.withColumns({"lane": F.floor(F.col("lane") / FAN_IN).cast("int"), "u": fresh})
+        lane = F.floor(F.col("lane") / FAN_IN)
+        todo = left.drop("copy").withColumns({"lane": lane, "u": _chance(F.lit(level), "u", "h")})
         level += 1
-    done = settled[0]
-    for part in settled[1:]:
-        done = done.unionByName(part)
-    copies = (F.col("whole") + F.col("copy")).alias("copies")
-    return done.select("row", "size", "source_size", "target", copies)
+    done = reduce(DataFrame.unionByName, settled)
+    found = rows.join(done, ["h", "g"]).select(
+        "h", "g", "n", "size", "source_size", "target",
+        (F.col("certain") + F.col("copy")).alias("total"),
+    )
+    found = stage(found, "copies")
+    told = docs.select(kept, *marks)
+    few = found.filter(F.col("n") <= REPEATS)
+    each = _numbered(told.groupBy("h", "g").agg(F.first("row").alias("row")).join(few, ["h", "g"]))
+    many = found.filter(F.col("n") > REPEATS)
+    if not many.isEmpty():  # classes of very many rows: their numbers are dealt in blocks
+        ids = many.select("h", "g")
+        one = told.join(ids, ["h", "g"], "left_semi").groupBy("h", "g").agg(F.first("row").alias("row"))
+        block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / REPEATS)))
+        dealt = one.join(many, ["h", "g"]).withColumn("block", block).repartition("h", "block")
+        first = F.col("block") * REPEATS
+        numbers = F.sequence(first, F.least(F.col("n"), first + REPEATS) - 1)
+        each = each.unionByName(dealt.withColumn("i", F.explode(numbers)).drop("block"))
+    copies = F.floor(F.col("total") / F.col("n")) + (F.col("i") < F.col("total") % F.col("n")).cast("int")
+    return each.select("row", "size", "source_size", "target", copies.cast("int").alias("copies"))
 
 
 def op3_mixing_sources(spark, sf_dir):
-    rows = mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     taken = (F.col("size") * F.col("copies")).cast("long").alias("taken")
-    return rows.select("row.doc_id", "size", "source_size", "target", taken)
+    return mix(docs, keep=["doc_id"]).select("row.doc_id", "size", "source_size", "target", taken)
 
 
 def mix_documents(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: every document as often as the mix takes it."""
+    """Pipeline stage: every document as often as the mix takes it.
+
+    Nulls, empty and very long texts, ties, repeated rows, empty tables and columns named
+    like the operator's own are as in `mix`; the columns are those of docs.
+    """
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies")))
     return mix(docs).select("row", copies).select("row.*")

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import compare
 import pytest
-from test_llm_queries import WORD, simhash, smallest
+from test_llm_queries import WORD, brute_targets, simhash, smallest
 
 import corpus_pipeline
 from cartloom.llm import quality, simhash as sim, toxicity
@@ -91,9 +91,7 @@ def test_mixing_stage(tables):
     of_source = Counter()
     for r in read:
         of_source[r[3]] += size[r]
-    from cartloom.llm.mixing import targets
-
-    goal = targets(of_source)
+    goal = brute_targets(of_source)
     for s in of_source:
         taken = sum(size[r] * n for r, n in made.items() if r[3] == s)
         assert abs(taken - goal[s]) <= max(size[r] for r in read if r[3] == s)
