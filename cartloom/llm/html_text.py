@@ -11,7 +11,9 @@ pages whose <article> says where the text is, and the same texts set in other la
 
 import random
 import re
+from collections import Counter
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,7 @@ from cartloom.llm.common import first_by_hash, table
 SAMPLE_PAGES = 150
 LAYOUT_PAGES = 600
 STEPS, RATE, RIDGE = 250, 0.1, 1e-3
+CHAIN_BLOCKS = 256  # longer pages are learnt from as several chains
 
 # Fixed values of HTML: elements without an end tag, and those inside a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -42,9 +45,22 @@ IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script st
 TOKEN = re.compile(r"[a-z]+")
 
 
+class Open(NamedTuple):
+    """An open element: `at` is the nearest block-level tag, `label` the nearest x-label."""
+
+    tag: str
+    names: set[str]
+    at: str
+    label: str | None
+    number: int
+
+
 class Blocks(HTMLParser):
     """Leaf blocks of a page in order: (text, features, label or None).
 
+    What the open elements say of a block is kept up to date as they open and close, so
+    a block costs its own text and distinct features, however deep it lies.
+
     `open_ended` are the numbers of hidden elements known to lack their end tag: they end
     where a block begins, a head where anything but its own elements does. A page is read
     once to find them, as `unclosed`, and again if there are any.
@@ -53,35 +69,35 @@ class Blocks(HTMLParser):
     def __init__(self, open_ended=frozenset()):
         super().__init__(convert_charrefs=True)
         self.open_ended, self.unclosed = open_ended, set()
-        self.started, self.numbers = 0, []  # elements so far; those on the stack
-        self.stack: list[tuple[str, tuple[str, ...], str | None]] = []
+        self.started = 0  # elements so far
+        self.stack: list[Open] = []
+        self.of_tag: Counter[str] = Counter()  # open elements by tag
+        self.around: Counter[str] = Counter()  # features of the open elements, with repeats
+        self.hidden: list[int] = []  # places of hidden elements on the stack
+        self.heads: list[int] = []  # those of heads
+        self.ended = 0  # hidden elements on the stack that have an end tag
         self.blocks: list[tuple[str, list[str], str | None]] = []
         self.parts: list[str] = []
-        self.linked = self.hidden = 0
-        self.in_link = 0
+        self.linked = 0
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            label = next((x for _, _, x in reversed(self.stack) if x), None)
+            label = self.stack[-1].label if self.stack else None
             self.blocks.append((text, self.describe(text), label))
         self.parts, self.linked = [], 0
 
     def describe(self, text: str) -> list[str]:
-        found = {"bias", f"tags:{min(9, len(self.stack))}"}
-        block_tags = [t for t, _, _ in self.stack if t not in INLINE]
-        found.update(f"in:{t}" for t in block_tags)
-        found.add(f"at:{block_tags[-1] if block_tags else ''}")
-        for _, names, _ in self.stack:
-            found.update(names)
+        found = ["bias", f"tags:{min(9, len(self.stack))}", *self.around]
+        found.append(f"at:{self.stack[-1].at if self.stack else ''}")
         words = text.count(" ") + 1
-        found.add(f"words:{min(6, words.bit_length())}")
-        found.add(f"links:{min(3, 4 * self.linked // max(1, len(text)))}")
+        found.append(f"words:{min(6, words.bit_length())}")
+        found.append(f"links:{min(3, 4 * self.linked // max(1, len(text)))}")
         if text[-1] in ".!?…:;\"'»”)":
-            found.add("ends:stop")
+            found.append("ends:stop")
         if "©" in text or "|" in text:
-            found.add("has:mark")
-        return list(found)
+            found.append("has:mark")
+        return found
 
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
@@ -95,12 +111,21 @@ class Blocks(HTMLParser):
             return
         values = dict(attrs)
         said = " ".join(values.get(k) or "" for k in ("class", "id", "role", "aria-label"))
-        names = tuple(f"name:{x}" for x in TOKEN.findall(said.lower()))
-        self.stack.append((tag, names, values.get("x-label")))
-        self.numbers.append(self.started)
+        names = {f"name:{x}" for x in TOKEN.findall(said.lower())}
+        if tag not in INLINE:
+            names.add(f"in:{tag}")
+        above = self.stack[-1] if self.stack else None
+        at = tag if tag not in INLINE else above.at if above else ""
+        label = values.get("x-label") or (above.label if above else None)
+        if tag in HIDDEN:
+            self.hidden.append(len(self.stack))
+            self.ended += self.started not in self.open_ended
+        if tag == "head":
+            self.heads.append(len(self.stack))
+        self.stack.append(Open(tag, names, at, label, self.started))
+        self.of_tag[tag] += 1
+        self.around.update(names)
         self.started += 1
-        self.hidden += tag in HIDDEN
-        self.in_link += tag == "a"
 
     def handle_startendtag(self, tag, attrs):
         if tag not in INLINE:
@@ -115,33 +140,43 @@ class Blocks(HTMLParser):
 
     def _close(self, tag, stop):
         """Close the nearest open element of the name, and all in it, unless `stop` is nearer."""
+        if not self.of_tag[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
+            if self.stack[i].tag == tag:
                 self._cut(i, i + 1)
                 return
-            if self.stack[i][0] in stop:
+            if self.stack[i].tag in stop:
                 return
 
     def _cut(self, start, unclosed):
         """End the elements from `start` on; hidden ones from `unclosed` on had no end tag."""
-        for t, _, _ in self.stack[start:]:
-            self.hidden -= t in HIDDEN
-            self.in_link -= t == "a"
-        for (t, _, _), number in zip(self.stack[unclosed:], self.numbers[unclosed:], strict=True):
-            if t in HIDDEN:
-                self.unclosed.add(number)
-        del self.stack[start:], self.numbers[start:]
+        while len(self.stack) > start:
+            gone = self.stack.pop()
+            self.of_tag[gone.tag] -= 1
+            for name in gone.names:
+                if self.around[name] == 1:
+                    del self.around[name]
+                else:
+                    self.around[name] -= 1
+            if gone.tag in HIDDEN:
+                self.hidden.pop()
+                self.ended -= gone.number not in self.open_ended
+                if len(self.stack) >= unclosed:
+                    self.unclosed.add(gone.number)
+            if gone.tag == "head":
+                self.heads.pop()
 
     def _end_hidden(self, tag):
         """End the outermost hidden element if what begins here cannot be in it."""
-        if not self.hidden or not self.open_ended:
+        if not self.hidden or self.ended:  # `ended`: inside one that has its end tag
             return
-        at = [i for i, (t, _, _) in enumerate(self.stack) if t in HIDDEN]
-        if not all(self.numbers[i] in self.open_ended for i in at):
-            return  # inside one that has its end tag
-        for i in at:
-            if tag not in IN_HEAD if self.stack[i][0] == "head" else tag in CLOSES_P or tag == "body":
-                return self._cut(i, i)
+        if tag in CLOSES_P or tag == "body":
+            at = self.hidden
+        else:
+            at = self.heads if tag not in IN_HEAD else ()
+        if at:
+            self._cut(at[0], at[0])
 
     def close(self):
         super().close()
@@ -149,11 +184,11 @@ class Blocks(HTMLParser):
         self._cut(0, 0)
 
     def handle_data(self, data):
-        if self.stack and self.stack[-1][0] == "head" and data.strip():
+        if self.stack and self.stack[-1].tag == "head" and data.strip():
             self._end_hidden("")
         if not self.hidden:
             self.parts.append(data)
-            self.linked += len(data) if self.in_link else 0
+            self.linked += len(data) if self.of_tag["a"] else 0
 
 
 def leaf_blocks(html: str | None) -> list[tuple[str, list[str], str | None]]:
@@ -193,53 +228,64 @@ class Chain:
         return labels[::-1]
 
 
-def train_chain(pages: list[list[tuple[list[str], int]]], steps: int = STEPS) -> Chain:
+def train_chain(pages, steps: int = STEPS) -> Chain:
     """Maximum conditional likelihood with a ridge, by Adam; pages are lists of (features, label).
 
-    Forward and backward sums run over all pages at once, position by position.
+    Blocks are kept as lists of the numbers of their features. Pages are cut into chains of
+    at most CHAIN_BLOCKS blocks, all of which are learnt from; longest first, position by
+    position, the blocks of all chains lie together, so that forward and backward sums
+    run over whole positions and memory goes by blocks and their features.
     """
-    pages = sorted((p for p in pages if p), key=len, reverse=True)
-    names = sorted({f for p in pages for fs, _ in p for f in fs})
-    place = {f: i for i, f in enumerate(names)}
-    longest = len(pages[0])
-    x = np.zeros((len(pages), longest, len(names)), np.float32)
-    y = np.zeros((len(pages), longest), int)
-    for i, page in enumerate(pages):
-        for t, (features, label) in enumerate(page):
-            x[i, t, [place[f] for f in features]] = 1
-            y[i, t] = label
-    sizes = np.array([len(p) for p in pages])
-    alive = np.arange(longest)[None] < sizes[:, None]
-    weights, moves = np.zeros(len(names)), np.zeros((2, 2))
-    target_w = np.einsum("ptf,pt->f", x, (y * alive).astype(np.float32))
+    place: dict[str, int] = {}
+    chains = []
+    for page in pages:
+        numbered = [([place.setdefault(f, len(place)) for f in sorted(fs)], y) for fs, y in page]
+        chains += [numbered[i : i + CHAIN_BLOCKS] for i in range(0, len(numbered), CHAIN_BLOCKS)]
+    chains.sort(key=len, reverse=True)
+    sizes = np.array([len(c) for c in chains], int)
+    longest = len(chains[0]) if chains else 0
+    counts = [int((sizes > t).sum()) for t in range(longest)]
+    begins = np.concatenate([[0], np.cumsum(counts)]).astype(int)
+    blocks = [chains[i][t] for t in range(longest) for i in range(counts[t])]
+    y = np.array([label for _, label in blocks], float)
+    flat = np.array([f for fs, _ in blocks for f in fs], np.int32)
+    many = np.array([len(fs) for fs, _ in blocks], int)
+    owner = np.repeat(np.arange(len(blocks)), many)
+    starts = np.concatenate([[0], np.cumsum(many)[:-1]]).astype(int)  # no block is without features
+    # a chain's block at one position and the next, as places among the blocks
+    after = np.arange(begins[1] if longest else 0, len(blocks))
+    before = np.concatenate([[0], *[begins[t] + np.arange(counts[t + 1]) for t in range(longest - 1)]])
+    before = before[1:].astype(int)
+    last = begins[sizes - 1] + np.arange(len(chains)) if chains else np.zeros(0, int)
+    chain = np.concatenate([[0], *[np.arange(n) for n in counts]])[1:].astype(int)
+
+    weights, moves = np.zeros(len(place)), np.zeros((2, 2))
+    target_w = np.bincount(flat, y[owner], len(place))
     target_m = np.zeros((2, 2))
-    np.add.at(target_m, (y[:, :-1][alive[:, 1:]], y[:, 1:][alive[:, 1:]]), 1)
-    first, second = np.zeros(len(names) + 4), np.zeros(len(names) + 4)
-    for step in range(1, steps + 1):
-        own = np.zeros((len(pages), longest, 2))
-        own[..., 1] = x @ weights.astype(np.float32)
-        ahead, behind = np.zeros_like(own), np.zeros_like(own)
-        ahead[:, 0] = own[:, 0]
+    np.add.at(target_m, (y[before].astype(int), y[after].astype(int)), 1)
+    first, second = np.zeros(len(place) + 4), np.zeros(len(place) + 4)
+    for step in range(1, steps + 1 if chains else 1):
+        own = np.zeros((len(blocks), 2))
+        own[:, 1] = np.add.reduceat(weights[flat], starts)
+        ahead, behind = own.copy(), np.zeros_like(own)
         for t in range(1, longest):
-            past = ahead[:, t - 1]
-            ahead[:, t] = own[:, t] + np.logaddexp(past[:, :1] + moves[0], past[:, 1:] + moves[1])
+            past = ahead[begins[t - 1] : begins[t - 1] + counts[t]]
+            ahead[begins[t] : begins[t + 1]] += np.logaddexp(past[:, :1] + moves[0], past[:, 1:] + moves[1])
         for t in range(longest - 2, -1, -1):
-            nxt = own[:, t + 1] + behind[:, t + 1]
+            nxt = own[begins[t + 1] : begins[t + 2]] + behind[begins[t + 1] : begins[t + 2]]
             found = np.logaddexp(nxt[:, :1] + moves[:, 0], nxt[:, 1:] + moves[:, 1])
-            behind[:, t] = np.where(alive[:, t + 1, None], found, 0)
-        end = ahead[np.arange(len(pages)), sizes - 1]
-        total = np.logaddexp(end[:, 0], end[:, 1])
-        chance = np.exp(ahead + behind - total[:, None, None])[..., 1] * alive
-        pair = ahead[:, :-1, :, None] + moves + (own + behind)[:, 1:, None, :]
-        pair = np.exp(np.minimum(pair - total[:, None, None, None], 0))
-        pair = np.where(alive[:, 1:, None, None], pair, 0).sum(axis=(0, 1))
-        found_w = np.einsum("ptf,pt->f", x, chance.astype(np.float32))
-        slope = np.concatenate([found_w - target_w, (pair - target_m).ravel()]) / len(pages)
+            behind[begins[t] : begins[t] + counts[t + 1]] = found
+        total = np.logaddexp(ahead[last, 0], ahead[last, 1])[chain]
+        chance = np.exp(ahead[:, 1] + behind[:, 1] - total)
+        pair = ahead[before][:, :, None] + moves + (own + behind)[after][:, None, :]
+        pair = np.exp(np.minimum(pair - total[after][:, None, None], 0)).sum(axis=0)
+        found_w = np.bincount(flat, chance[owner], len(place))
+        slope = np.concatenate([found_w - target_w, (pair - target_m).ravel()]) / len(chains)
         slope += RIDGE * np.concatenate([weights, moves.ravel()])
         first, second = 0.9 * first + 0.1 * slope, 0.99 * second + 0.01 * slope**2
         change = RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
         weights, moves = weights - change[:-4], moves - change[-4:].reshape(2, 2)
-    return Chain(dict(zip(names, weights.tolist(), strict=True)), moves)
+    return Chain(dict(zip(place, weights.tolist(), strict=True)), moves)
 
 
 # What parts of a page are commonly called, by role; each layout picks one name of each.
@@ -384,7 +430,7 @@ class LayoutPage:
         return f"{head}<body x-label=0>{''.join(parts)}</body></html>"
 
 
-def marked_pages(htmls: list[str], layouts: int = LAYOUT_PAGES, seed: int = 5) -> list[str]:
+def marked_pages(htmls: list[str], layouts: int = LAYOUT_PAGES, seed: int = 5):
     """Training pages from raw ones: those with one <article>, marked, and other layouts."""
     rng = random.Random(seed)
     marked = [
@@ -392,15 +438,17 @@ def marked_pages(htmls: list[str], layouts: int = LAYOUT_PAGES, seed: int = 5) -
         for h in htmls
         if h.count("<article") == 1
     ]
-    texts = [" ".join(t.split()[:60]) for h in htmls for t, _, _ in leaf_blocks(h)] or ["text"]
+    texts = [t for h in htmls for t, _, _ in leaf_blocks(h)] or ["text"]
     texts = [t.replace("&", "&amp;").replace("<", "&lt;") for t in texts]
-    return marked + [LayoutPage(texts, rng).html() for _ in range(layouts)]
+    yield from marked
+    for _ in range(layouts):
+        yield LayoutPage(texts, rng).html()
 
 
 def fit_pages(htmls: list[str], layouts: int = LAYOUT_PAGES) -> Chain:
+    """A chain from whole pages, of which one at a time is held as marked text."""
     marked = marked_pages(htmls, layouts)
-    pages = [[(f, int(label == "1")) for _, f, label in leaf_blocks(h)] for h in marked]
-    return train_chain([p[:200] for p in pages])
+    return train_chain([(f, int(label == "1")) for _, f, label in leaf_blocks(h)] for h in marked)
 
 
 def main_text(html: str | None, chain: Chain) -> str:

@@ -1,6 +1,9 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import itertools
 import random
+import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -540,3 +543,61 @@ def test_chat_of_odd_rows(spark):
     digests = {r["conv_id"]: r for r in chat.digests(formatted).collect()}
     assert digests[4]["loss_chars"] == 6 and digests[1]["loss_chars"] == 0 and digests[1]["n_turns"] == 3
     assert chat.digests(chat.format_turns(turns.limit(0))).count() == 0
+
+
+# --- training of the chain over blocks
+
+
+def brute_loss(chain, pages):
+    """Penalised negative log-likelihood a page, over all labellings of every page."""
+    w, moves, loss = chain.weights, chain.moves, 0.0
+    for page in pages:
+        own = [sum(w[f] for f in fs) for fs, _ in page]
+
+        def score(ys, own=own):
+            return sum(o for o, y in zip(own, ys, strict=True) if y) + sum(moves[a, b] for a, b in zip(ys, ys[1:], strict=False))
+
+        scores = [score(ys) for ys in itertools.product((0, 1), repeat=len(page))]
+        loss += np.logaddexp.reduce(scores) - score([y for _, y in page])
+    return loss / len(pages) + html_text.RIDGE / 2 * (sum(x * x for x in w.values()) + (moves**2).sum())
+
+
+def test_training_ends_where_the_likelihood_is_highest(monkeypatch):
+    monkeypatch.setattr(html_text, "RATE", 0.002)  # small steps, to end near the top
+    rng = random.Random(8)
+    pages = [[(["bias", *rng.sample("abcd", rng.randint(0, 3))], rng.randint(0, 1)) for _ in range(rng.randint(1, 7))] for _ in range(12)]
+    chain = html_text.train_chain([[], *pages], 30_000)
+    for f in chain.weights:
+        ends = [brute_loss(html_text.Chain(chain.weights | {f: chain.weights[f] + d}, chain.moves), pages) for d in (1e-4, -1e-4)]
+        assert abs(ends[0] - ends[1]) / 2e-4 < 1e-4
+    for place in itertools.product((0, 1), repeat=2):
+        step = np.zeros((2, 2))
+        step[place] = 1e-4
+        ends = [brute_loss(html_text.Chain(chain.weights, chain.moves + d * step), pages) for d in (1, -1)]
+        assert abs(ends[0] - ends[1]) / 2e-4 < 1e-4
+
+
+def test_the_end_of_a_long_page_is_learnt():
+    page = [(["bias", "early"], 1)] * 700 + [(["bias", "late"], 0)] * 300
+    chain = html_text.train_chain([page] * 3)
+    assert chain.decode([["bias", "early"]] * 700 + [["bias", "late"]] * 300) == [1] * 700 + [0] * 300
+    assert html_text.train_chain([]).decode([["bias"]]) == [0]
+
+
+def test_many_features_take_memory_by_block():
+    def page(i):
+        names = "".join(f'<p class="n{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + i % 26)}{chr(97 + i // 26)}">word</p>' for k in range(120))
+        return f"<body><article>{names}</article></body>"
+
+    tracemalloc.start()
+    chain = html_text.fit_pages([page(i) for i in range(150)], 50)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(chain.weights) > 10_000 and most < 500e6
+
+
+def test_deep_pages_are_read_in_linear_time():
+    html = "".join(f"<div>t{i}" for i in range(8000)) + "</p></b>" * 8000
+    before = time.process_time()
+    assert len(html_text.leaf_blocks(html)) == 8000
+    assert time.process_time() - before < 2
