@@ -26,32 +26,3 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     share = 2 * (n + 100) / max(1, df.count())
     near = df.filter(order < int(share * 2**64) - 2**63) if share < 1 else df
     return near.orderBy(order, key).limit(n)
-
-
-def ranked(df: DataFrame, key: str, order: list[str], slot: str, rows_per_task: int = 200_000):
-    """Number each key's rows from 0 without gaps, with no key in a single task.
-
-    Rows are dealt over buckets within their key; the row counts of the buckets, one
-    number each, set where a bucket's numbers begin, and only within a bucket are rows
-    sorted. Each key needs a bounded number of buckets: its rows / rows_per_task.
-    """
-    from pyspark.sql import Window
-
-    from cartloom.plans.staging import stage
-
-    buckets = max(8, -(-df.count() // rows_per_task))
-    dealt = stage(
-        df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets))), f"dealt-{key}"
-    )
-    sizes = dealt.groupBy(key, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    begins = sizes.select(
-        key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_begin")
-    )
-    within = Window.partitionBy(key, "_bucket").orderBy(*order)
-    return (
-        dealt.withColumn("_rank", F.row_number().over(within) - 1)
-        .join(begins, [key, "_bucket"])
-        .withColumn(slot, (F.col("_begin") + F.col("_rank")).cast("long"))
-        .drop("_bucket", "_begin", "_rank")
-    )

@@ -125,7 +125,7 @@ def near_vectors(
     numbers per cell.
     """
     spark = vectors.sparkSession
-    kind = "array<double>" if "double" in dict(vectors.dtypes)[column] else "array<float>"
+    kind = "array<float>" if dict(vectors.dtypes)[column] == "array<float>" else "array<double>"
     value = F.col(f"`{column}`").cast(kind)
     odd = F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     sound = (F.size(value) > 0) & ~odd

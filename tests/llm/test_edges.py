@@ -373,6 +373,15 @@ def test_sharding_of_odd_rows(odd, odd_rows, none):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(len(h) == 1 for h in homes.values())
 
 
+def test_components_are_doubles_whatever_their_type(spark):
+    big = 1 << 24  # in single precision big + 1 is big, and the cosine below is 0.5 ** 0.5
+    df = spark.createDataFrame([(1, [big + 1, big]), (2, [1, 0]), (3, [0, 0])], "vec_id long, embedding array<bigint>")
+    for kind in ("int", "bigint", "decimal(12,0)", "double"):
+        typed = df.selectExpr("vec_id", f"CAST(embedding AS array<{kind}>) AS embedding")
+        got = metric_join.near_vectors(typed, cosine=0.5**0.5 + 1e-8).collect()
+        assert {r["vec_id"]: r["component_id"] for r in got} == {1: 1, 2: 1, 3: 3}, kind
+
+
 def test_vectors_of_odd_rows(spark):
     rng = np.random.default_rng(5)
     base = rng.standard_normal((60, 6))

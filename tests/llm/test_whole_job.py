@@ -72,7 +72,7 @@ def test_added_tokens_have_the_ids_of_the_file():
 
 
 def test_shards_hold_the_documents(spark, odd, odd_rows, none, monkeypatch):
-    monkeypatch.setattr(sharding, "CHUNK", 10)
+    monkeypatch.setattr(sharding, "TASK_BYTES", 500)
     folder = f"{staged_folder(spark)}/shards-of-odd-rows"
     slim = odd.select("doc_id", "text")
     sharding.write_shards(slim, folder, 4)
@@ -84,6 +84,46 @@ def test_shards_hold_the_documents(spark, odd, odd_rows, none, monkeypatch):
     assert sharding.read_shards(spark, f"{folder}-none", "struct<doc_id: bigint>").count() == 0
 
 
+def test_large_groups_move_to_several_tasks(spark):
+    texts = ["hot"] * 900 + [None] * 300 + [""] * 300 + [f"text {i}" for i in range(1500)]
+    table = f"{staged_folder(spark)}/hot-texts"
+    spark.createDataFrame([(i % 700, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(table)
+    docs, folder = spark.read.parquet(table), f"{staged_folder(spark)}/hot-shards"
+    row = sharding.write_shards(docs, folder, 6)
+    rows = sharding.read_shards(spark, folder, row).collect()
+    assert Counter((r["row"]["doc_id"], r["text"]) for r in rows) == Counter((i % 700, t) for i, t in enumerate(texts))
+    homes = {}
+    for r in rows:
+        assert homes.setdefault(r["text"] or "", r["shard"]) == r["shard"]
+    written = spark.read.parquet(folder).where("text = 'hot'").groupBy("_metadata.file_name").count().collect()
+    assert len(written) > 10 and max(r["count"] for r in written) < 200
+    again = sharding.shard(docs, 6).collect()
+    assert Counter((r["row"], r["text"], r["shard"], r["slot"]) for r in again) == Counter(map(tuple, rows))
+
+
+def test_driver_rows_do_not_grow_with_the_lanes(spark, monkeypatch):
+    seen, into_shards = [], sharding.into_shards
+
+    def counted(sizes, shards):
+        seen.append(len(sizes))
+        return into_shards(sizes, shards)
+
+    monkeypatch.setattr(sharding, "into_shards", counted)
+    monkeypatch.setattr(sharding, "MIN_LANES", 4)
+    monkeypatch.setattr(sharding, "BLOCKS_PER_SHARD", 8)
+    docs = spark.range(6000).selectExpr("id AS doc_id", "repeat('x', int(id % 13)) || id AS text").coalesce(1)
+    held = []
+    for groups in (1500, 150):  # groups of a lane: four lanes, then forty
+        monkeypatch.setattr(sharding, "LANE_GROUPS", groups)
+        rows = sharding.shard(docs, 5).collect()
+        assert sorted(r["row"]["doc_id"] for r in rows) == list(range(6000))
+        held.append(Counter())
+        for r in rows:
+            held[-1][r["shard"]] += r["size"]
+    assert max(seen) <= 2 * 8 * 5 + 4
+    assert all(max(h.values()) <= 1.02 * sum(h.values()) / 5 for h in held)
+
+
 def test_sequences_hold_the_ids(spark, odd, odd_rows, none):
     folder = f"{staged_folder(spark)}/sequences-of-odd-rows"
     found = packing.written(odd, folder)
