@@ -4,10 +4,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark.sql import DataFrame, SparkSession
 
+_block = ContextVar("block", default="")  # subfolder of the innermost scratch block
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder, from spark.checkpoint.dir or setCheckpointDir.
@@ -28,7 +33,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged_folder(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/cartloom/{spark.conf.get('spark.app.id')}"
+    return f"{shared_folder(spark)}/cartloom/{spark.conf.get('spark.app.id')}{_block.get()}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside the block goes when it ends, also by an error.
+
+    Write results elsewhere before that; frames built on the staged tables cannot be read
+    afterwards. Blocks nest, and threads of stage_all belong to the block they start in.
+    """
+    mark = _block.set(f"{_block.get()}/block-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        folder = staged_folder(spark)
+        _block.reset(mark)
+        _delete(spark, folder)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -42,12 +63,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Stage several frames side by side."""
     with ThreadPoolExecutor() as pool:
-        staged = {name: pool.submit(stage, df, name) for name, df in frames.items()}
+        staged = {n: pool.submit(copy_context().run, stage, df, n) for n, df in frames.items()}
         return {name: written.result() for name, written in staged.items()}
 
 
 def release(spark: SparkSession) -> None:
     """Delete what this application staged. Frames built on it cannot be read afterwards."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staged_folder(spark))
+    _delete(spark, staged_folder(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

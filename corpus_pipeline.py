@@ -14,7 +14,7 @@ from cartloom.llm.packing import pack_documents
 from cartloom.llm.quality import keep_good
 from cartloom.llm.simhash import keep_one
 from cartloom.llm.toxicity import keep_civil
-from cartloom.plans.staging import staged_folder
+from cartloom.plans.staging import scratch, staged_folder
 
 STAGES = [
     ("toxicity", keep_civil),
@@ -29,11 +29,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of a directory."""
+    """The last stage's rows for the documents of a directory.
+
+    Each stage's rows are written, and then what it staged on the way is deleted. Nulls,
+    empty and very long texts, ties, repeated rows and extra columns are handled as each
+    stage says; empty documents give no rows, with the same columns.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{staged_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
