@@ -373,6 +373,27 @@ def test_sharding_of_odd_rows(odd, odd_rows, none):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and all(len(h) == 1 for h in homes.values())
 
 
+def test_pooling_is_the_largest_response_of_every_window():
+    net = toxicity.Net()
+    rng = np.random.default_rng(3)
+    net.bias = [rng.standard_normal(toxicity.FILTERS).astype(np.float32) for _ in toxicity.WIDTHS]
+    for words in (0, 1, 2, 3, 40):
+        vectors = rng.standard_normal((words, toxicity.DIM)).astype(np.float32)
+        want = []
+        for width, filters, bias in zip(toxicity.WIDTHS, net.filters, net.bias, strict=True):
+            for f in range(toxicity.FILTERS):
+                best = 0.0
+                for at in range(words - width + 1):
+                    terms = (
+                        float(vectors[at + j, d]) * float(filters[j * toxicity.DIM + d, f])
+                        for j in range(width)
+                        for d in range(toxicity.DIM)
+                    )
+                    best = max(best, sum(terms) + float(bias[f]))
+                want.append(best)
+        assert np.allclose(net.pooled(vectors)[0], want, atol=1e-5)
+
+
 def test_components_are_doubles_whatever_their_type(spark):
     big = 1 << 24  # in single precision big + 1 is big, and the cosine below is 0.5 ** 0.5
     df = spark.createDataFrame([(1, [big + 1, big]), (2, [1, 0]), (3, [0, 0])], "vec_id long, embedding array<bigint>")
