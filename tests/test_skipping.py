@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cartloom.plans.skipping import curve, write_skipping
+from cartloom.plans import skipping
+from cartloom.plans.skipping import Ranges, curve, with_place, write_skipping
 
 COLUMNS = ["order_id", "customer_id", "customer_state"]
 
@@ -71,3 +72,35 @@ def test_the_curve_keeps_neighbours_together(spark):
     places = df.select("x", "y", curve(df, ["x", "y"]).alias("p")).orderBy("p").collect()
     first = places[:900]  # most of a quarter: the lower half of both columns
     assert len({r.x for r in first}) <= 32 and len({r.y for r in first}) <= 32
+
+
+def test_the_place_written_is_that_of_the_curve(spark):
+    rows = [(None, "a", 1), ("", None, 2), ("é" * 9, "a", 3), ("é" * 9 + "x", "ab", 4), (None, None, 5), ("\0z", "a\0", 6)]
+    rows += [(f"k{i * 37 % 101}", f"state {i % 7}", i) for i in range(400)]
+    for n, columns in ((400, ["a", "b"]), (len(rows), ["a", "b", "c"])):
+        df = spark.createDataFrame(rows[-n:], "a string, b string, c int")
+        places = with_place(df, Ranges.of(df, columns)).withColumn("p", curve(df, columns)).collect()
+        assert len({r.p for r in places}) > 50 and all(r.p == r._place for r in places)
+
+
+def test_whole_rows_are_read_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        read.add(1)
+        return x
+
+    df = spark.range(3_000).select(F.format_string("k%05d", "id").alias("x"), counted("id").alias("payload"))
+    written = write_skipping(df, ["x"], str(tmp_path / "once"))
+    assert read.value == 3_000
+    assert sorted(r.payload for r in written.collect()) == list(range(3_000))
+
+
+def test_a_place_of_many_rows_is_dealt_over_parts(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(skipping, "PART_ROWS", 500)
+    df = spark.range(6_000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.format_string("k%05d", "id")).alias("x"), "id")
+    written = write_skipping(df, ["x"], str(tmp_path / "hot"))
+    sizes = [r["count"] for r in written.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 6_000 and max(sizes) < 1_500 and written.exceptAll(df).isEmpty()
+    assert written.filter("x = 'hot'").count() == 4_000
