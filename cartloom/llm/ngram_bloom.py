@@ -3,26 +3,33 @@
 Counts are quantised to levels. An n-gram of level q is entered q times, once with each
 number from 1 to q, so asking for 1, 2, 3, ... until one is missing gives its level: never
 too low, and too high by chance ever more rarely. The filter is cut into segments by the
-n-gram's hash. Each is built by one task, sized by its own entries, and written; their
-number grows with the training tokens. While all segments together are small they are
-broadcast; beyond that bound n-grams travel to their segments instead, with equal results.
+n-gram's hash. Each is built by one task and sized by its own entries; their number grows
+with the training tokens. Texts are read once, into chunks of whole documents that are
+written with every word once. A chunk sends each of its distinct n-grams once, hash and
+training count, to its segment. While filter and word counts are sure to be small, the
+written segments are broadcast; beyond that bound the task that built a segment answers the
+chunks that sent it n-grams, with equal results.
 
 Probabilities are smoothed with the shorter context's, P(w|h) = (c(hw) + m P(w|h')) /
 (c(h) + m); without context P(w) = (c(w) + 1) / (N + V + 1).
 """
 
+import uuid
 import zlib
-from collections import Counter
+from collections import defaultdict
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartloom.llm.common import table
-from cartloom.plans.staging import stage
+from cartloom.llm.token_files import file_system
+from cartloom.plans.staging import stage, staged_folder
 
 ORDER = 2  # words of an n-gram
 SMOOTHING = 20.0  # m
@@ -30,9 +37,10 @@ BITS, PROBES = 7.2, 5  # bits of the filter an entry gets and sets: 3 % of stran
 BASE = 1.25  # levels beyond the first few grow by this factor
 SEGMENT_TOKENS = 1 << 20  # training tokens a segment holds the n-grams of
 BROADCAST_BYTES = 192 << 20  # filter and word counts, together, that may be broadcast
-GROUP_TOKENS = 1 << 20  # tokens looked up at once
-HELD_WORDS = 200_000  # words a task counts before it sends them on
-PROBED_ROWS = 1_000_000  # n-grams that one copy of a segment answers for
+GROUP_TOKENS = 1 << 20  # tokens of a chunk
+TOKEN_BYTES = 16  # a chunk of longer words than that on average is closed by its bytes
+TASK_CHUNKS, TASK_SEGMENTS = 4, 2  # chunks and segments that one task works on, one after another
+PROBED_ROWS = 1_000_000  # n-grams looked up at once
 END, BEGIN = b"\n", b"\n\n"  # no words: these hold white space
 U = np.uint64
 
@@ -60,19 +68,6 @@ def _joined(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return _mix(before * U(0x9E3779B97F4A7C15) + word)
 
 
-class Words(dict):
-    """Hashes of words, remembered while they are few."""
-
-    def __init__(self, seed: int):
-        self.seed = seed
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > HELD_WORDS:
-            self.clear()
-        out = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
-        return out
-
-
 def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END]  # A to Z, and ASCII white space, alone
 
@@ -82,37 +77,152 @@ def in_training(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 != 2
 
 
-def _groups(batches, words: Words, order: int, keep=None):
-    """Documents some GROUP_TOKENS tokens at a time: (doc_ids, lengths, hashes), the hashes
-    of each document being order - 1 beginnings, its words and the end."""
-    begin, ids, lengths, hashes, held = [words[BEGIN]] * (order - 1), [], [], [], 0
+def _planes(values: np.ndarray) -> bytes:
+    """Unsigned integers as their lowest bytes, then the next ones, as far as any is not 0."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _values(data, size: int) -> np.ndarray:
+    out = np.zeros((size, 8), np.uint8)
+    planes = np.frombuffer(data, np.uint8).reshape(-1, max(size, 1))
+    out[:, : len(planes)] = planes[:, :size].T
+    return out.view("<u8").reshape(-1)
+
+
+@dataclass(frozen=True)
+class Chunk:
+    """Whole documents, some GROUP_TOKENS tokens: each word once, and which word a token is."""
+
+    ids: list  # doc_ids
+    lengths: np.ndarray  # tokens of each document
+    words: pa.Array
+    at: np.ndarray  # a token's place in words
+
+    def write(self, out) -> None:
+        arrays = {
+            "id": pa.array([self.ids], pa.list_(pa.int64())),
+            "length": pa.array([self.lengths], pa.list_(pa.int64())),
+            "word": pa.LargeListArray.from_arrays([0, len(self.words)], self.words),
+            "at": pa.array([_planes(self.at)], pa.large_binary()),
+        }
+        batch = pa.RecordBatch.from_pydict(arrays)
+        with pa.ipc.new_stream(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(batch)
+
+    @classmethod
+    def read(cls, source) -> "Chunk":
+        with pa.ipc.open_stream(source) as stream:
+            row = stream.read_next_batch()
+        lengths = row.column("length").flatten().to_numpy()
+        at = _values(row.column("at")[0].as_buffer(), int(lengths.sum())).astype(np.int64)
+        return cls(row.column("id").flatten().to_pylist(), lengths, row.column("word").flatten(), at)
+
+    def trained(self) -> np.ndarray:
+        return np.array([in_training(d) for d in self.ids], bool)
+
+    def word_counts(self) -> np.ndarray:
+        """Of each word, in training documents."""
+        return np.bincount(self.at[np.repeat(self.trained(), self.lengths)], minlength=len(self.words))
+
+    def whole_lengths(self, order: int) -> np.ndarray:
+        """Of the documents with the order - 1 beginnings that each is given."""
+        return self.lengths + (order - 1)
+
+    def grams(self, seed: int, order: int):
+        """For 1 to order words: the distinct n-grams' sorted keys, how often each is in
+        training documents, and at each place of the documents, beginnings included, which
+        of the keys ends there. Places without a whole n-gram show any."""
+        lengths = self.whole_lengths(order)
+        inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        trained = np.repeat(self.trained(), lengths)
+        word = np.full(len(inside), len(self.words))
+        word[inside >= order - 1] = self.at
+        found = [xxhash.xxh3_64_intdigest(w, seed) for w in [*self.words.to_pylist(), BEGIN]]
+        hashes = np.array(found, np.uint64)
+        once, of = np.unique(_mix(hashes), return_inverse=True)
+        at = of[word]
+        yield once, np.bincount(at[trained], minlength=len(once)), at
+        hashes = hashes[word]
+        key = _mix(hashes)
+        for k in range(1, order):
+            key = _joined(np.concatenate([key[:1], key[:-1]]), hashes)
+            whole = inside >= k
+            once, of = np.unique(key[whole], return_inverse=True)
+            at = np.zeros(len(key), np.int64)
+            at[whole] = of
+            yield once, np.bincount(of[trained[whole]], minlength=len(once)), at
+
+
+def _chunks(batches):
+    def numbered():
+        return defaultdict(count().__next__)
+
+    number, ids, at, held, size = numbered(), [], [], 0, 0
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            if keep is not None and not keep(doc_id):
-                continue
-            found = begin + [words[w] for w in tokens(text.as_py())]
+            found = tokens(text.as_py())
             ids.append(doc_id)
-            lengths.append(len(found))
-            hashes.append(np.array(found, np.uint64))
-            held += len(found)
-            if held >= GROUP_TOKENS:
-                yield ids, np.array(lengths), np.concatenate(hashes)
-                ids, lengths, hashes, held = [], [], [], 0
+            at.append(np.fromiter(map(number.__getitem__, found), np.uint32, len(found)))
+            held, size = held + len(found), size + sum(map(len, found))
+            if held >= GROUP_TOKENS or size >= GROUP_TOKENS * TOKEN_BYTES:
+                yield Chunk(ids, np.array([*map(len, at)]), pa.array(number, pa.large_binary()), np.concatenate(at))
+                number, ids, at, held, size = numbered(), [], [], 0, 0
     if ids:
-        yield ids, np.array(lengths), np.concatenate(hashes)
+        yield Chunk(ids, np.array([*map(len, at)]), pa.array(number, pa.large_binary()), np.concatenate(at))
 
 
-def _grams(lengths: np.ndarray, hashes: np.ndarray, order: int):
-    """For 1 to order words: keys of the n-grams that end at each place, and where they are whole."""
-    begins = np.repeat(np.cumsum(lengths) - lengths, lengths)
-    inside = np.arange(len(hashes)) - begins
-    key, out = _mix(hashes), []
-    out.append((key, inside >= 0))
-    for k in range(1, order):
-        before = np.concatenate([key[:1], key[:-1]])
-        key = _joined(before, hashes)
-        out.append((key, inside >= k))
-    return out
+@dataclass(frozen=True)
+class Chunks:
+    """Written chunks, named by numbers."""
+
+    folder: str
+    names: DataFrame  # (chunk)
+    tasks: int  # that are to read them
+
+    @classmethod
+    def of(cls, docs: DataFrame) -> "Chunks":
+        """Of the documents. Only what succeeding tasks wrote is named, each by its own name."""
+        spark = docs.sparkSession
+        folder = f"{staged_folder(spark)}/chunk-files-{uuid.uuid4().hex}"
+
+        def run(batches):
+            from pyspark import TaskContext
+
+            store, base = file_system(folder)
+            store.create_dir(base, recursive=True)
+            for number, chunk in enumerate(_chunks(batches)):
+                name = TaskContext.get().taskAttemptId() << 24 | number
+                with store.open_output_stream(f"{base}/{name}") as out:
+                    chunk.write(out)
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([name], pa.int64())})
+
+        rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+        names = stage(rows.mapInArrow(run, "chunk long"), "chunks")
+        n = names.count()
+        return cls(folder, names, max(1, -(-n // TASK_CHUNKS), min(n, spark.sparkContext.defaultParallelism)))
+
+    def reader(self):
+        """A function that reads the chunk of a name."""
+        folder = self.folder
+
+        def read(name: int) -> Chunk:
+            store, base = file_system(folder)
+            with store.open_input_stream(f"{base}/{name}") as source:
+                return Chunk.read(source)
+
+        return read
+
+    def map(self, body, schema: str) -> DataFrame:
+        """body(name, chunk) of all chunks, some in each task; yields batches."""
+        read = self.reader()
+
+        def run(batches):
+            for batch in batches:
+                for name in batch.column("chunk").to_pylist():
+                    yield from body(name, read(name))
+
+        return self.names.repartitionByRange(self.tasks, "chunk").mapInArrow(run, schema)
 
 
 def _segment(key: np.ndarray, segments: int) -> np.ndarray:
@@ -127,32 +237,15 @@ def _places(key: np.ndarray, level: np.ndarray | int, size: np.ndarray | int):
         yield (at + U(k) * step) % np.asarray(size, np.uint64)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-
-
-def word_counts(docs: DataFrame) -> DataFrame:
+def word_counts(chunks: Chunks) -> DataFrame:
     """(word binary, n) of the training tokens. Tasks add up before the shuffle."""
 
-    def run(batches):
-        held = Counter()
-
-        def flush():
-            rows = pa.RecordBatch.from_pydict({"word": pa.array(held, pa.binary()), "n": pa.array(held.values(), pa.int64())})
-            held.clear()
-            return rows
+    def run(_, chunk):
+        n = chunk.word_counts()
+        rows = pa.RecordBatch.from_arrays([chunk.words.cast(pa.binary()), pa.array(n)], ["word", "n"])
+        yield rows.filter(pa.array(n > 0))
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if in_training(doc_id):
-                    held.update(tokens(text.as_py()))
-                    if len(held) > HELD_WORDS:
-                        yield flush()
-        if held:
-            yield flush()
-
-    counted = _rows(docs).mapInArrow(run, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+    return chunks.map(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def _hashed(counts: DataFrame, seed: int) -> DataFrame:
@@ -165,9 +258,9 @@ def _hashed(counts: DataFrame, seed: int) -> DataFrame:
     return counts.mapInArrow(run, "h long, n long")
 
 
-def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
+def vocabulary(chunks: Chunks) -> tuple[DataFrame, int]:
     """(h, n): training tokens by a hash, under the first seed that keeps all words apart."""
-    counts = stage(word_counts(docs), "words")
+    counts = stage(word_counts(chunks), "words")
     seed = 0
     while True:
         hashed = stage(_hashed(counts, seed), "hashed")
@@ -176,54 +269,99 @@ def vocabulary(docs: DataFrame) -> tuple[DataFrame, int]:
         seed += 1
 
 
-def bloom_filter(docs: DataFrame, n_tokens: int, seed: int, order: int = ORDER) -> DataFrame:
-    """(segment, size, bits): the written segments of the training n-grams' filter."""
-    segments = max(1, -(-n_tokens // SEGMENT_TOKENS))
-
-    def count(batches):
-        for _, lengths, hashes in _groups(batches, Words(seed), order, in_training):
-            for key, whole in _grams(lengths, hashes, order):
-                key, n = np.unique(key[whole], return_counts=True)
-                for a in range(0, len(key), 1 << 16):
-                    part = key[a : a + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(_segment(part, segments).astype(np.int32)),
-                            pa.array(part.view(np.int64)),
-                            pa.array(n[a : a + (1 << 16)].astype(np.int32)),
-                        ],
-                        ["segment", "key", "n"],
-                    )
+def _sent(chunks: Chunks, segments: int, seed: int, order: int, held_out: bool) -> DataFrame:
+    """The chunks' n-grams at the segments: a row for each chunk, length of n-gram and part,
+    that is TASK_SEGMENTS segments next to each other; a partition has one part.
 
-    def build(batches):
-        # A task has all n-grams of a few segments, each some SEGMENT_TOKENS at most.
-        parts = [(b.column("key").to_numpy().view(np.uint64), b.column("n").to_numpy()) for b in batches]
-        if not parts:
-            return
-        key, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        parts.clear()
-        order_ = np.argsort(key)
-        key, n = key[order_], n[order_].astype(np.int64)
-        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        key, n = key[heads], np.add.reduceat(n, heads)
-        of = _segment(key, segments)  # in order, as the hash's upper bits make the segment
-        level = np.searchsorted(LEVELS, n, side="right")
-        for segment in np.unique(of):
-            a, b = np.searchsorted(of, [segment, segment + 1])
-            size = max(64, int(BITS * level[a:b].sum()))
-            bits = np.zeros(-(-size // 8) * 8, bool)
-            for q in range(1, int(level[a:b].max()) + 1):
-                for place in _places(key[a:b][level[a:b] >= q], q, size):
-                    bits[place.astype(np.int64)] = True
+    keys has the differences of the sorted keys from the first on; n the training counts.
+    task is the one that read the chunk.
+    """
+
+    def run(name, chunk):
+        from pyspark import TaskContext
+
+        for gram, (key, n, _) in enumerate(chunk.grams(seed, order)):
+            if not held_out:
+                key, n = key[n > 0], n[n > 0]
+            if not len(key):
+                continue
+            part = _segment(key, segments) // TASK_SEGMENTS  # in order, as the hash's upper bits make the segment
+            cuts = np.flatnonzero(np.diff(part, prepend=-1))
+            ends = np.append(cuts[1:], len(key))
+            rest = np.diff(key, prepend=key[:1])
+            rest[cuts] = 0
             yield pa.RecordBatch.from_pydict({
-                "segment": pa.array([segment], pa.int32()),
-                "size": pa.array([size], pa.int64()),
-                "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
+                "part": pa.array(part[cuts], pa.int32()),
+                "task": pa.array(np.full(len(cuts), TaskContext.get().partitionId()), pa.int32()),
+                "chunk": pa.array(np.full(len(cuts), name), pa.int64()),
+                "gram": pa.array(np.full(len(cuts), gram), pa.int32()),
+                "size": pa.array(ends - cuts, pa.int64()),
+                "first": pa.array(key[cuts].view(np.int64)),
+                "keys": pa.array([_planes(rest[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+                "n": pa.array([_planes(n[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary()),
             })
 
-    counted = _rows(docs).mapInArrow(count, "segment int, key long, n int")
-    dealt = counted.repartition(segments, "segment")
-    return stage(dealt.mapInArrow(build, "segment int, size long, bits binary"), "filter")
+    rows = chunks.map(run, "part int, task int, chunk long, gram int, size long, first long, keys binary, n binary")
+    return rows.repartitionById(-(-segments // TASK_SEGMENTS), "part")
+
+
+def _received(batches):
+    """What came for each part: a table of its rows, and the keys and counts of all of them."""
+    batches = [b for b in batches if b.num_rows]
+    whole = pa.Table.from_batches(batches) if batches else None
+    batches.clear()
+    for part in whole.column("part").unique().to_pylist() if whole else []:
+        rows = whole.filter(pc.equal(whole.column("part"), part))
+        key, n = [], []
+        for size, first, keys, counts in zip(*(rows.column(c) for c in ("size", "first", "keys", "n")), strict=True):
+            rest = _values(keys.as_buffer(), size.as_py())
+            key.append(np.cumsum(rest, dtype=np.uint64) + U(first.as_py() % 2**64))
+            n.append(_values(counts.as_buffer(), size.as_py()).view(np.int64))
+        yield rows.drop_columns(["keys", "n"]), np.concatenate(key), np.concatenate(n)
+
+
+def _by_segment(key: np.ndarray, segments: int):
+    """The segments of a part, and which keys are in each."""
+    of = _segment(key, segments)
+    for segment in range(of.min(), of.max() + 1):
+        yield segment, np.flatnonzero(of == segment)
+
+
+def _added(key: np.ndarray, n: np.ndarray):
+    """Distinct keys, the sums of their counts, and the place of each given key among them."""
+    once, at = np.unique(key, return_inverse=True)
+    sums = np.zeros(len(once), np.int64)
+    np.add.at(sums, at, n)
+    return once, sums, at
+
+
+def _built(key: np.ndarray, n: np.ndarray, bits_each: float) -> tuple[int, bytes]:
+    """A segment, that is its size and bits, of n-grams that are n times in training documents."""
+    level = np.searchsorted(LEVELS, n, side="right")
+    size = max(64, int(bits_each * level.sum()))
+    bits = np.zeros(-(-size // 8) * 8, bool)
+    for q in range(1, int(level.max(initial=0)) + 1):
+        for place in _places(key[level >= q], q, size):
+            bits[place.astype(np.int64)] = True
+    return size, np.packbits(bits, bitorder="little").tobytes()
+
+
+def bloom_filter(chunks: Chunks, segments: int, seed: int, order: int = ORDER) -> DataFrame:
+    """(segment, size, bits): the written segments of the training n-grams' filter."""
+
+    def build(batches):
+        for _, key, n in _received(batches):
+            for segment, here in _by_segment(key, segments):
+                once, sums, _ = _added(key[here], n[here])
+                size, bits = _built(once, sums, BITS)
+                yield pa.RecordBatch.from_pydict({
+                    "segment": pa.array([segment], pa.int32()),
+                    "size": pa.array([size], pa.int64()),
+                    "bits": pa.array([bits], pa.binary()),
+                })
+
+    sent = _sent(chunks, segments, seed, order, held_out=False)
+    return stage(sent.mapInArrow(build, "segment int, size long, bits binary"), "filter")
 
 
 @dataclass
@@ -248,6 +386,11 @@ class Filter:
     def levels(self, key: np.ndarray) -> np.ndarray:
         """By repeated probes: the level of each key, 0 if it is not known."""
         out = np.zeros(len(key), np.uint8)
+        for a in range(0, len(key), PROBED_ROWS):
+            self._probe(key[a : a + PROBED_ROWS], out[a : a + PROBED_ROWS])
+        return out
+
+    def _probe(self, key: np.ndarray, out: np.ndarray) -> None:
         of = _segment(key, self.segments)
         alive, size, begin = np.arange(len(key)), self.sizes[of], self.begins[of]
         for q in range(1, len(LEVELS)):
@@ -259,7 +402,6 @@ class Filter:
             if not len(alive):
                 break
             out[alive] = q
-        return out
 
 
 @dataclass(frozen=True)
@@ -268,19 +410,22 @@ class Totals:
     words: int  # V
 
 
-def _scores(lengths, hashes, order: int, totals: Totals, count_of, level_of):
-    """Per document: tokens, known ones, base and model log10 probabilities."""
-    grams = _grams(lengths, hashes, order)
-    real = grams[order - 1][1]  # words and ends, not beginnings
-    n = np.where(real, count_of(hashes), 0)
+def _scores(lengths, order: int, totals: Totals, n, counts):
+    """Per document: tokens, known ones, base and model log10 probabilities.
+
+    lengths include the beginnings; n and counts are given for each place: how often its
+    word is in training documents, and what the filter counts the n-grams that end there,
+    for 1 to order words.
+    """
+    first = np.cumsum(lengths) - lengths
+    real = np.arange(len(n)) - np.repeat(first, lengths) >= order - 1  # words and ends, not beginnings
+    n = np.where(real, n, 0)
     base = np.log10((n + 1) / (totals.tokens + totals.words + 1))
-    counts = [COUNTS[level_of(key)] for key, _ in grams]
     p = (counts[0] + 1) / (totals.tokens + totals.words + 1)
     for k in range(1, order):
         context = np.concatenate([counts[k - 1][:1], counts[k - 1][:-1]])
         joint = np.minimum(counts[k], context)
         p = (joint + SMOOTHING * p) / (context + SMOOTHING)
-    first = np.cumsum(lengths) - lengths
     per = lambda x: np.add.reduceat(np.where(real, x, 0), first)
     return lengths - (order - 1), per(n > 0), per(base), per(np.log10(p))
 
@@ -301,11 +446,6 @@ def _scored(ids, totals: Totals, found) -> pa.RecordBatch:
     })
 
 
-def _once(key: np.ndarray, look_up) -> np.ndarray:
-    distinct, at = np.unique(key, return_inverse=True)
-    return look_up(distinct)[at]
-
-
 def _count_in(h: np.ndarray, n: np.ndarray):
     def look_up(key):
         if not len(h):
@@ -316,120 +456,94 @@ def _count_in(h: np.ndarray, n: np.ndarray):
     return look_up
 
 
-def _broadcast_scores(docs, vocabulary_, filter_, segments, totals, seed, order) -> DataFrame:
-    context = docs.sparkSession.sparkContext
+def _chunk_scores(chunk: Chunk, totals: Totals, seed: int, order: int, n_of, levels_of) -> pa.RecordBatch:
+    """n_of(keys) of single words and levels_of(length - 1, keys) give counts and levels."""
+    counts = []
+    for k, (key, _, at) in enumerate(chunk.grams(seed, order)):
+        if not k:
+            n = n_of(key)[at]
+        counts.append(COUNTS[levels_of(k, key)][at])
+    return _scored(chunk.ids, totals, _scores(chunk.whole_lengths(order), order, totals, n, counts))
+
+
+def _broadcast_scores(chunks, vocabulary_, segments, totals, seed, order) -> DataFrame:
+    context = vocabulary_.sparkSession.sparkContext
+    filter_ = bloom_filter(chunks, segments, seed, order)
     known = vocabulary_.toArrow()
-    h, n = known.column("h").to_numpy().view(np.uint64), known.column("n").to_numpy()
-    by_hash = np.argsort(h)
-    counts = context.broadcast((h[by_hash], n[by_hash]))
+    key, n = _mix(known.column("h").to_numpy().view(np.uint64)), known.column("n").to_numpy()
+    by_key = np.argsort(key)
+    counts = context.broadcast((key[by_key], n[by_key]))
     rows = filter_.toArrow()
     columns = (rows.column("segment").to_pylist(), rows.column("size").to_pylist(), rows.column("bits"))
     parts = ((s, size, bits.as_buffer()) for s, size, bits in zip(*columns, strict=True))
     whole = context.broadcast(Filter.of(parts, segments))
 
-    def run(batches):
-        count_of = _count_in(*counts.value)
-        for ids, lengths, hashes in _groups(batches, Words(seed), order):
-            found = _scores(
-                lengths, hashes, order, totals,
-                lambda key: _once(key, count_of), lambda key: _once(key, whole.value.levels),
-            )
-            yield _scored(ids, totals, found)
+    def run(_, chunk):
+        levels_of = lambda _, key: whole.value.levels(key)
+        yield _chunk_scores(chunk, totals, seed, order, _count_in(*counts.value), levels_of)
 
-    return _rows(docs).mapInArrow(run, SCORES)
+    return chunks.map(run, SCORES)
 
 
-def _routed_scores(docs, vocabulary_, filter_, segments, totals, seed, order) -> DataFrame:
-    """Each document asks once for each of its words and n-grams; the answers meet it again.
+def _routed_scores(chunks, segments, totals, seed, order) -> DataFrame:
+    """The task that builds a segment answers for it.
 
-    A word or n-gram of many documents is no single task: words are joined, which adaptive
-    execution splits, and a segment that is asked much has copies, among which documents
-    are dealt.
+    An n-gram goes once from each chunk to its segment and its level, a byte, comes back: what
+    moves depends on distinct n-grams, and a common one is no more than a row of each chunk.
+    The exact counts of words come with the answers.
     """
 
-    def hash_texts(batches):
-        for ids, lengths, hashes in _groups(batches, Words(seed), order):
-            texts = [x.tobytes() for x in np.split(hashes, np.cumsum(lengths)[:-1])]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.binary())], ["doc_id", "text"])
-
-    texts = _rows(docs).mapInArrow(hash_texts, "doc_id long, text binary")
-    texts = stage(texts.select(F.monotonically_increasing_id().alias("uid"), "*"), "hashed-texts")
-
-    def ask(batches):
-        for batch in batches:
-            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text"), strict=True):
-                hashes = np.frombuffer(text.as_py(), np.uint64)
-                keys = np.unique(np.concatenate([k for k, _ in _grams(np.array([len(hashes)]), hashes, order)]))
-                for a in range(0, 1 + max(len(keys), 1) // (1 << 16)):
-                    part = keys[a << 16 : (a + 1) << 16]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), uid)), pa.array(part.view(np.int64)), pa.array(_segment(part, segments).astype(np.int32))],
-                        ["uid", "key", "segment"],
-                    )
-
-    asked = texts.mapInArrow(ask, "uid long, key long, segment int")
-    busy = asked.groupBy("segment").agg(F.ceil(F.count("*") / PROBED_ROWS).cast("int").alias("copies"))
-    busy = stage(busy, "busy")
-    probes = asked.join(busy, "segment").select(
-        "segment", F.pmod(F.xxhash64("uid"), "copies").cast("int").alias("copy"), "uid", "key",
-        F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("bits"),
-    )
-    copies = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy")
-    stored = filter_.join(busy, "segment").select(
-        "segment", copies, F.lit(None).cast("long").alias("uid"), F.lit(None).cast("long").alias("key"), "size", "bits"
-    )
-    met = probes.unionByName(stored).repartition("segment", "copy").sortWithinPartitions("segment", "copy", F.desc("size"))
-
     def answer(batches):
-        at, here = None, None  # the copy of a segment comes before those that ask it
-        for batch in batches:
-            sizes = batch.column("size").to_pylist()
-            cuts = sorted({0, *(i for i, size in enumerate(sizes) if size is not None)})
-            for a, b in zip(cuts, [*cuts[1:], len(sizes)], strict=True):
-                if a < b and sizes[a] is not None:
-                    at = batch.column("segment")[a].as_py()
-                    here = Filter.of([(at, sizes[a], batch.column("bits")[a].as_buffer())], segments)
-                    a += 1
-                if a == b:
-                    continue
-                part = batch.slice(a, b - a)
-                mine = part.column("segment").to_numpy() == at  # some segments hold nothing
-                level = np.zeros(len(mine), np.int32)
-                if mine.any():
-                    level[mine] = here.levels(part.column("key").to_numpy().view(np.uint64)[mine])
-                columns = [part.column("uid"), part.column("key"), pa.array(level)]
-                yield pa.RecordBatch.from_arrays(columns, ["uid", "key", "level"])
-
-    answers = met.mapInArrow(answer, "uid long, key long, level int").filter("level > 0")
-    answers = answers.groupBy("uid").agg(F.collect_list(F.struct("key", "level")).alias("levels"))
-
-    def words_of(batches):
-        for batch in batches:
-            for uid, text in zip(batch.column("uid").to_pylist(), batch.column("text"), strict=True):
-                h = np.unique(np.frombuffer(text.as_py(), np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), uid)), pa.array(h.view(np.int64))], ["uid", "h"])
+        for rows, key, n in _received(batches):
+            sizes, single = rows.column("size").to_numpy(), rows.column("gram").to_numpy() == 0
+            of_word = np.repeat(single, sizes)
+            level, exact = np.zeros(len(key), np.uint8), np.zeros(len(key), np.int64)
+            for segment, here in _by_segment(key, segments):
+                once, sums, at = _added(key[here], n[here])
+                filter_ = Filter.of([(segment, *_built(once, sums, BITS))], segments)
+                level[here] = filter_.levels(once)[at]
+                sums[:] = 0
+                np.add.at(sums, at, np.where(of_word[here], n[here], 0))
+                exact[here] = sums[at]
+            ends = np.cumsum(sizes)
+            bounds = list(zip(ends - sizes, ends, single, strict=True))
+            yield pa.RecordBatch.from_pydict({
+                **{c: rows.column(c).combine_chunks() for c in ("part", "task", "chunk", "gram")},
+                "levels": pa.array([level[a:b].tobytes() for a, b, _ in bounds], pa.binary()),
+                "n": pa.array([_planes(exact[a:b]) if word else b"" for a, b, word in bounds], pa.binary()),
+            })
 
-    known = texts.mapInArrow(words_of, "uid long, h long").join(vocabulary_, "h")
-    known = known.groupBy("uid").agg(F.collect_list(F.struct("h", "n")).alias("known"))
+    sent = _sent(chunks, segments, seed, order, held_out=True)
+    answers = sent.mapInArrow(answer, "part int, task int, chunk long, gram int, levels binary, n binary")
+    back = answers.repartitionById(chunks.tasks, "task").sortWithinPartitions("chunk", "gram", "part")
+    read = chunks.reader()
 
     def score(batches):
-        def table_of(rows, value):
-            rows = rows or []
-            key = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-            order_ = np.argsort(key)
-            return _count_in(key[order_], np.array([r[1] for r in rows], value)[order_])
+        name, levels, n = None, [], []  # of the chunk whose answers come
+
+        def levels_of(k, key):
+            found = np.frombuffer(b"".join(levels[k]), np.uint8)
+            if len(found) != len(key):
+                raise ValueError("not every segment has answered")
+            return found
+
+        def close():
+            n_of = lambda _: np.concatenate(n).astype(np.int64)
+            return _chunk_scores(read(name), totals, seed, order, n_of, levels_of)
 
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "known", "levels")), strict=True):
-                hashes = np.frombuffer(row[1], np.uint64)
-                tables = [[tuple(x.values()) for x in rows or []] for rows in row[2:]]
-                found = _scores(
-                    np.array([len(hashes)]), hashes, order, totals, table_of(tables[0], np.int64), table_of(tables[1], np.uint8)
-                )
-                yield _scored([row[0]], totals, found)
+            for chunk, gram, found, words in zip(*(batch.column(c).to_pylist() for c in ("chunk", "gram", "levels", "n")), strict=True):
+                if chunk != name:
+                    if name is not None:
+                        yield close()
+                    name, levels, n = chunk, [[] for _ in range(order)], []
+                levels[gram].append(found)
+                if not gram:
+                    n.append(_values(words, len(found)))
+        if name is not None:
+            yield close()
 
-    whole = texts.join(known, "uid", "left").join(answers, "uid", "left")
-    return whole.select("doc_id", "text", "known", "levels").mapInArrow(score, SCORES)
+    return back.select("chunk", "gram", "levels", "n").mapInArrow(score, SCORES)
 
 
 def score(docs: DataFrame, order: int = ORDER, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -441,15 +555,16 @@ def score(docs: DataFrame, order: int = ORDER, broadcast_bytes: int = BROADCAST_
     table gives an empty result. Other columns are ignored, whatever their names.
 
     The filter and the word counts are broadcast if they take broadcast_bytes at most,
-    which is checked before anything is collected.
+    which the tokens bound before any n-gram is counted.
     """
-    vocabulary_, seed = vocabulary(docs)
+    chunks = Chunks.of(docs)
+    vocabulary_, seed = vocabulary(chunks)
     n, v = vocabulary_.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     totals, segments = Totals(n, v), max(1, -(-n // SEGMENT_TOKENS))
-    filter_ = bloom_filter(docs, n, seed, order)
-    taken = filter_.agg(F.coalesce(F.sum(F.octet_length("bits")), F.lit(0))).first()[0] + 16 * v
-    ways = _broadcast_scores if taken <= broadcast_bytes else _routed_scores
-    return ways(docs, vocabulary_, filter_, segments, totals, seed, order)
+    most = BITS / 8 * order * n + 16 * v  # an n-gram's level is its count at most
+    if most <= broadcast_bytes:
+        return _broadcast_scores(chunks, vocabulary_, segments, totals, seed, order)
+    return _routed_scores(chunks, segments, totals, seed, order)
 
 
 def op13_lm_scoring(spark, sf_dir):

@@ -5,6 +5,7 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import compare
 import numpy as np
@@ -14,6 +15,7 @@ from hypothesis import strategies as st
 from test_llm_queries import SMALL, rows
 
 from cartloom.llm import ngram_bloom, periodic, spelling
+from cartloom.plans.staging import shared_folder
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -266,6 +268,26 @@ def test_routed_scores_equal_broadcast_ones(spark, odd, odd_rows, monkeypatch):
     check_base([dict(zip(("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"), r, strict=False)) for r in two], [r[:2] for r in odd_rows])
 
 
+def test_routed_scores_take_less_than_four_times_the_input_on_disk(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    kinds = ["".join(rng.choice(list("abcdefghijkl"), rng.integers(2, 8))) for _ in range(20_000)]
+    at = np.minimum(rng.zipf(1.3, (1000, 400)), len(kinds)) - 1
+    texts = [(i, " ".join(kinds[k] for k in row)) for i, row in enumerate(at.tolist())]
+    spark.createDataFrame(texts, "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "docs"))
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+
+    def sizes():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        shuffled = {Path(found.apply(i).getPath()) for i in range(found.size()) if found.apply(i).getName().startswith("shuffle")}
+        return {f: f.stat().st_size for f in shuffled | {f for f in folder.rglob("*") if f.is_file()} if f.exists()}
+
+    before = sizes()
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    assert ngram_bloom.score(docs, broadcast_bytes=0).agg({"score": "sum"}).first()[0] < 0
+    taken = sum(size for f, size in sizes().items() if f not in before)
+    assert taken < 4 * sum(f.stat().st_size for f in (tmp_path / "docs").glob("*.parquet"))
+
+
 def test_a_longer_context_predicts_better(spark, odd):
     whole = lambda order: sum(r["score"] for r in ngram_bloom.score(odd, order).collect() if not r["held_out"])
     assert whole(1) < whole(2) < whole(3)
